@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
-
 VISIT_DETAIL_COLUMNS = [
     "person_id", "macrovisit_id", "visit_occurrence_id", "visit_concept_id",
     "visit_concept_name", "visit_start_date", "visit_end_date",
@@ -37,34 +35,28 @@ def distinct_starts_per_stay(visits: DataFrame) -> DataFrame:
     )
 
 
-def _restrict(df: DataFrame, keys: DataFrame | Sequence[str], column: str, max_rows: int) -> DataFrame:
+def _restrict(df: DataFrame, keys: DataFrame | Sequence[str], column: str) -> DataFrame:
+    """Semi join to a key set. A key DataFrame is usually an aggregate, so no
+    count is run on it: adaptive execution broadcasts it when its measured
+    size is small."""
     if isinstance(keys, DataFrame):
-        side, _ = checked_broadcast(keys.select(column).distinct(), max_rows)
-        return df.join(side, column, "left_semi")
+        return df.join(keys.select(column), column, "left_semi")
     return df.where(F.col(column).isin(list(keys)))
 
 
-def stay_drilldown(
-    visits: DataFrame,
-    stays: DataFrame | Sequence[str],
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def stay_drilldown(visits: DataFrame, stays: DataFrame | Sequence[str]) -> DataFrame:
     """Every visit row of the chosen stays (a list of ids, or a DataFrame with
     a macrovisit_id column), detail columns, sorted by stay then concept."""
-    rows = _restrict(visits.select(*VISIT_DETAIL_COLUMNS), stays, "macrovisit_id", max_broadcast_rows)
+    rows = _restrict(visits.select(*VISIT_DETAIL_COLUMNS), stays, "macrovisit_id")
     return rows.orderBy("macrovisit_id", "visit_concept_id")
 
 
-def person_stays(
-    visits: DataFrame,
-    persons: DataFrame | Sequence[str],
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def person_stays(visits: DataFrame, persons: DataFrame | Sequence[str]) -> DataFrame:
     """Every visit row inside a stay for the chosen persons (a list of ids,
     or a DataFrame with person_id), sorted by person then stay start."""
     rows = _restrict(
         visits.where(F.col("macrovisit_id").isNotNull()).select(*VISIT_DETAIL_COLUMNS),
-        persons, "person_id", max_broadcast_rows,
+        persons, "person_id",
     )
     return rows.orderBy("person_id", "macrovisit_start_date")
 

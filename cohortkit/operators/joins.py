@@ -12,6 +12,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,12 +36,29 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when the row bound holds, else ``(df, False)``."""
+    """``(broadcast(df), True)`` when the row bound holds, else ``(df, False)``.
+
+    Use it on inputs whose bounded count is cheap (scans, filters,
+    projections, broadcast joins of those): the count stops early. For sides
+    that are aggregates of large inputs, pass the plain DataFrame and let
+    adaptive execution convert the join from the measured shuffle size, so
+    the aggregate is not computed twice.
+    """
     if max_rows > 0 and has_at_most(df, max_rows):
         return F.broadcast(df), True
     return df, False
 
 
+def small_enough(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
+    """``has_at_most`` for several inputs, run as concurrent jobs."""
+    if max_rows <= 0:
+        return [False] * len(dfs)
+    if len(dfs) == 1:
+        return [has_at_most(dfs[0], max_rows)]
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(lambda d: has_at_most(d, max_rows), dfs))
+
+
 def join_lookup(
     df: DataFrame,
     lookup: DataFrame,
@@ -47,6 +67,7 @@ def join_lookup(
     how: str = "left",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     keep_lookup_key: bool = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Join ``df`` to ``lookup`` on ``df[key] == lookup[lookup_key]``.
 
@@ -55,6 +76,9 @@ def join_lookup(
     in their order; the lookup key is dropped (as after an expression join)
     unless ``keep_lookup_key``, when it is null for unmatched rows. Lookup
     columns must not collide with ``df``'s; rename them first.
+
+    ``broadcast`` passes an already-made size decision (see
+    ``small_enough``); by default the lookup is checked here.
     """
     if how not in ("left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -73,7 +97,10 @@ def join_lookup(
     else:
         extra, out_lookup = [], []
     right = lookup.select(F.col(lookup_key).alias("__lookup_key"), *extra)
-    right, small = checked_broadcast(right, max_broadcast_rows)
+    if broadcast is None:
+        right, small = checked_broadcast(right, max_broadcast_rows)
+    else:
+        right, small = (F.broadcast(right), True) if broadcast else (right, False)
 
     if small:
         joined = df.join(right, df[key] == right["__lookup_key"], how)

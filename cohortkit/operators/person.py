@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import person as P
 from ..functions.sampling import in_sample
 from ..sources.tables import require_columns
-from .joins import DEFAULT_BROADCAST_ROWS, join_lookup
+from .joins import DEFAULT_BROADCAST_ROWS, join_lookup, small_enough
 
 PERSON_COLUMNS = [
     "person_id", "year_of_birth", "month_of_birth", "day_of_birth",
@@ -50,9 +50,13 @@ def enrich_person(
     require_columns(person, PERSON_COLUMNS, "person")
     require_columns(location, LOCATION_COLUMNS, "location")
     require_columns(manifest, MANIFEST_COLUMNS, "manifest")
-    out = join_lookup(cohort, person.select(*PERSON_COLUMNS), key, "person_id", "left", max_broadcast_rows)
-    out = join_lookup(out, location.select(*LOCATION_COLUMNS), "location_id", "location_id", "left", max_broadcast_rows)
-    return join_lookup(out, manifest.select(*MANIFEST_COLUMNS), "data_partner_id", "data_partner_id", "left", max_broadcast_rows)
+    person, location, manifest = (
+        person.select(*PERSON_COLUMNS), location.select(*LOCATION_COLUMNS), manifest.select(*MANIFEST_COLUMNS)
+    )
+    small = small_enough([person, location, manifest], max_broadcast_rows)
+    out = join_lookup(cohort, person, key, "person_id", "left", broadcast=small[0])
+    out = join_lookup(out, location, "location_id", "location_id", "left", broadcast=small[1])
+    return join_lookup(out, manifest, "data_partner_id", "data_partner_id", "left", broadcast=small[2])
 
 
 def add_age(df: DataFrame, index_col: str = "first_pos_pcr_antigen_date") -> DataFrame:

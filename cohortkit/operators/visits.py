@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, event_within, index_minus_event_within
-from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, checked_broadcast
+from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, checked_broadcast, small_enough
 
 MODES = ("either", "both")
 
@@ -27,9 +27,14 @@ DIAGNOSIS = "first_pos_diagnosis_date"
 EARLIER = "first_poslab_or_diagnosis_date"
 
 
-def _cohort_side(persons: DataFrame, columns: list[str], max_rows: int) -> DataFrame:
-    side, _ = checked_broadcast(persons.select(*columns), max_rows)
-    return side
+def _cohort_side(persons: DataFrame, columns: list[str], max_rows: int, broadcast: bool | None = None) -> DataFrame:
+    """The cohort's (person_id, index dates), broadcast when a bounded count
+    (or the caller's earlier decision) shows it small."""
+    side = persons.select(*columns)
+    if broadcast is None:
+        side, _ = checked_broadcast(side, max_rows)
+        return side
+    return F.broadcast(side) if broadcast else side
 
 
 def _window_test(mode: str, event: Column, days_before: int, days_after: int) -> Column:
@@ -56,6 +61,7 @@ def stay_near_index(
     days_after_index: int = 16,
     require_overlap: bool = True,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
+    index_source: DataFrame | None = None,
 ) -> DataFrame:
     """First stay starting from ``days_before_index`` days before to
     ``days_after_index`` days after the index date (and, with
@@ -65,11 +71,17 @@ def stay_near_index(
     first_covid_macrovisit_end_date and covid_associated_hosp (0/1). A stay
     is identified by macrovisit_id; ties on start date go to the smallest
     stay id, then end date.
+
+    ``index_source`` supplies (person_id, index date) when ``persons`` is an
+    expensive derivation of a cheaper table that already has them (the
+    cohort before enrichment): the window join then reads that table
+    instead of recomputing ``persons``.
     """
     stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
         "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
     )
-    index = _cohort_side(persons.where(F.col(index_col).isNotNull()), ["person_id", index_col], cohort_broadcast_rows)
+    source = persons if index_source is None else index_source
+    index = _cohort_side(source.where(F.col(index_col).isNotNull()), ["person_id", index_col], cohort_broadcast_rows)
     start, idx = F.col("macrovisit_start_date"), F.col(index_col)
     cond = event_within(idx, start, days_before_index, days_after_index)
     if require_overlap:
@@ -101,6 +113,7 @@ def er_visits_near_index(
     days_after_index: int = 16,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    cohort_broadcast: bool | None = None,
 ) -> DataFrame:
     """Earliest emergency-room visit near the index date, per person:
     (person_id, first_covid_er_only_start_date).
@@ -112,7 +125,7 @@ def er_visits_near_index(
     er = visits.where(F.col("macrovisit_start_date").isNull()).join(
         er_ids, F.col("visit_concept_id") == er_ids["concept_id"], "left_semi"
     )
-    index = _cohort_side(persons, ["person_id", LAB, DIAGNOSIS, EARLIER], cohort_broadcast_rows)
+    index = _cohort_side(persons, ["person_id", LAB, DIAGNOSIS, EARLIER], cohort_broadcast_rows, cohort_broadcast)
     return (
         er.select("person_id", "visit_start_date")
         .join(index, "person_id")
@@ -129,6 +142,7 @@ def stays_near_index(
     days_before_index: int = 1,
     days_after_index: int = 16,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
+    cohort_broadcast: bool | None = None,
 ) -> DataFrame:
     """Earliest stay starting near the index date, per person:
     (person_id, macrovisit_id, first_COVID_hospitalization_start_date,
@@ -137,7 +151,7 @@ def stays_near_index(
     stays = visits.where(F.col("macrovisit_start_date").isNotNull()).select(
         "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
     )
-    index = _cohort_side(persons, ["person_id", LAB, DIAGNOSIS, EARLIER], cohort_broadcast_rows)
+    index = _cohort_side(persons, ["person_id", LAB, DIAGNOSIS, EARLIER], cohort_broadcast_rows, cohort_broadcast)
     return (
         stays.join(index, "person_id")
         .where(_window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index))
@@ -165,12 +179,16 @@ def first_visits(
     """Persons with their first stay near the index date and, with
     ``include_er``, their first ER visit near it (full outer join of the two
     per-person results, then left-joined onto persons)."""
-    first = stays_near_index(persons, visits, mode, days_before_index, days_after_index, cohort_broadcast_rows)
+    small = small_enough([persons.select("person_id", LAB, DIAGNOSIS, EARLIER)], cohort_broadcast_rows)[0]
+    first = stays_near_index(
+        persons, visits, mode, days_before_index, days_after_index, cohort_broadcast_rows, cohort_broadcast=small
+    )
     if include_er:
         if er_concepts is None:
             raise ValueError("include_er needs er_concepts")
         er = er_visits_near_index(
-            persons, visits, er_concepts, mode, days_before_index, days_after_index, cohort_broadcast_rows
+            persons, visits, er_concepts, mode, days_before_index, days_after_index, cohort_broadcast_rows,
+            cohort_broadcast=small,
         )
         first = first.join(er, "person_id", "full_outer")
     return persons.join(first, "person_id", "left")
@@ -183,7 +201,6 @@ def stays_after_index(
     stay_start_col: str = "first_COVID_hospitalization_start_date",
     stay_end_col: str = "first_COVID_hospitalization_end_date",
     observation=None,
-    cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Stays that start strictly after the person's index stay start, or,
     for persons without an index stay, strictly after the index date.
@@ -195,12 +212,15 @@ def stays_after_index(
 
     Pass a ``pyspark.sql.Observation`` to get row counts (after-stay,
     after-index, total) as metrics of the same job, without extra actions.
+
+    The anchors are per-person results of earlier aggregations, so no count
+    is run on them (it would compute them twice); adaptive execution turns
+    the join into a broadcast join when their measured size is small.
     """
     anchor_cols = ["person_id", index_col, stay_start_col, stay_end_col]
     anchors = first_visits_df.select(*anchor_cols).withColumn(
         "__anchor", F.coalesce(F.col(stay_start_col), F.col(index_col))
     ).where(F.col("__anchor").isNotNull())
-    anchors, _ = checked_broadcast(anchors, cohort_broadcast_rows)
     stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
         "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
     )

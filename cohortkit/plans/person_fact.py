@@ -32,7 +32,7 @@ def person_fact_stages(inputs: Inputs, sample_fraction: float = 1.0, seed: int =
     sample = sample_cohort(inputs.cohort, sample_fraction, seed)
     located = enrich_person(sample, inputs.person_lds, inputs.location, inputs.manifest)
     clean = clean_person(located)
-    first_stay = stay_near_index(clean, inputs.visits)
+    first_stay = stay_near_index(clean, inputs.visits, index_source=sample)
     fact = latest_event(first_stay, inputs.death)
     return PersonFactStages(sample, located, clean, first_stay, fact)
 
