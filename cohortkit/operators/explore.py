@@ -46,19 +46,24 @@ def _restrict(df: DataFrame, keys: DataFrame | Sequence[str], column: str) -> Da
 
 def stay_drilldown(visits: DataFrame, stays: DataFrame | Sequence[str]) -> DataFrame:
     """Every visit row of the chosen stays (a list of ids, or a DataFrame with
-    a macrovisit_id column), detail columns, sorted by stay then concept."""
+    a macrovisit_id column), detail columns, sorted by stay then concept.
+
+    The visit id closes the sort key: the order is total, and the range
+    partitioner can split one very large stay over several tasks."""
     rows = _restrict(visits.select(*VISIT_DETAIL_COLUMNS), stays, "macrovisit_id")
-    return rows.orderBy("macrovisit_id", "visit_concept_id")
+    return rows.orderBy("macrovisit_id", "visit_concept_id", "visit_occurrence_id")
 
 
 def person_stays(visits: DataFrame, persons: DataFrame | Sequence[str]) -> DataFrame:
     """Every visit row inside a stay for the chosen persons (a list of ids,
-    or a DataFrame with person_id), sorted by person then stay start."""
+    or a DataFrame with person_id), sorted by person then stay start (then
+    stay and visit id, so a person with very many rows spans several
+    range partitions)."""
     rows = _restrict(
         visits.where(F.col("macrovisit_id").isNotNull()).select(*VISIT_DETAIL_COLUMNS),
         persons, "person_id",
     )
-    return rows.orderBy("person_id", "macrovisit_start_date")
+    return rows.orderBy("person_id", "macrovisit_start_date", "macrovisit_id", "visit_occurrence_id")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -28,9 +28,16 @@ class PersonFactStages:
     fact: DataFrame        # + latest death date and its flag
 
 
-def person_fact_stages(inputs: Inputs, sample_fraction: float = 1.0, seed: int = 111) -> PersonFactStages:
-    sample = sample_cohort(inputs.cohort, sample_fraction, seed)
+def person_fact_stages(
+    inputs: Inputs, sample_fraction: float = 1.0, seed: int = 111, cohort: DataFrame | None = None
+) -> PersonFactStages:
+    """Every step of the person fact; ``cohort`` defaults to the inputs' cohort."""
+    sample = sample_cohort(inputs.cohort if cohort is None else cohort, sample_fraction, seed)
     located = enrich_person(sample, inputs.person_lds, inputs.location, inputs.manifest)
+    return _finish(inputs, sample, located)
+
+
+def _finish(inputs: Inputs, sample: DataFrame, located: DataFrame) -> PersonFactStages:
     clean = clean_person(located)
     first_stay = stay_near_index(clean, inputs.visits, index_source=sample)
     fact = latest_event(first_stay, inputs.death)
