@@ -23,6 +23,33 @@ RUNTIME_CONF = {
 }
 
 
+def cluster_conf(
+    largest_input_bytes: int, partition_bytes: int = 256 * 1024**2, max_shuffle_partitions: int = 32768
+) -> dict[str, str]:
+    """Partition sizing for a cluster run, from the size of the largest input.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` so a task's
+    sort and aggregation buffers fit executor memory (spilling beyond that);
+    adaptive execution starts from that many shuffle partitions and
+    coalesces the small ones. A shuffle partition over twice the target (and
+    5x the median) counts as skewed and is split at joins.
+
+    Shuffled data is much smaller than the input (columns are pruned, rows
+    filtered and partially aggregated before the exchange), and the number
+    of shuffle blocks grows with map tasks x reduce partitions, so the
+    shuffle partition count is capped at ``max_shuffle_partitions``.
+    """
+    partitions = min(max_shuffle_partitions, max(200, -(-largest_input_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply ``RUNTIME_CONF`` to an existing session and return it."""
     for key, value in RUNTIME_CONF.items():
