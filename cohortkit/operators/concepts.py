@@ -24,12 +24,24 @@ def resolve_concepts(
     """``(concept_id, column_name)`` for curated sets whose ``domain`` text
     contains ``domain`` and whose ``flag`` column is 1, restricted to the most
     recent version of each set. Distinct pairs."""
+    return concept_pairs(concept_sets, members, domain, flag, max_broadcast_rows).distinct()
+
+
+def concept_pairs(
+    concept_sets: DataFrame,
+    members: DataFrame,
+    domain: str = "condition_occurrence",
+    flag: str = "comorbidity",
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """``resolve_concepts`` before the distinct: a streaming join whose
+    bounded count is cheap, and an upper bound of the distinct pairs."""
     chosen = concept_sets.where(F.col("domain").contains(domain) & (F.col(flag) == 1)).select(
         "concept_set_name", "column_name"
     )
     current = most_recent_members(members).select("concept_id", "concept_set_name")
     chosen, _ = checked_broadcast(chosen, max_broadcast_rows)
-    return current.join(chosen, "concept_set_name").select("concept_id", "column_name").distinct()
+    return current.join(chosen, "concept_set_name").select("concept_id", "column_name")
 
 
 def er_concept_ids(concept_sets: DataFrame, members: DataFrame, flag: str = "er_only_visit",

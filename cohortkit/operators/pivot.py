@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .concepts import curated_columns, resolve_concepts
+from .concepts import concept_pairs, curated_columns
 from .events import first_event_per
-from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, checked_broadcast
+from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, checked_broadcast, small_enough
 
 
 def pivot_first_events(
@@ -58,7 +58,12 @@ def comorbidity_events(
     """Dated condition records whose concept belongs to a chosen comorbidity
     set: person_id, comorbidity, comorbidity_start_date,
     condition_occurrence_id, condition_source_value."""
-    concepts, _ = checked_broadcast(resolve_concepts(concept_sets, members), max_broadcast_rows)
+    # Count the pairs before their distinct (an upper bound, no shuffle in
+    # the check); broadcast the distinct pairs.
+    pairs = concept_pairs(concept_sets, members, max_broadcast_rows=max_broadcast_rows)
+    small = small_enough([pairs], max_broadcast_rows)[0]
+    concepts = pairs.distinct()
+    concepts = F.broadcast(concepts) if small else concepts
     return (
         conditions.where(F.col("condition_start_date").isNotNull())
         .join(concepts, F.col("condition_concept_id") == concepts["concept_id"])

@@ -201,6 +201,7 @@ def stays_after_index(
     stay_start_col: str = "first_COVID_hospitalization_start_date",
     stay_end_col: str = "first_COVID_hospitalization_end_date",
     observation=None,
+    salts: int = 16,
 ) -> DataFrame:
     """Stays that start strictly after the person's index stay start, or,
     for persons without an index stay, strictly after the index date.
@@ -213,21 +214,29 @@ def stays_after_index(
     Pass a ``pyspark.sql.Observation`` to get row counts (after-stay,
     after-index, total) as metrics of the same job, without extra actions.
 
-    The anchors are per-person results of earlier aggregations, so no count
-    is run on them (it would compute them twice); adaptive execution turns
-    the join into a broadcast join when their measured size is small.
+    One person may own a large share of all stays, and the anchors arrive
+    already partitioned by person_id (so adaptive execution can neither
+    split nor broadcast that join). The join is therefore salted: each stay
+    gets a salt from a hash of its id, the one anchor row per person is
+    repeated once per salt, and the join and the per-stay aggregate run on
+    (person_id, salt), spreading a hot person over ``salts`` tasks. All rows
+    of one stay share a salt, so results are exact.
     """
     anchor_cols = ["person_id", index_col, stay_start_col, stay_end_col]
-    anchors = first_visits_df.select(*anchor_cols).withColumn(
-        "__anchor", F.coalesce(F.col(stay_start_col), F.col(index_col))
-    ).where(F.col("__anchor").isNotNull())
+    anchors = (
+        first_visits_df.select(*anchor_cols)
+        .withColumn("__anchor", F.coalesce(F.col(stay_start_col), F.col(index_col)))
+        .where(F.col("__anchor").isNotNull())
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(max(1, salts) - 1))))
+    )
     stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
-        "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
+        "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date",
+        F.pmod(F.xxhash64("macrovisit_id"), F.lit(max(1, salts))).cast("int").alias("__salt"),
     )
     out = (
-        stays.join(anchors, "person_id")
+        stays.join(anchors, ["person_id", "__salt"])
         .where(F.col("__anchor") < F.col("macrovisit_start_date"))
-        .groupBy(*anchor_cols, "macrovisit_id")
+        .groupBy("person_id", "__salt", *anchor_cols[1:], "macrovisit_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_end_date")).alias("s"))
         .select(
             *anchor_cols, "macrovisit_id",

@@ -130,8 +130,10 @@ def q_first_visits(spark, d):
 
 
 def q_stays_after_index(spark, d):
+    """Stays after each person's first stay (or index date). Only the stay
+    columns of the first visits are read, so the ER part is not built."""
     i = Inputs(spark, d)
-    return stays_after_index(_first_visits(i), i.visits)
+    return stays_after_index(first_visits(i.cohort, i.visits, include_er=False), i.visits)
 
 
 def q_latest_event(spark, d):
