@@ -35,7 +35,7 @@ def concept_pairs(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """``resolve_concepts`` before the distinct: a streaming join whose
-    bounded count is cheap, and an upper bound of the distinct pairs."""
+    bounded scan is cheap, and an upper bound of the distinct pairs."""
     chosen = concept_sets.where(F.col("domain").contains(domain) & (F.col(flag) == 1)).select(
         "concept_set_name", "column_name"
     )

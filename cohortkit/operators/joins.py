@@ -1,6 +1,6 @@
 """Joins against lookup tables, safe at scale.
 
-* ``checked_broadcast`` broadcasts a side only after a bounded count proves it
+* ``checked_broadcast`` broadcasts a side only after a bounded scan proves it
   has at most ``max_rows`` rows; otherwise the plan keeps a shuffle join (and
   adaptive execution may still convert it from measured sizes).
 * ``join_lookup`` is the left / anti / semi join of a large table against a
@@ -30,15 +30,17 @@ NULL_KEY_SALT_BUCKETS = 256
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Runs one bounded job: every task stops after ``max_rows + 1`` rows.
+    Skips ``max_rows`` rows and asks for one more: Spark scans one partition,
+    then more only while too few rows were seen, and stops as soon as row
+    ``max_rows + 1`` exists. At most one one-column row reaches the driver.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return len(df.select(F.lit(1).alias("one")).offset(max_rows).take(1)) == 0
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when the row bound holds, else ``(df, False)``.
 
-    Use it on inputs whose bounded count is cheap (scans, filters,
+    Use it on inputs whose bounded scan is cheap (scans, filters,
     projections, broadcast joins of those): the count stops early. For sides
     that are aggregates of large inputs, pass the plain DataFrame and let
     adaptive execution convert the join from the measured shuffle size, so

@@ -6,7 +6,7 @@ episode, null for visits outside a stay.
 Plan shape for every operator here: scan and filter the visit table, join it
 on person_id to the cohort's (person_id, index dates) with the day window as
 a join condition, then reduce to one row per person with a partial
-aggregate. The cohort side is broadcast when a bounded count proves it
+aggregate. The cohort side is broadcast when a bounded scan proves it
 small, so the visit table is never shuffled for the join; otherwise the
 join shuffles both sides on person_id and the per-person aggregate reuses
 that partitioning.
@@ -28,7 +28,7 @@ EARLIER = "first_poslab_or_diagnosis_date"
 
 
 def _cohort_side(persons: DataFrame, columns: list[str], max_rows: int, broadcast: bool | None = None) -> DataFrame:
-    """The cohort's (person_id, index dates), broadcast when a bounded count
+    """The cohort's (person_id, index dates), broadcast when a bounded scan
     (or the caller's earlier decision) shows it small."""
     side = persons.select(*columns)
     if broadcast is None:
