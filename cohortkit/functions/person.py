@@ -1,7 +1,8 @@
 """Column expressions for person attributes (all JVM-side, no UDFs).
 
-Each function takes and returns ``Column`` objects, so they compose into a
-single projection that stays inside whole-stage codegen.
+Each function returns a ``Column`` (the rule table takes column names and
+builds one SQL CASE expression), so they compose into a single projection
+that stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -91,32 +92,39 @@ def standardize_gender(name: Column) -> Column:
     return expr.otherwise(F.lit(GENDER_DEFAULT))
 
 
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ordered_rules(
-    columns: dict[str, Column],
+    columns: dict[str, str],
     rules: Sequence[tuple[str, str, str, str]],
     default: str,
 ) -> Column:
-    """Fold a first-match-wins rule table into one CASE WHEN chain.
+    """Fold a first-match-wins rule table into one CASE WHEN expression.
 
-    ``columns`` maps each rule's column role to the input column. A null
-    input fails every test, so it falls through to later rules / the default.
+    ``columns`` maps each rule's column role to an input column name. A null
+    input fails every test, so it falls through to later rules / the
+    default. The whole table becomes one SQL expression (one call to build,
+    however many rules).
     """
-    expr = None
+    branches = []
     for role, test, value, label in rules:
-        col = columns[role]
+        col = f"`{columns[role]}`"
         if test == "equals":
-            cond = col == value
+            cond = f"{col} = {_sql_string(value)}"
         elif test == "contains":
-            cond = col.contains(value)
+            cond = f"contains({col}, {_sql_string(value)})"
         else:
             raise ValueError(f"unknown rule test {test!r}")
-        expr = (F.when if expr is None else expr.when)(cond, F.lit(label))
-    if expr is None:
+        branches.append(f"WHEN {cond} THEN {_sql_string(label)}")
+    if not branches:
         return F.lit(default)
-    return expr.otherwise(F.lit(default))
+    return F.expr(f"CASE {' '.join(branches)} ELSE {_sql_string(default)} END")
 
 
-def race_ethnicity(ethnicity: Column, race: Column) -> Column:
+def race_ethnicity(ethnicity: str = "ethnicity_concept_name", race: str = "race_concept_name") -> Column:
+    """Race/ethnicity label from the two concept-name columns (by name)."""
     return ordered_rules({"ethnicity": ethnicity, "race": race}, RACE_ETHNICITY_RULES, RACE_ETHNICITY_DEFAULT)
 
 

@@ -79,7 +79,7 @@ def add_race_ethnicity(
     race: str = "race_concept_name",
     target: str = "race_ethnicity",
 ) -> DataFrame:
-    return df.withColumn(target, P.race_ethnicity(F.col(ethnicity), F.col(race)))
+    return df.withColumn(target, P.race_ethnicity(ethnicity, race))
 
 
 def add_zip_code(df: DataFrame, source: str = "zip", target: str = "zip_code") -> DataFrame:

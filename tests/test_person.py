@@ -129,3 +129,14 @@ def test_sample_is_deterministic_and_partition_independent(spark):
     assert 1200 < len(a) < 1800
     assert sample_cohort(df, 1.0) is df
     assert rows(sample_cohort(df, 0.3, 8)) != a
+
+
+def test_declared_schemas_match_files(spark):
+    from conftest import SMALL_DIR
+
+    from cohortkit.sources.tables import TABLE_SCHEMAS, read_table
+
+    for name in TABLE_SCHEMAS:
+        declared = read_table(spark, SMALL_DIR, name).schema
+        inferred = read_table(spark, SMALL_DIR, name, infer_schema=True).schema
+        assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred], name
