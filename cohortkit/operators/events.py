@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,24 @@ def first_event_per(
     return picked.select(*[F.col(c) if c in keys else F.col(f"__first.{c}").alias(c) for c in out_cols])
 
 
+def keep_first(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column],
+) -> DataFrame:
+    """Whole first row per ``keys`` under ``order_by`` (columns or sort
+    expressions, e.g. ``F.col("d").desc()``), by ``row_number() = 1``.
+
+    For orderings ``first_event_per`` cannot express with one ascending
+    struct (mixed directions, expressions). Add a unique column last in
+    ``order_by`` to make the choice deterministic. Spark plans a partial
+    group limit before the shuffle (each map task keeps its first row per
+    key), so a hot key is reduced map-side here too.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+
+
 def latest_event(
     persons: DataFrame,
     events: DataFrame,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from conftest import d, rows
 
-from cohortkit.operators.events import first_event_per, latest_event
+from pyspark.sql import functions as F
+
+from cohortkit.operators.events import first_event_per, keep_first, latest_event
 from cohortkit.operators.pivot import pivot_first_events
 
 EVENTS = "person_id string, grp string, dt date, occ_id bigint, src string"
@@ -92,3 +94,20 @@ def test_latest_event_fanout_reproduces_window_without_dedupe(spark):
         ("a", 1, d("2020-06-09"), 1), ("a", 1, d("2020-06-09"), 1), ("a", 1, d("2020-06-09"), 1),
         ("b", 2, None, 0), ("c", 3, None, 0),
     ]
+
+
+def test_keep_first_matches_first_event_and_mixed_order(spark):
+    df = spark.range(0, 3000).selectExpr(
+        "cast(id % 37 as string) as person_id", "cast(id % 3 as string) as grp",
+        "date_add(date'2020-01-01', cast(id % 11 as int)) as dt", "id as occ_id", "cast(id as string) as src",
+    )
+    assert rows(keep_first(df, ["person_id", "grp"], ["dt", "occ_id"])) == rows(
+        first_event_per(df, ["person_id", "grp"], "dt", ["occ_id"])
+    )
+    latest = keep_first(df, ["person_id"], [F.col("dt").desc(), F.col("occ_id").asc()])
+    want = {}
+    for r in df.collect():
+        k = r["person_id"]
+        if k not in want or (r["dt"], -r["occ_id"]) > (want[k]["dt"], -want[k]["occ_id"]):
+            want[k] = r
+    assert rows(latest) == sorted((tuple(r) for r in want.values()), key=lambda t: tuple((x is None, str(x)) for x in t))
