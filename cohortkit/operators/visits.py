@@ -175,22 +175,68 @@ def first_visits(
     days_before_index: int = 1,
     days_after_index: int = 16,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Persons with their first stay near the index date and, with
-    ``include_er``, their first ER visit near it (full outer join of the two
-    per-person results, then left-joined onto persons)."""
-    small = small_enough([persons.select("person_id", LAB, DIAGNOSIS, EARLIER)], cohort_broadcast_rows)[0]
-    first = stays_near_index(
-        persons, visits, mode, days_before_index, days_after_index, cohort_broadcast_rows, cohort_broadcast=small
-    )
-    if include_er:
-        if er_concepts is None:
-            raise ValueError("include_er needs er_concepts")
+    ``include_er``, their first ER visit near it, left-joined onto persons:
+    adds macrovisit_id, first_COVID_hospitalization_start_date,
+    first_COVID_hospitalization_end_date (and first_covid_er_only_start_date).
+
+    Same result as ``stays_near_index`` full-outer-joined with
+    ``er_visits_near_index``, computed in one pass: the visit table is
+    scanned once, ER concepts are flagged by a left join against the
+    (broadcast, distinct) ER ids, each window applies under its own
+    condition, and one aggregation per person yields both first dates.
+    When the ER ids are not provably small, the two operators run
+    separately and are joined.
+    """
+    index_cols = ["person_id", LAB, DIAGNOSIS, EARLIER]
+    small = small_enough([persons.select(*index_cols)], cohort_broadcast_rows)[0]
+    if not include_er:
+        first = stays_near_index(
+            persons, visits, mode, days_before_index, days_after_index, cohort_broadcast_rows, cohort_broadcast=small
+        )
+        return persons.join(first, "person_id", "left")
+    if er_concepts is None:
+        raise ValueError("include_er needs er_concepts")
+    er_ids = er_concepts.select("concept_id")
+    if not small_enough([er_ids], max_broadcast_rows)[0]:
+        hosp = stays_near_index(
+            persons, visits, mode, days_before_index, days_after_index, cohort_broadcast_rows, cohort_broadcast=small
+        )
         er = er_visits_near_index(
             persons, visits, er_concepts, mode, days_before_index, days_after_index, cohort_broadcast_rows,
-            cohort_broadcast=small,
+            max_broadcast_rows, cohort_broadcast=small,
+        )
+        return persons.join(hosp.join(er, "person_id", "full_outer"), "person_id", "left")
+
+    flags = F.broadcast(er_ids.distinct().select(F.col("concept_id").alias("__er_id"), F.lit(True).alias("__is_er")))
+    rows = visits.select(
+        "person_id", "visit_concept_id", "visit_start_date",
+        "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date",
+    ).join(flags, F.col("visit_concept_id") == F.col("__er_id"), "left")
+    stay_row = F.col("macrovisit_start_date").isNotNull()
+    er_row = F.col("macrovisit_start_date").isNull() & F.col("__is_er")
+    index = _cohort_side(persons, index_cols, cohort_broadcast_rows, small)
+    near_stay = stay_row & _window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index)
+    near_er = er_row & _window_test(mode, F.col("visit_start_date"), days_before_index, days_after_index)
+    first = (
+        rows.where(stay_row | er_row)
+        .join(index, "person_id")
+        .where(near_stay | near_er)
+        .groupBy("person_id")
+        .agg(
+            F.min(F.when(near_stay, F.struct("macrovisit_start_date", "macrovisit_id", "macrovisit_end_date"))).alias("s"),
+            F.min(F.when(near_er, F.col("visit_start_date"))).alias("first_covid_er_only_start_date"),
         )
-        first = first.join(er, "person_id", "full_outer")
+        .select(
+            "person_id",
+            F.col("s.macrovisit_id").alias("macrovisit_id"),
+            F.col("s.macrovisit_start_date").alias("first_COVID_hospitalization_start_date"),
+            F.col("s.macrovisit_end_date").alias("first_COVID_hospitalization_end_date"),
+            "first_covid_er_only_start_date",
+        )
+    )
     return persons.join(first, "person_id", "left")
 
 

@@ -144,3 +144,21 @@ def test_stays_after_index_observation(spark):
     obs = Observation("after")
     stays_after_index(fv, v, observation=obs).write.format("noop").mode("overwrite").save()
     assert obs.get == {"after_stay_rows": 1, "after_index_rows": 2, "rows": 3}
+
+
+def test_first_visits_one_pass_equals_two_pass(spark):
+    from conftest import SMALL_DIR
+
+    from cohortkit.operators.concepts import er_concept_ids
+    from cohortkit.sources.fixtures import Inputs
+
+    i = Inputs(spark, SMALL_DIR)
+    er = er_concept_ids(i.our_concept_sets, i.concept_set_members)
+    for mode in ("either", "both"):
+        fused = first_visits(i.cohort, i.visits, er, mode=mode)
+        two_pass = first_visits(i.cohort, i.visits, er, mode=mode, max_broadcast_rows=0)
+        assert rows(fused) == rows(two_pass), mode
+    # a fresh (unexecuted) plan: an executed adaptive plan prints both its final and initial plans
+    plan = first_visits(i.cohort, i.visits, er)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "lineitem" in line]
+    assert len(scans) == 1, scans
