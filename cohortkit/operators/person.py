@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import person as P
 from ..functions.sampling import in_sample
 from ..sources.tables import require_columns
-from .joins import DEFAULT_BROADCAST_ROWS, join_lookup, small_enough
+from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, checked_broadcast, join_lookup, small_enough
 
 PERSON_COLUMNS = [
     "person_id", "year_of_birth", "month_of_birth", "day_of_birth",
@@ -40,12 +40,17 @@ def enrich_person(
     manifest: DataFrame,
     key: str = "person_id",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Attach person attributes, then address, then the contributing site.
 
     Three left joins: persons without a person row, location or site keep
     their row with nulls. Output: the cohort's columns, then the person,
     location and site columns (the lookup keys appear once).
+
+    The person table usually covers the whole population. When it is too
+    large to broadcast but the cohort is small, it is first semi-joined to
+    the broadcast cohort keys, so only the cohort's person rows are shuffled.
     """
     require_columns(person, PERSON_COLUMNS, "person")
     require_columns(location, LOCATION_COLUMNS, "location")
@@ -54,6 +59,10 @@ def enrich_person(
         person.select(*PERSON_COLUMNS), location.select(*LOCATION_COLUMNS), manifest.select(*MANIFEST_COLUMNS)
     )
     small = small_enough([person, location, manifest], max_broadcast_rows)
+    if not small[0]:
+        keys, cohort_small = checked_broadcast(cohort.select(F.col(key).alias("person_id")), cohort_broadcast_rows)
+        if cohort_small:
+            person = person.join(keys, "person_id", "left_semi")
     out = join_lookup(cohort, person, key, "person_id", "left", broadcast=small[0])
     out = join_lookup(out, location, "location_id", "location_id", "left", broadcast=small[1])
     return join_lookup(out, manifest, "data_partner_id", "data_partner_id", "left", broadcast=small[2])

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 import os
 import sys
 
@@ -32,3 +34,12 @@ def rows(df, *cols):
     cols = cols or tuple(df.columns)
     out = [tuple(r[c] for c in cols) for r in df.collect()]
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def plan_text(df) -> str:
+    """The physical plan as ``df.explain()`` prints it (the final adaptive
+    plan once the DataFrame has run)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

@@ -140,3 +140,20 @@ def test_declared_schemas_match_files(spark):
         declared = read_table(spark, SMALL_DIR, name).schema
         inferred = read_table(spark, SMALL_DIR, name, infer_schema=True).schema
         assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred], name
+
+
+def test_enrich_person_paths_agree(spark):
+    from conftest import SMALL_DIR
+
+    from cohortkit.operators.person import enrich_person
+    from cohortkit.sources.fixtures import Inputs
+
+    i = Inputs(spark, SMALL_DIR)
+    fast = enrich_person(i.cohort, i.person_lds, i.location, i.manifest)
+    # lookups "too large": salted shuffle joins, person rows pre-filtered by the broadcast cohort keys
+    prefiltered = enrich_person(i.cohort, i.person_lds, i.location, i.manifest, max_broadcast_rows=0)
+    # cohort "too large" as well: plain shuffle joins
+    shuffled = enrich_person(i.cohort, i.person_lds, i.location, i.manifest, max_broadcast_rows=0,
+                             cohort_broadcast_rows=0)
+    assert rows(fast) == rows(prefiltered) == rows(shuffled)
+    assert fast.columns == prefiltered.columns == shuffled.columns

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import ORACLE_DIR, SMALL_DIR
+from conftest import ORACLE_DIR, SMALL_DIR, plan_text
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -55,7 +55,7 @@ def test_known_fixture_counts(spark):
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def test_visit_scan_is_pruned_and_filtered(spark):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import plan_text, rows
 
 from cohortkit.operators.visits import first_visits, stay_near_index, stays_after_index
 
@@ -37,7 +37,7 @@ def skewed(spark):
 
 
 def _final_plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def test_skewed_person_results_match(spark, skewed):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import d, rows
+from conftest import d, plan_text, rows
 
 from cohortkit.operators.visits import (
     er_visits_near_index,
@@ -159,6 +159,6 @@ def test_first_visits_one_pass_equals_two_pass(spark):
         two_pass = first_visits(i.cohort, i.visits, er, mode=mode, max_broadcast_rows=0)
         assert rows(fused) == rows(two_pass), mode
     # a fresh (unexecuted) plan: an executed adaptive plan prints both its final and initial plans
-    plan = first_visits(i.cohort, i.visits, er)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(first_visits(i.cohort, i.visits, er))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "lineitem" in line]
     assert len(scans) == 1, scans
