@@ -27,20 +27,30 @@ def resolve_concepts(
     return concept_pairs(concept_sets, members, domain, flag, max_broadcast_rows).distinct()
 
 
+def chosen_sets(concept_sets: DataFrame, domain: str = "condition_occurrence", flag: str = "comorbidity") -> DataFrame:
+    """(concept_set_name, column_name) of the curated sets for ``domain`` with ``flag`` = 1."""
+    return concept_sets.where(F.col("domain").contains(domain) & (F.col(flag) == 1)).select(
+        "concept_set_name", "column_name"
+    )
+
+
 def concept_pairs(
     concept_sets: DataFrame,
     members: DataFrame,
     domain: str = "condition_occurrence",
     flag: str = "comorbidity",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    chosen_broadcast: bool | None = None,
 ) -> DataFrame:
     """``resolve_concepts`` before the distinct: a streaming join whose
-    bounded scan is cheap, and an upper bound of the distinct pairs."""
-    chosen = concept_sets.where(F.col("domain").contains(domain) & (F.col(flag) == 1)).select(
-        "concept_set_name", "column_name"
-    )
+    bounded scan is cheap, and an upper bound of the distinct pairs.
+    ``chosen_broadcast`` passes an earlier size decision on ``chosen_sets``."""
+    chosen = chosen_sets(concept_sets, domain, flag)
     current = most_recent_members(members).select("concept_id", "concept_set_name")
-    chosen, _ = checked_broadcast(chosen, max_broadcast_rows)
+    if chosen_broadcast is None:
+        chosen, _ = checked_broadcast(chosen, max_broadcast_rows)
+    elif chosen_broadcast:
+        chosen = F.broadcast(chosen)
     return current.join(chosen, "concept_set_name").select("concept_id", "column_name")
 
 

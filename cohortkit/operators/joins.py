@@ -51,14 +51,19 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df, False
 
 
-def small_enough(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
-    """``has_at_most`` for several inputs, run as concurrent jobs."""
-    if max_rows <= 0:
-        return [False] * len(dfs)
-    if len(dfs) == 1:
-        return [has_at_most(dfs[0], max_rows)]
+def small_enough(dfs: Sequence[DataFrame], max_rows: int | Sequence[int] = DEFAULT_BROADCAST_ROWS) -> list[bool]:
+    """``has_at_most`` for several inputs (one bound, or one per input),
+    run as concurrent jobs."""
+    bounds = [max_rows] * len(dfs) if isinstance(max_rows, int) else list(max_rows)
+
+    def check(pair):
+        df, bound = pair
+        return bound > 0 and has_at_most(df, bound)
+
+    if len(dfs) <= 1:
+        return [check(p) for p in zip(dfs, bounds)]
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return list(pool.map(lambda d: has_at_most(d, max_rows), dfs))
+        return list(pool.map(check, zip(dfs, bounds)))
 
 
 def join_lookup(

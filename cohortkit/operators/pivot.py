@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .concepts import concept_pairs, curated_columns
+from .concepts import chosen_sets, concept_pairs, curated_columns
 from .events import first_event_per
-from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, checked_broadcast, small_enough
+from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, small_enough
 
 
 def pivot_first_events(
@@ -54,13 +55,15 @@ def comorbidity_events(
     members: DataFrame,
     conditions: DataFrame,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    chosen_broadcast: bool | None = None,
 ) -> DataFrame:
     """Dated condition records whose concept belongs to a chosen comorbidity
     set: person_id, comorbidity, comorbidity_start_date,
     condition_occurrence_id, condition_source_value."""
     # Count the pairs before their distinct (an upper bound, no shuffle in
     # the check); broadcast the distinct pairs.
-    pairs = concept_pairs(concept_sets, members, max_broadcast_rows=max_broadcast_rows)
+    pairs = concept_pairs(concept_sets, members, max_broadcast_rows=max_broadcast_rows,
+                          chosen_broadcast=chosen_broadcast)
     small = small_enough([pairs], max_broadcast_rows)[0]
     concepts = pairs.distinct()
     concepts = F.broadcast(concepts) if small else concepts
@@ -119,10 +122,18 @@ def comorbidities(
     within ``cohort_broadcast_rows`` filters the records map-side; a larger
     one is semi-joined after the records are reduced to one row per person.
     """
-    values = list(columns) if columns is not None else curated_columns(concept_sets)
-    events = comorbidity_events(concept_sets, members, conditions, max_broadcast_rows)
-    cohort, small = checked_broadcast(persons.select("person_id"), cohort_broadcast_rows)
+    # Independent plan-time work runs concurrently: the pivot columns, and
+    # the size checks of the curated list and of the cohort.
+    cohort = persons.select("person_id")
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        listed = None if columns is not None else pool.submit(curated_columns, concept_sets)
+        chosen_small, small = small_enough(
+            [chosen_sets(concept_sets), cohort], [max_broadcast_rows, cohort_broadcast_rows]
+        )
+        values = list(columns) if listed is None else listed.result()
+    events = comorbidity_events(concept_sets, members, conditions, max_broadcast_rows, chosen_broadcast=chosen_small)
     if small:
+        cohort = F.broadcast(cohort)
         # Filter the records map-side against the broadcast cohort.
         events = events.join(cohort, "person_id", "left_semi")
     pivoted = pivot_first_events(

@@ -121,11 +121,20 @@ def er_visits_near_index(
     An ER visit is a visit outside any stay (null stay start) whose
     visit_concept_id is in ``er_concepts.concept_id`` (semi join).
     """
-    er_ids, _ = checked_broadcast(er_concepts.select("concept_id"), max_broadcast_rows)
+    index_cols = ["person_id", LAB, DIAGNOSIS, EARLIER]
+    er_ids = er_concepts.select("concept_id")
+    if cohort_broadcast is None:  # both size checks in one concurrent round
+        ids_small, cohort_broadcast = small_enough(
+            [er_ids, persons.select(*index_cols)], [max_broadcast_rows, cohort_broadcast_rows]
+        )
+    else:
+        ids_small = small_enough([er_ids], max_broadcast_rows)[0]
+    if ids_small:
+        er_ids = F.broadcast(er_ids)
     er = visits.where(F.col("macrovisit_start_date").isNull()).join(
         er_ids, F.col("visit_concept_id") == er_ids["concept_id"], "left_semi"
     )
-    index = _cohort_side(persons, ["person_id", LAB, DIAGNOSIS, EARLIER], cohort_broadcast_rows, cohort_broadcast)
+    index = _cohort_side(persons, index_cols, cohort_broadcast_rows, cohort_broadcast)
     return (
         er.select("person_id", "visit_start_date")
         .join(index, "person_id")
