@@ -47,3 +47,27 @@ def build_tables(inputs: Inputs, out_dir: str | None = None, sample_fraction: fl
     for name, df in outputs.items():
         paths[name] = write_stage(df, f"{root}/{name}")
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m cohortkit.plans.build INPUT_DIR --out OUT_DIR``: write all tables."""
+    import argparse
+    import json
+
+    from ..session import build_session
+
+    ap = argparse.ArgumentParser(description=main.__doc__)
+    ap.add_argument("input_dir")
+    ap.add_argument("--out", help="output folder (default: <spark.checkpoint.dir>/cohortkit_tables)")
+    ap.add_argument("--sample-fraction", type=float, default=1.0)
+    ap.add_argument("--seed", type=int, default=111)
+    ap.add_argument("--master", default="local[8]")
+    args = ap.parse_args(argv)
+    spark = build_session(master=args.master)
+    paths = build_tables(Inputs(spark, args.input_dir), args.out, args.sample_fraction, args.seed)
+    print(json.dumps(paths, indent=2))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

@@ -73,3 +73,22 @@ def test_pivot_is_one_aggregation(spark):
     assert plan.count("Exchange hashpartitioning(person_id") == 1, plan
     assert plan.count("Exchange hashpartitioning") == 2, plan
     assert "LeftSemi" in plan
+
+
+@pytest.mark.parametrize("name", ["person_fact", "comorbidity_pivot", "first_visits", "stays_after_index",
+                                  "latest_event_fanout", "cast_sdoh"])
+def test_same_result_for_any_partition_count(spark, name):
+    from conftest import rows
+
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    results = []
+    try:
+        for partitions, adaptive in (("1", "true"), ("4", "false"), ("16", "true")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            results.append(rows(QUERIES[name](spark, SMALL_DIR)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert results[0] == results[1] == results[2]
