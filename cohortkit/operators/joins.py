@@ -41,10 +41,11 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """``(broadcast(df), True)`` when the row bound holds, else ``(df, False)``.
 
     Use it on inputs whose bounded scan is cheap (scans, filters,
-    projections, broadcast joins of those): the count stops early. For sides
-    that are aggregates of large inputs, pass the plain DataFrame and let
-    adaptive execution convert the join from the measured shuffle size, so
-    the aggregate is not computed twice.
+    projections, broadcast joins of those): the scan stops early. Sides that
+    are aggregates of large inputs are not checked (that would compute them
+    twice): the join stays a shuffle join, which adaptive execution turns
+    into a broadcast join from the measured size when that side is its own
+    shuffle stage.
     """
     if max_rows > 0 and has_at_most(df, max_rows):
         return F.broadcast(df), True

@@ -87,21 +87,32 @@ def earliest_comorbidities(
     conditions: DataFrame,
     index_col: str = "first_pos_pcr_antigen_date",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Earliest record per (person, comorbidity) for persons of the cohort,
     with the person's index date: person_id, comorbidity,
     comorbidity_start_date, <index_col>, condition_occurrence_id,
-    condition_source_value. Ties go to the smallest occurrence id."""
-    events = comorbidity_events(concept_sets, members, conditions, max_broadcast_rows)
-    first = first_event_per(
-        events, ["person_id", "comorbidity"], "comorbidity_start_date",
-        tie_break=["condition_occurrence_id", "condition_source_value"],
-    )
+    condition_source_value. Ties go to the smallest occurrence id.
+
+    A cohort within ``cohort_broadcast_rows`` is broadcast into the scan of
+    the records (map-side filter, index date attached) before the
+    aggregation; a larger one is joined to the per-(person, comorbidity)
+    results.
+    """
     cohort = persons.select("person_id", index_col)
-    return first.join(cohort, "person_id").select(
-        "person_id", "comorbidity", "comorbidity_start_date", index_col,
-        "condition_occurrence_id", "condition_source_value",
+    chosen_small, small = small_enough(
+        [chosen_sets(concept_sets), cohort], [max_broadcast_rows, cohort_broadcast_rows]
     )
+    events = comorbidity_events(concept_sets, members, conditions, max_broadcast_rows, chosen_broadcast=chosen_small)
+    out_cols = ["person_id", "comorbidity", "comorbidity_start_date", index_col,
+                "condition_occurrence_id", "condition_source_value"]
+    tie = ["condition_occurrence_id", "condition_source_value"]
+    if small:
+        events = events.join(F.broadcast(cohort), "person_id")
+        first = first_event_per(events, ["person_id", "comorbidity"], "comorbidity_start_date", tie_break=tie)
+        return first.select(*out_cols)
+    first = first_event_per(events, ["person_id", "comorbidity"], "comorbidity_start_date", tie_break=tie)
+    return first.join(cohort, "person_id").select(*out_cols)
 
 
 def comorbidities(

@@ -3,13 +3,16 @@
 Visit rows are microvisits; a stay (macrovisit) is the enclosing hospital
 episode, null for visits outside a stay.
 
-Plan shape for every operator here: scan and filter the visit table, join it
-on person_id to the cohort's (person_id, index dates) with the day window as
-a join condition, then reduce to one row per person with a partial
-aggregate. The cohort side is broadcast when a bounded scan proves it
-small, so the visit table is never shuffled for the join; otherwise the
-join shuffles both sides on person_id and the per-person aggregate reuses
-that partitioning.
+Plan shape of the first-match operators (``stay_near_index``,
+``er_visits_near_index``, ``stays_near_index``, ``first_visits``): scan and
+filter the visit table, join it on person_id to the cohort's (person_id,
+index dates) with the day window as a join condition, then reduce to one
+row per person with a partial aggregate. The cohort side is broadcast when
+a bounded scan proves it small, so the visit table is never shuffled for
+the join; otherwise the join shuffles both sides on person_id (adaptive
+execution splits a hot person) and the per-person aggregate reuses that
+partitioning. ``stays_after_index`` keeps every later stay, so it joins on
+(person_id, salt) instead; see there.
 """
 
 from __future__ import annotations

@@ -111,3 +111,15 @@ def test_keep_first_matches_first_event_and_mixed_order(spark):
         if k not in want or (r["dt"], -r["occ_id"]) > (want[k]["dt"], -want[k]["occ_id"]):
             want[k] = r
     assert rows(latest) == sorted((tuple(r) for r in want.values()), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_earliest_comorbidities_paths_agree(spark):
+    from conftest import SMALL_DIR
+
+    from cohortkit.operators.pivot import comorbidities, earliest_comorbidities
+    from cohortkit.sources.fixtures import Inputs
+
+    i = Inputs(spark, SMALL_DIR)
+    args = (i.cohort, i.our_concept_sets, i.concept_set_members, i.condition_occurrence)
+    assert rows(earliest_comorbidities(*args)) == rows(earliest_comorbidities(*args, cohort_broadcast_rows=0))
+    assert rows(comorbidities(*args)) == rows(comorbidities(*args, cohort_broadcast_rows=0, max_broadcast_rows=0))
