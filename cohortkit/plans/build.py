@@ -12,6 +12,7 @@ from ..operators.concepts import er_concept_ids
 from ..operators.explore import value_counts
 from ..operators.visits import first_visits, stays_after_index
 from ..sources.fixtures import Inputs
+from ..sources.named import TableInputs
 from ..sources.sinks import materialize, stage_root, write_stage
 from .person_fact import _finish, area_table, comorbidity_table, person_fact_stages
 
@@ -62,9 +63,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sample-fraction", type=float, default=1.0)
     ap.add_argument("--seed", type=int, default=111)
     ap.add_argument("--master", default="local[8]")
+    ap.add_argument("--datasets", action="store_true",
+                    help="INPUT_DIR holds the named datasets (cohort, person_lds, visits, ...) as parquet folders; "
+                         "otherwise it holds the driver's tables and the fixture views are derived")
     args = ap.parse_args(argv)
     spark = build_session(master=args.master)
-    paths = build_tables(Inputs(spark, args.input_dir), args.out, args.sample_fraction, args.seed)
+    inputs = TableInputs.from_folder(spark, args.input_dir) if args.datasets else Inputs(spark, args.input_dir)
+    paths = build_tables(inputs, args.out, args.sample_fraction, args.seed)
     print(json.dumps(paths, indent=2))
     spark.stop()
 
