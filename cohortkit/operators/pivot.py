@@ -34,6 +34,8 @@ def pivot_first_events(
     and no plan-time job to discover pivot values.
     """
     values = list(values)
+    if not values:  # no groups: nobody has an event in one
+        return events.select(key).where(F.lit(False))
     fields = [order_by, *[c for c in tie_break if c != order_by]]
     fields += [c for c in outputs.values() if c not in fields]
     row = F.struct(*[F.col(c) for c in fields])

@@ -123,3 +123,26 @@ def test_earliest_comorbidities_paths_agree(spark):
     args = (i.cohort, i.our_concept_sets, i.concept_set_members, i.condition_occurrence)
     assert rows(earliest_comorbidities(*args)) == rows(earliest_comorbidities(*args, cohort_broadcast_rows=0))
     assert rows(comorbidities(*args)) == rows(comorbidities(*args, cohort_broadcast_rows=0, max_broadcast_rows=0))
+
+
+def test_empty_inputs(spark):
+    from conftest import SMALL_DIR
+
+    from cohortkit.operators.concepts import er_concept_ids
+    from cohortkit.operators.pivot import comorbidities
+    from cohortkit.operators.visits import first_visits, stay_near_index, stays_after_index
+    from cohortkit.sources.fixtures import Inputs
+
+    i = Inputs(spark, SMALL_DIR)
+    n = i.cohort.count()
+    no_visits, no_deaths = i.visits.where("false"), i.death.where("false")
+    er = er_concept_ids(i.our_concept_sets, i.concept_set_members)
+    assert stay_near_index(i.cohort, no_visits).where("covid_associated_hosp = 0").count() == n
+    assert first_visits(i.cohort, no_visits, er).count() == n
+    assert stays_after_index(first_visits(i.cohort, no_visits, include_er=False), no_visits).count() == 0
+    assert latest_event(i.cohort, no_deaths).where("death_recorded = 0").count() == n
+    assert latest_event(i.cohort, no_deaths, keep_fanout=True).count() == n
+    no_sets = comorbidities(i.cohort, i.our_concept_sets.where("false"), i.concept_set_members,
+                            i.condition_occurrence)
+    assert no_sets.columns == ["person_id"] and no_sets.count() == 0
+    assert stay_near_index(i.cohort.where("false"), i.visits).count() == 0
