@@ -7,39 +7,79 @@ Plan shape of the first-match operators (``stay_near_index``,
 ``er_visits_near_index``, ``stays_near_index``, ``first_visits``): scan and
 filter the visit table, join it on person_id to the cohort's (person_id,
 index dates) with the day window as a join condition, then reduce to one
-row per person with a partial aggregate. The cohort side is broadcast when
-a bounded scan proves it small, so the visit table is never shuffled for
-the join; otherwise the join shuffles both sides on person_id (adaptive
-execution splits a hot person) and the per-person aggregate reuses that
-partitioning. ``stays_after_index`` keeps every later stay, so it joins on
-(person_id, salt) instead; see there.
+row per person with a partial aggregate. One aggregate over the cohort
+(``profile_cohort``) gives its row count and index-date range: the cohort
+side is broadcast when the count is within the bound, so the visit table is
+never shuffled for the join (otherwise the join shuffles both sides on
+person_id, adaptive execution splits a hot person, and the per-person
+aggregate reuses that partitioning); and the visit scan is filtered to the
+overall date range every match must fall in, a literal range that reaches
+parquet row-group and partition pruning. ``stays_after_index`` keeps every
+later stay, so it joins on (person_id, salt) instead; see there.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, event_within, index_minus_event_within
-from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, checked_broadcast, small_enough
+from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, small_enough
 
 MODES = ("either", "both")
 
 LAB = "first_pos_pcr_antigen_date"
 DIAGNOSIS = "first_pos_diagnosis_date"
 EARLIER = "first_poslab_or_diagnosis_date"
+INDEX_DATES = [LAB, DIAGNOSIS, EARLIER]
+
+
+@dataclass(frozen=True)
+class CohortProfile:
+    """Row count and per-column date range of the cohort's index dates, from
+    one aggregate job (one row reaches the driver)."""
+
+    rows: int
+    bounds: dict[str, tuple[dt.date | None, dt.date | None]]
+
+    def small(self, max_rows: int) -> bool:
+        return max_rows > 0 and self.rows <= max_rows
+
+
+def profile_cohort(persons: DataFrame, index_cols: list[str]) -> CohortProfile:
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(index_cols):
+        aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+    r = persons.agg(*aggs).first()
+    return CohortProfile(r["rows"], {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(index_cols)})
 
 
-def _cohort_side(persons: DataFrame, columns: list[str], max_rows: int, broadcast: bool | None = None) -> DataFrame:
-    """The cohort's (person_id, index dates), broadcast when a bounded scan
-    (or the caller's earlier decision) shows it small."""
+def _in_index_range(event: Column, bounds: tuple, days_before: int, days_after: int) -> Column:
+    """Event date within [earliest index - days_before, latest index + days_after]:
+    every match of any person lies there. A literal range, so it reaches the
+    scan (row-group and partition pruning on the event date)."""
+    lo, hi = bounds
+    if lo is None or hi is None:
+        return F.lit(False)
+    return event.between(F.date_sub(F.lit(lo), days_before), F.date_add(F.lit(hi), days_after))
+
+
+def _cohort_side(persons: DataFrame, columns: list[str], broadcast: bool) -> DataFrame:
+    """The cohort's (person_id, index dates), broadcast when proven small."""
     side = persons.select(*columns)
-    if broadcast is None:
-        side, _ = checked_broadcast(side, max_rows)
-        return side
     return F.broadcast(side) if broadcast else side
 
 
+def _mode_index(mode: str) -> str:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    return EARLIER if mode == "either" else LAB
+
+
 def _window_test(mode: str, event: Column, days_before: int, days_after: int) -> Column:
     """Index-date proximity of an event.
 
@@ -65,6 +105,7 @@ def stay_near_index(
     require_overlap: bool = True,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     index_source: DataFrame | None = None,
+    prune_to_index_range: bool = True,
 ) -> DataFrame:
     """First stay starting from ``days_before_index`` days before to
     ``days_after_index`` days after the index date (and, with
@@ -78,13 +119,17 @@ def stay_near_index(
     ``index_source`` supplies (person_id, index date) when ``persons`` is an
     expensive derivation of a cheaper table that already has them (the
     cohort before enrichment): the window join then reads that table
-    instead of recomputing ``persons``.
+    instead of recomputing ``persons``. With ``prune_to_index_range``, stays
+    outside the cohort's overall index range are filtered at the scan.
     """
-    stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
-        "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
-    )
-    source = persons if index_source is None else index_source
-    index = _cohort_side(source.where(F.col(index_col).isNotNull()), ["person_id", index_col], cohort_broadcast_rows)
+    source = (persons if index_source is None else index_source).where(F.col(index_col).isNotNull())
+    profile = profile_cohort(source, [index_col])
+    stays = visits.where(F.col("macrovisit_id").isNotNull())
+    if prune_to_index_range:
+        stays = stays.where(_in_index_range(F.col("macrovisit_start_date"), profile.bounds[index_col],
+                                            days_before_index, days_after_index))
+    stays = stays.select("person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date")
+    index = _cohort_side(source, ["person_id", index_col], profile.small(cohort_broadcast_rows))
     start, idx = F.col("macrovisit_start_date"), F.col(index_col)
     cond = event_within(idx, start, days_before_index, days_after_index)
     if require_overlap:
@@ -107,6 +152,16 @@ def stay_near_index(
     )
 
 
+def _profile_and_ids(persons: DataFrame, er_ids: DataFrame | None, max_broadcast_rows: int):
+    """The cohort profile and the ER-id size check, run concurrently."""
+    if er_ids is None:
+        return profile_cohort(persons, INDEX_DATES), None
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        profile = pool.submit(profile_cohort, persons, INDEX_DATES)
+        ids_small = small_enough([er_ids], max_broadcast_rows)[0]
+        return profile.result(), ids_small
+
+
 def er_visits_near_index(
     persons: DataFrame,
     visits: DataFrame,
@@ -116,7 +171,8 @@ def er_visits_near_index(
     days_after_index: int = 16,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    cohort_broadcast: bool | None = None,
+    prune_to_index_range: bool = True,
+    profile: CohortProfile | None = None,
 ) -> DataFrame:
     """Earliest emergency-room visit near the index date, per person:
     (person_id, first_covid_er_only_start_date).
@@ -124,20 +180,19 @@ def er_visits_near_index(
     An ER visit is a visit outside any stay (null stay start) whose
     visit_concept_id is in ``er_concepts.concept_id`` (semi join).
     """
-    index_cols = ["person_id", LAB, DIAGNOSIS, EARLIER]
     er_ids = er_concepts.select("concept_id")
-    if cohort_broadcast is None:  # both size checks in one concurrent round
-        ids_small, cohort_broadcast = small_enough(
-            [er_ids, persons.select(*index_cols)], [max_broadcast_rows, cohort_broadcast_rows]
-        )
+    if profile is None:
+        profile, ids_small = _profile_and_ids(persons, er_ids, max_broadcast_rows)
     else:
         ids_small = small_enough([er_ids], max_broadcast_rows)[0]
     if ids_small:
         er_ids = F.broadcast(er_ids)
-    er = visits.where(F.col("macrovisit_start_date").isNull()).join(
-        er_ids, F.col("visit_concept_id") == er_ids["concept_id"], "left_semi"
-    )
-    index = _cohort_side(persons, index_cols, cohort_broadcast_rows, cohort_broadcast)
+    er = visits.where(F.col("macrovisit_start_date").isNull())
+    if prune_to_index_range:
+        er = er.where(_in_index_range(F.col("visit_start_date"), profile.bounds[_mode_index(mode)],
+                                      days_before_index, days_after_index))
+    er = er.join(er_ids, F.col("visit_concept_id") == er_ids["concept_id"], "left_semi")
+    index = _cohort_side(persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows))
     return (
         er.select("person_id", "visit_start_date")
         .join(index, "person_id")
@@ -154,16 +209,20 @@ def stays_near_index(
     days_before_index: int = 1,
     days_after_index: int = 16,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
-    cohort_broadcast: bool | None = None,
+    prune_to_index_range: bool = True,
+    profile: CohortProfile | None = None,
 ) -> DataFrame:
     """Earliest stay starting near the index date, per person:
     (person_id, macrovisit_id, first_COVID_hospitalization_start_date,
     first_COVID_hospitalization_end_date). A stay is any visit row with a
     stay start date; no end-date test. Ties go to the smallest stay id."""
-    stays = visits.where(F.col("macrovisit_start_date").isNotNull()).select(
-        "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"
-    )
-    index = _cohort_side(persons, ["person_id", LAB, DIAGNOSIS, EARLIER], cohort_broadcast_rows, cohort_broadcast)
+    profile = profile_cohort(persons, INDEX_DATES) if profile is None else profile
+    stays = visits.where(F.col("macrovisit_start_date").isNotNull())
+    if prune_to_index_range:
+        stays = stays.where(_in_index_range(F.col("macrovisit_start_date"), profile.bounds[_mode_index(mode)],
+                                            days_before_index, days_after_index))
+    stays = stays.select("person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date")
+    index = _cohort_side(persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows))
     return (
         stays.join(index, "person_id")
         .where(_window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index))
@@ -188,6 +247,7 @@ def first_visits(
     days_after_index: int = 16,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    prune_to_index_range: bool = True,
 ) -> DataFrame:
     """Persons with their first stay near the index date and, with
     ``include_er``, their first ER visit near it, left-joined onto persons:
@@ -202,34 +262,37 @@ def first_visits(
     When the ER ids are not provably small, the two operators run
     separately and are joined.
     """
-    index_cols = ["person_id", LAB, DIAGNOSIS, EARLIER]
-    small = small_enough([persons.select(*index_cols)], cohort_broadcast_rows)[0]
+    if include_er and er_concepts is None:
+        raise ValueError("include_er needs er_concepts")
+    er_ids = er_concepts.select("concept_id") if include_er else None
+    profile, ids_small = _profile_and_ids(persons, er_ids, max_broadcast_rows)
     if not include_er:
-        first = stays_near_index(
-            persons, visits, mode, days_before_index, days_after_index, cohort_broadcast_rows, cohort_broadcast=small
-        )
+        first = stays_near_index(persons, visits, mode, days_before_index, days_after_index,
+                                 cohort_broadcast_rows, prune_to_index_range, profile)
         return persons.join(first, "person_id", "left")
-    if er_concepts is None:
-        raise ValueError("include_er needs er_concepts")
-    er_ids = er_concepts.select("concept_id")
-    if not small_enough([er_ids], max_broadcast_rows)[0]:
-        hosp = stays_near_index(
-            persons, visits, mode, days_before_index, days_after_index, cohort_broadcast_rows, cohort_broadcast=small
-        )
-        er = er_visits_near_index(
-            persons, visits, er_concepts, mode, days_before_index, days_after_index, cohort_broadcast_rows,
-            max_broadcast_rows, cohort_broadcast=small,
-        )
+    if not ids_small:
+        hosp = stays_near_index(persons, visits, mode, days_before_index, days_after_index,
+                                cohort_broadcast_rows, prune_to_index_range, profile)
+        er = er_visits_near_index(persons, visits, er_concepts, mode, days_before_index, days_after_index,
+                                  cohort_broadcast_rows, max_broadcast_rows, prune_to_index_range, profile)
         return persons.join(hosp.join(er, "person_id", "full_outer"), "person_id", "left")
 
     flags = F.broadcast(er_ids.distinct().select(F.col("concept_id").alias("__er_id"), F.lit(True).alias("__is_er")))
-    rows = visits.select(
+    stay_row = F.col("macrovisit_start_date").isNotNull()
+    er_row = F.col("macrovisit_start_date").isNull()  # and an ER concept, tested after the flag join
+    rows = visits
+    if prune_to_index_range:
+        bounds = profile.bounds[_mode_index(mode)]
+        rows = rows.where(
+            (stay_row & _in_index_range(F.col("macrovisit_start_date"), bounds, days_before_index, days_after_index))
+            | (er_row & _in_index_range(F.col("visit_start_date"), bounds, days_before_index, days_after_index))
+        )
+    rows = rows.select(
         "person_id", "visit_concept_id", "visit_start_date",
         "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date",
     ).join(flags, F.col("visit_concept_id") == F.col("__er_id"), "left")
-    stay_row = F.col("macrovisit_start_date").isNotNull()
-    er_row = F.col("macrovisit_start_date").isNull() & F.col("__is_er")
-    index = _cohort_side(persons, index_cols, cohort_broadcast_rows, small)
+    er_row = er_row & F.col("__is_er")
+    index = _cohort_side(persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows))
     near_stay = stay_row & _window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index)
     near_er = er_row & _window_test(mode, F.col("visit_start_date"), days_before_index, days_after_index)
     first = (

@@ -162,3 +162,28 @@ def test_first_visits_one_pass_equals_two_pass(spark):
     plan = plan_text(first_visits(i.cohort, i.visits, er))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "lineitem" in line]
     assert len(scans) == 1, scans
+
+
+def test_index_range_pruning_is_exact_and_pushed(spark, tmp_path):
+    from conftest import SMALL_DIR
+
+    from cohortkit.operators.concepts import er_concept_ids
+    from cohortkit.sources.fixtures import Inputs
+
+    i = Inputs(spark, SMALL_DIR)
+    er = er_concept_ids(i.our_concept_sets, i.concept_set_members)
+    i.visits.write.parquet(str(tmp_path / "visits"))
+    stored = spark.read.parquet(str(tmp_path / "visits"))
+    for mode in ("either", "both"):
+        assert rows(first_visits(i.cohort, stored, er, mode=mode)) == rows(
+            first_visits(i.cohort, stored, er, mode=mode, prune_to_index_range=False)), mode
+    assert rows(stay_near_index(i.cohort, stored)) == rows(stay_near_index(i.cohort, stored, prune_to_index_range=False))
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # explain truncates scan details otherwise
+    try:
+        plan = plan_text(stay_near_index(i.cohort, stored))
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "/visits]" in line][0]
+    pushed = scan.split("PushedFilters: ")[1]
+    assert "GreaterThanOrEqual(macrovisit_start_date" in pushed and "LessThanOrEqual(macrovisit_start_date" in pushed
