@@ -11,13 +11,14 @@ from ..operators.attach import attach_severity
 from ..operators.concepts import er_concept_ids
 from ..operators.explore import value_counts
 from ..operators.visits import first_visits, stays_after_index
+from ..sources import AnyInputs
 from ..sources.fixtures import Inputs
 from ..sources.named import TableInputs
 from ..sources.sinks import materialize, stage_root, write_stage
 from .person_fact import _finish, area_table, comorbidity_table, person_fact_stages
 
 
-def build_tables(inputs: Inputs, out_dir: str | None = None, sample_fraction: float = 1.0,
+def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction: float = 1.0,
                  seed: int = 111) -> dict[str, str]:
     """Write person_fact, comorbidities, area (SDoH), severity, first visits,
     stays after the index, and zip counts under ``out_dir`` (default: the

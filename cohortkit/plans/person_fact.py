@@ -16,7 +16,7 @@ from ..operators.events import latest_event
 from ..operators.person import clean_person, enrich_person, sample_cohort
 from ..operators.pivot import comorbidities
 from ..operators.visits import stay_near_index
-from ..sources.fixtures import Inputs
+from ..sources import AnyInputs
 
 
 @dataclass
@@ -29,7 +29,7 @@ class PersonFactStages:
 
 
 def person_fact_stages(
-    inputs: Inputs, sample_fraction: float = 1.0, seed: int = 111, cohort: DataFrame | None = None
+    inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111, cohort: DataFrame | None = None
 ) -> PersonFactStages:
     """Every step of the person fact; ``cohort`` defaults to the inputs' cohort."""
     sample = sample_cohort(inputs.cohort if cohort is None else cohort, sample_fraction, seed)
@@ -37,26 +37,26 @@ def person_fact_stages(
     return _finish(inputs, sample, located)
 
 
-def _finish(inputs: Inputs, sample: DataFrame, located: DataFrame) -> PersonFactStages:
+def _finish(inputs: AnyInputs, sample: DataFrame, located: DataFrame) -> PersonFactStages:
     clean = clean_person(located)
     first_stay = stay_near_index(clean, inputs.visits, index_source=sample)
     fact = latest_event(first_stay, inputs.death)
     return PersonFactStages(sample, located, clean, first_stay, fact)
 
 
-def person_fact(inputs: Inputs, sample_fraction: float = 1.0, seed: int = 111) -> DataFrame:
+def person_fact(inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111) -> DataFrame:
     """One row per cohort person: attributes, cleaned fields, first stay near
     the index date and death."""
     return person_fact_stages(inputs, sample_fraction, seed).fact
 
 
-def comorbidity_table(inputs: Inputs, persons: DataFrame | None = None) -> DataFrame:
+def comorbidity_table(inputs: AnyInputs, persons: DataFrame | None = None) -> DataFrame:
     """First date and record id of each comorbidity, one row per person."""
     persons = inputs.cohort if persons is None else persons
     return comorbidities(persons, inputs.our_concept_sets, inputs.concept_set_members, inputs.condition_occurrence)
 
 
-def area_table(inputs: Inputs, fact: DataFrame | None = None) -> DataFrame:
+def area_table(inputs: AnyInputs, fact: DataFrame | None = None) -> DataFrame:
     """Area measures (as numbers) and the summary MDs column per person."""
     fact = person_fact(inputs) if fact is None else fact
     by_zip = zip_area_table(inputs.zcta_pct, inputs.zip_zcta)

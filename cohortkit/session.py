@@ -85,9 +85,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     The cluster's setting always wins. ``fallback`` is only used where the
     setting is absent (tests on one machine).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        context = None
+    if not path and context is not None:
+        path = context.getCheckpointDir()
     if not path and fallback:
         path = fallback
-    if path:
-        spark.sparkContext.setCheckpointDir(path)
+    if path and context is not None:
+        context.setCheckpointDir(path)
     return path

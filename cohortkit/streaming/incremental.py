@@ -17,13 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.person_fact import person_fact_stages
 from ..session import checkpoint_dir
-from ..sources.fixtures import Inputs
+from ..sources import AnyInputs
 from ..sources.sinks import write_stage
 
 
 def person_fact_stream(
     cohort_stream: DataFrame,
-    inputs: Inputs,
+    inputs: AnyInputs,
     out_path: str,
     checkpoint_location: str | None = None,
     available_now: bool = True,
