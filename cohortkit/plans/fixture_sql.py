@@ -19,8 +19,8 @@ def _sdoh_select() -> str:
     parts = []
     for k, name in enumerate(_SDOH):
         parts.append(
-            f"CASE (n_nationkey + {k}) % 7 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN NULL "
-            f"ELSE CAST((n_nationkey * 7 + {k * 3}) % 100 AS VARCHAR) || '.5' END AS {name}"
+            f"CASE (s_suppkey + {k}) % 7 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN NULL "
+            f"ELSE CAST((s_suppkey * 7 + {k * 3}) % 100 AS VARCHAR) || '.5' END AS {name}"
         )
     return ",\n       ".join(parts)
 
@@ -130,16 +130,16 @@ SELECT CAST(o_custkey AS VARCHAR) AS person_id,
             ELSE DATE '2020-06-01' + CAST(o_orderkey % 90 AS INTEGER) END AS death_date
 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 5 = 0""",
     "zcta_pct": f"""
-SELECT CAST(20000 + n_nationkey AS VARCHAR) AS ZCTA,
+SELECT CAST(20000 + s_suppkey AS VARCHAR) AS ZCTA,
        {_sdoh_select()}
-FROM nation WHERE n_nationkey < 15
+FROM supplier
 UNION ALL
-SELECT '20099', {", ".join("'1.0'" for _ in _SDOH)}""",
+SELECT '19999', {", ".join("'1.0'" for _ in _SDOH)}""",
     "zip_zcta": """
-SELECT CAST(10000 + 37 * n_nationkey AS VARCHAR) AS ZIP_CODE,
-       CAST(20000 + n_nationkey % 15 AS VARCHAR) AS ZCTA
-FROM nation WHERE n_nationkey % 5 <> 4
-UNION ALL SELECT '10000', '20099'""",
+SELECT CAST(10000 + 37 * s_suppkey AS VARCHAR) AS ZIP_CODE,
+       CAST(20000 + s_suppkey % 15 AS VARCHAR) AS ZCTA
+FROM supplier WHERE s_suppkey % 5 <> 4
+UNION ALL SELECT '10000', '19999'""",
     "summary_facts": """
 SELECT CAST(c_custkey AS VARCHAR) AS person_id, CAST(c_custkey % 50 AS INTEGER) AS MDs
 FROM customer WHERE c_custkey % 4 <> 0""",

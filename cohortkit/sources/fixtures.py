@@ -54,6 +54,7 @@ EXTRA_CONCEPT_SET_MEMBERS = [
     (9202, "ER_SET", "false"),
     (262, "ER_SET", "true"),
 ]
+EXTRA_ZCTA = "19999"  # the second area of ZIP 10000 (outside the supplier-derived range)
 SDOH_COLUMNS = [
     "African_American", "AIAN", "Asian", "NHPI", "White", "other_race",
     "two_or_more_races", "Hispanic_any_race", "male", "female",
@@ -246,8 +247,9 @@ class Inputs:
 
     @cached_property
     def zcta_pct(self) -> DataFrame:
-        """Area percentages per ZCTA, stored as text ('NA', '' and null included)."""
-        key = F.col("n_nationkey")
+        """Area percentages per ZCTA, stored as text ('NA', '' and null included).
+        One ZCTA per supplier, so the area table grows with the data."""
+        key = F.col("s_suppkey")
         cols = []
         for k, name in enumerate(SDOH_COLUMNS):
             r = (key + k) % 7
@@ -258,21 +260,24 @@ class Inputs:
                 .otherwise(F.concat(((key * 7 + k * 3) % 100).cast("string"), F.lit(".5")))
                 .alias(name)
             )
-        from_nations = self.table("nation").where(key < 15).select((20000 + key).cast("string").alias("ZCTA"), *cols)
+        from_suppliers = self.table("supplier").select((20000 + key).cast("string").alias("ZCTA"), *cols)
         full_row = self.spark.createDataFrame(
-            [tuple(["20099"] + ["1.0"] * len(SDOH_COLUMNS))],
+            [tuple([EXTRA_ZCTA] + ["1.0"] * len(SDOH_COLUMNS))],
             T.StructType([T.StructField(c, T.StringType()) for c in ["ZCTA", *SDOH_COLUMNS]]),
         )
-        return from_nations.unionByName(full_row)
+        return from_suppliers.unionByName(full_row)
 
     @cached_property
     def zip_zcta(self) -> DataFrame:
-        key = F.col("n_nationkey")
-        from_nations = self.table("nation").where(key % 5 != 4).select(
+        """ZIP to ZCTA crosswalk, one ZIP per supplier (key % 5 <> 4), plus a
+        second ZCTA for ZIP 10000."""
+        key = F.col("s_suppkey")
+        from_suppliers = self.table("supplier").where(key % 5 != 4).select(
             (10000 + key * 37).cast("string").alias("ZIP_CODE"),
             (20000 + key % 15).cast("string").alias("ZCTA"),
         )
-        return from_nations.unionByName(self.spark.createDataFrame([("10000", "20099")], "ZIP_CODE string, ZCTA string"))
+        extra = self.spark.createDataFrame([("10000", EXTRA_ZCTA)], "ZIP_CODE string, ZCTA string")
+        return from_suppliers.unionByName(extra)
 
     @cached_property
     def summary_facts(self) -> DataFrame:

@@ -51,7 +51,8 @@ def test_known_fixture_counts(spark):
     assert QUERIES["er_visits_both"](spark, ORACLE_DIR).count() == 276
     assert QUERIES["first_event"](spark, ORACLE_DIR).count() == 4363
     assert QUERIES["codes_per_stay"](spark, ORACLE_DIR).count() == 4331
-    assert QUERIES["zip_area"](spark, ORACLE_DIR).count() == 21
+    # area views come from supplier (100 at sf0.01): 80 crosswalk ZIPs (key % 5 <> 4) + the second area of ZIP 10000
+    assert QUERIES["zip_area"](spark, ORACLE_DIR).count() == 81
 
 
 def _plan(df) -> str:
