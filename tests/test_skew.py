@@ -71,3 +71,27 @@ def test_salt_count_does_not_change_results(spark, skewed):
     base = rows(stays_after_index(fv, visits, salts=1))
     assert rows(stays_after_index(fv, visits, salts=7)) == base
     assert rows(stays_after_index(fv, visits, salts=32)) == base
+
+
+def test_hot_lookup_key_is_split(spark):
+    from cohortkit.operators.joins import join_lookup
+
+    people = spark.range(30000).selectExpr(
+        "cast(id as string) as person_id",
+        "case when id % 3 = 0 then 'L0' when id % 7 = 0 then null else concat('L', cast(id % 300 as string)) end as loc",
+    )
+    places = spark.range(300).selectExpr("concat('L', cast(id as string)) as loc", "cast(id % 5 as string) as region")
+    expected = rows(join_lookup(people, places, "loc"))
+    saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        joined = join_lookup(people, places, "loc", max_broadcast_rows=0)
+        assert rows(joined) == expected
+        assert "skew=true" in _final_plan(joined)  # the hot location's partition was split
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
