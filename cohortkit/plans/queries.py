@@ -54,158 +54,158 @@ def _area_by_zip(i: Inputs) -> DataFrame:
 
 def q_cohort_sample(spark, d):
     """Hash sample of the cohort (half the persons, seed 111)."""
-    return sample_cohort(Inputs(spark, d).cohort, SAMPLE_FRACTION, SAMPLE_SEED)
+    return sample_cohort(Inputs.of(spark, d).cohort, SAMPLE_FRACTION, SAMPLE_SEED)
 
 
 def q_enrich_person(spark, d):
-    return _enriched(Inputs(spark, d))
+    return _enriched(Inputs.of(spark, d))
 
 
 def q_age_at_index(spark, d):
-    return add_age(_enriched(Inputs(spark, d))).select(
+    return add_age(_enriched(Inputs.of(spark, d))).select(
         "person_id", "year_of_birth", "month_of_birth", "day_of_birth",
         "first_pos_pcr_antigen_date", "date_of_birth", "age_at_first_covid_diag",
     )
 
 
 def q_gender_std(spark, d):
-    return add_gender(_enriched(Inputs(spark, d))).select("person_id", "gender_concept_name", "gender")
+    return add_gender(_enriched(Inputs.of(spark, d))).select("person_id", "gender_concept_name", "gender")
 
 
 def q_race_rules(spark, d):
-    return add_race_ethnicity(_enriched(Inputs(spark, d))).select(
+    return add_race_ethnicity(_enriched(Inputs.of(spark, d))).select(
         "person_id", "ethnicity_concept_name", "race_concept_name", "race_ethnicity"
     )
 
 
 def q_clean_zip(spark, d):
-    return add_zip_code(_enriched(Inputs(spark, d))).select("person_id", "zip", "zip_code")
+    return add_zip_code(_enriched(Inputs.of(spark, d))).select("person_id", "zip", "zip_code")
 
 
 def q_clean_person(spark, d):
-    return clean_person(_enriched(Inputs(spark, d)))
+    return clean_person(_enriched(Inputs.of(spark, d)))
 
 
 def q_resolve_concepts(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return resolve_concepts(i.our_concept_sets, i.concept_set_members)
 
 
 def q_first_event(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return earliest_comorbidities(i.cohort, i.our_concept_sets, i.concept_set_members, i.condition_occurrence)
 
 
 def q_comorbidity_pivot(spark, d):
-    return comorbidity_table(Inputs(spark, d))
+    return comorbidity_table(Inputs.of(spark, d))
 
 
 def q_first_stay_near_index(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return stay_near_index(i.cohort, i.visits)
 
 
 def q_er_visits(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return er_visits_near_index(i.cohort, i.visits, _er_ids(i), mode="either")
 
 
 def q_er_visits_both(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return er_visits_near_index(i.cohort, i.visits, _er_ids(i), mode="both")
 
 
 def q_stay_either(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return stays_near_index(i.cohort, i.visits, mode="either")
 
 
 def q_stay_both(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return stays_near_index(i.cohort, i.visits, mode="both")
 
 
 def q_first_visits(spark, d):
-    return _first_visits(Inputs(spark, d))
+    return _first_visits(Inputs.of(spark, d))
 
 
 def q_stays_after_index(spark, d):
     """Stays after each person's first stay (or index date). Only the stay
     columns of the first visits are read, so the ER part is not built."""
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return stays_after_index(first_visits(i.cohort, i.visits, include_er=False), i.visits)
 
 
 def q_latest_event(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return latest_event(i.cohort, i.death)
 
 
 def q_latest_event_fanout(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return latest_event(i.cohort, i.death, keep_fanout=True)
 
 
 def q_person_fact(spark, d):
-    return person_fact(Inputs(spark, d))
+    return person_fact(Inputs.of(spark, d))
 
 
 def q_zip_area(spark, d):
-    return _area_by_zip(Inputs(spark, d))
+    return _area_by_zip(Inputs.of(spark, d))
 
 
 def q_attach_area(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return A.attach_area(person_fact(i), _area_by_zip(i))
 
 
 def q_unmatched_zips(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return A.unmatched_keys(person_fact(i), _area_by_zip(i))
 
 
 def q_attach_mds(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return A.attach_column(A.attach_area(person_fact(i), _area_by_zip(i)), i.summary_facts, ["MDs"])
 
 
 def q_cast_sdoh(spark, d):
-    return area_table(Inputs(spark, d))
+    return area_table(Inputs.of(spark, d))
 
 
 def q_attach_severity(spark, d):
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     return attach_severity(person_fact(i), i.severity)
 
 
 def q_codes_per_stay(spark, d):
-    return X.codes_per_stay(Inputs(spark, d).visits)
+    return X.codes_per_stay(Inputs.of(spark, d).visits)
 
 
 def q_stay_drilldown(spark, d):
     """Visit rows of every stay that has two or more inpatient codes."""
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     multi = X.codes_per_stay(i.visits).where(F.col("multi_inpatient_codes") >= MIN_INPATIENT_CODES)
     return X.stay_drilldown(i.visits, multi)
 
 
 def q_person_stays(spark, d):
     """Stay rows, in start order, of every person with a stay near the index date."""
-    i = Inputs(spark, d)
+    i = Inputs.of(spark, d)
     hospitalised = stay_near_index(i.cohort, i.visits).where(F.col("covid_associated_hosp") == 1)
     return X.person_stays(i.visits, hospitalised)
 
 
 def q_zip_counts(spark, d):
-    return X.value_counts(person_fact(Inputs(spark, d)), "zip_code")
+    return X.value_counts(person_fact(Inputs.of(spark, d)), "zip_code")
 
 
 def q_zip_counts_raw(spark, d):
-    return X.value_counts(_enriched(Inputs(spark, d)), "zip")
+    return X.value_counts(_enriched(Inputs.of(spark, d)), "zip")
 
 
 def q_distinct_starts(spark, d):
-    return X.distinct_starts_per_stay(Inputs(spark, d).visits)
+    return X.distinct_starts_per_stay(Inputs.of(spark, d).visits)
 
 
 QUERIES: dict[str, Query] = {

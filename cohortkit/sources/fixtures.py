@@ -12,6 +12,7 @@ scans the tables it needs.
 from __future__ import annotations
 
 import datetime as _dt
+import weakref
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,10 +83,24 @@ def _cohort_base(custkey: Column) -> Column:
 class Inputs:
     """The reference's named inputs, derived from one table directory."""
 
+    _defined: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
     def __init__(self, spark: SparkSession, base_dir: str):
         self.spark = spark
         self.base_dir = base_dir
 
+    @classmethod
+    def of(cls, spark: SparkSession, base_dir: str) -> Inputs:
+        """The session's ``Inputs`` for ``base_dir``, defined once per session.
+
+        Only the lazy view definitions are kept (no data, no cache): every
+        query still reads the files when it runs.
+        """
+        per_session = cls._defined.setdefault(spark, {})
+        if base_dir not in per_session:
+            per_session[base_dir] = cls(spark, base_dir)
+        return per_session[base_dir]
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.base_dir, name)
 
