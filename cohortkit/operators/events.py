@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import require_columns
+
 
 def first_event_per(
     df: DataFrame,
@@ -76,6 +78,8 @@ def latest_event(
     (null counts as one value), each copy carrying the latest date: the
     row multiplication a window-without-dedupe formulation produces.
     """
+    require_columns(persons, [key], "persons")
+    require_columns(events, [key, date_col], "events")
     ev = events.select(key, date_col)
     if not keep_fanout:
         per_person = ev.groupBy(key).agg(F.max(date_col).alias(date_col))

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, event_within, index_minus_event_within
+from ..sources.tables import require_columns
 from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, small_enough
 
 MODES = ("either", "both")
@@ -36,6 +37,8 @@ LAB = "first_pos_pcr_antigen_date"
 DIAGNOSIS = "first_pos_diagnosis_date"
 EARLIER = "first_poslab_or_diagnosis_date"
 INDEX_DATES = [LAB, DIAGNOSIS, EARLIER]
+STAY_COLUMNS = ["person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"]
+VISIT_COLUMNS = [*STAY_COLUMNS, "visit_concept_id", "visit_start_date"]
 
 
 @dataclass(frozen=True)
@@ -122,7 +125,10 @@ def stay_near_index(
     instead of recomputing ``persons``. With ``prune_to_index_range``, stays
     outside the cohort's overall index range are filtered at the scan.
     """
-    source = (persons if index_source is None else index_source).where(F.col(index_col).isNotNull())
+    require_columns(visits, STAY_COLUMNS, "visits")
+    source = persons if index_source is None else index_source
+    require_columns(source, ["person_id", index_col], "persons")
+    source = source.where(F.col(index_col).isNotNull())
     profile = profile_cohort(source, [index_col])
     stays = visits.where(F.col("macrovisit_id").isNotNull())
     if prune_to_index_range:
@@ -180,6 +186,8 @@ def er_visits_near_index(
     An ER visit is a visit outside any stay (null stay start) whose
     visit_concept_id is in ``er_concepts.concept_id`` (semi join).
     """
+    require_columns(visits, VISIT_COLUMNS, "visits")
+    require_columns(persons, ["person_id", *INDEX_DATES], "persons")
     er_ids = er_concepts.select("concept_id")
     if profile is None:
         profile, ids_small = _profile_and_ids(persons, er_ids, max_broadcast_rows)
@@ -216,6 +224,8 @@ def stays_near_index(
     (person_id, macrovisit_id, first_COVID_hospitalization_start_date,
     first_COVID_hospitalization_end_date). A stay is any visit row with a
     stay start date; no end-date test. Ties go to the smallest stay id."""
+    require_columns(visits, STAY_COLUMNS, "visits")
+    require_columns(persons, ["person_id", *INDEX_DATES], "persons")
     profile = profile_cohort(persons, INDEX_DATES) if profile is None else profile
     stays = visits.where(F.col("macrovisit_start_date").isNotNull())
     if prune_to_index_range:
@@ -264,6 +274,8 @@ def first_visits(
     """
     if include_er and er_concepts is None:
         raise ValueError("include_er needs er_concepts")
+    require_columns(visits, VISIT_COLUMNS if include_er else STAY_COLUMNS, "visits")
+    require_columns(persons, ["person_id", *INDEX_DATES], "persons")
     er_ids = er_concepts.select("concept_id") if include_er else None
     profile, ids_small = _profile_and_ids(persons, er_ids, max_broadcast_rows)
     if not include_er:
@@ -344,6 +356,8 @@ def stays_after_index(
     of one stay share a salt, so results are exact.
     """
     anchor_cols = ["person_id", index_col, stay_start_col, stay_end_col]
+    require_columns(first_visits_df, anchor_cols, "first visits")
+    require_columns(visits, STAY_COLUMNS, "visits")
     anchors = (
         first_visits_df.select(*anchor_cols)
         .withColumn("__anchor", F.coalesce(F.col(stay_start_col), F.col(index_col)))

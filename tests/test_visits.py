@@ -187,3 +187,14 @@ def test_index_range_pruning_is_exact_and_pushed(spark, tmp_path):
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "/visits]" in line][0]
     pushed = scan.split("PushedFilters: ")[1]
     assert "GreaterThanOrEqual(macrovisit_start_date" in pushed and "LessThanOrEqual(macrovisit_start_date" in pushed
+
+
+def test_missing_columns_are_reported(spark):
+    import pytest
+
+    c = cohort(spark, [("p", d("2020-06-10"), None, d("2020-06-10"))])
+    v = visits(spark, [("p", 1, 9201, d("2020-06-11"), "s", d("2020-06-11"), d("2020-06-12"))])
+    with pytest.raises(ValueError, match="macrovisit_end_date"):
+        stay_near_index(c, v.drop("macrovisit_end_date"))
+    with pytest.raises(ValueError, match="first_pos_diagnosis_date"):
+        stays_near_index(c.drop("first_pos_diagnosis_date"), v)
