@@ -109,6 +109,7 @@ def stay_near_index(
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     index_source: DataFrame | None = None,
     prune_to_index_range: bool = True,
+    profile: CohortProfile | None = None,
 ) -> DataFrame:
     """First stay starting from ``days_before_index`` days before to
     ``days_after_index`` days after the index date (and, with
@@ -124,12 +125,15 @@ def stay_near_index(
     cohort before enrichment): the window join then reads that table
     instead of recomputing ``persons``. With ``prune_to_index_range``, stays
     outside the cohort's overall index range are filtered at the scan.
+    ``profile`` passes ``profile_cohort(source with a non-null index,
+    [index_col])`` when the caller computed it already (e.g. concurrently
+    with other plan-time work).
     """
     require_columns(visits, STAY_COLUMNS, "visits")
     source = persons if index_source is None else index_source
     require_columns(source, ["person_id", index_col], "persons")
     source = source.where(F.col(index_col).isNotNull())
-    profile = profile_cohort(source, [index_col])
+    profile = profile_cohort(source, [index_col]) if profile is None else profile
     stays = visits.where(F.col("macrovisit_id").isNotNull())
     if prune_to_index_range:
         stays = stays.where(_in_index_range(F.col("macrovisit_start_date"), profile.bounds[index_col],

@@ -7,18 +7,23 @@ the caller's action, and intermediate stages are written only when asked
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.area import attach_area, attach_column, cast_columns, zip_area_table
 from ..operators.events import latest_event
 from ..operators.person import clean_person, enrich_person, sample_cohort
 from ..operators.pivot import comorbidities
-from ..operators.visits import stay_near_index
+from ..operators.visits import LAB, CohortProfile, profile_cohort, stay_near_index
 from ..sources import AnyInputs
 
 
+INDEX_COL = LAB  # the person fact matches stays to the first positive test
+
+
 @dataclass
 class PersonFactStages:
     sample: DataFrame      # cohort after sampling
@@ -31,15 +36,26 @@ class PersonFactStages:
 def person_fact_stages(
     inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111, cohort: DataFrame | None = None
 ) -> PersonFactStages:
-    """Every step of the person fact; ``cohort`` defaults to the inputs' cohort."""
+    """Every step of the person fact; ``cohort`` defaults to the inputs' cohort.
+
+    The cohort profile for the stay matching depends only on the sampled
+    cohort, so it runs concurrently with the lookup checks of the
+    enrichment."""
     sample = sample_cohort(inputs.cohort if cohort is None else cohort, sample_fraction, seed)
-    located = enrich_person(sample, inputs.person_lds, inputs.location, inputs.manifest)
-    return _finish(inputs, sample, located)
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        profile = pool.submit(_index_profile, sample)
+        located = enrich_person(sample, inputs.person_lds, inputs.location, inputs.manifest)
+        return _finish(inputs, sample, located, profile.result())
+
 
+def _index_profile(sample: DataFrame) -> CohortProfile:
+    return profile_cohort(sample.where(F.col(INDEX_COL).isNotNull()), [INDEX_COL])
 
-def _finish(inputs: AnyInputs, sample: DataFrame, located: DataFrame) -> PersonFactStages:
+
+def _finish(inputs: AnyInputs, sample: DataFrame, located: DataFrame,
+            profile: CohortProfile | None = None) -> PersonFactStages:
     clean = clean_person(located)
-    first_stay = stay_near_index(clean, inputs.visits, index_source=sample)
+    first_stay = stay_near_index(clean, inputs.visits, index_col=INDEX_COL, index_source=sample, profile=profile)
     fact = latest_event(first_stay, inputs.death)
     return PersonFactStages(sample, located, clean, first_stay, fact)
 
@@ -58,8 +74,16 @@ def comorbidity_table(inputs: AnyInputs, persons: DataFrame | None = None) -> Da
 
 def area_table(inputs: AnyInputs, fact: DataFrame | None = None) -> DataFrame:
     """Area measures (as numbers) and the summary MDs column per person."""
-    fact = person_fact(inputs) if fact is None else fact
-    by_zip = zip_area_table(inputs.zcta_pct, inputs.zip_zcta)
+    fact, by_zip = fact_and_area(inputs, fact)
     with_area = attach_area(fact, by_zip)
     with_mds = attach_column(with_area, inputs.summary_facts, ["MDs"])
     return cast_columns(with_mds)
+
+
+def fact_and_area(inputs: AnyInputs, fact: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The person fact and the area-by-ZIP table, planned concurrently (their
+    plan-time size checks are independent)."""
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        by_zip = pool.submit(zip_area_table, inputs.zcta_pct, inputs.zip_zcta)
+        fact = person_fact(inputs) if fact is None else fact
+        return fact, by_zip.result()

@@ -26,7 +26,7 @@ from ..operators.visits import (
     stays_near_index,
 )
 from ..sources.fixtures import Inputs
-from .person_fact import area_table, comorbidity_table, person_fact
+from .person_fact import area_table, comorbidity_table, fact_and_area, person_fact
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,18 +155,16 @@ def q_zip_area(spark, d):
 
 
 def q_attach_area(spark, d):
-    i = Inputs.of(spark, d)
-    return A.attach_area(person_fact(i), _area_by_zip(i))
+    return A.attach_area(*fact_and_area(Inputs.of(spark, d)))
 
 
 def q_unmatched_zips(spark, d):
-    i = Inputs.of(spark, d)
-    return A.unmatched_keys(person_fact(i), _area_by_zip(i))
+    return A.unmatched_keys(*fact_and_area(Inputs.of(spark, d)))
 
 
 def q_attach_mds(spark, d):
     i = Inputs.of(spark, d)
-    return A.attach_column(A.attach_area(person_fact(i), _area_by_zip(i)), i.summary_facts, ["MDs"])
+    return A.attach_column(A.attach_area(*fact_and_area(i)), i.summary_facts, ["MDs"])
 
 
 def q_cast_sdoh(spark, d):
