@@ -15,7 +15,7 @@ from ..sources import AnyInputs
 from ..sources.fixtures import Inputs
 from ..sources.named import TableInputs
 from ..sources.sinks import materialize, stage_root, write_stage
-from .person_fact import _finish, area_table, comorbidity_table, person_fact_stages
+from .person_fact import area_table, comorbidity_table, finish_person_fact, located_persons
 
 
 def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction: float = 1.0,
@@ -25,13 +25,12 @@ def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction:
     stage root under ``spark.checkpoint.dir``). Returns table -> path."""
     spark = inputs.spark
     root = stage_root(spark, out_dir)
-    first = person_fact_stages(inputs, sample_fraction, seed)
+    cohort, located = located_persons(inputs, sample_fraction, seed)
     paths: dict[str, str] = {}
 
-    located = materialize(spark, first.located, "person_locations", root)
+    located = materialize(spark, located, "person_locations", root)
     paths["person_locations"] = f"{root}/person_locations"
-    cohort = first.sample
-    fact = materialize(spark, _finish(inputs, cohort, located).fact, "person_fact", root)
+    fact = materialize(spark, finish_person_fact(inputs, cohort, located).fact, "person_fact", root)
     paths["person_fact"] = f"{root}/person_fact"
 
     visits = first_visits(cohort, inputs.visits, er_concept_ids(inputs.our_concept_sets, inputs.concept_set_members))

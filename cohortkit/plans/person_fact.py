@@ -45,15 +45,22 @@ def person_fact_stages(
     with ThreadPoolExecutor(max_workers=1) as pool:
         profile = pool.submit(_index_profile, sample)
         located = enrich_person(sample, inputs.person_lds, inputs.location, inputs.manifest)
-        return _finish(inputs, sample, located, profile.result())
+        return finish_person_fact(inputs, sample, located, profile.result())
+
+
+def located_persons(inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111) -> tuple[DataFrame, DataFrame]:
+    """(sampled cohort, cohort with person, location and site columns)."""
+    sample = sample_cohort(inputs.cohort, sample_fraction, seed)
+    return sample, enrich_person(sample, inputs.person_lds, inputs.location, inputs.manifest)
 
 
 def _index_profile(sample: DataFrame) -> CohortProfile:
     return profile_cohort(sample.where(F.col(INDEX_COL).isNotNull()), [INDEX_COL])
 
 
-def _finish(inputs: AnyInputs, sample: DataFrame, located: DataFrame,
-            profile: CohortProfile | None = None) -> PersonFactStages:
+def finish_person_fact(inputs: AnyInputs, sample: DataFrame, located: DataFrame,
+                       profile: CohortProfile | None = None) -> PersonFactStages:
+    """Clean the located persons, then attach the first stay and death."""
     clean = clean_person(located)
     first_stay = stay_near_index(clean, inputs.visits, index_col=INDEX_COL, index_source=sample, profile=profile)
     fact = latest_event(first_stay, inputs.death)
