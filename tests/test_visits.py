@@ -198,3 +198,11 @@ def test_missing_columns_are_reported(spark):
         stay_near_index(c, v.drop("macrovisit_end_date"))
     with pytest.raises(ValueError, match="first_pos_diagnosis_date"):
         stays_near_index(c.drop("first_pos_diagnosis_date"), v)
+
+
+def test_stay_identity_differs_between_operators(spark):
+    # D19: stay_near_index takes rows with a stay id; stays_near_index takes rows with a stay start date
+    c = cohort(spark, [("p", d("2020-06-10"), None, d("2020-06-10"))])
+    v = visits(spark, [("p", 1, 9201, d("2020-06-11"), None, d("2020-06-11"), d("2020-06-12"))])  # start, no id
+    assert rows(stay_near_index(c, v), "covid_associated_hosp") == [(0,)]
+    assert rows(stays_near_index(c, v)) == [("p", None, d("2020-06-11"), d("2020-06-12"))]
