@@ -37,8 +37,9 @@ def distinct_starts_per_stay(visits: DataFrame) -> DataFrame:
 
 def _restrict(df: DataFrame, keys: DataFrame | Sequence[str], column: str) -> DataFrame:
     """Semi join to a key set. A key DataFrame is usually an aggregate, so no
-    count is run on it: adaptive execution broadcasts it when its measured
-    size is small."""
+    count is run on it (that would compute it twice); when it is its own
+    shuffle stage, adaptive execution broadcasts it if its measured size is
+    small."""
     if isinstance(keys, DataFrame):
         return df.join(keys.select(column), column, "left_semi")
     return df.where(F.col(column).isin(list(keys)))
