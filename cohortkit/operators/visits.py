@@ -10,9 +10,9 @@ index dates) with the day window as a join condition, then reduce to one
 row per person with a partial aggregate. One aggregate over the cohort
 (``profile_cohort``) gives its row count and index-date range: the cohort
 side is broadcast when the count is within the bound, so the visit table is
-never shuffled for the join (otherwise the join shuffles both sides on
-person_id, adaptive execution splits a hot person, and the per-person
-aggregate reuses that partitioning); and the visit scan is filtered to the
+never shuffled for the join (otherwise the join is salted on (person_id,
+salt), so a hot person spreads over several tasks; see ``_join_cohort``);
+and the visit scan is filtered to the
 overall date range every match must fall in, a literal range that reaches
 parquet row-group and partition pruning. ``stays_after_index`` keeps every
 later stay, so it joins on (person_id, salt) instead; see there.
@@ -31,6 +31,9 @@ from ..functions.dates import days_between, event_within, index_minus_event_with
 from ..sources.tables import require_columns
 from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, small_enough
 
+# Salts for joining events to a cohort too large to broadcast.
+COHORT_SALTS = 16
+
 MODES = ("either", "both")
 
 LAB = "first_pos_pcr_antigen_date"
@@ -71,10 +74,25 @@ def _in_index_range(event: Column, bounds: tuple, days_before: int, days_after:
     return event.between(F.date_sub(F.lit(lo), days_before), F.date_add(F.lit(hi), days_after))
 
 
-def _cohort_side(persons: DataFrame, columns: list[str], broadcast: bool) -> DataFrame:
-    """The cohort's (person_id, index dates), broadcast when proven small."""
+def _join_cohort(events: DataFrame, persons: DataFrame, columns: list[str], broadcast: bool,
+                 salts: int = COHORT_SALTS) -> DataFrame:
+    """Join event rows to the cohort's (person_id, index dates).
+
+    A cohort proven small is broadcast: the events stay where they are. A
+    large one is joined on (person_id, salt): each event row gets a salt from
+    a hash of the row, and the one cohort row per person is repeated once per
+    salt. A person owning a large share of the events then spreads over
+    ``salts`` tasks, and the per-person aggregate that follows combines
+    partial results in those tasks before its own (small) shuffle. This does
+    not depend on adaptive execution settings.
+    """
     side = persons.select(*columns)
-    return F.broadcast(side) if broadcast else side
+    if broadcast:
+        return events.join(F.broadcast(side), "person_id")
+    n = max(1, salts)
+    salted_events = events.withColumn("__salt", F.pmod(F.xxhash64(*events.columns), F.lit(n)).cast("int"))
+    salted_side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return salted_events.join(salted_side, ["person_id", "__salt"]).drop("__salt")
 
 
 def _mode_index(mode: str) -> str:
@@ -139,13 +157,12 @@ def stay_near_index(
         stays = stays.where(_in_index_range(F.col("macrovisit_start_date"), profile.bounds[index_col],
                                             days_before_index, days_after_index))
     stays = stays.select("person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date")
-    index = _cohort_side(source, ["person_id", index_col], profile.small(cohort_broadcast_rows))
     start, idx = F.col("macrovisit_start_date"), F.col(index_col)
     cond = event_within(idx, start, days_before_index, days_after_index)
     if require_overlap:
         cond = cond & (idx <= F.col("macrovisit_end_date"))
     first = (
-        stays.join(index, "person_id")
+        _join_cohort(stays, source, ["person_id", index_col], profile.small(cohort_broadcast_rows))
         .where(cond)
         .groupBy("person_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_id", "macrovisit_end_date")).alias("s"))
@@ -204,10 +221,9 @@ def er_visits_near_index(
         er = er.where(_in_index_range(F.col("visit_start_date"), profile.bounds[_mode_index(mode)],
                                       days_before_index, days_after_index))
     er = er.join(er_ids, F.col("visit_concept_id") == er_ids["concept_id"], "left_semi")
-    index = _cohort_side(persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows))
     return (
-        er.select("person_id", "visit_start_date")
-        .join(index, "person_id")
+        _join_cohort(er.select("person_id", "visit_start_date"), persons, ["person_id", *INDEX_DATES],
+                     profile.small(cohort_broadcast_rows))
         .where(_window_test(mode, F.col("visit_start_date"), days_before_index, days_after_index))
         .groupBy("person_id")
         .agg(F.min("visit_start_date").alias("first_covid_er_only_start_date"))
@@ -236,9 +252,8 @@ def stays_near_index(
         stays = stays.where(_in_index_range(F.col("macrovisit_start_date"), profile.bounds[_mode_index(mode)],
                                             days_before_index, days_after_index))
     stays = stays.select("person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date")
-    index = _cohort_side(persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows))
     return (
-        stays.join(index, "person_id")
+        _join_cohort(stays, persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows))
         .where(_window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index))
         .groupBy("person_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_id", "macrovisit_end_date")).alias("s"))
@@ -308,12 +323,11 @@ def first_visits(
         "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date",
     ).join(flags, F.col("visit_concept_id") == F.col("__er_id"), "left")
     er_row = er_row & F.col("__is_er")
-    index = _cohort_side(persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows))
     near_stay = stay_row & _window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index)
     near_er = er_row & _window_test(mode, F.col("visit_start_date"), days_before_index, days_after_index)
     first = (
-        rows.where(stay_row | er_row)
-        .join(index, "person_id")
+        _join_cohort(rows.where(stay_row | er_row), persons, ["person_id", *INDEX_DATES],
+                     profile.small(cohort_broadcast_rows))
         .where(near_stay | near_er)
         .groupBy("person_id")
         .agg(

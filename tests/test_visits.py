@@ -206,3 +206,21 @@ def test_stay_identity_differs_between_operators(spark):
     v = visits(spark, [("p", 1, 9201, d("2020-06-11"), None, d("2020-06-11"), d("2020-06-12"))])  # start, no id
     assert rows(stay_near_index(c, v), "covid_associated_hosp") == [(0,)]
     assert rows(stays_near_index(c, v)) == [("p", None, d("2020-06-11"), d("2020-06-12"))]
+
+
+def test_salted_cohort_join_equals_broadcast(spark):
+    from conftest import SMALL_DIR
+
+    from cohortkit.operators.concepts import er_concept_ids
+    from cohortkit.sources.fixtures import Inputs
+
+    i = Inputs(spark, SMALL_DIR)
+    er = er_concept_ids(i.our_concept_sets, i.concept_set_members)
+    for mode in ("either", "both"):
+        assert rows(stays_near_index(i.cohort, i.visits, mode)) == rows(
+            stays_near_index(i.cohort, i.visits, mode, cohort_broadcast_rows=0)), mode
+        assert rows(er_visits_near_index(i.cohort, i.visits, er, mode)) == rows(
+            er_visits_near_index(i.cohort, i.visits, er, mode, cohort_broadcast_rows=0)), mode
+        assert rows(first_visits(i.cohort, i.visits, er, mode=mode)) == rows(
+            first_visits(i.cohort, i.visits, er, mode=mode, cohort_broadcast_rows=0)), mode
+    assert rows(stay_near_index(i.cohort, i.visits)) == rows(stay_near_index(i.cohort, i.visits, cohort_broadcast_rows=0))
