@@ -14,16 +14,23 @@ from .fixture_sql import with_views
 
 # --- shared steps ---------------------------------------------------------
 
-ENRICHED = ("enriched", """
+def _enriched(persons: str = "cohort"):
+    return ("enriched", f"""
 SELECT c.*, p.year_of_birth, p.month_of_birth, p.day_of_birth, p.ethnicity_concept_name,
        p.race_concept_name, p.gender_concept_name, p.location_id, p.data_partner_id,
        l.city, l.state, l.zip, l.county,
        m.run_date, m.cdm_name, m.cdm_version, m.shift_date_yn, m.max_num_shift_days
-FROM cohort c
+FROM {persons} c
 LEFT JOIN person_lds p ON c.person_id = p.person_id
 LEFT JOIN location l ON p.location_id = l.location_id
 LEFT JOIN manifest m ON p.data_partner_id = m.data_partner_id""")
 
+
+ENRICHED = _enriched()
+SAMPLED = ("sampled", """
+SELECT * FROM cohort
+WHERE CAST(('0x' || substr(md5('111:' || person_id), 1, 8)) AS BIGINT) % 1000000 < 500000""")
+
 WITH_DOB = ("with_dob", """
 SELECT *,
        CASE WHEN year_of_birth IS NULL THEN NULL
@@ -185,6 +192,10 @@ FROM (
 ) WHERE rn = 1""")
 
 
+HOSP_ONLY = ("hosp_only", """
+SELECT p.*, h.macrovisit_id, h.first_COVID_hospitalization_start_date, h.first_COVID_hospitalization_end_date
+FROM cohort p LEFT JOIN hosp h ON p.person_id = h.person_id""")
+
 FIRST_VISITS = ("first_visits", """
 SELECT p.*, f.macrovisit_id, f.first_COVID_hospitalization_start_date,
        f.first_COVID_hospitalization_end_date, f.first_covid_er_only_start_date
@@ -269,6 +280,10 @@ FROM first_comorbidity GROUP BY person_id""", *cm_views, local=[CONCEPTS, FIRST_
     q["stay_both"] = with_views("SELECT * FROM hosp", "cohort", "visits", local=[_hosp("both")])
     fv_steps = [ER_IDS, _er("either"), _hosp("either"), FIRST_VISITS]
     q["first_visits"] = with_views("SELECT * FROM first_visits", *er_views, local=fv_steps)
+    q["first_visits_both"] = with_views("SELECT * FROM first_visits", *er_views,
+                                        local=[ER_IDS, _er("both"), _hosp("both"), FIRST_VISITS])
+    q["first_visits_hosp_only"] = with_views("SELECT * FROM hosp_only", "cohort", "visits",
+                                             local=[_hosp("either"), HOSP_ONLY])
     q["stays_after_index"] = with_views("""
 SELECT person_id, first_poslab_or_diagnosis_date, first_COVID_hospitalization_start_date,
        first_COVID_hospitalization_end_date, macrovisit_id, macrovisit_start_date, macrovisit_end_date
@@ -300,6 +315,9 @@ FROM cohort c LEFT JOIN (
   FROM (SELECT DISTINCT x.person_id, x.death_date FROM death x JOIN cohort y ON x.person_id = y.person_id)
 ) d ON c.person_id = d.person_id""", "cohort", "death")
     q["person_fact"] = with_views("SELECT * FROM fact", *FACT_VIEWS, local=FACT_STEPS)
+    q["person_fact_sample"] = with_views(
+        "SELECT * FROM fact", *FACT_VIEWS,
+        local=[SAMPLED, _enriched("sampled"), WITH_DOB, CLEANED, STAYS, _first_stay("cleaned"), FACT])
     q["zip_area"] = with_views("SELECT * FROM zip_area", "zcta_pct", "zip_zcta", local=[ZIP_AREA])
     q["attach_area"] = with_views("SELECT * FROM sdoh", *AREA_VIEWS, local=FACT_STEPS + [ZIP_AREA, SDOH])
     q["unmatched_zips"] = with_views("""

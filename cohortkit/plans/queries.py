@@ -129,6 +129,18 @@ def q_first_visits(spark, d):
     return _first_visits(Inputs.of(spark, d))
 
 
+def q_first_visits_both(spark, d):
+    """First stay and ER visit near the index when lab and diagnosis must both be near."""
+    i = Inputs.of(spark, d)
+    return first_visits(i.cohort, i.visits, _er_ids(i), include_er=True, mode="both")
+
+
+def q_first_visits_hosp_only(spark, d):
+    """First stay near the index only (ER visits switched off)."""
+    i = Inputs.of(spark, d)
+    return first_visits(i.cohort, i.visits, include_er=False)
+
+
 def q_stays_after_index(spark, d):
     """Stays after each person's first stay (or index date). Only the stay
     columns of the first visits are read, so the ER part is not built."""
@@ -150,6 +162,11 @@ def q_person_fact(spark, d):
     return person_fact(Inputs.of(spark, d))
 
 
+def q_person_fact_sample(spark, d):
+    """The person fact for a hash sample of half the cohort (seed 111)."""
+    return person_fact(Inputs.of(spark, d), SAMPLE_FRACTION, SAMPLE_SEED)
+
+
 def q_zip_area(spark, d):
     return _area_by_zip(Inputs.of(spark, d))
 
@@ -223,10 +240,13 @@ QUERIES: dict[str, Query] = {
     "stay_either": q_stay_either,
     "stay_both": q_stay_both,
     "first_visits": q_first_visits,
+    "first_visits_both": q_first_visits_both,
+    "first_visits_hosp_only": q_first_visits_hosp_only,
     "stays_after_index": q_stays_after_index,
     "latest_event": q_latest_event,
     "latest_event_fanout": q_latest_event_fanout,
     "person_fact": q_person_fact,
+    "person_fact_sample": q_person_fact_sample,
     "zip_area": q_zip_area,
     "attach_area": q_attach_area,
     "unmatched_zips": q_unmatched_zips,
