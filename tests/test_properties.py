@@ -5,6 +5,7 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 import math
+import os
 import re
 
 from hypothesis import HealthCheck, given, settings
@@ -13,7 +14,8 @@ from hypothesis import strategies as st
 from cohortkit.functions.person import RACE_ETHNICITY_DEFAULT, RACE_ETHNICITY_RULES
 from cohortkit.operators.person import add_age, add_race_ethnicity, add_zip_code
 
-SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "4")), deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def py_birth_date(y, m, d):
@@ -104,3 +106,91 @@ def test_race_rules(spark, pairs):
     out = {r["person_id"]: r["race_ethnicity"] for r in add_race_ethnicity(df).collect()}
     for pid, e, r in data:
         assert out[pid] == py_race(e, r), (e, r)
+
+
+# --- visit matching against a direct statement of the rules -----------------
+
+def _within(index, event, before=1, after=16):
+    return index is not None and event is not None and -after <= (index - event).days <= before
+
+
+def py_first_visits(persons, visits, er_ids, mode="either"):
+    """person_id -> (stay id, stay start, stay end, first ER date)."""
+    out = {}
+    for pid, lab, dx, earlier in persons:
+        index = earlier if mode == "either" else lab
+        pair_ok = mode == "either" or (lab is not None and dx is not None and -16 <= (lab - dx).days <= 1)
+        stays = [(s, m, e) for (p, c, vs, m, s, e) in visits
+                 if p == pid and s is not None and pair_ok and _within(index, s)]
+        ers = [vs for (p, c, vs, m, s, e) in visits
+               if p == pid and s is None and c in er_ids and pair_ok and _within(index, vs)]
+        # ties: smallest stay id, then end date, nulls first
+        first = min(stays, key=lambda t: (t[0], t[1] is not None, t[1] or "", t[2] is not None, t[2] or dt.date.min),
+                    default=None)
+        out[pid] = (first[1] if first else None, first[0] if first else None, first[2] if first else None,
+                    min(ers) if ers else None)
+    return out
+
+
+def py_stays_after(anchors, visits):
+    """(person_id, stay id) -> (start, end) of the stay's earliest row after the anchor."""
+    out = {}
+    for pid, earlier, hosp_start, _ in anchors:
+        anchor = hosp_start if hosp_start is not None else earlier
+        if anchor is None:
+            continue
+        for (p, c, vs, m, s, e) in visits:
+            if p == pid and m is not None and s is not None and anchor < s:
+                key = (pid, m)
+                cand = (s, e)
+                if key not in out or (cand[0], cand[1] is not None, cand[1] or dt.date.min) < (
+                        out[key][0], out[key][1] is not None, out[key][1] or dt.date.min):
+                    out[key] = cand
+    return out
+
+
+base = dt.date(2020, 6, 1)
+day = st.integers(-25, 25).map(lambda n: base + dt.timedelta(days=n))
+maybe_day = st.one_of(st.none(), day)
+visit_rows = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.sampled_from([9201, 9203, 262, 9202]), day,
+              st.one_of(st.none(), st.sampled_from(["s1", "s2", "s3", "s4"])), maybe_day, maybe_day),
+    min_size=1, max_size=60,
+)
+person_rows = st.lists(st.tuples(maybe_day, maybe_day), min_size=4, max_size=4)
+
+
+@SETTINGS
+@given(person_rows, visit_rows, st.sampled_from(["either", "both"]))
+def test_first_visits_matches_rules(spark, people, visits, mode):
+    from cohortkit.operators.visits import first_visits
+
+    persons = [(pid, lab, dx, min([x for x in (lab, dx) if x is not None], default=None))
+               for pid, (lab, dx) in zip("abcd", people)]
+    # a stay row has a stay id exactly when it has a stay start (as in the fixture data)
+    vrows = [(p, c, vs, m if s is not None else None, s if m is not None else None, e if m is not None else None)
+             for (p, c, vs, m, s, e) in visits]
+    pdf = spark.createDataFrame(persons, "person_id string, first_pos_pcr_antigen_date date, "
+                                "first_pos_diagnosis_date date, first_poslab_or_diagnosis_date date")
+    vdf = spark.createDataFrame(vrows, "person_id string, visit_concept_id int, visit_start_date date, "
+                                "macrovisit_id string, macrovisit_start_date date, macrovisit_end_date date")
+    er = spark.createDataFrame([(9203,), (262,)], "concept_id bigint")
+    got = {r["person_id"]: (r["macrovisit_id"], r["first_COVID_hospitalization_start_date"],
+                            r["first_COVID_hospitalization_end_date"], r["first_covid_er_only_start_date"])
+           for r in first_visits(pdf, vdf, er, mode=mode).collect()}
+    assert got == py_first_visits(persons, vrows, {9203, 262}, mode)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(maybe_day, maybe_day), min_size=4, max_size=4), visit_rows)
+def test_stays_after_index_matches_rules(spark, anchor_pairs, visits):
+    from cohortkit.operators.visits import stays_after_index
+
+    anchors = [(pid, earlier, hosp, None) for pid, (earlier, hosp) in zip("abcd", anchor_pairs)]
+    adf = spark.createDataFrame(anchors, "person_id string, first_poslab_or_diagnosis_date date, "
+                                "first_COVID_hospitalization_start_date date, first_COVID_hospitalization_end_date date")
+    vdf = spark.createDataFrame(visits, "person_id string, visit_concept_id int, visit_start_date date, "
+                                "macrovisit_id string, macrovisit_start_date date, macrovisit_end_date date")
+    got = {(r["person_id"], r["macrovisit_id"]): (r["macrovisit_start_date"], r["macrovisit_end_date"])
+           for r in stays_after_index(adf, vdf, salts=3).collect()}
+    assert got == py_stays_after(anchors, visits)
