@@ -194,3 +194,64 @@ def test_stays_after_index_matches_rules(spark, anchor_pairs, visits):
     got = {(r["person_id"], r["macrovisit_id"]): (r["macrovisit_start_date"], r["macrovisit_end_date"])
            for r in stays_after_index(adf, vdf, salts=3).collect()}
     assert got == py_stays_after(anchors, visits)
+
+
+def py_stay_near_index(persons, visits):
+    """person_id -> (stay id, start, end, flag) for the first stay in [index-1, index+16] ending on/after index."""
+    out = {}
+    for pid, lab, _dx, _earlier in persons:
+        cands = [(s, m, e) for (p, c, vs, m, s, e) in visits
+                 if p == pid and m is not None and lab is not None and s is not None and e is not None
+                 and lab - dt.timedelta(days=1) <= s <= lab + dt.timedelta(days=16) and lab <= e]
+        first = min(cands, key=lambda t: (t[0], t[1], t[2]), default=None)
+        out[pid] = (first[1], first[0], first[2], 1) if first else (None, None, None, 0)
+    return out
+
+
+@SETTINGS
+@given(person_rows, visit_rows)
+def test_stay_near_index_matches_rules(spark, people, visits):
+    from cohortkit.operators.visits import stay_near_index
+
+    persons = [(pid, lab, dx, None) for pid, (lab, dx) in zip("abcd", people)]
+    pdf = spark.createDataFrame(persons, "person_id string, first_pos_pcr_antigen_date date, "
+                                "first_pos_diagnosis_date date, first_poslab_or_diagnosis_date date")
+    vdf = spark.createDataFrame(visits, "person_id string, visit_concept_id int, visit_start_date date, "
+                                "macrovisit_id string, macrovisit_start_date date, macrovisit_end_date date")
+    got = {r["person_id"]: (r["first_covid_macrovisit_id"], r["first_covid_macrovisit_start_date"],
+                            r["first_covid_macrovisit_end_date"], r["covid_associated_hosp"])
+           for r in stay_near_index(pdf, vdf).collect()}
+    assert got == py_stay_near_index(persons, visits)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from([1, 2, 3, 4]), maybe_day,
+                          st.integers(1, 30), st.sampled_from(["AF", "NO", None])), min_size=1, max_size=60))
+def test_comorbidity_pivot_matches_rules(spark, conditions):
+    from cohortkit.operators.pivot import comorbidities
+
+    sets = spark.createDataFrame([("S1", "one", "condition_occurrence", 1, 0), ("S2", "two", "condition_occurrence", 1, 0),
+                                  ("S3", "three", "drug_exposure", 1, 0)],
+                                 "concept_set_name string, column_name string, domain string, comorbidity int, "
+                                 "er_only_visit int")
+    members = spark.createDataFrame([(1, "S1", "true"), (2, "S2", "true"), (3, "S2", "false"), (4, "S3", "true")],
+                                    "concept_id bigint, concept_set_name string, is_most_recent_version string")
+    cohort = spark.createDataFrame([("a",), ("b",)], "person_id string")
+    cdf = spark.createDataFrame(conditions, "person_id string, condition_concept_id bigint, "
+                                "condition_start_date date, condition_occurrence_id bigint, "
+                                "condition_source_value string")
+    got = {r["person_id"]: tuple(r[c] for c in ("one_start", "one_c_occ_id", "two_start", "two_c_occ_id"))
+           for r in comorbidities(cohort, sets, members, cdf).collect()}
+    group = {1: "one", 2: "two"}  # concept 3 is an old version, concept 4 not a condition set
+    want: dict = {}
+    for pid in ("a", "b"):
+        firsts = {}
+        for p, concept, start, occ, src in conditions:
+            if p == pid and concept in group and start is not None:
+                key = (start, occ, src is not None, src or "")
+                if group[concept] not in firsts or key < firsts[group[concept]]:
+                    firsts[group[concept]] = key
+        if firsts:
+            want[pid] = tuple(x for g in ("one", "two") for x in ((firsts[g][0], firsts[g][1]) if g in firsts
+                                                                    else (None, None)))
+    assert got == want
