@@ -53,7 +53,7 @@ def _area_by_zip(i: Inputs) -> DataFrame:
 
 
 def q_cohort_sample(spark, d):
-    """Hash sample of the cohort (half the persons, seed 111)."""
+    """Hash sample of the cohort (about half the persons, seed 111)."""
     return sample_cohort(Inputs.of(spark, d).cohort, SAMPLE_FRACTION, SAMPLE_SEED)
 
 
@@ -163,7 +163,7 @@ def q_person_fact(spark, d):
 
 
 def q_person_fact_sample(spark, d):
-    """The person fact for a hash sample of half the cohort (seed 111)."""
+    """The person fact for a hash sample of about half the cohort (seed 111)."""
     return person_fact(Inputs.of(spark, d), SAMPLE_FRACTION, SAMPLE_SEED)
 
 
