@@ -1,4 +1,4 @@
-"""Registered queries: one per operator of the survey's inventory.
+"""Registered queries: every operator of the survey's inventory, with parameter variants.
 
 Each takes ``(spark, base_dir)`` and returns a lazy DataFrame over the whole
 tables of that directory (shaped by ``cohortkit.sources.fixtures``).
