@@ -1,0 +1 @@
+"""Column expressions (birth date and age, gender, rule tables, zip codes, day windows, sampling)."""
