@@ -40,14 +40,17 @@ def attach_area(
     area_zip: str = "zipcode",
     keep: Sequence[str] = ("zip_code", "person_id"),
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """``keep`` columns of each person followed by every column of the
     matching area row(s); persons without a match keep one row of nulls.
 
     Null ZIP codes never match and are salted when the area table is too
-    large to broadcast, so they do not pile up in one task."""
+    large to broadcast, so they do not pile up in one task. ``broadcast``
+    passes a size decision made earlier (see ``joins.small_enough``)."""
     return join_lookup(
-        persons.select(*keep), area_by_zip, zip_col, area_zip, "left", max_broadcast_rows, keep_lookup_key=True
+        persons.select(*keep), area_by_zip, zip_col, area_zip, "left", max_broadcast_rows, keep_lookup_key=True,
+        broadcast=broadcast,
     )
 
 
@@ -58,13 +61,13 @@ def unmatched_keys(
     zip_col: str = "zip_code",
     area_zip: str = "zipcode",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Distinct place columns of persons whose ZIP found no area row
     (null ZIPs included): an anti join, then distinct."""
     probe = persons.select(zip_col, *columns)
-    return join_lookup(probe, area_by_zip.select(area_zip), zip_col, area_zip, "left_anti", max_broadcast_rows).select(
-        *columns
-    ).distinct()
+    return join_lookup(probe, area_by_zip.select(area_zip), zip_col, area_zip, "left_anti", max_broadcast_rows,
+                       broadcast=broadcast).select(*columns).distinct()
 
 
 def attach_column(

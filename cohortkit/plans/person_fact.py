@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.area import attach_area, attach_column, cast_columns, zip_area_table
 from ..operators.events import latest_event
+from ..operators.joins import small_enough
 from ..operators.person import clean_person, enrich_person, sample_cohort
 from ..operators.pivot import comorbidities
 from ..operators.visits import LAB, CohortProfile, profile_cohort, stay_near_index
@@ -81,16 +82,22 @@ def comorbidity_table(inputs: AnyInputs, persons: DataFrame | None = None) -> Da
 
 def area_table(inputs: AnyInputs, fact: DataFrame | None = None) -> DataFrame:
     """Area measures (as numbers) and the summary MDs column per person."""
-    fact, by_zip = fact_and_area(inputs, fact)
-    with_area = attach_area(fact, by_zip)
+    fact, by_zip, small = fact_and_area(inputs, fact)
+    with_area = attach_area(fact, by_zip, broadcast=small)
     with_mds = attach_column(with_area, inputs.summary_facts, ["MDs"])
     return cast_columns(with_mds)
 
 
-def fact_and_area(inputs: AnyInputs, fact: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """The person fact and the area-by-ZIP table, planned concurrently (their
-    plan-time size checks are independent)."""
+def fact_and_area(inputs: AnyInputs, fact: DataFrame | None = None) -> tuple[DataFrame, DataFrame, bool]:
+    """The person fact, the area-by-ZIP table and whether that table may be
+    broadcast, planned concurrently (their plan-time jobs are independent)."""
+
+    def area() -> tuple[DataFrame, bool]:
+        by_zip = zip_area_table(inputs.zcta_pct, inputs.zip_zcta)
+        return by_zip, small_enough([by_zip])[0]
+
     with ThreadPoolExecutor(max_workers=1) as pool:
-        by_zip = pool.submit(zip_area_table, inputs.zcta_pct, inputs.zip_zcta)
+        pending = pool.submit(area)
         fact = person_fact(inputs) if fact is None else fact
-        return fact, by_zip.result()
+        by_zip, small = pending.result()
+        return fact, by_zip, small

@@ -172,16 +172,19 @@ def q_zip_area(spark, d):
 
 
 def q_attach_area(spark, d):
-    return A.attach_area(*fact_and_area(Inputs.of(spark, d)))
+    fact, by_zip, small = fact_and_area(Inputs.of(spark, d))
+    return A.attach_area(fact, by_zip, broadcast=small)
 
 
 def q_unmatched_zips(spark, d):
-    return A.unmatched_keys(*fact_and_area(Inputs.of(spark, d)))
+    fact, by_zip, small = fact_and_area(Inputs.of(spark, d))
+    return A.unmatched_keys(fact, by_zip, broadcast=small)
 
 
 def q_attach_mds(spark, d):
     i = Inputs.of(spark, d)
-    return A.attach_column(A.attach_area(*fact_and_area(i)), i.summary_facts, ["MDs"])
+    fact, by_zip, small = fact_and_area(i)
+    return A.attach_column(A.attach_area(fact, by_zip, broadcast=small), i.summary_facts, ["MDs"])
 
 
 def q_cast_sdoh(spark, d):

@@ -64,13 +64,23 @@ def main() -> None:
     print(f"# Physical plans at {args.sf_dir}\n")
     print("Generated by `scripts/plan_report.py` (initial adaptive plans; local[8]). "
           "Shuffles = hash / range / single-partition exchanges.\n")
-    print("| query | shuffles (hash/range/single) | broadcasts | joins (BHJ/SMJ) | aggregates | windows | Python UDFs |")
-    print("|---|---|---|---|---|---|---|")
+    print("Plan-time jobs: Spark jobs run while the plan is built (size checks, cohort profile, pivot "
+          "columns), each bounded.\n")
+    print("| query | shuffles (hash/range/single) | broadcasts | joins (BHJ/SMJ) | aggregates | windows "
+          "| Python UDFs | plan-time jobs |")
+    print("|---|---|---|---|---|---|---|---|")
     details = []
+    tracker = spark.sparkContext.statusTracker()
     for name, fn in entry.queries().items():
-        s = summarise(plan_text(fn(spark, args.sf_dir)))
+        fn(spark, args.sf_dir)  # first build defines the session's inputs
+        # no job groups: checks run in worker threads, which do not inherit one
+        before = len(tracker.getJobIdsForGroup(None))
+        df = fn(spark, args.sf_dir)
+        jobs = len(tracker.getJobIdsForGroup(None)) - before
+        s = summarise(plan_text(df))
         print(f"| {name} | {s['hash_exchanges']}/{s['range_exchanges']}/{s['single_exchanges']} | {s['broadcasts']} "
-              f"| {s['bhj']}/{s['smj']} | {', '.join(s['aggregates']) or '-'} | {s['windows']} | {s['python_udfs']} |")
+              f"| {s['bhj']}/{s['smj']} | {', '.join(s['aggregates']) or '-'} | {s['windows']} | {s['python_udfs']} "
+              f"| {jobs} |")
         details.append((name, s["scans"]))
     print("\n## Scans (columns read, pushed filters)\n")
     for name, scans in details:
