@@ -85,3 +85,13 @@ def test_stream_processes_only_new_persons(spark, tmp_path):
     got = spark.read.parquet(str(out)).drop("batch_id")
     assert first == 50
     assert rows(got) == rows(person_fact(inputs))
+
+
+def test_table_inputs_from_catalog(spark):
+    from cohortkit.sources.named import REQUIRED_COLUMNS, TableInputs
+
+    fixtures = Inputs(spark, SMALL_DIR)
+    for key in REQUIRED_COLUMNS:
+        getattr(fixtures, key).createOrReplaceTempView(f"cat_{key}")
+    named = TableInputs.from_catalog(spark, names={k: f"cat_{k}" for k in REQUIRED_COLUMNS})
+    assert rows(person_fact(named)) == rows(person_fact(fixtures))
