@@ -67,6 +67,8 @@ def latest_event(
     date_col: str = "death_date",
     flag_col: str = "death_recorded",
     keep_fanout: bool = False,
+    restrict_to: DataFrame | None = None,
+    restrict_to_small: bool = False,
 ) -> DataFrame:
     """Attach the latest event date per person and a 0/1 flag.
 
@@ -77,13 +79,21 @@ def latest_event(
     ``keep_fanout=True`` repeats each person once per distinct event date
     (null counts as one value), each copy carrying the latest date: the
     row multiplication a window-without-dedupe formulation produces.
+
+    ``restrict_to`` (the cohort the persons come from) with
+    ``restrict_to_small`` (its size proven within a broadcast bound) filters
+    the events map-side against the broadcast cohort keys; the per-person
+    result, at most one row per cohort person, is then broadcast too.
     """
     require_columns(persons, [key], "persons")
     require_columns(events, [key, date_col], "events")
     ev = events.select(key, date_col)
+    small = restrict_to is not None and restrict_to_small
+    if small:
+        ev = ev.join(F.broadcast(restrict_to.select(key)), key, "left_semi")
     if not keep_fanout:
         per_person = ev.groupBy(key).agg(F.max(date_col).alias(date_col))
-        out = persons.join(per_person, key, "left")
+        out = persons.join(F.broadcast(per_person) if small else per_person, key, "left")
     else:
         per_person = (
             ev.dropDuplicates([key, date_col])
@@ -91,7 +101,7 @@ def latest_event(
             .agg(F.max(date_col).alias(date_col), F.count(F.lit(1)).cast("int").alias("__copies"))
         )
         out = (
-            persons.join(per_person, key, "left")
+            persons.join(F.broadcast(per_person) if small else per_person, key, "left")
             .withColumn("__copy", F.explode_outer(F.array_repeat(F.lit(1), F.col("__copies"))))
             .drop("__copy", "__copies")
         )

@@ -95,6 +95,13 @@ def _join_cohort(events: DataFrame, persons: DataFrame, columns: list[str], broa
     return salted_events.join(salted_side, ["person_id", "__salt"]).drop("__salt")
 
 
+def _attach_per_person(persons: DataFrame, per_person: DataFrame, small: bool) -> DataFrame:
+    """Left-join a per-person result (at most one row per cohort person) onto
+    persons. When the cohort is proven small the result is too, so it is
+    broadcast and the person rows are not shuffled."""
+    return persons.join(F.broadcast(per_person) if small else per_person, "person_id", "left")
+
+
 def _mode_index(mode: str) -> str:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -173,7 +180,7 @@ def stay_near_index(
             F.col("s.macrovisit_end_date").alias("first_covid_macrovisit_end_date"),
         )
     )
-    return persons.join(first, "person_id", "left").withColumn(
+    return _attach_per_person(persons, first, profile.small(cohort_broadcast_rows)).withColumn(
         "covid_associated_hosp",
         F.when(F.col("first_covid_macrovisit_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)),
     )
@@ -300,13 +307,14 @@ def first_visits(
     if not include_er:
         first = stays_near_index(persons, visits, mode, days_before_index, days_after_index,
                                  cohort_broadcast_rows, prune_to_index_range, profile)
-        return persons.join(first, "person_id", "left")
+        return _attach_per_person(persons, first, profile.small(cohort_broadcast_rows))
     if not ids_small:
         hosp = stays_near_index(persons, visits, mode, days_before_index, days_after_index,
                                 cohort_broadcast_rows, prune_to_index_range, profile)
         er = er_visits_near_index(persons, visits, er_concepts, mode, days_before_index, days_after_index,
                                   cohort_broadcast_rows, max_broadcast_rows, prune_to_index_range, profile)
-        return persons.join(hosp.join(er, "person_id", "full_outer"), "person_id", "left")
+        return _attach_per_person(persons, hosp.join(er, "person_id", "full_outer"),
+                                  profile.small(cohort_broadcast_rows))
 
     flags = F.broadcast(er_ids.distinct().select(F.col("concept_id").alias("__er_id"), F.lit(True).alias("__is_er")))
     stay_row = F.col("macrovisit_start_date").isNotNull()
@@ -342,7 +350,7 @@ def first_visits(
             "first_covid_er_only_start_date",
         )
     )
-    return persons.join(first, "person_id", "left")
+    return _attach_per_person(persons, first, profile.small(cohort_broadcast_rows))
 
 
 def stays_after_index(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.area import attach_area, attach_column, cast_columns, zip_area_table
 from ..operators.events import latest_event
-from ..operators.joins import small_enough
+from ..operators.joins import COHORT_BROADCAST_ROWS, small_enough
 from ..operators.person import clean_person, enrich_person, sample_cohort
 from ..operators.pivot import comorbidities
 from ..operators.visits import LAB, CohortProfile, profile_cohort, stay_near_index
@@ -56,15 +56,19 @@ def located_persons(inputs: AnyInputs, sample_fraction: float = 1.0, seed: int =
 
 
 def _index_profile(sample: DataFrame) -> CohortProfile:
-    return profile_cohort(sample.where(F.col(INDEX_COL).isNotNull()), [INDEX_COL])
+    """Row count of the whole sample (a bound for every per-person result)
+    and the range of its index dates (min and max skip nulls)."""
+    return profile_cohort(sample, [INDEX_COL])
 
 
 def finish_person_fact(inputs: AnyInputs, sample: DataFrame, located: DataFrame,
                        profile: CohortProfile | None = None) -> PersonFactStages:
     """Clean the located persons, then attach the first stay and death."""
     clean = clean_person(located)
+    profile = _index_profile(sample) if profile is None else profile
     first_stay = stay_near_index(clean, inputs.visits, index_col=INDEX_COL, index_source=sample, profile=profile)
-    fact = latest_event(first_stay, inputs.death)
+    fact = latest_event(first_stay, inputs.death, restrict_to=sample,
+                        restrict_to_small=profile.small(COHORT_BROADCAST_ROWS))
     return PersonFactStages(sample, located, clean, first_stay, fact)
 
 
