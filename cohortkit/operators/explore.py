@@ -35,34 +35,37 @@ def distinct_starts_per_stay(visits: DataFrame) -> DataFrame:
     )
 
 
-def _restrict(df: DataFrame, keys: DataFrame | Sequence[str], column: str) -> DataFrame:
+def _restrict(df: DataFrame, keys: DataFrame | Sequence[str], column: str, keys_small: bool = False) -> DataFrame:
     """Semi join to a key set. A key DataFrame is usually an aggregate, so no
-    count is run on it (that would compute it twice); when it is its own
-    shuffle stage, adaptive execution broadcasts it if its measured size is
-    small."""
+    count is run on it (that would compute it twice). ``keys_small`` states
+    a bound the caller has proven (e.g. the keys are persons of a cohort
+    within the broadcast bound): the keys are then broadcast; otherwise,
+    when they are their own shuffle stage, adaptive execution broadcasts
+    them if their measured size is small."""
     if isinstance(keys, DataFrame):
-        return df.join(keys.select(column), column, "left_semi")
+        side = keys.select(column)
+        return df.join(F.broadcast(side) if keys_small else side, column, "left_semi")
     return df.where(F.col(column).isin(list(keys)))
 
 
-def stay_drilldown(visits: DataFrame, stays: DataFrame | Sequence[str]) -> DataFrame:
+def stay_drilldown(visits: DataFrame, stays: DataFrame | Sequence[str], keys_small: bool = False) -> DataFrame:
     """Every visit row of the chosen stays (a list of ids, or a DataFrame with
     a macrovisit_id column), detail columns, sorted by stay then concept.
 
     The visit id closes the sort key: the order is total, and the range
     partitioner can split one very large stay over several tasks."""
-    rows = _restrict(visits.select(*VISIT_DETAIL_COLUMNS), stays, "macrovisit_id")
+    rows = _restrict(visits.select(*VISIT_DETAIL_COLUMNS), stays, "macrovisit_id", keys_small)
     return rows.orderBy("macrovisit_id", "visit_concept_id", "visit_occurrence_id")
 
 
-def person_stays(visits: DataFrame, persons: DataFrame | Sequence[str]) -> DataFrame:
+def person_stays(visits: DataFrame, persons: DataFrame | Sequence[str], keys_small: bool = False) -> DataFrame:
     """Every visit row inside a stay for the chosen persons (a list of ids,
     or a DataFrame with person_id), sorted by person then stay start (then
     stay and visit id, so a person with very many rows spans several
     range partitions)."""
     rows = _restrict(
         visits.where(F.col("macrovisit_id").isNotNull()).select(*VISIT_DETAIL_COLUMNS),
-        persons, "person_id",
+        persons, "person_id", keys_small,
     )
     return rows.orderBy("person_id", "macrovisit_start_date", "macrovisit_id", "visit_occurrence_id")
 

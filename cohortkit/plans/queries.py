@@ -16,6 +16,7 @@ from ..operators import explore as X
 from ..operators.attach import attach_severity
 from ..operators.concepts import er_concept_ids, resolve_concepts
 from ..operators.events import latest_event
+from ..operators.joins import COHORT_BROADCAST_ROWS, has_at_most
 from ..operators.person import add_age, add_gender, add_race_ethnicity, add_zip_code, clean_person, enrich_person, sample_cohort
 from ..operators.pivot import earliest_comorbidities
 from ..operators.visits import (
@@ -208,10 +209,12 @@ def q_stay_drilldown(spark, d):
 
 
 def q_person_stays(spark, d):
-    """Stay rows, in start order, of every person with a stay near the index date."""
+    """Stay rows, in start order, of every person with a stay near the index date.
+    Those persons are at most the cohort, so a cohort within the broadcast
+    bound proves the key set small."""
     i = Inputs.of(spark, d)
     hospitalised = stay_near_index(i.cohort, i.visits).where(F.col("covid_associated_hosp") == 1)
-    return X.person_stays(i.visits, hospitalised)
+    return X.person_stays(i.visits, hospitalised, keys_small=has_at_most(i.cohort, COHORT_BROADCAST_ROWS))
 
 
 def q_zip_counts(spark, d):
