@@ -257,3 +257,21 @@ def test_comorbidity_pivot_matches_rules(spark, conditions):
             want[pid] = tuple(x for g in ("one", "two") for x in ((firsts[g][0], firsts[g][1]) if g in firsts
                                                                     else (None, None)))
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "z"]), maybe_day), max_size=40), st.booleans())
+def test_latest_event_matches_rules(spark, deaths, fanout):
+    from cohortkit.operators.events import latest_event
+
+    persons = spark.createDataFrame([("a",), ("b",), ("c",)], "person_id string")
+    ddf = spark.createDataFrame(deaths, "person_id string, death_date date")
+    got = sorted((r["person_id"], r["death_date"] or dt.date.min, r["death_recorded"])
+                 for r in latest_event(persons, ddf, keep_fanout=fanout).collect())
+    want = []
+    for pid in "abc":
+        dates = [d for p, d in deaths if p == pid]
+        latest = max((d for d in dates if d is not None), default=None)
+        copies = len(set(dates)) if (fanout and dates) else 1
+        want += [(pid, latest or dt.date.min, int(latest is not None))] * copies
+    assert got == sorted(want)
