@@ -76,9 +76,12 @@ def attach_column(
     columns: Sequence[str],
     key: str = "person_id",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    restrict_to: DataFrame | None = None,
 ) -> DataFrame:
-    """All of ``df`` plus ``columns`` of ``other`` by a left join on ``key``."""
-    return join_lookup(df, other.select(key, *columns), key, key, "left", max_broadcast_rows)
+    """All of ``df`` plus ``columns`` of ``other`` by a left join on ``key``
+    (``restrict_to``: see ``joins.join_lookup``)."""
+    return join_lookup(df, other.select(key, *columns), key, key, "left", max_broadcast_rows,
+                       restrict_to=restrict_to)
 
 
 def cast_columns(df: DataFrame, columns: Sequence[str] = tuple(SDOH_COLUMNS), dtype: str = "double") -> DataFrame:

@@ -25,15 +25,19 @@ def attach_renamed(
     columns: list[str],
     key: str = "person_id",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    restrict_to: DataFrame | None = None,
 ) -> DataFrame:
     """Rename the score columns that would collide, keep ``columns`` (which
-    include ``key``) and left-join them onto ``df`` by ``key``."""
+    include ``key``) and left-join them onto ``df`` by ``key``
+    (``restrict_to``: see ``joins.join_lookup``)."""
     renamed = scores.withColumnsRenamed(renames).select(*columns)
-    return join_lookup(df, renamed, key, key, "left", max_broadcast_rows)
+    return join_lookup(df, renamed, key, key, "left", max_broadcast_rows, restrict_to=restrict_to)
 
 
 def attach_severity(
-    df: DataFrame, severity: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    df: DataFrame, severity: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    restrict_to: DataFrame | None = None,
 ) -> DataFrame:
     """Severity type and critical-visit measures per person (left join)."""
-    return attach_renamed(df, severity, SEVERITY_RENAMES, SEVERITY_COLUMNS, "person_id", max_broadcast_rows)
+    return attach_renamed(df, severity, SEVERITY_RENAMES, SEVERITY_COLUMNS, "person_id", max_broadcast_rows,
+                          restrict_to)

@@ -76,6 +76,7 @@ def join_lookup(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     keep_lookup_key: bool = False,
     broadcast: bool | None = None,
+    restrict_to: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``df`` to ``lookup`` on ``df[key] == lookup[lookup_key]``.
 
@@ -87,6 +88,11 @@ def join_lookup(
 
     ``broadcast`` passes an already-made size decision (see
     ``small_enough``); by default the lookup is checked here.
+
+    ``restrict_to`` is a DataFrame of the probe's possible keys (column
+    ``key``) that the caller has proven small (e.g. a cohort within the
+    broadcast bound). A lookup too large to broadcast is then semi-joined to
+    those broadcast keys first, so only its matching rows are shuffled.
     """
     if how not in ("left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -109,6 +115,9 @@ def join_lookup(
         right, small = checked_broadcast(right, max_broadcast_rows)
     else:
         right, small = (F.broadcast(right), True) if broadcast else (right, False)
+    if not small and restrict_to is not None:
+        keys = F.broadcast(restrict_to.select(F.col(key).alias("__lookup_key")))
+        right = right.join(keys, "__lookup_key", "left_semi")
 
     if small:
         joined = df.join(right, df[key] == right["__lookup_key"], how)

@@ -88,10 +88,17 @@ def area_table(inputs: AnyInputs, fact: DataFrame | None = None) -> DataFrame:
     """Area measures (as numbers) and the summary MDs column per person."""
     fact, by_zip, small = fact_and_area(inputs, fact)
     with_area = attach_area(fact, by_zip, broadcast=small)
-    with_mds = attach_column(with_area, inputs.summary_facts, ["MDs"])
+    with_mds = attach_column(with_area, inputs.summary_facts, ["MDs"], restrict_to=small_cohort(inputs))
     return cast_columns(with_mds)
 
 
+def small_cohort(inputs: AnyInputs) -> DataFrame | None:
+    """The cohort's person ids when a bounded scan proves the cohort within
+    the broadcast bound (every person-level result then is too), else None."""
+    keys = inputs.cohort.select("person_id")
+    return keys if small_enough([keys], COHORT_BROADCAST_ROWS)[0] else None
+
+
 def fact_and_area(inputs: AnyInputs, fact: DataFrame | None = None) -> tuple[DataFrame, DataFrame, bool]:
     """The person fact, the area-by-ZIP table and whether that table may be
     broadcast, planned concurrently (their plan-time jobs are independent)."""

@@ -27,7 +27,7 @@ from ..operators.visits import (
     stays_near_index,
 )
 from ..sources.fixtures import Inputs
-from .person_fact import area_table, comorbidity_table, fact_and_area, person_fact
+from .person_fact import area_table, comorbidity_table, fact_and_area, person_fact, small_cohort
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,7 +185,8 @@ def q_unmatched_zips(spark, d):
 def q_attach_mds(spark, d):
     i = Inputs.of(spark, d)
     fact, by_zip, small = fact_and_area(i)
-    return A.attach_column(A.attach_area(fact, by_zip, broadcast=small), i.summary_facts, ["MDs"])
+    return A.attach_column(A.attach_area(fact, by_zip, broadcast=small), i.summary_facts, ["MDs"],
+                           restrict_to=small_cohort(i))
 
 
 def q_cast_sdoh(spark, d):
@@ -194,7 +195,7 @@ def q_cast_sdoh(spark, d):
 
 def q_attach_severity(spark, d):
     i = Inputs.of(spark, d)
-    return attach_severity(person_fact(i), i.severity)
+    return attach_severity(person_fact(i), i.severity, restrict_to=small_cohort(i))
 
 
 def q_codes_per_stay(spark, d):

@@ -123,3 +123,13 @@ def test_checks(spark):
     observed, obs = observe_rows(df, "n")
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows": 3}
+
+
+def test_restricted_lookup_equals_plain(spark):
+    people = spark.createDataFrame([("1", "A"), ("2", None), ("3", "B")], "person_id string, loc string")
+    places = spark.range(1000).selectExpr("cast(id as string) as loc", "id as n").unionByName(
+        spark.createDataFrame([("A", 1), ("B", 2)], "loc string, n long"))
+    keys = people.select("loc").where("loc is not null")
+    plain = join_lookup(people, places, "loc", max_broadcast_rows=0)
+    restricted = join_lookup(people, places, "loc", max_broadcast_rows=0, restrict_to=keys)
+    assert rows(plain) == rows(restricted) == [("1", "A", 1), ("2", None, None), ("3", "B", 2)]
