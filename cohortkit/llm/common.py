@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +26,16 @@ def _position(df: DataFrame, name: str) -> int:
     return found[0]
 
 
+def share_path(spark: SparkSession) -> None:
+    """Let Python workers of this session import the library from where the driver did."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def by_position(df: DataFrame) -> DataFrame:
     """The frame with columns ``_0, _1, ...``, so that clashing names stay apart."""
+    share_path(df.sparkSession)
     return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -17,13 +18,17 @@ SEGMENT_WORDS = 100_000
 #: Cells of the frequency sketch, as a power of two: 1 MB of counts whatever the corpus.
 SKETCH_BITS = 18
 SKETCH_ROW = 4096
+#: Elements that are counted into the sketch at a time.
+SKETCH_ROUND = 1_000_000
 #: Min-hashes of a set, those that propose a leader, and how many must agree with it.
 MINHASHES, KEYS, AGREE = 8, 3, 5
+#: Bits, as a power of two, of the row filter: 1 MB whatever the corpus. A full filter only lets more rows through.
+FILTER_BITS = 23
 _U = np.uint64
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=_U) * _U(2) + _U(1)
 _BASE = _U(0x9E3779B97F4A7C15)
-_SEEDS = _RNG.integers(0, 1 << 63, MINHASHES + 2, dtype=_U)
+_BOUNDS = np.arange(MINHASHES, dtype=_U) << _U(61)
 _POWERS: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
@@ -67,12 +72,23 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             total = np.zeros(len(raw) + 1, _U)
             np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=_U, out=total[1:])
-            size = np.fromiter(map(len, part), np.int64, len(part))
-            end = np.cumsum(size + 1) - 1
-            first = (end - size)[: len(part) - words + 1]
-            last = end[words - 1 :]
+            gap = np.flatnonzero(raw == 32)
+            first = np.r_[0, gap + 1][: len(part) - words + 1]
+            last = np.r_[gap, len(raw)][words - 1 :]
             out.append(mixed((total[last] - total[first]) * down[first], _U(words)))
-    return np.unique(np.concatenate(out))
+    found = np.sort(out[0] if len(out) == 1 else np.concatenate(out))
+    return found[np.r_[True, found[1:] != found[:-1]]]
+
+
+def fingerprint(s: np.ndarray) -> tuple[int, int]:
+    """Sum and exclusive or of a set's hashes: with its size the key of equal sets."""
+    with np.errstate(over="ignore"):
+        return int(s.sum(dtype=_U).view(np.int64)), int(np.bitwise_xor.reduce(s).view(np.int64)) if len(s) else 0
+
+
+def minhashes(s: np.ndarray) -> np.ndarray:
+    """Smallest hash of each eighth of the hash range; an empty eighth takes the next one's."""
+    return s[np.searchsorted(s, _BOUNDS) % len(s)]
 
 
 def prefix_size(n: int, num: int, den: int) -> int:
@@ -94,23 +110,21 @@ def _info(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            n, f1, f2, m = [], [], [], []
+            n, f1, f2, m, cells, held = [], [], [], [], [], 0
             for text in batch.column(3).to_pylist():
                 s = shingles(text, words)
+                a, b = fingerprint(s)
                 n.append(len(s))
-                if len(s):
-                    hashed = [mixed(s, seed) for seed in _SEEDS]
-                    with np.errstate(over="ignore"):
-                        f1.append(int(hashed[0].sum(dtype=_U).view(np.int64)))
-                        f2.append(int(hashed[1].sum(dtype=_U).view(np.int64)))
-                    m.append([int(h.min().view(np.int64)) for h in hashed[2:]])
-                    counts += np.bincount((s >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)) if len(s) > 50_000 else 0
-                    if len(s) <= 50_000:
-                        np.add.at(counts, (s >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
-                else:
-                    f1.append(0)
-                    f2.append(0)
-                    m.append([])
+                f1.append(a)
+                f2.append(b)
+                m.append(minhashes(s).view(np.int64) if len(s) else [])
+                cells.append((s >> _U(64 - SKETCH_BITS)).astype(np.int32))
+                held += len(s)
+                if held > SKETCH_ROUND:
+                    counts += np.bincount(np.concatenate(cells), minlength=len(counts))
+                    cells, held = [], 0
+            if held:
+                counts += np.bincount(np.concatenate(cells), minlength=len(counts))
             none = [None] * len(n)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *(pa.array(c, t) for c, t in zip((n, f1, f2, m, none, none), schema.types[3:], strict=True))], schema=schema)
         rows = [{"cell": i, "counts": part.tobytes()} for i in range(0, len(counts), SKETCH_ROW) if (part := counts[i : i + SKETCH_ROW]).any()]
@@ -155,22 +169,50 @@ def _prefixes(words: int, num: int, den: int, levels):
                 key = (level[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)].astype(_U) << _U(58)) | (s >> _U(6))
                 p = prefix_size(len(s), num, den)
                 key = np.sort(np.partition(key, p - 1)[:p] if p < len(key) else key)
-                with np.errstate(over="ignore"):
-                    f = mixed(s, _SEEDS[0]).sum(dtype=_U).view(np.int64)
                 tokens.append(key.view(np.int64))
                 n.append(np.full(p, len(s), np.int32))
                 pos.append(np.arange(p, dtype=np.int32))
-                f1.append(np.full(p, f, np.int64))
+                f1.append(np.full(p, fingerprint(s)[0], np.int64))
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, n, pos, f1)], ["token", "n", "pos", "f1"])
 
     return run
 
 
-def _packed(words: int):
+def _filter_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The partition's part of the row filter, as rows of 4,096 flags."""
+    seen = np.zeros(1 << FILTER_BITS, np.bool_)
+    for batch in batches:
+        seen[batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1)] = True
+    cells = np.flatnonzero(seen.reshape(-1, SKETCH_ROW).any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array([np.packbits(seen[c * SKETCH_ROW : (c + 1) * SKETCH_ROW]).tobytes() for c in cells], pa.binary())], ["cell", "flags"])
+
+
+def _join_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for cell, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x = np.frombuffer(raw, np.uint8)
+            total[cell] = x if cell not in total else total[cell] | x
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["cell", "flags"])
+
+
+def row_filter(wanted: DataFrame) -> np.ndarray:
+    """Flags of the wanted rows' keys, joined on the executors; 1 MB reaches the driver."""
+    flags = np.zeros((1 << FILTER_BITS) // SKETCH_ROW * (SKETCH_ROW // 8), np.uint8).reshape(-1, SKETCH_ROW // 8)
+    parts = wanted.select("row_a").mapInArrow(_filter_rows, "cell int, flags binary").repartition(64, "cell").mapInArrow(_join_flags, "cell int, flags binary")
+    for r in parts.toLocalIterator():
+        flags[r["cell"]] |= np.frombuffer(r["flags"], np.uint8)
+    return flags.ravel()
+
+
+def _packed(words: int, flags):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t, words).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["sid", "elements"])
+            at = batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1)
+            some = pa.array(np.flatnonzero(flags.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1))
+            rows = batch.take(some)
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array([shingles(t, words).tobytes() for t in rows.column(2).to_pylist()], pa.binary())], ["row_a", "row_b", "elements"])
 
     return run
 
@@ -218,72 +260,89 @@ class Join:
         """Least overlap of linked sets, as an expression."""
         return F.ceil(F.lit(self.num).cast("long") * (a + b) / F.lit(float(self.num + self.den)) - F.lit(1e-9))
 
+    def packed(self, wanted: DataFrame) -> DataFrame:
+        """(sid, elements) of the wanted (sid, row_a, row_b): whole sets, made anew from the texts.
+
+        A filter of fixed size lets the wanted rows and few others through, so
+        that of all the texts only theirs are shuffled.
+        """
+        wanted = staged(wanted.distinct(), "wanted-sets")
+        flags = self.rows.sparkSession.sparkContext.broadcast(row_filter(wanted))
+        made = self.rows.select("row_a", "row_b", "t").mapInArrow(_packed(self.words, flags), "row_a long, row_b long, elements binary")
+        return staged(made.dropDuplicates(["row_a", "row_b"]).join(wanted, ["row_a", "row_b"]).select("sid", "elements"), "packed-sets")
+
     def links(self) -> DataFrame:
         """Links (a, b) between distinct sets, enough of them to connect whatever is linked."""
         spark = self.rows.sparkSession
+        at = self.sets.select("sid", "n", F.col("row.row_a").alias("row_a"), F.col("row.row_b").alias("row_b"))
+        stars = staged(self._stars(at), "stars")
+        member = self.sets.select("sid", "n", "f1").join(stars, "sid", "left").select("sid", "n", "f1", F.coalesce("pivot", "sid").alias("pivot"), F.coalesce("beyond", F.lit(0)).alias("beyond"))
+        member = staged(member, "star-members")
         levels = spark.sparkContext.broadcast(frequency_levels(self.info))  # 256 KB
         index = self.rows.mapInArrow(_prefixes(self.words, self.num, self.den, levels), "token long, n int, pos int, f1 long")
         shared = index.groupBy("token").agg(F.min("f1").alias("x"), F.max("f1").alias("y")).where("x <> y").select("token")
         hits = staged(index.join(shared, "token", "left_semi").distinct(), "shared-prefixes")
-        sets = self.sets.join(hits.select("f1").distinct(), "f1", "left_semi")
-        wanted = sets.select("sid", F.col("row.row_a").alias("row_a"), F.col("row.row_b").alias("row_b"))
-        texts = self.rows.join(wanted, ["row_a", "row_b"]).dropDuplicates(["sid"]).select("sid", "t")
-        packed = staged(texts.mapInArrow(_packed(self.words), "sid long, elements binary"), "packed-sets")
-        sets = staged(sets.select("sid", "n", "f1", "m"), "joined-sets")
-        stars = staged(self._stars(sets, packed), "stars")
-        member = sets.select("sid", "n", "f1").join(stars, "sid", "left").select("sid", "n", "f1", F.coalesce("pivot", "sid").alias("pivot"), F.coalesce("beyond", F.lit(0)).alias("beyond"))
-        member = staged(member, "star-members")
-        star_sizes = sets.select(F.col("sid").alias("pivot"), F.col("n").alias("pivot_n"))
-        bounds = member.groupBy("pivot").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("beyond").alias("beyond")).join(star_sizes, "pivot")
         pairs = staged(self._star_pairs(hits, member), "star-pairs")
-        got = overlaps(pairs.select("a", "b"), packed)
+        rows_of = lambda df, *cols: functools.reduce(DataFrame.unionAll, [df.select(F.col(c).alias("sid")) for c in cols]).distinct().join(at.select("sid", "row_a", "row_b"), "sid")
+        got = overlaps(pairs, self.packed(rows_of(pairs, "a", "b")))
+        size = at.select("sid", "n")
+        bounds = member.groupBy("pivot").agg(F.min("n").alias("least_n"), F.max("beyond").alias("beyond"), F.max(F.col("sid") != F.col("pivot")).alias("others")).join(size.withColumnsRenamed({"sid": "pivot", "n": "pivot_n"}), "pivot")
         got = got.join(bounds.select(*[F.col(c).alias(f"a_{c}") for c in bounds.columns]), F.col("a") == F.col("a_pivot")).join(bounds.select(*[F.col(c).alias(f"b_{c}") for c in bounds.columns]), F.col("b") == F.col("b_pivot"))
         got = got.withColumn("linked", self.similar(F.col("a_pivot_n"), F.col("b_pivot_n"), F.col("common")))
         possible = F.col("common") + F.col("a_beyond") + F.col("b_beyond") >= self.enough(F.col("a_least_n"), F.col("b_least_n"))
-        got = staged(got.where(F.col("linked") | possible).select("a", "b", "common", "linked"), "star-overlaps")
+        got = staged(got.where(F.col("linked") | (possible & (F.col("a_others") | F.col("b_others")))).select("a", "b", "common", "linked"), "star-overlaps")
         m = member.select("sid", "n", "pivot", "beyond")
         one = m.select(*[F.col(c).alias(f"a_{c}") for c in m.columns])
         two = m.select(*[F.col(c).alias(f"b_{c}") for c in m.columns])
         open_ = got.where("NOT linked").join(one, F.col("a") == F.col("a_pivot"))
         # a member can only reach what its pivot reaches plus its own elements beyond the pivot
         more = open_.join(two, (F.col("b") == F.col("b_pivot")) & self.sizes_fit(F.col("a_n"), F.col("b_n")) & (F.col("common") + F.col("a_beyond") + F.col("b_beyond") >= self.enough(F.col("a_n"), F.col("b_n"))) & ((F.col("a_sid") != F.col("a")) | (F.col("b_sid") != F.col("b"))))
-        size = sets.select("sid", "n")
-        checked = overlaps(more.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")), packed)
-        checked = checked.join(size.select(F.col("sid").alias("a"), F.col("n").alias("a_n")), "a").join(size.select(F.col("sid").alias("b"), F.col("n").alias("b_n")), "b").where(self.similar(F.col("a_n"), F.col("b_n"), F.col("common")))
+        more = staged(more.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")), "member-pairs")
+        checked = overlaps(more, self.packed(rows_of(more, "a", "b")))
+        checked = checked.join(size.withColumnsRenamed({"sid": "a", "n": "a_n"}), "a").join(size.withColumnsRenamed({"sid": "b", "n": "b_n"}), "b").where(self.similar(F.col("a_n"), F.col("b_n"), F.col("common")))
         return stars.select(F.col("sid").alias("a"), F.col("pivot").alias("b")).unionByName(got.where("linked").select("a", "b")).unionByName(checked.select("a", "b"))
 
-    def _stars(self, sets: DataFrame, packed: DataFrame) -> DataFrame:
+    def _stars(self, at: DataFrame) -> DataFrame:
         """(sid, pivot, beyond): a leader with a smaller id for each set that has a verified one, and the elements beyond it."""
-        keys = sets.select("sid", F.posexplode(F.slice("m", 1, KEYS)).alias("k", "key"))
+        keys = self.sets.select("sid", F.posexplode(F.slice("m", 1, KEYS)).alias("k", "key"))
         lead = keys.groupBy("k", "key").agg(F.min("sid").alias("pivot"), F.count("*").alias("size")).where("size > 1")
         pairs = keys.join(lead, ["k", "key"]).where("sid > pivot").select("sid", "pivot").distinct()
-        one = sets.select("sid", "n", "m")
-        two = sets.select(F.col("sid").alias("pivot"), F.col("n").alias("pivot_n"), F.col("m").alias("pivot_m"))
+        one = self.sets.select("sid", "n", "m")
+        two = self.sets.select(F.col("sid").alias("pivot"), F.col("n").alias("pivot_n"), F.col("m").alias("pivot_m"))
         agree = F.aggregate(F.zip_with("m", "pivot_m", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        pairs = pairs.join(one, "sid").join(two, "pivot").where(self.sizes_fit(F.col("n"), F.col("pivot_n")) & (agree >= AGREE)).select(F.col("pivot").alias("a"), F.col("sid").alias("b"), "n", "pivot_n")
-        pairs = staged(pairs, "star-candidates")
+        pairs = pairs.join(one, "sid").join(two, "pivot").where(self.sizes_fit(F.col("n"), F.col("pivot_n"))).withColumn("agree", agree).where(F.col("agree") >= AGREE)
+        best = F.min(F.struct((-F.col("agree")).alias("agree"), "pivot", "n", "pivot_n")).alias("best")
+        pairs = staged(pairs.groupBy("sid").agg(best).select(F.col("best.pivot").alias("a"), F.col("sid").alias("b"), "best.n", "best.pivot_n"), "star-candidates")
+        ids = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
+        packed = self.packed(ids.join(at.select("sid", "row_a", "row_b"), "sid"))
         good = overlaps(pairs, packed).join(pairs, ["a", "b"]).where(self.similar(F.col("n"), F.col("pivot_n"), F.col("common")))
-        return good.groupBy(F.col("b").alias("sid")).agg(F.min(F.struct(F.col("a").alias("pivot"), (F.col("n") - F.col("common")).alias("beyond"))).alias("s")).select("sid", "s.pivot", "s.beyond")
+        return good.select(F.col("b").alias("sid"), F.col("a").alias("pivot"), (F.col("n") - F.col("common")).alias("beyond"))
 
     def _star_pairs(self, hits: DataFrame, member: DataFrame) -> DataFrame:
-        """Pairs of stars that share a prefix element in index blocks that can hold linked sets.
+        """Pairs (a, b) of stars that can hold linked sets.
 
         A list of the index is cut into blocks by set size (powers of the
         similarity) and a block holds a star once, with its smallest position.
         Blocks more than one size step apart are never met, and a pair is left
-        out if the elements from those positions on can't give the overlap.
+        out if the elements from its best positions on can't give the overlap.
+        A pair's meetings are all elements that two prefixes share, so linked
+        sets need as many as the rest of the larger one can't make up for.
         """
         step = math.log(self.den / self.num)
         block = F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)).cast("int")
-        lists = hits.join(member.select("f1", "sid", "pivot", F.col("n").alias("own_n")), "f1").where("n = own_n").groupBy("token", block.alias("block"), "pivot").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.min("pos").alias("pos"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+        lists = hits.join(member.select("f1", "sid", "pivot", F.col("n").alias("own_n")), "f1").where("n = own_n").groupBy("token", block.alias("block"), "pivot").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
         lists = staged(lists, "index-lists")
         busy = lists.groupBy("token").agg(F.min("pivot").alias("x"), F.max("pivot").alias("y")).where("x <> y").select("token")
         lists = lists.join(busy, "token", "left_semi")
         one = lists.select("token", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), F.col("pivot").alias("a"), F.col("n").alias("a_n"), F.col("most").alias("a_most"), F.col("rest").alias("a_rest"))
         two = lists.select("token", "block", F.col("pivot").alias("b"), F.col("n").alias("b_n"), F.col("most").alias("b_most"), F.col("rest").alias("b_rest"))
-        fits = (F.lit(self.den).cast("long") * F.col("a_most") >= F.lit(self.num).cast("long") * F.col("b_n")) & (F.lit(self.den).cast("long") * F.col("b_most") >= F.lit(self.num).cast("long") * F.col("a_n"))
+        long = lambda x: F.lit(x).cast("long")
+        fits = (long(self.den) * F.col("a_most") >= long(self.num) * F.col("b_n")) & (long(self.den) * F.col("b_most") >= long(self.num) * F.col("a_n"))
         reach = F.least("a_rest", "b_rest") >= self.enough(F.col("a_n"), F.col("b_n"))
-        return one.alias("o").join(two.alias("t"), (F.col("o.token") == F.col("t.token")) & (F.col("o.block") == F.col("t.block")) & (F.col("a") < F.col("b")) & fits & reach).select("a", "b").distinct()
+        met = one.alias("o").join(two.alias("t"), (F.col("o.token") == F.col("t.token")) & (F.col("o.block") == F.col("t.block")) & (F.col("a") < F.col("b")) & fits)
+        met = met.groupBy("a", "b").agg(F.max(reach).alias("reach"), F.count("*").alias("shared"), F.min("a_n").alias("a_n"), F.min("b_n").alias("b_n"), F.max(F.greatest("a_most", "b_most")).alias("most"))
+        after = F.ceil(F.lit(self.num) * F.col("most") / F.lit(float(self.den)) - F.lit(1e-9)) - 1  # elements behind the prefix
+        return met.where("reach").where(F.col("shared") + after >= self.enough(F.col("a_n"), F.col("b_n"))).select("a", "b")
 
     def components(self) -> DataFrame:
         """(row_a, row_b, doc_id, n, component) of every document row."""
