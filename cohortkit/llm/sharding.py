@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from cohortkit.llm.common import pick, staged
 
 RING_SLOTS = 1 << 14
-ROWS_PER_BUCKET = 20_000
+#: Rows of a rank bucket on average, and least buckets an arc (arcs differ in length, their buckets spread over tasks).
+ROWS_PER_BUCKET, LEAST_BUCKETS = 20_000, 16
 
 
 def ring_nodes(shards: int, replicas: int, slots: int = RING_SLOTS) -> list[tuple[int, int]]:
@@ -79,7 +80,7 @@ def shard_rows(docs: DataFrame, shards: int = 8, replicas: int = 64, id_col: str
         while ahead < len(nodes) and nodes[ahead][0] < slot:
             ahead += 1
         arc_of.append(ahead % len(nodes))
-    buckets = 1 + total // (ROWS_PER_BUCKET * len(nodes))
+    buckets = LEAST_BUCKETS + total // (ROWS_PER_BUCKET * len(nodes))
     placed = same.withColumns({
         "arc": F.element_at(F.from_json(F.lit(json.dumps(arc_of)), "array<int>"), (F.pmod(F.xxhash64("doc_id"), F.lit(RING_SLOTS)) + 1).cast("int")),
         "key": F.xxhash64("text_crc32", "size", "doc_id"),
