@@ -68,10 +68,15 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
-    """Write the frame as Parquet under the shared folder and read it back (cuts lineage)."""
+    """Write the frame as Parquet under the shared folder and read it back (cuts lineage).
+
+    A collection on the driver then lets Spark's cleaner delete the shuffle
+    files that the written frame needed, instead of at some later time.
+    """
     spark = df.sparkSession
     path = f"{work_folder(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -206,12 +206,16 @@ def row_filter(wanted: DataFrame) -> np.ndarray:
     return flags.ravel()
 
 
+def flagged(flags: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Indexes of the keys that the filter lets through."""
+    at = keys & ((1 << FILTER_BITS) - 1)
+    return np.flatnonzero(flags[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+
+
 def _packed(words: int, flags):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1)
-            some = pa.array(np.flatnonzero(flags.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1))
-            rows = batch.take(some)
+            rows = batch.take(pa.array(flagged(flags.value, batch.column(0).to_numpy())))
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array([shingles(t, words).tobytes() for t in rows.column(2).to_pylist()], pa.binary())], ["row_a", "row_b", "elements"])
 
     return run

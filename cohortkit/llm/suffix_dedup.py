@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.llm.common import hash_pair, pick, staged
-from cohortkit.llm.jaccard_join import _BYTE, _powers, mixed
+from cohortkit.llm.jaccard_join import _BYTE, _powers, flagged, mixed, row_filter
 
 #: Bytes of a repeat, and of the q-grams that make the initial buckets (a repeat is four of them).
 LENGTH = 200
 #: String starts handled at a time; a longer text is taken piece by piece.
 SEGMENT = 1 << 19
+#: A representative's starts are refined in so many parts before they are told apart one by one.
+PARTS = 4
+#: Bits of the two short distances packed below a start.
+SHORT = 12
 _U = np.uint64
 
 
@@ -53,13 +57,32 @@ def lowest(value: np.ndarray, width: int) -> np.ndarray:
     return np.where(value[s] <= value[p], s, p)
 
 
+class Ranges:
+    """Hashes of any byte ranges of a text, from running sums."""
+
+    def __init__(self, raw: np.ndarray) -> None:
+        up, self.down = _powers(len(raw) + 1)
+        self.total = np.zeros(len(raw) + 1, _U)
+        with np.errstate(over="ignore"):
+            np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=_U, out=self.total[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray, *more: np.ndarray) -> np.ndarray:
+        """Bucket identifiers of the ranges; ``more`` numbers count as part of them."""
+        with np.errstate(over="ignore"):
+            x = (self.total[end] - self.total[start]) * self.down[start]
+            for m in (end - start, *more):
+                x = mixed(x ^ m.astype(_U) * _U(0xD6E8FEB86659FD93))
+            return x
+
+
 def anchors(raw: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray, ...]]:
-    """(bucket, context, lo, hi) of a text's sampled suffixes.
+    """(bucket, context, lo, hi, at) of a text's sampled suffixes.
 
     The string that starts at i is represented by the q-gram of lowest bucket
     inside it (the leftmost of equals), so equal strings have equal
-    representatives at equal offsets. A representative stands for the starts
-    lo..hi; its context is a hash of all bytes of their strings.
+    representatives at equal offsets. A representative, the suffix at ``at``,
+    stands for the starts lo..hi; its context is the bucket of all bytes of
+    their strings.
     """
     q = length // 4
     for start in range(0, len(raw) - length + 1, SEGMENT):
@@ -68,12 +91,27 @@ def anchors(raw: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray,
         at = lowest(bucket, length - q + 1)
         lo = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         hi = np.r_[lo[1:], len(at)] - 1
-        up, down = _powers(len(part) + 1)
-        with np.errstate(over="ignore"):
-            total = np.zeros(len(part) + 1, _U)
-            np.cumsum(_BYTE[part] * up[: len(part)], dtype=_U, out=total[1:])
-            context = mixed((total[hi + length] - total[lo]) * down[lo] + (at[lo] - lo).astype(_U) * _U(0xD6E8FEB86659FD93), (hi - lo).astype(_U))
-        yield bucket[at[lo]], context, lo + start, hi + start
+        at = at[lo]
+        yield bucket[at], Ranges(part).of(lo, hi + length, at - lo), lo + start, hi + start, at + start
+
+
+def parts(raw: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(index, core, hull, lo, hi) of the parts of representatives' starts, by distance from the representative.
+
+    The core is the bucket of the bytes that all strings of a part have in
+    common, the hull that of all their bytes.
+    """
+    step = -(-(length - length // 4 + 1) // PARTS)
+    for piece in np.unique(lo // SEGMENT):
+        some = np.flatnonzero(lo // SEGMENT == piece)
+        base = int(piece) * SEGMENT
+        ranges = Ranges(raw[base : base + SEGMENT + 2 * length])
+        for j in range(PARTS):
+            last = at[some] - step * j  # of the part's starts
+            a, b = np.maximum(lo[some], last - step + 1), np.minimum(hi[some], last)
+            ok = np.flatnonzero(a <= b)
+            last, a, b, index = last[ok] - base, a[ok] - base, b[ok] - base, some[ok]
+            yield index, ranges.of(last, last - step + 1 + length, np.full(len(ok), j)), ranges.of(a, b + length, at[index] - base - a), a + base, b + base
 
 
 def _count_rows(length: int):
@@ -89,13 +127,39 @@ def _count_rows(length: int):
 def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
             for a, b, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for bucket, context, lo, hi in anchors(np.frombuffer(t or b"", np.uint8), length):
-                    for k, x in enumerate((bucket.view(np.int64), context.view(np.int64), np.full(len(lo), a), np.full(len(lo), b), lo, hi)):
+                for bucket, context, lo, hi, at in anchors(np.frombuffer(t or b"", np.uint8), length):
+                    place = lo << 2 * SHORT | hi - lo << SHORT | at - lo
+                    for k, x in enumerate((bucket.view(np.int64), context.view(np.int64), np.full(len(lo), a), np.full(len(lo), b), place)):
                         out[k].append(x)
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["bucket", "context", "text_a", "text_b", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["bucket", "context", "text_a", "text_b", "place"])
+
+    return run
+
+
+def unpacked(place):
+    """(lo, hi, at) of packed places; columns or arrays."""
+    low = (1 << SHORT) - 1
+    if isinstance(place, np.ndarray):
+        lo = place >> 2 * SHORT
+        return lo, lo + (place >> SHORT & low), lo + (place & low)
+    lo = F.shiftright(place, 2 * SHORT)
+    return lo, lo + F.shiftright(place, SHORT).bitwiseAND(F.lit(low)), lo + place.bitwiseAND(F.lit(low))
+
+
+def _part_rows(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(7)]
+            for a, b, t, todo in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                lo, hi, at = unpacked(np.array([r["place"] for r in todo], np.int64))
+                weight = np.array([min(r["weight"], 2) for r in todo], np.int64)
+                for index, core, hull, first, last in parts(np.frombuffer(t, np.uint8), lo, hi, at, length):
+                    for k, x in enumerate((core.view(np.int64), hull.view(np.int64), np.full(len(index), a), np.full(len(index), b), first, last, weight[index])):
+                        out[k].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in out], ["core", "hull", "text_a", "text_b", "lo", "hi", "weight"])
 
     return run
 
@@ -105,17 +169,15 @@ def _string_rows(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t, todo in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            out: list[list] = [[] for _ in range(5)]
+            for a, b, t, todo in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 raw = np.frombuffer(t, np.uint8)
-                string, cid, off, weight = [], [], [], []
                 for r in todo:
-                    bucket = grams(raw[r["lo"] : r["hi"] + length], q)
-                    bucket = refined(refined(bucket, q), 2 * q)
-                    string.append(bucket)
-                    cid.append(np.full(len(bucket), r["cid"]))
-                    off.append(np.arange(r["lo"], r["hi"] + 1))
-                    weight.append(np.full(len(bucket), min(r["weight"], 2)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(string).view(np.int64)), *(pa.array(np.concatenate(x), pa.int64()) for x in (cid, off, weight))], ["string", "cid", "start", "weight"])
+                    bucket = refined(refined(grams(raw[r["lo"] : r["hi"] + length], q), q), 2 * q)
+                    n = len(bucket)
+                    for k, x in enumerate((bucket.view(np.int64), np.full(n, a), np.full(n, b), np.arange(r["lo"], r["hi"] + 1), np.full(n, r["weight"]))):
+                        out[k].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in out], ["string", "text_a", "text_b", "lo", "weight"])
 
     return run
 
@@ -145,36 +207,60 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.binary())], ["text_a", "text_b", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """(text_a, text_b, spans) of the texts with repeats, and those texts once each.
+def _with_texts(texts: DataFrame, todo: DataFrame) -> DataFrame:
+    """(text_a, text_b, t, todo): the texts that ``todo`` has rows for, once each.
+
+    A filter of fixed size lets their rows and few others through, so that
+    of all the texts only theirs are shuffled.
+    """
+    flags = texts.sparkSession.sparkContext.broadcast(row_filter(todo.select(F.col("text_a").alias("row_a"))))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.take(pa.array(flagged(flags.value, batch.column(0).to_numpy())))
+
+    few = texts.mapInArrow(some, texts.schema)
+    return few.join(todo, ["text_a", "text_b"]).dropDuplicates(["text_a", "text_b"]).select("text_a", "text_b", "t", "todo")
+
+
+def _by_text(rows: DataFrame, *cols: str) -> DataFrame:
+    return staged(rows.groupBy("text_a", "text_b").agg(F.collect_set(F.struct(*cols)).alias("todo")), "todo")
+
+
+def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(text_a, text_b, todo) of the texts with repeats, todo the (lo, end) ranges.
 
     ``texts`` has (text_a, text_b, t), a 128-bit key and the bytes of every
-    document. Refinement goes in three steps. Initial buckets: suffixes with
-    the same q-gram; of the suffixes only representatives are dealt out, about
-    one in 76, and buckets of one are done. Contexts: representatives of one
-    bucket whose strings agree in all bytes are repeated with all their
-    starts, however many they are. Strings: of buckets with several contexts,
-    one representative of each goes on, start by start, and buckets of twice
-    and four times the depth are made from the bucket identifiers q and 2q
-    bytes later; a start is repeated if its bucket holds another one.
+    document. Buckets of suffixes are refined step by step, and a bucket of one
+    is done at once. Initial buckets: suffixes with the same q-gram; of the
+    suffixes only representatives are dealt out, about one in 76. Contexts:
+    representatives of one bucket whose strings agree in all bytes are
+    repeated with all their starts, however many they are. Parts: of a bucket
+    with several contexts one representative each goes on, its starts in four
+    parts, bucketed by the bytes that a part's strings have in common and
+    again by all their bytes. Strings: what is left goes on start by start, in
+    buckets of twice and four times the depth of the q-grams, made from
+    the bucket identifiers q and 2q bytes later.
     """
     shared = texts.mapInArrow(_count_rows(length), "bucket long").groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    rows = texts.mapInArrow(_anchor_rows(length), "bucket long, context long, text_a long, text_b long, lo long, hi long")
+    rows = texts.mapInArrow(_anchor_rows(length), "bucket long, context long, text_a long, text_b long, place long")
     hits = staged(rows.join(shared, "bucket", "left_semi"), "shared-buckets")
-    contexts = hits.groupBy("bucket", "context").agg(F.count("*").alias("weight"), F.min(F.struct("text_a", "text_b", "lo", "hi")).alias("r"))
-    contexts = staged(contexts.select(F.monotonically_increasing_id().alias("cid"), "*"), "contexts")
-    full = hits.join(contexts.where("weight > 1").select("bucket", "context"), ["bucket", "context"], "left_semi").select("text_a", "text_b", "lo", (F.col("hi") + length).alias("end"))
-    mixed_buckets = contexts.groupBy("bucket").agg(F.min("context").alias("x"), F.max("context").alias("y"), F.min("weight").alias("least")).where("x <> y AND least = 1").select("bucket")
-    todo = contexts.join(mixed_buckets, "bucket", "left_semi").select("cid", "weight", "r.*")
-    todo = todo.groupBy("text_a", "text_b").agg(F.collect_list(F.struct("cid", "weight", "lo", "hi")).alias("todo"))
-    used = hits.select("text_a", "text_b").distinct()
-    once = staged(texts.join(used, ["text_a", "text_b"], "left_semi").dropDuplicates(["text_a", "text_b"]), "texts-with-repeats")
-    strings = staged(once.join(todo, ["text_a", "text_b"]).select("t", "todo").mapInArrow(_string_rows(length), "string long, cid long, start long, weight long"), "strings")
+    contexts = staged(hits.groupBy("bucket", "context").agg(F.count("*").alias("weight"), F.min(F.struct("text_a", "text_b", "place")).alias("r")), "contexts")
+    lo, hi, _ = unpacked(F.col("place"))
+    full = hits.join(contexts.where("weight > 1").select("bucket", "context"), ["bucket", "context"], "left_semi").select("text_a", "text_b", lo.alias("lo"), (hi + length).alias("end"))
+    open_ = contexts.groupBy("bucket").agg(F.min("context").alias("x"), F.max("context").alias("y"), F.min("weight").alias("least")).where("x <> y AND least = 1").select("bucket")
+    todo = _by_text(contexts.join(open_, "bucket", "left_semi").select("r.*", "weight"), "place", "weight")
+    schema = "core long, hull long, text_a long, text_b long, lo long, hi long, weight long"
+    part = staged(_with_texts(texts, todo).mapInArrow(_part_rows(length), schema), "parts")
+    hulls = part.groupBy("core", "hull").agg(F.sum("weight").alias("weight"), F.min(F.struct("text_a", "text_b", "lo", "hi")).alias("r"))
+    hulls = staged(hulls, "hulls")
+    same = part.where("weight = 1").join(hulls.where("weight > 1").select("core", "hull"), ["core", "hull"], "left_semi").select("text_a", "text_b", "lo", (F.col("hi") + length).alias("end"))
+    open_ = hulls.groupBy("core").agg(F.min("hull").alias("x"), F.max("hull").alias("y"), F.min("weight").alias("least")).where("x <> y AND least = 1").select("core")
+    todo = _by_text(hulls.join(open_, "core", "left_semi").select("r.*", F.least("weight", F.lit(2).cast("long")).alias("weight")), "lo", "hi", "weight")
+    strings = staged(_with_texts(texts, todo).mapInArrow(_string_rows(length), "string long, text_a long, text_b long, lo long, weight long"), "strings")
     again = strings.groupBy("string").agg(F.sum("weight").alias("n")).where("n > 1").select("string")
-    edge = strings.where("weight = 1").join(again, "string", "left_semi").join(contexts.select("cid", "r.text_a", "r.text_b"), "cid")
-    edge = edge.select("text_a", "text_b", F.col("start").alias("lo"), (F.col("start") + length).alias("end"))
-    spans = full.unionByName(edge).groupBy("text_a", "text_b").agg(F.collect_set(F.struct("lo", "end")).alias("spans"))
-    return spans, once
+    single = strings.where("weight = 1").join(again, "string", "left_semi").select("text_a", "text_b", "lo", (F.col("lo") + length).alias("end"))
+    return _by_text(full.unionByName(same).unionByName(single), "lo", "end")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
@@ -190,13 +276,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     a row each and remove one another's strings; an empty table gives no
     rows; other columns are ignored. ``length`` must be a multiple of 4.
     """
-    if length % 4 or length < 8:
-        raise ValueError("length must be a multiple of 4, 8 at least")
+    if length % 4 or not 8 <= length < 1 << SHORT:
+        raise ValueError("length must be a multiple of 4 from 8 to 4,092")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     a, b = hash_pair(text)
     rows = pick(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), a.alias("text_a"), b.alias("text_b"), text.cast("binary").alias("t"))
-    spans, once = repeated_spans(rows.select("text_a", "text_b", "t"), length)
-    done = staged(once.join(spans, ["text_a", "text_b"]).select("text_a", "text_b", "t", "spans").mapInArrow(_cut, "text_a long, text_b long, n_removed long, n_spans long, kept_sha256 string, kept binary").drop(*[] if keep_text else ["kept"]), "kept-texts")
+    texts = rows.select("text_a", "text_b", "t")
+    done = staged(_with_texts(texts, repeated_spans(texts, length)).mapInArrow(_cut, "text_a long, text_b long, n_removed long, n_spans long, kept_sha256 string, kept binary").drop(*[] if keep_text else ["kept"]), "kept-texts")
     plain = rows.select("doc_id", "text_a", "text_b", F.octet_length("t").cast("long").alias("n_bytes"), F.sha2("t", 256).alias("whole"), *[F.col("t")] * keep_text)
     zero = F.lit(0).cast("long")
     out = plain.join(done, ["text_a", "text_b"], "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), *[F.coalesce("kept", "t").alias("kept")] * keep_text)
