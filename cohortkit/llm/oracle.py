@@ -24,4 +24,64 @@ SELECT tok.doc_id, len(tok.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS
 FROM tok LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE_SQL = {"op1_decontamination": _OP1}
+_OP3 = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(3, len(w)) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, (len(w) - least(3, len(w)) + 2)::BIGINT)) AS i FROM t WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM common JOIN size s ON s.doc_id = x JOIN size z ON z.doc_id = y
+  WHERE 100 * c >= 90 * (s.n + z.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, b.y FROM reach r JOIN both_ways b ON r.other = b.x)
+SELECT d.doc_id, coalesce(any_value(size.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+_OP4 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, (len(h) // 2 - 199)::BIGINT)) AS i FROM d WHERE len(h) >= 400)),
+again AS (SELECT k FROM p GROUP BY k HAVING count(*) > 1),
+r AS (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh
+  FROM p SEMI JOIN again ON p.k = again.k),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS b
+  FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r) GROUP BY doc_id, run),
+gaps AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+kept AS (
+  SELECT g.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS rest
+  FROM gaps g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+_OP6 = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM v
+  UNION
+  SELECT r.vec_id, l.y FROM reach r JOIN links l ON r.other = l.x),
+low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT low.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, low.vec_id = component_id AS kept
+FROM low LEFT JOIN n ON n.x = low.vec_id
+"""
+
+#: The other queries hash, learn or tokenize in ways that SQL can't express; tests/llm compares them with direct versions.
+ORACLE_SQL = {"op1_decontamination": _OP1, "op3_jaccard_join": _OP3, "op4_suffix_dedup": _OP4, "op6_embedding_dedup": _OP6}
