@@ -20,15 +20,17 @@ SKETCH_BITS = 18
 SKETCH_ROW = 4096
 #: Elements that are counted into the sketch at a time.
 SKETCH_ROUND = 1_000_000
-#: Min-hashes of a set, those that propose a leader, and how many must agree with it.
-MINHASHES, KEYS, AGREE = 8, 3, 5
+#: Min-hashes of a set; every fourth proposes a group; how many must agree for a set to be tried in one.
+MINHASHES, KEY_STEP, AGREE = 32, 4, 12
+#: Rows of a group are dealt to so many places where they meet its one central set.
+SALTS = 16
 #: Bits, as a power of two, of the row filter: 1 MB whatever the corpus. A full filter only lets more rows through.
 FILTER_BITS = 23
 _U = np.uint64
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=_U) * _U(2) + _U(1)
 _BASE = _U(0x9E3779B97F4A7C15)
-_BOUNDS = np.arange(MINHASHES, dtype=_U) << _U(61)
+_BOUNDS = np.arange(MINHASHES, dtype=_U) << _U(59)
 _POWERS: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
@@ -87,7 +89,7 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def minhashes(s: np.ndarray) -> np.ndarray:
-    """Smallest hash of each eighth of the hash range; an empty eighth takes the next one's."""
+    """Smallest hash of each of 32 parts of the hash range; an empty part takes the next one's."""
     return s[np.searchsorted(s, _BOUNDS) % len(s)]
 
 
@@ -152,7 +154,7 @@ def frequency_levels(info: DataFrame) -> np.ndarray:
     """Binary logarithm of the corpus count of each sketch cell (262,144 bytes, whatever the corpus)."""
     rows = info.where("counts IS NOT NULL").select("cell", "counts")
     levels = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for r in rows.repartition(1 << (SKETCH_BITS - 12), "cell").sortWithinPartitions("cell").mapInArrow(_add_up, "cell int, counts binary").toLocalIterator():
+    for r in rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_add_up, "cell int, counts binary").toLocalIterator():
         levels[r["cell"] : r["cell"] + SKETCH_ROW] = np.frexp(np.frombuffer(r["counts"], np.int64))[1]
     return levels
 
@@ -200,7 +202,7 @@ def _join_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def row_filter(wanted: DataFrame) -> np.ndarray:
     """Flags of the wanted rows' keys, joined on the executors; 1 MB reaches the driver."""
     flags = np.zeros((1 << FILTER_BITS) // SKETCH_ROW * (SKETCH_ROW // 8), np.uint8).reshape(-1, SKETCH_ROW // 8)
-    parts = wanted.select("row_a").mapInArrow(_filter_rows, "cell int, flags binary").repartition(64, "cell").mapInArrow(_join_flags, "cell int, flags binary")
+    parts = wanted.select("row_a").mapInArrow(_filter_rows, "cell int, flags binary").repartition("cell").mapInArrow(_join_flags, "cell int, flags binary")
     for r in parts.toLocalIterator():
         flags[r["cell"]] |= np.frombuffer(r["flags"], np.uint8)
     return flags.ravel()
@@ -221,25 +223,63 @@ def _packed(words: int, flags):
     return run
 
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(batch, x without y, y without x, common) of each row's two sets."""
     for batch in batches:
-        common = []
-        last, x = None, None
+        found = []
         for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            if a is not last:
-                last, x = a, np.frombuffer(a, _U)
-            y = np.frombuffer(b, _U)
-            small, big = (x, y) if len(x) < len(y) else (y, x)
-            at = np.searchsorted(big, small)
-            common.append(int((big[np.minimum(at, len(big) - 1)] == small).sum()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64())], ["a", "b", "common"])
+            x, y = np.frombuffer(a, _U), np.frombuffer(b, _U)
+            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            here = y[at] == x
+            found.append((x[~here], y, at[here]))
+        yield batch, found
 
 
-def overlaps(pairs: DataFrame, packed: DataFrame) -> DataFrame:
-    """Exact number of common elements of each pair (a, b) of set ids."""
+def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, found in _pieces(batches):
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(at) for _, _, at in found], pa.int64())], ["a", "b", "common"])
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Elements of a beyond b and of b missing in a, of pairs that have half of the larger set in common."""
+    for batch, found in _pieces(batches):
+        keep, out, miss = [], [], []
+        for i, (beyond, y, at) in enumerate(found):
+            if 2 * len(at) >= max(len(at) + len(beyond), len(y)):
+                gone = np.ones(len(y), np.bool_)
+                gone[at] = False
+                keep.append(i)
+                out.append(beyond.view(np.int64))
+                miss.append(y[gone].view(np.int64))
+        rows = batch.take(pa.array(keep, pa.int64()))
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(out, pa.list_(pa.int64())), pa.array(miss, pa.list_(pa.int64()))], ["a", "b", "beyond", "missing"])
+
+
+def _corrected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reference sets: a set's elements without ``gone`` and with ``added``."""
+    for batch in batches:
+        made = []
+        for raw, added, gone in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            if added or gone:
+                x = np.setdiff1d(np.frombuffer(raw, _U), np.array(gone or [], np.int64).view(_U), assume_unique=True)
+                raw = np.union1d(x, np.array(added or [], np.int64).view(_U)).tobytes()
+            made.append(raw)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["sid", "elements"])
+
+
+def _side_by_side(pairs: DataFrame, packed: DataFrame) -> DataFrame:
     one = packed.select(F.col("sid").alias("a"), F.col("elements").alias("x"))
     two = packed.select(F.col("sid").alias("b"), F.col("elements").alias("y"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_overlap, "a long, b long, common long")
+    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
+
+
+def overlaps(pairs: DataFrame, packed: DataFrame) -> DataFrame:
+    """Exact number of common elements of each pair (a, b) of set ids."""
+    return _side_by_side(pairs, packed).mapInArrow(_overlap, "a long, b long, common long")
+
+
+def _prefixed(df: DataFrame, letter: str, *cols: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{letter}_{c}") for c in cols])
 
 
 class Join:
@@ -279,54 +319,142 @@ class Join:
         """Links (a, b) between distinct sets, enough of them to connect whatever is linked."""
         spark = self.rows.sparkSession
         at = self.sets.select("sid", "n", F.col("row.row_a").alias("row_a"), F.col("row.row_b").alias("row_b"))
-        stars = staged(self._stars(at), "stars")
-        member = self.sets.select("sid", "n", "f1").join(stars, "sid", "left").select("sid", "n", "f1", F.coalesce("pivot", "sid").alias("pivot"), F.coalesce("beyond", F.lit(0)).alias("beyond"))
-        member = staged(member, "star-members")
+        group, votes = self._groups(at)
+        near = [self._to_centre(group), *self._inside(group)]
+        member = self.sets.select("sid", "n", "f1").join(group.select("sid", "gid", F.size("beyond").alias("beyond")), "sid", "left")
+        member = staged(member.select("sid", "n", "f1", F.coalesce("gid", "sid").alias("gid"), F.coalesce("beyond", F.lit(0)).alias("beyond")), "set-groups")
         levels = spark.sparkContext.broadcast(frequency_levels(self.info))  # 256 KB
         index = self.rows.mapInArrow(_prefixes(self.words, self.num, self.den, levels), "token long, n int, pos int, f1 long")
         shared = index.groupBy("token").agg(F.min("f1").alias("x"), F.max("f1").alias("y")).where("x <> y").select("token")
         hits = staged(index.join(shared, "token", "left_semi").distinct(), "shared-prefixes")
-        pairs = staged(self._star_pairs(hits, member), "star-pairs")
-        rows_of = lambda df, *cols: functools.reduce(DataFrame.unionAll, [df.select(F.col(c).alias("sid")) for c in cols]).distinct().join(at.select("sid", "row_a", "row_b"), "sid")
-        got = overlaps(pairs, self.packed(rows_of(pairs, "a", "b")))
-        size = at.select("sid", "n")
-        bounds = member.groupBy("pivot").agg(F.min("n").alias("least_n"), F.max("beyond").alias("beyond"), F.max(F.col("sid") != F.col("pivot")).alias("others")).join(size.withColumnsRenamed({"sid": "pivot", "n": "pivot_n"}), "pivot")
-        got = got.join(bounds.select(*[F.col(c).alias(f"a_{c}") for c in bounds.columns]), F.col("a") == F.col("a_pivot")).join(bounds.select(*[F.col(c).alias(f"b_{c}") for c in bounds.columns]), F.col("b") == F.col("b_pivot"))
-        got = got.withColumn("linked", self.similar(F.col("a_pivot_n"), F.col("b_pivot_n"), F.col("common")))
-        possible = F.col("common") + F.col("a_beyond") + F.col("b_beyond") >= self.enough(F.col("a_least_n"), F.col("b_least_n"))
-        got = staged(got.where(F.col("linked") | (possible & (F.col("a_others") | F.col("b_others")))).select("a", "b", "common", "linked"), "star-overlaps")
-        m = member.select("sid", "n", "pivot", "beyond")
-        one = m.select(*[F.col(c).alias(f"a_{c}") for c in m.columns])
-        two = m.select(*[F.col(c).alias(f"b_{c}") for c in m.columns])
-        open_ = got.where("NOT linked").join(one, F.col("a") == F.col("a_pivot"))
-        # a member can only reach what its pivot reaches plus its own elements beyond the pivot
-        more = open_.join(two, (F.col("b") == F.col("b_pivot")) & self.sizes_fit(F.col("a_n"), F.col("b_n")) & (F.col("common") + F.col("a_beyond") + F.col("b_beyond") >= self.enough(F.col("a_n"), F.col("b_n"))) & ((F.col("a_sid") != F.col("a")) | (F.col("b_sid") != F.col("b"))))
-        more = staged(more.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")), "member-pairs")
-        checked = overlaps(more, self.packed(rows_of(more, "a", "b")))
-        checked = checked.join(size.withColumnsRenamed({"sid": "a", "n": "a_n"}), "a").join(size.withColumnsRenamed({"sid": "b", "n": "b_n"}), "b").where(self.similar(F.col("a_n"), F.col("b_n"), F.col("common")))
-        return stars.select(F.col("sid").alias("a"), F.col("pivot").alias("b")).unionByName(got.where("linked").select("a", "b")).unionByName(checked.select("a", "b"))
-
-    def _stars(self, at: DataFrame) -> DataFrame:
-        """(sid, pivot, beyond): a leader with a smaller id for each set that has a verified one, and the elements beyond it."""
-        keys = self.sets.select("sid", F.posexplode(F.slice("m", 1, KEYS)).alias("k", "key"))
-        lead = keys.groupBy("k", "key").agg(F.min("sid").alias("pivot"), F.count("*").alias("size")).where("size > 1")
-        pairs = keys.join(lead, ["k", "key"]).where("sid > pivot").select("sid", "pivot").distinct()
-        one = self.sets.select("sid", "n", "m")
-        two = self.sets.select(F.col("sid").alias("pivot"), F.col("n").alias("pivot_n"), F.col("m").alias("pivot_m"))
-        agree = F.aggregate(F.zip_with("m", "pivot_m", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        pairs = pairs.join(one, "sid").join(two, "pivot").where(self.sizes_fit(F.col("n"), F.col("pivot_n"))).withColumn("agree", agree).where(F.col("agree") >= AGREE)
-        best = F.min(F.struct((-F.col("agree")).alias("agree"), "pivot", "n", "pivot_n")).alias("best")
-        pairs = staged(pairs.groupBy("sid").agg(best).select(F.col("best.pivot").alias("a"), F.col("sid").alias("b"), "best.n", "best.pivot_n"), "star-candidates")
+        pairs = staged(self._group_pairs(hits, member), "group-pairs")
         ids = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
         packed = self.packed(ids.join(at.select("sid", "row_a", "row_b"), "sid"))
-        good = overlaps(pairs, packed).join(pairs, ["a", "b"]).where(self.similar(F.col("n"), F.col("pivot_n"), F.col("common")))
-        return good.select(F.col("b").alias("sid"), F.col("a").alias("pivot"), (F.col("n") - F.col("common")).alias("beyond"))
-
-    def _star_pairs(self, hits: DataFrame, member: DataFrame) -> DataFrame:
-        """Pairs (a, b) of stars that can hold linked sets.
+        refs = packed.join(votes, packed["sid"] == votes["gid"], "left").select("sid", "elements", "added", "gone").mapInArrow(_corrected, "sid long, elements binary")
+        bounds = member.groupBy("gid").agg(F.min("n").alias("least_n"), F.max("beyond").alias("beyond"), F.max(F.col("sid") != F.col("gid")).alias("others"))
+        cols = ("gid", "least_n", "beyond", "others")
+        got = overlaps(pairs, refs).join(_prefixed(bounds, "a", *cols), F.col("a") == F.col("a_gid")).join(_prefixed(bounds, "b", *cols), F.col("b") == F.col("b_gid"))
+        # two sets share at most what their references do and what both have beyond them
+        got = staged(got.where(F.col("common") + F.col("a_beyond") + F.col("b_beyond") >= self.enough(F.col("a_least_n"), F.col("b_least_n"))), "near-groups")
+        lone = got.where("NOT a_others AND NOT b_others AND a_beyond = 0 AND b_beyond = 0").where(self.similar(F.col("a_least_n"), F.col("b_least_n"), F.col("common")))
+        near.append(lone.select("a", "b"))
+        cols = ("sid", "n", "gid", "beyond")
+        open_ = got.where("a_others OR b_others OR a_beyond > 0 OR b_beyond > 0").select("a", "b", "common")
+        more = open_.join(_prefixed(member, "a", *cols), F.col("a") == F.col("a_gid")).join(_prefixed(member, "b", *cols), (F.col("b") == F.col("b_gid")) & self.sizes_fit(F.col("a_n"), F.col("b_n")) & (F.col("common") + F.col("a_beyond") + F.col("b_beyond") >= self.enough(F.col("a_n"), F.col("b_n"))))
+        more = staged(more.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"), "a_n", "b_n"), "member-pairs")
+        ids = more.select(F.col("a").alias("sid")).unionAll(more.select(F.col("b").alias("sid"))).distinct()
+        checked = overlaps(more, self.packed(ids.join(at.select("sid", "row_a", "row_b"), "sid"))).join(more, ["a", "b"])
+        near.append(checked.where(self.similar(F.col("a_n"), F.col("b_n"), F.col("common"))).select("a", "b"))
+        return functools.reduce(DataFrame.unionByName, near)
+
+    def _groups(self, at: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Groups of similar sets, each set by its differences from the group's reference; the references' corrections.
+
+        A set joins the smallest id of a shared min-hash with which it agrees
+        best, and that one's own choice, twice over. It stays if the two have
+        half of the larger set in common. The reference is the first set
+        corrected by majority: with elements that more than half of the group
+        have beyond it, without those that more than half lack. So a group's
+        members differ from it by their own changes alone.
+        """
+        bins = F.transform(F.sequence(F.lit(0), F.lit(MINHASHES - 1), F.lit(KEY_STEP)), lambda i: F.col("m")[i])
+        keys = self.sets.select("sid", F.posexplode(bins).alias("k", "key"))
+        lead = keys.groupBy("k", "key").agg(F.min("sid").alias("to"), F.count("*").alias("size")).where("size > 1")
+        pairs = keys.join(lead, ["k", "key"]).where("sid > to").select("sid", "to").distinct()
+        one = self.sets.select("sid", "m")
+        two = self.sets.select(F.col("sid").alias("to"), F.col("m").alias("to_m"))
+        agree = F.aggregate(F.zip_with("m", "to_m", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+        pairs = pairs.join(one, "sid").join(two, "to").withColumn("agree", agree).where(F.col("agree") >= AGREE)
+        best = F.min(F.struct((-F.col("agree")).alias("agree"), "to")).alias("best")
+        choice = staged(pairs.groupBy("sid").agg(best).select("sid", "best.to"), "group-choices")
+        for _ in range(2):
+            onward = choice.select(F.col("sid").alias("to"), F.col("to").alias("next"))
+            choice = staged(choice.join(onward, "to", "left").select("sid", F.coalesce("next", "to").alias("to")), "group-choices")
+        ids = choice.select("sid").unionAll(choice.select(F.col("to").alias("sid"))).distinct()
+        packed = self.packed(ids.join(at.select("sid", "row_a", "row_b"), "sid"))
+        found = _side_by_side(choice.select(F.col("sid").alias("a"), F.col("to").alias("b")), packed).mapInArrow(_differences, "a long, b long, beyond array<long>, missing array<long>")
+        none = F.array().cast("array<long>")
+        found = staged(found, "differences")
+        firsts = found.select(F.col("b").alias("a"), "b", none.alias("beyond"), none.alias("missing")).distinct()
+        firsts = firsts.join(found.select("a"), "a", "left_anti")
+        found = found.unionByName(firsts).withColumnsRenamed({"a": "sid", "b": "gid"})
+        size = found.groupBy("gid").agg(F.count("*").alias("size"))
+
+        def majority(col: str, name: str) -> DataFrame:
+            count = found.select("gid", F.explode(col).alias("element")).groupBy("gid", "element").agg(F.count("*").alias("n"))
+            return count.join(size, "gid").where("2 * n > size").groupBy("gid").agg(F.collect_set("element").alias(name))
+
+        votes = size.join(majority("beyond", "added"), "gid", "left").join(majority("missing", "gone"), "gid", "left")
+        votes = staged(votes.select("gid", F.coalesce("added", none).alias("added"), F.coalesce("gone", none).alias("gone")), "corrections")
+        n = self.sets.select("sid", "n")
+        ref = votes.join(n.withColumnsRenamed({"sid": "gid", "n": "first_n"}), "gid").withColumn("ref_n", F.col("first_n") + F.size("added") - F.size("gone"))
+        group = self._met(found, ref, ["added", "gone", "ref_n"]).join(n, "sid").select(
+            "sid", "gid", "n", "ref_n",
+            F.array_union(F.array_except("beyond", "added"), F.array_except("gone", "missing")).alias("beyond"),
+            F.array_union(F.array_except("missing", "gone"), F.array_except("added", "beyond")).alias("missing"),
+        )
+        group = staged(group, "groups")
+        centre = group.groupBy("gid").agg(F.min(F.struct((F.size("beyond") + F.size("missing")).alias("far"), "sid", "n", "beyond", "missing")).alias("c"))
+        centre = centre.select("gid", F.col("c.sid").alias("c_sid"), F.col("c.n").alias("c_n"), F.col("c.beyond").alias("c_beyond"), F.col("c.missing").alias("c_missing"))
+        group = self._met(group, centre, ["c_sid", "c_n", "c_beyond", "c_missing"])
+        common = F.col("ref_n") - F.size(F.array_union("missing", "c_missing")) + F.size(F.array_intersect("beyond", "c_beyond"))
+        group = group.withColumn("linked", self.similar(F.col("n"), F.col("c_n"), common.cast("long")))
+        return staged(group.drop("c_n", "c_beyond", "c_missing"), "group-members"), votes
+
+    def _met(self, members: DataFrame, by_group: DataFrame, cols: list[str]) -> DataFrame:
+        """Members with columns of their group's one row; a large group meets copies of that row in several places."""
+        salted = members.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int"))
+        copies = by_group.select("gid", *cols, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        return salted.join(copies, ["gid", "salt"]).drop("salt")
+
+    def _to_centre(self, group: DataFrame) -> DataFrame:
+        return group.where("linked AND sid <> c_sid").select(F.col("sid").alias("a"), F.col("c_sid").alias("b"))
+
+    def _inside(self, group: DataFrame) -> list[DataFrame]:
+        """Links inside groups of sets that are not linked with the centre.
+
+        Two members share the reference without what either lacks, and what
+        both have beyond it. So unless the reference alone is enough for them,
+        they must have elements beyond it in common, and counting those
+        gives their exact overlap. First each such set is tried with the
+        smallest id in the lists of its elements; sets linked with the same
+        one are not compared again.
+        """
+        cols = ("sid", "gid", "n", "ref_n", "linked", "c_sid", "missing")
+        lists = group.select("sid", "gid", "n", "ref_n", "linked", F.size("missing").alias("lacks"), F.explode("beyond").alias("element"))
+        busy = lists.groupBy("gid", "element").agg(F.min(F.when(~F.col("linked"), F.col("sid"))).alias("first"), F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y AND first IS NOT NULL").select("gid", "element", "first")
+        lists = staged(lists.join(busy, ["gid", "element"]), "element-lists")
+        tried = lists.where("NOT linked AND sid <> first").groupBy("sid", "first").agg(F.count("*").alias("both"))
+        tried = tried.groupBy("sid").agg(F.max(F.struct("both", "first")).alias("t")).select("sid", "t.first", "t.both")
+        one, two = _prefixed(group, "a", *cols), _prefixed(group, "b", *cols)
+        exact = F.col("a_ref_n") - F.size(F.array_union("a_missing", "b_missing")) + F.col("both")
+        similar = self.similar(F.col("a_n"), F.col("b_n"), exact.cast("long"))
+        first = staged(tried.join(one, F.col("sid") == F.col("a_sid")).join(two, F.col("first") == F.col("b_sid")).where(similar).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")), "first-links")
+        label = first.select(F.col("a").alias("sid"), F.col("b").alias("label"))
+        labels = group.select("sid", "linked", "c_sid").join(label, "sid", "left").select("sid", F.when(F.col("linked"), F.col("c_sid")).otherwise(F.coalesce("label", "sid")).alias("label"))
+        labels = staged(labels, "group-labels")
+        a = _prefixed(lists.join(labels, "sid"), "a", "sid", "gid", "element", "n", "ref_n", "linked", "lacks", "label").where("NOT a_linked")
+        b = _prefixed(lists.join(labels, "sid"), "b", "sid", "gid", "element", "n", "linked", "lacks", "label")
+        new = (F.col("a_label") != F.col("b_label")) & (F.col("b_linked") | (F.col("a_sid") < F.col("b_sid")))
+        met = a.join(b, (F.col("a_gid") == F.col("b_gid")) & (F.col("a_element") == F.col("b_element")) & new & self.sizes_fit(F.col("a_n"), F.col("b_n")))
+        met = met.groupBy("a_sid", "b_sid").agg(F.count("*").alias("both"), F.first("a_n").alias("n"), F.first("b_n").alias("m"), F.first("a_ref_n").alias("ref_n"), F.first(F.greatest("a_lacks", "b_lacks")).alias("lacks"))
+        met = met.where(F.col("ref_n") - F.col("lacks") + F.col("both") >= self.enough(F.col("n"), F.col("m"))).select(F.col("a_sid").alias("sid"), F.col("b_sid").alias("first"), "both")
+        sharing = met.join(one, F.col("sid") == F.col("a_sid")).join(two, F.col("first") == F.col("b_sid")).where(similar).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"))
+        # the reference alone may be enough for sets that are shorter than the centre
+        short = group.join(labels, "sid").withColumn("lacks", F.size("missing"))
+        cols = ("sid", "gid", "n", "ref_n", "linked", "beyond", "missing", "lacks", "label")
+        a = _prefixed(short.where(~F.col("linked") & ((F.col("ref_n") - F.col("lacks")) * self.den >= F.col("n") * self.num)), "a", *cols)
+        b = _prefixed(short, "b", *cols)
+        met = a.join(b, (F.col("a_gid") == F.col("b_gid")) & new & self.sizes_fit(F.col("a_n"), F.col("b_n")) & (F.col("a_ref_n") - F.greatest("a_lacks", "b_lacks") >= self.enough(F.col("a_n"), F.col("b_n"))))
+        exact = F.col("a_ref_n") - F.size(F.array_union("a_missing", "b_missing")) + F.size(F.array_intersect("a_beyond", "b_beyond"))
+        alone = met.where(self.similar(F.col("a_n"), F.col("b_n"), exact.cast("long"))).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"))
+        return [first, sharing, alone]
+
+    def _group_pairs(self, hits: DataFrame, member: DataFrame) -> DataFrame:
+        """Pairs (a, b) of groups that can hold linked sets.
 
         A list of the index is cut into blocks by set size (powers of the
-        similarity) and a block holds a star once, with its smallest position.
+        similarity) and a block holds a group once, with its smallest position.
         Blocks more than one size step apart are never met, and a pair is left
         out if the elements from its best positions on can't give the overlap.
         A pair's meetings are all elements that two prefixes share, so linked
@@ -334,12 +462,12 @@ class Join:
         """
         step = math.log(self.den / self.num)
         block = F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)).cast("int")
-        lists = hits.join(member.select("f1", "sid", "pivot", F.col("n").alias("own_n")), "f1").where("n = own_n").groupBy("token", block.alias("block"), "pivot").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+        lists = hits.join(member.select("f1", "sid", "gid", F.col("n").alias("own_n")), "f1").where("n = own_n").groupBy("token", block.alias("block"), "gid").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
         lists = staged(lists, "index-lists")
-        busy = lists.groupBy("token").agg(F.min("pivot").alias("x"), F.max("pivot").alias("y")).where("x <> y").select("token")
+        busy = lists.groupBy("token").agg(F.min("gid").alias("x"), F.max("gid").alias("y")).where("x <> y").select("token")
         lists = lists.join(busy, "token", "left_semi")
-        one = lists.select("token", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), F.col("pivot").alias("a"), F.col("n").alias("a_n"), F.col("most").alias("a_most"), F.col("rest").alias("a_rest"))
-        two = lists.select("token", "block", F.col("pivot").alias("b"), F.col("n").alias("b_n"), F.col("most").alias("b_most"), F.col("rest").alias("b_rest"))
+        one = lists.select("token", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), F.col("gid").alias("a"), F.col("n").alias("a_n"), F.col("most").alias("a_most"), F.col("rest").alias("a_rest"))
+        two = lists.select("token", "block", F.col("gid").alias("b"), F.col("n").alias("b_n"), F.col("most").alias("b_most"), F.col("rest").alias("b_rest"))
         long = lambda x: F.lit(x).cast("long")
         fits = (long(self.den) * F.col("a_most") >= long(self.num) * F.col("b_n")) & (long(self.den) * F.col("b_most") >= long(self.num) * F.col("a_n"))
         reach = F.least("a_rest", "b_rest") >= self.enough(F.col("a_n"), F.col("b_n"))
@@ -365,14 +493,17 @@ def keyed_rows(rows: DataFrame) -> DataFrame:
 def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: n_shingles and component_id under links of Jaccard similarity >= num/den.
 
-    Equal sets are joined as one. Sets whose min-hashes agree with those of a
-    smaller id are checked against it and, if linked, become members of its
-    star; then only stars meet in the index of prefix elements (rarest first by
-    a corpus-wide count sketch), and what a member can share with another star
-    follows from its pivot's overlap and the elements it has beyond its pivot,
-    so most members are never compared. Whatever the order and the sketch say,
-    each link between sets of different components is found and checked on the
-    whole sets; links inside a component are not listed.
+    Equal sets are joined as one. Sets whose min-hashes agree form groups, and
+    each is kept as its differences from a reference, the group's majority.
+    Overlaps inside a group follow from the differences, first with the member
+    closest to the reference, then only for sets that have elements beyond the
+    reference in common (or are short), so no two of many near copies meet for
+    what all of them share. Groups and lone sets meet in the index of prefix
+    elements (rarest first by a corpus-wide count sketch), and only members
+    which the references' overlap and their own elements leave a chance are
+    compared. Whatever the order, the groups and the sketch say, each link
+    between sets of different components is found and checked exactly; links
+    inside a component are not all listed.
 
     Null and empty texts and texts without words have 0 shingles and stay
     alone. Rows that repeat an id or a text get a row each (equal texts are
