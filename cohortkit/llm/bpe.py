@@ -11,8 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortkit.llm.common import _position, by_position, pick
 
@@ -26,6 +28,9 @@ MEMO_WORDS = 150_000
 ROUND_CHARS = 2_000_000
 # Fixed value: how byte-level tokenizers cut text where their file names no pattern.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Characters whose class or lower case depends on the Unicode version, so that only the
+# tokenizers library itself tells how its files cut them.
+_RARE = re.compile("[\u0558\u058b\u058c\u088f\u0c5c\u0cdc\u1c89\u208f\u209d-\u209f\ua7cb-\ua7f1\uab6c\uab6d\U00010000-\U0001efff\U00020000-\U0010ffff]")
 _NONE = np.iinfo(np.int32).max
 
 
@@ -55,7 +60,8 @@ class Tokenizer:
         self.steps = [s["type"] for s in (spec["normalizer"] or {}).get("normalizers", [])]
         self.byte_level = (spec.get("decoder") or {}).get("type") == "ByteLevel"
         cut = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"].get("pretokenizers", []) if p["type"] == "Split"]
-        self.pieces = regex.compile(cut[0] if cut else BYTE_LEVEL).findall
+        self.find = regex.compile(cut[0] if cut else BYTE_LEVEL).findall
+        self.path, self.library = path, None
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         symbols = byte_symbols()
         self.byte_of = {c: b for b, c in enumerate(symbols)}
@@ -206,16 +212,26 @@ class Tokenizer:
                 raise ValueError(f"unknown normalizer {step}")
         return text
 
+    def pieces(self, text: str) -> list[str]:
+        """Words of a text without special tokens, normalized, in order."""
+        if text.isascii() or not _RARE.search(text):
+            return self.find(self.normal(text))
+        if self.library is None:
+            self.library = tokenizers.Tokenizer.from_file(self.path)
+        if self.library.normalizer is not None:
+            text = self.library.normalizer.normalize_str(text)
+        return [bytes(self.byte_of[c] for c in w).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
+
     def cut(self, text: str) -> list[str | int]:
         """Words of a text in order, and the ids of special tokens in it."""
         if self.split is None or not any(s in text for s in self.special):
-            return self.pieces(self.normal(text))
+            return self.pieces(text)
         out: list[str | int] = []
         for k, part in enumerate(self.split.split(text)):
             if k % 2:
                 out.append(self.special[part])
             else:
-                out += self.pieces(self.normal(part))
+                out += self.pieces(part)
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -312,5 +328,5 @@ def with_tokens(docs: DataFrame, path: str, text_col: str = "text", names: tuple
             cols = [*batch.columns[:-1], pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in ids], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names[:-1], *names])
 
-    schema = flat.drop("whole_text").schema.add(names[0], "long").add(names[1], "array<int>")
+    schema = flat.drop("whole_text").schema.add(names[0], T.LongType()).add(names[1], T.ArrayType(T.IntegerType()))
     return flat.mapInArrow(run, schema).toDF(*[docs.columns[i] for i in keep], *names)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +20,9 @@ MOST_TRANSITIONS, MEMO_WORDS = 600_000, 300_000
 LIMIT = 512
 #: No text before the current word.
 _START = -1
-_FIRST_BREAK = re.compile(r"(?<=\S)\s")
-_LAST_BREAK = re.compile(r"\s(?=\S)")
+_FIRST_BREAK = regex.compile(r"(?<=\S)\s")
+_LAST_BREAK = regex.compile(r"\s(?=\S)")
+_BREAK = regex.compile(r"\S\s")
 
 
 class Transducer:
@@ -169,7 +170,7 @@ class Counter:
     def compose(self, x: ChunkMap, y: ChunkMap) -> ChunkMap:
         """The map of two neighbouring texts (associative); a break may arise where they meet."""
         before, after = (x.head if x.count is None else x.tail), y.head
-        broken = before and after and not before[-1].isspace() and after[0].isspace()
+        broken = before and after and _BREAK.match(before[-1] + after[0])
         if broken:
             left = ChunkMap(before, 0, "") if x.count is None else ChunkMap(x.head, x.count + self.words(before), "")
             right = ChunkMap("", 0, after) if y.count is None else ChunkMap("", self.words(after) + y.count, y.tail)

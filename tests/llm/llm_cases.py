@@ -14,8 +14,14 @@ def words(n: int, seed: int, vocabulary: int = 400) -> str:
     return " ".join(f"w{r.randrange(vocabulary)}" for _ in range(n))
 
 
-def frame(spark, texts: list[tuple[int | None, str | None]], lang: str | None = "en"):
-    return spark.createDataFrame([(i, t, lang, "src0", None if t is None else len(t), *EXTRA) for i, t in texts], SCHEMA)
+def frame(spark, texts: list[tuple[int | None, str | None]], lang: str | None = "en", clash: bool = True):
+    """Documents with extra columns; with ``clash`` one differs from ``text`` in case alone."""
+    df = spark.createDataFrame([(i, t, lang, "src0", None if t is None else len(t), *EXTRA) for i, t in texts], SCHEMA)
+    if clash:
+        return df
+    names = df.columns
+    at = [i for i, c in enumerate(names) if c != "TEXT"]
+    return df.toDF(*[f"x{i}" for i in range(len(names))]).select(*[f"x{i}" for i in at]).toDF(*[names[i] for i in at])
 
 
 def odd_texts() -> list[tuple[int | None, str | None]]:

@@ -13,7 +13,7 @@ def folder(spark, tmp_path):
     texts = [(i, words(80, 10 + i)) for i in range(40)]
     bench = [(i, words(30, 5000 + i)) for i in range(3)]
     texts += [(100, texts[3][1]), (101, texts[4][1] + " tail"), (102, words(20, 900) + " " + bench[1][1]), (103, words(30, 901) + " token=abcdef0123456789 end"), (104, None), (105, ""), (106, "12 34 !!")]
-    frame(spark, texts).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    frame(spark, texts, clash=False).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     return str(tmp_path), texts, bench
 
@@ -41,7 +41,7 @@ def test_stages(spark, folder):
 
 def test_odd_and_empty_tables(spark, folder):
     path, _, _ = folder
-    odd = frame(spark, odd_texts()).drop("TEXT")
+    odd = frame(spark, odd_texts(), clash=False)
     for docs in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, path)

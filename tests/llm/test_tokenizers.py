@@ -19,7 +19,7 @@ from cohortkit.llm.bpe import Tokenizer, encode_rows, with_tokens
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 HARD = [
     "I'll don't WE'RE 'S x's", "  two  spaces\n\n\nand\tlines \r\n ", "ΑΣ ΣΑΣ ὈΔΥΣΣΕΎΣ İstanbul ſ K", "naïve café é ẞ ﬁ", "日本語テキスト 한국어 עברית", "🙂🙃👨‍👩‍👧 ©®™",
-    "a<|endoftext|>b <|startoftext|><|startoftext|> c", "123 4567 ٣٤ ½ Ⅷ", "\x00\x01\x1c\x1d\x1e\x1f\x85\xa0 　x", "!!!??? ...--- _a_b_", "supercalifragilisticexpialidocious" * 9, "a" * 700, "ab" * 300, " " * 300 + "x", "\n" * 40,
+    "\u0558a \u058b x\U0003d000y \u209d 𐄇𐄈 𠀀𠀁 Ა\u1c89 \ua7dc", "a<|endoftext|>b <|startoftext|><|startoftext|> c", "123 4567 ٣٤ ½ Ⅷ", "\x00\x01\x1c\x1d\x1e\x1f\x85\xa0 　x", "!!!??? ...--- _a_b_", "supercalifragilisticexpialidocious" * 9, "a" * 700, "ab" * 300, " " * 300 + "x", "\n" * 40,
 ]
 _BYTE_LIB, _WORD_LIB = Library.from_file(BYTE), Library.from_file(WORD)
 _WORD_OWN, _BYTE_OWN, _COUNTER = Tokenizer(WORD), Tokenizer(BYTE), counts.Counter(BYTE)
