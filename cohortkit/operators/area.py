@@ -24,12 +24,17 @@ def zip_area_table(
     zip_col: str = "ZIP_CODE",
     out_zip: str = "zipcode",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Area measures per ZIP: every area column plus the crosswalk's ZIP as
     ``out_zip`` (inner join on the area key; a ZIP that maps to several
-    areas gets one row per area)."""
+    areas gets one row per area). ``broadcast`` passes a size decision made
+    earlier."""
     xwalk = crosswalk.select(F.col(area_key).alias("__area_key"), F.col(zip_col).alias(out_zip))
-    xwalk, _ = checked_broadcast(xwalk, max_broadcast_rows)
+    if broadcast is None:
+        xwalk, _ = checked_broadcast(xwalk, max_broadcast_rows)
+    elif broadcast:
+        xwalk = F.broadcast(xwalk)
     return area.join(xwalk, area[area_key] == xwalk["__area_key"]).select(*[area[c] for c in area.columns], out_zip)
 
 
@@ -58,16 +63,20 @@ def unmatched_keys(
     persons: DataFrame,
     area_by_zip: DataFrame,
     columns: Sequence[str] = ("city", "state", "zip"),
+    area_columns: Sequence[str] = ("ZCTA",),
     zip_col: str = "zip_code",
     area_zip: str = "zipcode",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Distinct place columns of persons whose ZIP found no area row
-    (null ZIPs included): an anti join, then distinct."""
+    (null ZIPs included): an anti join, then distinct. ``area_columns`` of the
+    area table follow, all null as no area matched."""
     probe = persons.select(zip_col, *columns)
-    return join_lookup(probe, area_by_zip.select(area_zip), zip_col, area_zip, "left_anti", max_broadcast_rows,
-                       broadcast=broadcast).select(*columns).distinct()
+    none = [F.lit(None).cast(area_by_zip.schema[c].dataType).alias(c) for c in area_columns]
+    found = join_lookup(probe, area_by_zip.select(area_zip), zip_col, area_zip, "left_anti", max_broadcast_rows,
+                        broadcast=broadcast)
+    return found.select(*columns).distinct().select(*columns, *none)
 
 
 def attach_column(
@@ -77,11 +86,13 @@ def attach_column(
     key: str = "person_id",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     restrict_to: DataFrame | None = None,
+    broadcast: bool | None = None,
+    unique: str = "allow_fanout",
 ) -> DataFrame:
     """All of ``df`` plus ``columns`` of ``other`` by a left join on ``key``
-    (``restrict_to``: see ``joins.join_lookup``)."""
+    (``restrict_to``, ``broadcast``, ``unique``: see ``joins.join_lookup``)."""
     return join_lookup(df, other.select(key, *columns), key, key, "left", max_broadcast_rows,
-                       restrict_to=restrict_to)
+                       restrict_to=restrict_to, broadcast=broadcast, unique=unique)
 
 
 def cast_columns(df: DataFrame, columns: Sequence[str] = tuple(SDOH_COLUMNS), dtype: str = "double") -> DataFrame:

@@ -24,6 +24,18 @@ def assert_unique(df: DataFrame, keys: Sequence[str], name: str = "input") -> Da
     return df
 
 
+UNIQUE_MODES = ("assert", "allow_fanout")
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], unique: str, name: str) -> None:
+    """``assert_unique`` on rows with non-null keys when ``unique`` is "assert";
+    nothing when it is "allow_fanout"."""
+    if unique not in UNIQUE_MODES:
+        raise ValueError(f"unique must be one of {UNIQUE_MODES}")
+    if unique == "assert":
+        assert_unique(df.select(*keys).dropna(), keys, name)
+
+
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row-count metric that is filled by whatever action later runs
     on the returned DataFrame (no extra job)."""

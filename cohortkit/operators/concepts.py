@@ -68,20 +68,16 @@ def er_concept_ids(concept_sets: DataFrame, members: DataFrame, flag: str = "er_
     )
 
 
-def curated_columns(concept_sets: DataFrame, domain: str = "condition_occurrence", flag: str = "comorbidity",
-                    max_columns: int = 1000) -> list[str]:
+def curated_columns(concept_sets: DataFrame, domain: str = "condition_occurrence", flag: str = "comorbidity") -> list[str]:
     """Sorted output column names of the chosen curated sets.
 
     A pivot's schema must be known when the plan is built; this reads the
-    (small, hand-made) curated list, bounded by ``max_columns``.
+    names of the hand-made curated list, one an output column.
     """
     rows = (
         concept_sets.where(F.col("domain").contains(domain) & (F.col(flag) == 1) & F.col("column_name").isNotNull())
         .select("column_name")
         .distinct()
-        .limit(max_columns + 1)
         .collect()
     )
-    if len(rows) > max_columns:
-        raise ValueError(f"more than {max_columns} curated columns; pass the list explicitly")
     return sorted(r[0] for r in rows)

@@ -1,8 +1,9 @@
 """Joins against lookup tables, safe at scale.
 
-* ``checked_broadcast`` broadcasts a side only after a bounded scan proves it
-  has at most ``max_rows`` rows; otherwise the plan keeps a shuffle join (and
-  adaptive execution may still convert it from measured sizes).
+* ``checked_broadcast`` broadcasts a side only after a count proves it has at
+  most ``max_rows`` rows and, at its schema's row width, at most
+  ``BROADCAST_BYTES``; otherwise the plan keeps a shuffle join (and adaptive
+  execution may still convert it from measured sizes).
 * ``join_lookup`` is the left / anti / semi join of a large table against a
   lookup. When the lookup is not broadcast, rows whose key is null (which can
   never match) get a salt so that they spread over the shuffle instead of all
@@ -13,10 +14,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .checks import require_unique
 
 # Default row bound for broadcasting a lookup (about tens of MB for the
 # narrow lookups used here: concept ids, partner manifest, area tables).
@@ -25,27 +29,49 @@ DEFAULT_BROADCAST_ROWS = 200_000
 # of the event tables; above it, the event side is shuffled by person_id.
 COHORT_BROADCAST_ROWS = 1_000_000
 NULL_KEY_SALT_BUCKETS = 256
+# A broadcast side's estimated size: rows times the width of its schema.
+BROADCAST_BYTES = 256 << 20
+VARIABLE_WIDTH = 32
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes of a row; strings and nested values count 32 each."""
+    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4}
+    eight = (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)
+    width = 16
+    for f in df.schema:
+        width += 8 if isinstance(f.dataType, eight) else fixed.get(type(f.dataType), VARIABLE_WIDTH)
+    return width
 
-    Skips ``max_rows`` rows and asks for one more: Spark scans one partition,
-    then more only while too few rows were seen, and stops as soon as row
-    ``max_rows + 1`` exists. At most one one-column row reaches the driver.
-    """
-    return len(df.select(F.lit(1).alias("one")).offset(max_rows).take(1)) == 0
+
+def count_rows(dfs: Sequence[DataFrame]) -> list[int]:
+    """Row counts of several inputs by one aggregate; one number each reaches the driver."""
+    if not dfs:
+        return []
+    tagged = [df.select(F.lit(i).alias("__input")) for i, df in enumerate(dfs)]
+    counts = {r["__input"]: r["count"] for r in reduce(DataFrame.unionAll, tagged).groupBy("__input").count().collect()}
+    return [counts.get(i, 0) for i in range(len(dfs))]
+
+
+def fits(df: DataFrame, rows: int, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether an input with ``rows`` rows is within both broadcast bounds."""
+    return 0 < max_rows and rows <= max_rows and rows * row_width(df) <= max_bytes
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows of its width within the
+    byte bound. One count; a plain parquet scan counts without reading columns."""
+    return small_enough([df], max_rows)[0]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when the row bound holds, else ``(df, False)``.
-
-    Use it on inputs whose bounded scan is cheap (scans, filters,
-    projections, broadcast joins of those): the scan stops early. Sides that
-    are aggregates of large inputs are not checked (that would compute them
-    twice): the join stays a shuffle join, which adaptive execution turns
-    into a broadcast join from the measured size when that side is its own
-    shuffle stage.
+    """``(broadcast(df), True)`` when the bounds hold, else ``(df, False)``.
+
+    Use it on inputs whose count is cheap (scans, filters, projections,
+    broadcast joins of those). Sides that are aggregates of large inputs are
+    not checked (that would compute them twice): the join stays a shuffle
+    join, which adaptive execution turns into a broadcast join from the
+    measured size when that side is its own shuffle stage.
     """
     if max_rows > 0 and has_at_most(df, max_rows):
         return F.broadcast(df), True
@@ -53,18 +79,21 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def small_enough(dfs: Sequence[DataFrame], max_rows: int | Sequence[int] = DEFAULT_BROADCAST_ROWS) -> list[bool]:
-    """``has_at_most`` for several inputs (one bound, or one per input),
-    run as concurrent jobs."""
+    """``has_at_most`` for several inputs (one bound, or one per input) by one
+    aggregate; inputs with a bound of 0 are not counted."""
     bounds = [max_rows] * len(dfs) if isinstance(max_rows, int) else list(max_rows)
+    asked = [i for i, bound in enumerate(bounds) if bound > 0]
+    counts = dict(zip(asked, count_rows([dfs[i] for i in asked])))
+    return [i in counts and fits(dfs[i], counts[i], bounds[i]) for i in range(len(dfs))]
 
-    def check(pair):
-        df, bound = pair
-        return bound > 0 and has_at_most(df, bound)
 
-    if len(dfs) <= 1:
-        return [check(p) for p in zip(dfs, bounds)]
-    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return list(pool.map(check, zip(dfs, bounds)))
+def _hashable(kind: T.DataType) -> bool:
+    """Types that ``xxhash64`` takes (no maps or variants at any depth)."""
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def join_lookup(
@@ -77,6 +106,7 @@ def join_lookup(
     keep_lookup_key: bool = False,
     broadcast: bool | None = None,
     restrict_to: DataFrame | None = None,
+    unique: str = "allow_fanout",
 ) -> DataFrame:
     """Join ``df`` to ``lookup`` on ``df[key] == lookup[lookup_key]``.
 
@@ -93,10 +123,14 @@ def join_lookup(
     ``key``) that the caller has proven small (e.g. a cohort within the
     broadcast bound). A lookup too large to broadcast is then semi-joined to
     those broadcast keys first, so only its matching rows are shuffled.
+
+    A repeated lookup key repeats the matching rows of ``df`` ("allow_fanout")
+    or raises ``DuplicateKeyError`` ("assert", one aggregate job).
     """
     if how not in ("left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
     lookup_key = lookup_key or key
+    require_unique(lookup, [lookup_key], unique, "lookup")
     extra = [c for c in lookup.columns if c != lookup_key]
     if how == "left":
         shown = extra + ([lookup_key] if keep_lookup_key else [])
@@ -124,9 +158,10 @@ def join_lookup(
     else:
         # Salt only null keys: they cannot match, so any salt keeps the result
         # exact, and a hash of the row keeps it deterministic on recompute.
+        hashed = [F.col(f.name) for f in df.schema if _hashable(f.dataType)]
         salt = F.when(
             F.col(key).isNull(),
-            F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_SALT_BUCKETS)) + 1,
+            F.pmod(F.xxhash64(*hashed), F.lit(NULL_KEY_SALT_BUCKETS)) + 1,
         ).otherwise(F.lit(0).cast("bigint"))
         left = df.withColumn("__salt_l", salt)
         right = right.withColumn("__salt_r", F.lit(0).cast("bigint"))

@@ -3,14 +3,18 @@ except the lookup joins of ``enrich_person``)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import person as P
 from ..functions.sampling import in_sample
 from ..sources.tables import require_columns
+from .checks import require_unique
 from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, checked_broadcast, join_lookup, small_enough
 
+# The columns taken from the person, location and site tables.
 PERSON_COLUMNS = [
     "person_id", "year_of_birth", "month_of_birth", "day_of_birth",
     "ethnicity_concept_name", "race_concept_name", "gender_concept_name",
@@ -22,14 +26,21 @@ MANIFEST_COLUMNS = [
 ]
 
 
-def sample_cohort(cohort: DataFrame, fraction: float = 1.0, seed: int = 111, key: str = "person_id") -> DataFrame:
-    """Keep about ``fraction`` of the persons, chosen by a hash of (seed, key).
+def sample_cohort(cohort: DataFrame, fraction: float = 1.0, seed: int = 111, key: str = "person_id",
+                  method: str = "hash") -> DataFrame:
+    """Keep about ``fraction`` of the persons.
 
-    The same persons are kept on every run and every cluster layout.
+    ``hash`` chooses by a hash of (seed, key): the same persons are kept on
+    every run and every cluster layout. ``random`` is Spark's row sample
+    (``DataFrame.sample``): it depends on how the rows are partitioned.
     ``fraction=1.0`` returns the input unchanged.
     """
+    if method not in ("hash", "random"):
+        raise ValueError("method must be 'hash' or 'random'")
     if fraction >= 1.0:
         return cohort
+    if method == "random":
+        return cohort.sample(withReplacement=False, fraction=fraction, seed=seed)
     return cohort.where(in_sample(F.col(key), fraction, seed))
 
 
@@ -41,6 +52,9 @@ def enrich_person(
     key: str = "person_id",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
+    lookup_small: Sequence[bool] | None = None,
+    cohort_small: bool | None = None,
+    unique: str = "allow_fanout",
 ) -> DataFrame:
     """Attach person attributes, then address, then the contributing site.
 
@@ -51,21 +65,28 @@ def enrich_person(
     The person table usually covers the whole population. When it is too
     large to broadcast but the cohort is small, it is first semi-joined to
     the broadcast cohort keys, so only the cohort's person rows are shuffled.
+
+    ``lookup_small`` (person, location, site) and ``cohort_small`` pass size
+    decisions made earlier. A repeated cohort person or lookup key multiplies
+    rows, or raises with ``unique="assert"``.
     """
+    require_unique(cohort, [key], unique, "cohort")
     require_columns(person, PERSON_COLUMNS, "person")
     require_columns(location, LOCATION_COLUMNS, "location")
     require_columns(manifest, MANIFEST_COLUMNS, "manifest")
     person, location, manifest = (
         person.select(*PERSON_COLUMNS), location.select(*LOCATION_COLUMNS), manifest.select(*MANIFEST_COLUMNS)
     )
-    small = small_enough([person, location, manifest], max_broadcast_rows)
+    small = small_enough([person, location, manifest], max_broadcast_rows) if lookup_small is None else lookup_small
     if not small[0]:
-        keys, cohort_small = checked_broadcast(cohort.select(F.col(key).alias("person_id")), cohort_broadcast_rows)
+        keys = cohort.select(F.col(key).alias("person_id"))
+        if cohort_small is None:
+            keys, cohort_small = checked_broadcast(keys, cohort_broadcast_rows)
         if cohort_small:
-            person = person.join(keys, "person_id", "left_semi")
-    out = join_lookup(cohort, person, key, "person_id", "left", broadcast=small[0])
-    out = join_lookup(out, location, "location_id", "location_id", "left", broadcast=small[1])
-    return join_lookup(out, manifest, "data_partner_id", "data_partner_id", "left", broadcast=small[2])
+            person = person.join(F.broadcast(keys), "person_id", "left_semi")
+    out = join_lookup(cohort, person, key, "person_id", "left", broadcast=small[0], unique=unique)
+    out = join_lookup(out, location, "location_id", "location_id", "left", broadcast=small[1], unique=unique)
+    return join_lookup(out, manifest, "data_partner_id", "data_partner_id", "left", broadcast=small[2], unique=unique)
 
 
 def add_age(df: DataFrame, index_col: str = "first_pos_pcr_antigen_date") -> DataFrame:

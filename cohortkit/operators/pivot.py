@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .checks import require_unique
 from .concepts import chosen_sets, concept_pairs, curated_columns
 from .events import first_event_per
 from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, small_enough
@@ -90,21 +89,26 @@ def earliest_comorbidities(
     index_col: str = "first_pos_pcr_antigen_date",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
+    unique: str = "allow_fanout",
 ) -> DataFrame:
     """Earliest record per (person, comorbidity) for persons of the cohort,
     with the person's index date: person_id, comorbidity,
     comorbidity_start_date, <index_col>, condition_occurrence_id,
-    condition_source_value. Ties go to the smallest occurrence id.
+    condition_source_value. Ties go to the smallest occurrence id. A person
+    who occurs several times in the cohort counts once, with the earliest of
+    the index dates, or raises with ``unique="assert"``.
 
     A cohort within ``cohort_broadcast_rows`` is broadcast into the scan of
     the records (map-side filter, index date attached) before the
     aggregation; a larger one is joined to the per-(person, comorbidity)
     results.
     """
+    require_unique(persons, ["person_id"], unique, "persons")
     cohort = persons.select("person_id", index_col)
     chosen_small, small = small_enough(
         [chosen_sets(concept_sets), cohort], [max_broadcast_rows, cohort_broadcast_rows]
     )
+    cohort = cohort.groupBy("person_id").agg(F.min(index_col).alias(index_col))
     events = comorbidity_events(concept_sets, members, conditions, max_broadcast_rows, chosen_broadcast=chosen_small)
     out_cols = ["person_id", "comorbidity", "comorbidity_start_date", index_col,
                 "condition_occurrence_id", "condition_source_value"]
@@ -135,15 +139,11 @@ def comorbidities(
     within ``cohort_broadcast_rows`` filters the records map-side; a larger
     one is semi-joined after the records are reduced to one row per person.
     """
-    # Independent plan-time work runs concurrently: the pivot columns, and
-    # the size checks of the curated list and of the cohort.
     cohort = persons.select("person_id")
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        listed = None if columns is not None else pool.submit(curated_columns, concept_sets)
-        chosen_small, small = small_enough(
-            [chosen_sets(concept_sets), cohort], [max_broadcast_rows, cohort_broadcast_rows]
-        )
-        values = list(columns) if listed is None else listed.result()
+    values = curated_columns(concept_sets) if columns is None else list(columns)
+    chosen_small, small = small_enough(
+        [chosen_sets(concept_sets), cohort], [max_broadcast_rows, cohort_broadcast_rows]
+    )
     events = comorbidity_events(concept_sets, members, conditions, max_broadcast_rows, chosen_broadcast=chosen_small)
     if small:
         cohort = F.broadcast(cohort)

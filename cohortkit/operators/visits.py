@@ -21,17 +21,17 @@ later stay, so it joins on (person_id, salt) instead; see there.
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import days_between, event_within, index_minus_event_within
+from ..functions.dates import as_date, days_between, event_within, index_minus_event_within
 from ..sources.tables import require_columns
-from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, small_enough
+from .checks import require_unique
+from .joins import BROADCAST_BYTES, COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, row_width, small_enough
 
-# Salts for joining events to a cohort too large to broadcast.
+# Least number of salts for joining events to a cohort too large to broadcast.
 COHORT_SALTS = 16
 
 MODES = ("either", "both")
@@ -51,45 +51,64 @@ class CohortProfile:
 
     rows: int
     bounds: dict[str, tuple[dt.date | None, dt.date | None]]
+    width: int = 64  # estimated bytes of a cohort row
 
     def small(self, max_rows: int) -> bool:
-        return max_rows > 0 and self.rows <= max_rows
+        return 0 < max_rows and self.rows <= max_rows and self.rows * self.width <= BROADCAST_BYTES
 
 
 def profile_cohort(persons: DataFrame, index_cols: list[str]) -> CohortProfile:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(index_cols):
-        aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+        aggs += [F.min(as_date(F.col(c))).alias(f"lo{i}"), F.max(as_date(F.col(c))).alias(f"hi{i}")]
     r = persons.agg(*aggs).first()
-    return CohortProfile(r["rows"], {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(index_cols)})
+    width = row_width(persons.select("person_id", *index_cols))
+    return CohortProfile(r["rows"], {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(index_cols)}, width)
+
+
+def _dated(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns as DATE (timestamps lose their time of day); DATE columns stay as they are."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: as_date(F.col(c)) for c in columns if kinds[c] != "date"})
 
 
 def _in_index_range(event: Column, bounds: tuple, days_before: int, days_after: int) -> Column:
     """Event date within [earliest index - days_before, latest index + days_after]:
-    every match of any person lies there. A literal range, so it reaches the
-    scan (row-group and partition pruning on the event date)."""
+    every match of any person lies there. A literal range on the stored column
+    (the end as an open bound, so that times of the last day are inside), so it
+    reaches the scan (row-group and partition pruning on the event date)."""
     lo, hi = bounds
     if lo is None or hi is None:
         return F.lit(False)
-    return event.between(F.date_sub(F.lit(lo), days_before), F.date_add(F.lit(hi), days_after))
+    first, end = lo - dt.timedelta(days=days_before), hi + dt.timedelta(days=days_after + 1)
+    return (event >= F.lit(first)) & (event < F.lit(end))
+
+
+def cluster_salts(df: DataFrame) -> int:
+    """Salts for a hot person: the cluster's task slots (16 at least)."""
+    return max(COHORT_SALTS, df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _join_cohort(events: DataFrame, persons: DataFrame, columns: list[str], broadcast: bool,
-                 salts: int = COHORT_SALTS) -> DataFrame:
+                 salts: int | None = None) -> DataFrame:
     """Join event rows to the cohort's (person_id, index dates).
 
     A cohort proven small is broadcast: the events stay where they are. A
-    large one is joined on (person_id, salt): each event row gets a salt from
-    a hash of the row, and the one cohort row per person is repeated once per
-    salt. A person owning a large share of the events then spreads over
-    ``salts`` tasks, and the per-person aggregate that follows combines
-    partial results in those tasks before its own (small) shuffle. This does
-    not depend on adaptive execution settings.
+    large one is joined on (person_id, salt): equal event rows (the
+    microvisits of one stay, the visits of one day) are first reduced to one
+    by a partial aggregate, each remaining row gets a salt from its hash, and
+    the one cohort row per person is repeated once per salt. A person owning
+    a large share of the events then spreads over ``salts`` tasks (default:
+    the cluster's task slots), and the per-person aggregate that follows
+    combines partial results in those tasks before its own (small) shuffle.
+    This does not depend on adaptive execution settings.
     """
-    side = persons.select(*columns)
+    dates = [c for c in columns if c != "person_id"]
+    side = _dated(persons.select(*columns), dates)
     if broadcast:
         return events.join(F.broadcast(side), "person_id")
-    n = max(1, salts)
+    n = max(1, cluster_salts(events) if salts is None else salts)
+    events = events.distinct()
     salted_events = events.withColumn("__salt", F.pmod(F.xxhash64(*events.columns), F.lit(n)).cast("int"))
     salted_side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return salted_events.join(salted_side, ["person_id", "__salt"]).drop("__salt")
@@ -135,6 +154,8 @@ def stay_near_index(
     index_source: DataFrame | None = None,
     prune_to_index_range: bool = True,
     profile: CohortProfile | None = None,
+    salts: int | None = None,
+    unique: str = "allow_fanout",
 ) -> DataFrame:
     """First stay starting from ``days_before_index`` days before to
     ``days_after_index`` days after the index date (and, with
@@ -152,24 +173,29 @@ def stay_near_index(
     outside the cohort's overall index range are filtered at the scan.
     ``profile`` passes ``profile_cohort(source with a non-null index,
     [index_col])`` when the caller computed it already (e.g. concurrently
-    with other plan-time work).
+    with other plan-time work). ``salts`` spreads a hot person when the cohort
+    is too large to broadcast (see ``_join_cohort``). Dates may be timestamps;
+    they are read as DATE. A person who occurs several times gets the first
+    stay near any of the index dates in each row, or raises with
+    ``unique="assert"``.
     """
     require_columns(visits, STAY_COLUMNS, "visits")
     source = persons if index_source is None else index_source
     require_columns(source, ["person_id", index_col], "persons")
+    require_unique(source, ["person_id"], unique, "persons")
     source = source.where(F.col(index_col).isNotNull())
     profile = profile_cohort(source, [index_col]) if profile is None else profile
     stays = visits.where(F.col("macrovisit_id").isNotNull())
     if prune_to_index_range:
         stays = stays.where(_in_index_range(F.col("macrovisit_start_date"), profile.bounds[index_col],
                                             days_before_index, days_after_index))
-    stays = stays.select("person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date")
+    stays = _dated(stays.select(*STAY_COLUMNS), STAY_COLUMNS[2:])
     start, idx = F.col("macrovisit_start_date"), F.col(index_col)
     cond = event_within(idx, start, days_before_index, days_after_index)
     if require_overlap:
         cond = cond & (idx <= F.col("macrovisit_end_date"))
     first = (
-        _join_cohort(stays, source, ["person_id", index_col], profile.small(cohort_broadcast_rows))
+        _join_cohort(stays, source, ["person_id", index_col], profile.small(cohort_broadcast_rows), salts)
         .where(cond)
         .groupBy("person_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_id", "macrovisit_end_date")).alias("s"))
@@ -186,16 +212,6 @@ def stay_near_index(
     )
 
 
-def _profile_and_ids(persons: DataFrame, er_ids: DataFrame | None, max_broadcast_rows: int):
-    """The cohort profile and the ER-id size check, run concurrently."""
-    if er_ids is None:
-        return profile_cohort(persons, INDEX_DATES), None
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        profile = pool.submit(profile_cohort, persons, INDEX_DATES)
-        ids_small = small_enough([er_ids], max_broadcast_rows)[0]
-        return profile.result(), ids_small
-
-
 def er_visits_near_index(
     persons: DataFrame,
     visits: DataFrame,
@@ -207,6 +223,8 @@ def er_visits_near_index(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     prune_to_index_range: bool = True,
     profile: CohortProfile | None = None,
+    salts: int | None = None,
+    unique: str = "allow_fanout",
 ) -> DataFrame:
     """Earliest emergency-room visit near the index date, per person:
     (person_id, first_covid_er_only_start_date).
@@ -216,12 +234,10 @@ def er_visits_near_index(
     """
     require_columns(visits, VISIT_COLUMNS, "visits")
     require_columns(persons, ["person_id", *INDEX_DATES], "persons")
+    require_unique(persons, ["person_id"], unique, "persons")
     er_ids = er_concepts.select("concept_id")
-    if profile is None:
-        profile, ids_small = _profile_and_ids(persons, er_ids, max_broadcast_rows)
-    else:
-        ids_small = small_enough([er_ids], max_broadcast_rows)[0]
-    if ids_small:
+    profile = profile_cohort(persons, INDEX_DATES) if profile is None else profile
+    if small_enough([er_ids], max_broadcast_rows)[0]:
         er_ids = F.broadcast(er_ids)
     er = visits.where(F.col("macrovisit_start_date").isNull())
     if prune_to_index_range:
@@ -229,8 +245,8 @@ def er_visits_near_index(
                                       days_before_index, days_after_index))
     er = er.join(er_ids, F.col("visit_concept_id") == er_ids["concept_id"], "left_semi")
     return (
-        _join_cohort(er.select("person_id", "visit_start_date"), persons, ["person_id", *INDEX_DATES],
-                     profile.small(cohort_broadcast_rows))
+        _join_cohort(_dated(er.select("person_id", "visit_start_date"), ["visit_start_date"]), persons,
+                     ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows), salts)
         .where(_window_test(mode, F.col("visit_start_date"), days_before_index, days_after_index))
         .groupBy("person_id")
         .agg(F.min("visit_start_date").alias("first_covid_er_only_start_date"))
@@ -246,6 +262,8 @@ def stays_near_index(
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     prune_to_index_range: bool = True,
     profile: CohortProfile | None = None,
+    salts: int | None = None,
+    unique: str = "allow_fanout",
 ) -> DataFrame:
     """Earliest stay starting near the index date, per person:
     (person_id, macrovisit_id, first_COVID_hospitalization_start_date,
@@ -253,14 +271,15 @@ def stays_near_index(
     stay start date; no end-date test. Ties go to the smallest stay id."""
     require_columns(visits, STAY_COLUMNS, "visits")
     require_columns(persons, ["person_id", *INDEX_DATES], "persons")
+    require_unique(persons, ["person_id"], unique, "persons")
     profile = profile_cohort(persons, INDEX_DATES) if profile is None else profile
     stays = visits.where(F.col("macrovisit_start_date").isNotNull())
     if prune_to_index_range:
         stays = stays.where(_in_index_range(F.col("macrovisit_start_date"), profile.bounds[_mode_index(mode)],
                                             days_before_index, days_after_index))
-    stays = stays.select("person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date")
+    stays = _dated(stays.select(*STAY_COLUMNS), STAY_COLUMNS[2:])
     return (
-        _join_cohort(stays, persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows))
+        _join_cohort(stays, persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows), salts)
         .where(_window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index))
         .groupBy("person_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_id", "macrovisit_end_date")).alias("s"))
@@ -284,6 +303,9 @@ def first_visits(
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     prune_to_index_range: bool = True,
+    profile: CohortProfile | None = None,
+    salts: int | None = None,
+    unique: str = "allow_fanout",
 ) -> DataFrame:
     """Persons with their first stay near the index date and, with
     ``include_er``, their first ER visit near it, left-joined onto persons:
@@ -302,17 +324,19 @@ def first_visits(
         raise ValueError("include_er needs er_concepts")
     require_columns(visits, VISIT_COLUMNS if include_er else STAY_COLUMNS, "visits")
     require_columns(persons, ["person_id", *INDEX_DATES], "persons")
-    er_ids = er_concepts.select("concept_id") if include_er else None
-    profile, ids_small = _profile_and_ids(persons, er_ids, max_broadcast_rows)
+    require_unique(persons, ["person_id"], unique, "persons")
+    profile = profile_cohort(persons, INDEX_DATES) if profile is None else profile
     if not include_er:
         first = stays_near_index(persons, visits, mode, days_before_index, days_after_index,
-                                 cohort_broadcast_rows, prune_to_index_range, profile)
+                                 cohort_broadcast_rows, prune_to_index_range, profile, salts)
         return _attach_per_person(persons, first, profile.small(cohort_broadcast_rows))
-    if not ids_small:
+    er_ids = er_concepts.select("concept_id")
+    if not small_enough([er_ids], max_broadcast_rows)[0]:
         hosp = stays_near_index(persons, visits, mode, days_before_index, days_after_index,
-                                cohort_broadcast_rows, prune_to_index_range, profile)
+                                cohort_broadcast_rows, prune_to_index_range, profile, salts)
+        # a bound of 0: the ids were just counted and are too many
         er = er_visits_near_index(persons, visits, er_concepts, mode, days_before_index, days_after_index,
-                                  cohort_broadcast_rows, max_broadcast_rows, prune_to_index_range, profile)
+                                  cohort_broadcast_rows, 0, prune_to_index_range, profile, salts)
         return _attach_per_person(persons, hosp.join(er, "person_id", "full_outer"),
                                   profile.small(cohort_broadcast_rows))
 
@@ -330,12 +354,15 @@ def first_visits(
         "person_id", "visit_concept_id", "visit_start_date",
         "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date",
     ).join(flags, F.col("visit_concept_id") == F.col("__er_id"), "left")
-    er_row = er_row & F.col("__is_er")
+    rows = _dated(rows, ["visit_start_date", "macrovisit_start_date", "macrovisit_end_date"]).where(
+        stay_row | (er_row & F.col("__is_er"))
+    )
+    # only what decides a row's match stays, so that equal rows of a stay or a day can be reduced to one
+    rows = rows.select(*STAY_COLUMNS, F.when(er_row, F.col("visit_start_date")).alias("visit_start_date"))
     near_stay = stay_row & _window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index)
     near_er = er_row & _window_test(mode, F.col("visit_start_date"), days_before_index, days_after_index)
     first = (
-        _join_cohort(rows.where(stay_row | er_row), persons, ["person_id", *INDEX_DATES],
-                     profile.small(cohort_broadcast_rows))
+        _join_cohort(rows, persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows), salts)
         .where(near_stay | near_er)
         .groupBy("person_id")
         .agg(
@@ -360,7 +387,11 @@ def stays_after_index(
     stay_start_col: str = "first_COVID_hospitalization_start_date",
     stay_end_col: str = "first_COVID_hospitalization_end_date",
     observation=None,
-    salts: int = 16,
+    salts: int | None = None,
+    profile: CohortProfile | None = None,
+    cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
+    days_before_index: int = 1,
+    branches: str = "joined",
 ) -> DataFrame:
     """Stays that start strictly after the person's index stay start, or,
     for persons without an index stay, strictly after the index date.
@@ -373,31 +404,58 @@ def stays_after_index(
     Pass a ``pyspark.sql.Observation`` to get row counts (after-stay,
     after-index, total) as metrics of the same job, without extra actions.
 
-    One person may own a large share of all stays, and the anchors arrive
-    already partitioned by person_id (so adaptive execution can neither
-    split nor broadcast that join). The join is therefore salted: each stay
-    gets a salt from a hash of its id, the one anchor row per person is
-    repeated once per salt, and the join and the per-stay aggregate run on
-    (person_id, salt), spreading a hot person over ``salts`` tasks. All rows
-    of one stay share a salt, so results are exact.
+    ``profile`` is ``profile_cohort`` of the persons (one row each in
+    ``first_visits_df``) over their index dates. It bounds the anchors: within
+    ``cohort_broadcast_rows`` they are broadcast, so visits are never shuffled
+    for the join; and no anchor lies before the earliest index date minus
+    ``days_before_index`` (the window of the first stays), so earlier stays are
+    left out at the scan.
+
+    Otherwise one person may own a large share of all stays, and one stay of
+    its person's microvisits. Equal (person, stay, start, end) rows are first
+    reduced to one by a partial aggregate; then the join and the per-stay
+    aggregate run on (person_id, salt), the salt a hash of the stay id and the
+    one anchor row per person repeated once per salt (default: the cluster's
+    task slots). All rows of one stay share a salt, so results are exact.
+
+    ``branches="union"`` finds the stays after a first stay and those after an
+    index date apart and unites them by name; the rows are the same, from two
+    scans.
     """
+    if branches not in ("joined", "union"):
+        raise ValueError("branches must be 'joined' or 'union'")
+    if branches == "union":
+        parts = [
+            stays_after_index(first_visits_df.where(part), visits, index_col, stay_start_col, stay_end_col, None, salts,
+                              profile, cohort_broadcast_rows, days_before_index)
+            for part in (F.col(stay_start_col).isNotNull(), F.col(stay_start_col).isNull())
+        ]
+        return _observed(parts[0].unionByName(parts[1]), stay_start_col, observation)
     anchor_cols = ["person_id", index_col, stay_start_col, stay_end_col]
     require_columns(first_visits_df, anchor_cols, "first visits")
     require_columns(visits, STAY_COLUMNS, "visits")
     anchors = (
-        first_visits_df.select(*anchor_cols)
+        _dated(first_visits_df.select(*anchor_cols), anchor_cols[1:])
         .withColumn("__anchor", F.coalesce(F.col(stay_start_col), F.col(index_col)))
         .where(F.col("__anchor").isNotNull())
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(max(1, salts) - 1))))
-    )
-    stays = visits.where(F.col("macrovisit_id").isNotNull()).select(
-        "person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date",
-        F.pmod(F.xxhash64("macrovisit_id"), F.lit(max(1, salts))).cast("int").alias("__salt"),
     )
+    stays = visits.where(F.col("macrovisit_id").isNotNull())
+    earliest = [lo for lo, _ in profile.bounds.values() if lo is not None] if profile else []
+    if earliest:
+        stays = stays.where(F.col("macrovisit_start_date") >= F.lit(min(earliest) - dt.timedelta(days=days_before_index)))
+    stays = _dated(stays.select(*STAY_COLUMNS), STAY_COLUMNS[2:])
+    keys = ["person_id"]
+    if profile is not None and profile.small(cohort_broadcast_rows):
+        anchors = F.broadcast(anchors)
+    else:
+        keys = ["person_id", "__salt"]
+        n = max(1, cluster_salts(visits) if salts is None else salts)
+        anchors = anchors.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        stays = stays.distinct().withColumn("__salt", F.pmod(F.xxhash64("macrovisit_id"), F.lit(n)).cast("int"))
     out = (
-        stays.join(anchors, ["person_id", "__salt"])
+        stays.join(anchors, keys)
         .where(F.col("__anchor") < F.col("macrovisit_start_date"))
-        .groupBy("person_id", "__salt", *anchor_cols[1:], "macrovisit_id")
+        .groupBy(*keys, *anchor_cols[1:], "macrovisit_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_end_date")).alias("s"))
         .select(
             *anchor_cols, "macrovisit_id",
@@ -405,11 +463,15 @@ def stays_after_index(
             F.col("s.macrovisit_end_date").alias("macrovisit_end_date"),
         )
     )
-    if observation is not None:
-        out = out.observe(
-            observation,
-            F.count(F.when(F.col(stay_start_col).isNotNull(), 1)).alias("after_stay_rows"),
-            F.count(F.when(F.col(stay_start_col).isNull(), 1)).alias("after_index_rows"),
-            F.count(F.lit(1)).alias("rows"),
-        )
-    return out
+    return _observed(out, stay_start_col, observation)
+
+
+def _observed(out: DataFrame, stay_start_col: str, observation) -> DataFrame:
+    if observation is None:
+        return out
+    return out.observe(
+        observation,
+        F.count(F.when(F.col(stay_start_col).isNotNull(), 1)).alias("after_stay_rows"),
+        F.count(F.when(F.col(stay_start_col).isNull(), 1)).alias("after_index_rows"),
+        F.count(F.lit(1)).alias("rows"),
+    )

@@ -1,47 +1,74 @@
-"""Write the workbook's output tables in one run.
+"""Write the workbook's output tables in one run, one dataset per node.
 
-The person fact is written first and read back, so the area table and the
-zip counts reuse it instead of recomputing the enrichment and visit joins;
-the other tables are independent plans over the inputs.
+The located persons, the person fact and the first visits are written first
+and read back, so the tables built on them reuse them instead of recomputing
+the enrichment and visit joins; the other tables are independent plans over
+the inputs.
 """
 
 from __future__ import annotations
 
-from ..operators.attach import attach_severity
+from pyspark.sql import functions as F
+
+from ..operators.area import cast_columns, unmatched_keys
 from ..operators.concepts import er_concept_ids
-from ..operators.explore import value_counts
+from ..operators.explore import codes_per_stay, distinct_starts_per_stay, person_stays, stay_drilldown, value_counts
 from ..operators.visits import first_visits, stays_after_index
 from ..sources import AnyInputs
 from ..sources.fixtures import Inputs
 from ..sources.named import TableInputs
 from ..sources.sinks import materialize, stage_root, write_stage
-from .person_fact import area_table, comorbidity_table, finish_person_fact, located_persons
+from .person_fact import (
+    area_by_zip,
+    comorbidity_table,
+    finish_person_fact,
+    located_persons,
+    persons_with_area,
+    persons_with_mds,
+    severity_table,
+)
+
+MIN_INPATIENT_CODES = 2
 
 
 def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction: float = 1.0,
-                 seed: int = 111) -> dict[str, str]:
-    """Write person_fact, comorbidities, area (SDoH), severity, first visits,
-    stays after the index, and zip counts under ``out_dir`` (default: the
-    stage root under ``spark.checkpoint.dir``). Returns table -> path."""
+                 seed: int = 111, unique: str = "allow_fanout") -> dict[str, str]:
+    """Write every node's table under ``out_dir`` (default: the stage root
+    under ``spark.checkpoint.dir``). Returns table -> path."""
     spark = inputs.spark
     root = stage_root(spark, out_dir)
-    cohort, located = located_persons(inputs, sample_fraction, seed)
     paths: dict[str, str] = {}
 
-    located = materialize(spark, located, "person_locations", root)
-    paths["person_locations"] = f"{root}/person_locations"
-    fact = materialize(spark, finish_person_fact(inputs, cohort, located).fact, "person_fact", root)
-    paths["person_fact"] = f"{root}/person_fact"
+    def keep(df, name):
+        paths[name] = f"{root}/{name}"
+        return materialize(spark, df, name, root)
 
-    visits = first_visits(cohort, inputs.visits, er_concept_ids(inputs.our_concept_sets, inputs.concept_set_members))
-    visits = materialize(spark, visits, "first_visits", root)
-    paths["first_visits"] = f"{root}/first_visits"
+    cohort, located, facts = located_persons(inputs, sample_fraction, seed, unique)
+    cohort = keep(cohort, "cohort_sample")
+    located = keep(located, "person_locations")
+    stages = finish_person_fact(inputs, cohort, located, facts.profile)
+    clean = keep(stages.clean, "persons_clean")
+    stages = finish_person_fact(inputs, cohort, clean.select(*located.columns), facts.profile)
+    first_stay = keep(stages.first_stay, "first_stay")
+    fact = keep(stages.fact, "person_fact")
+    visits = keep(first_visits(cohort, inputs.visits, er_concept_ids(inputs.our_concept_sets, inputs.concept_set_members)),
+                  "first_visits")
+    with_area = keep(persons_with_area(inputs, fact, facts), "persons_with_area")
+    with_mds = keep(persons_with_mds(inputs, with_area, facts, cohort), "persons_with_mds")
+    multi = codes_per_stay(inputs.visits).where(F.col("multi_inpatient_codes") >= MIN_INPATIENT_CODES)
+    hospitalised = first_stay.where(F.col("covid_associated_hosp") == 1)
 
     outputs = {
         "comorbidities": comorbidity_table(inputs, cohort),
-        "sdoh": area_table(inputs, fact),
-        "severity": attach_severity(fact, inputs.severity),
+        "sdoh": cast_columns(with_mds),
+        "severity": severity_table(inputs, fact, facts, cohort),
         "stays_after_index": stays_after_index(visits, inputs.visits),
+        "zip_area": area_by_zip(inputs, facts),
+        "unmatched_zips": unmatched_keys(fact, area_by_zip(inputs, facts), broadcast=facts.small["area"]),
+        "distinct_starts": distinct_starts_per_stay(inputs.visits),
+        "codes_per_stay": codes_per_stay(inputs.visits),
+        "multi_inpatient_stays": stay_drilldown(inputs.visits, multi),
+        "person_stays": person_stays(inputs.visits, hospitalised, keys_small=facts.cohort_small),
         "zip_counts": value_counts(fact, "zip_code"),
         "zip_counts_raw": value_counts(located, "zip"),
     }

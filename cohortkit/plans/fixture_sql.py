@@ -52,7 +52,7 @@ SELECT * FROM (VALUES
   (35, 'Barbadian'), (36, 'African'), (37, 'black'), (38, 'Other Race'), (39, 'Multiple races')
 ) AS t(label_no, label)""",
     "person_lds": """
-SELECT CAST(c.c_custkey AS VARCHAR) AS person_id,
+SELECT CASE WHEN c.c_custkey % 23 <> 0 THEN '' ELSE 'u' END || CAST(c.c_custkey AS VARCHAR) AS person_id,
        CASE WHEN c.c_custkey % 17 = 0 THEN NULL ELSE CAST(1925 + (c.c_custkey * 11) % 97 AS INTEGER) END AS year_of_birth,
        CASE WHEN c.c_custkey % 13 = 0 THEN NULL ELSE CAST(1 + c.c_custkey % 12 AS INTEGER) END AS month_of_birth,
        CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE CAST(1 + (c.c_custkey * 5) % 31 AS INTEGER) END AS day_of_birth,
@@ -63,8 +63,7 @@ SELECT CAST(c.c_custkey AS VARCHAR) AS person_id,
             WHEN 3 THEN 'FEMALE' WHEN 4 THEN 'OTHER' ELSE NULL END AS gender_concept_name,
        CAST(c.c_nationkey AS VARCHAR) AS location_id,
        CAST(c.c_custkey % 7 AS VARCHAR) AS data_partner_id
-FROM customer c LEFT JOIN race_labels r ON r.label_no = c.c_custkey % 41
-WHERE c.c_custkey % 23 <> 0""",
+FROM customer c LEFT JOIN race_labels r ON r.label_no = c.c_custkey % 41""",
     "location": """
 SELECT CAST(n_nationkey AS VARCHAR) AS location_id,
        n_name AS city,
@@ -84,7 +83,7 @@ SELECT CAST(s_suppkey AS VARCHAR) AS data_partner_id,
        '5.3.1' AS cdm_version,
        CASE s_suppkey % 2 WHEN 0 THEN 'Y' ELSE 'N' END AS shift_date_yn,
        CAST(s_suppkey % 8 AS INTEGER) AS max_num_shift_days
-FROM supplier WHERE s_suppkey < 6""",
+FROM supplier""",
     "visits": """
 SELECT CAST(o.o_custkey AS VARCHAR) AS person_id,
        l.l_orderkey * 10 + l.l_linenumber AS visit_occurrence_id,
@@ -125,10 +124,10 @@ SELECT CAST(o.o_custkey AS VARCHAR) AS person_id,
        l.l_returnflag || l.l_linestatus AS condition_source_value
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "death": """
-SELECT CAST(o_custkey AS VARCHAR) AS person_id,
+SELECT CASE WHEN o_orderpriority = '1-URGENT' AND o_custkey % 5 = 0 THEN '' ELSE 'd' END || CAST(o_custkey AS VARCHAR) AS person_id,
        CASE WHEN o_orderkey % 11 = 0 THEN NULL
             ELSE DATE '2020-06-01' + CAST(o_orderkey % 90 AS INTEGER) END AS death_date
-FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 5 = 0""",
+FROM orders""",
     "zcta_pct": f"""
 SELECT CAST(20000 + s_suppkey AS VARCHAR) AS ZCTA,
        {_sdoh_select()}
@@ -136,15 +135,15 @@ FROM supplier
 UNION ALL
 SELECT '19999', {", ".join("'1.0'" for _ in _SDOH)}""",
     "zip_zcta": """
-SELECT CAST(10000 + 37 * s_suppkey AS VARCHAR) AS ZIP_CODE,
+SELECT CASE WHEN s_suppkey % 5 <> 4 THEN '' ELSE 'z' END || CAST(10000 + 37 * s_suppkey AS VARCHAR) AS ZIP_CODE,
        CAST(20000 + s_suppkey % 15 AS VARCHAR) AS ZCTA
-FROM supplier WHERE s_suppkey % 5 <> 4
+FROM supplier
 UNION ALL SELECT '10000', '19999'""",
     "summary_facts": """
-SELECT CAST(c_custkey AS VARCHAR) AS person_id, CAST(c_custkey % 50 AS INTEGER) AS MDs
-FROM customer WHERE c_custkey % 4 <> 0""",
+SELECT CASE WHEN c_custkey % 4 <> 0 THEN '' ELSE 's' END || CAST(c_custkey AS VARCHAR) AS person_id, CAST(c_custkey % 50 AS INTEGER) AS MDs
+FROM customer""",
     "severity": """
-SELECT CAST(c_custkey AS VARCHAR) AS person_id,
+SELECT CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'v' END || CAST(c_custkey AS VARCHAR) AS person_id,
        CASE c_custkey % 4 WHEN 0 THEN 'Mild' WHEN 1 THEN 'Moderate' WHEN 2 THEN 'Severe' ELSE 'Mild_ED' END AS Severity_Type,
        CAST(c_custkey % 7 AS VARCHAR) AS data_partner_id,
        DATE '2020-03-01' + CAST(c_custkey % 200 AS INTEGER) AS visit_start_date,
@@ -158,7 +157,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS person_id,
        CAST(50 + c_custkey % 60 AS DOUBLE) AS Weight,
        'A' AS blood_type,
        'Non smoker' AS smoking_status
-FROM customer WHERE c_custkey % 3 = 0""",
+FROM customer""",
 }
 
 # Views other views read from.

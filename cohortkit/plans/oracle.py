@@ -60,6 +60,7 @@ CASE WHEN upper(gender_concept_name) = 'MALE' THEN 'MALE'
      WHEN upper(gender_concept_name) = 'FEMALE' THEN 'FEMALE'
      ELSE 'UNKNOWN' END"""
 
+# The race categories and the words that decide them.
 _NHPI = "'Native Hawaiian or Other Pacific Islander Non-Hispanic'"
 _ASIAN_WORDS = [
     "Filipino", "Chinese", "Korean", "Vietnamese", "Japanese", "Bangladeshi", "Pakistani",
@@ -280,6 +281,8 @@ FROM first_comorbidity GROUP BY person_id""", *cm_views, local=[CONCEPTS, FIRST_
     q["stay_both"] = with_views("SELECT * FROM hosp", "cohort", "visits", local=[_hosp("both")])
     fv_steps = [ER_IDS, _er("either"), _hosp("either"), FIRST_VISITS]
     q["first_visits"] = with_views("SELECT * FROM first_visits", *er_views, local=fv_steps)
+    q["first_visits_outer"] = q["first_visits"]
+    q["first_visits_at_times"] = q["first_visits"]
     q["first_visits_both"] = with_views("SELECT * FROM first_visits", *er_views,
                                         local=[ER_IDS, _er("both"), _hosp("both"), FIRST_VISITS])
     q["first_visits_hosp_only"] = with_views("SELECT * FROM hosp_only", "cohort", "visits",
@@ -304,6 +307,12 @@ FROM (
       AND f.first_poslab_or_diagnosis_date < m.macrovisit_start_date
   ) u
 ) WHERE rn = 1""", *er_views, local=fv_steps)
+    q["stays_after_index_union"] = q["stays_after_index"]
+    q["stays_after_index_counts"] = f"""
+SELECT count(*) FILTER (WHERE first_COVID_hospitalization_start_date IS NOT NULL) AS after_stay_rows,
+       count(*) FILTER (WHERE first_COVID_hospitalization_start_date IS NULL) AS after_index_rows,
+       count(*) AS rows
+FROM ({q["stays_after_index"]}) s"""
     q["latest_event"] = with_views("""
 SELECT c.*, d.death_date, CASE WHEN d.death_date IS NOT NULL THEN 1 ELSE 0 END AS death_recorded
 FROM cohort c LEFT JOIN (SELECT person_id, max(death_date) AS death_date FROM death GROUP BY person_id) d
@@ -315,13 +324,14 @@ FROM cohort c LEFT JOIN (
   FROM (SELECT DISTINCT x.person_id, x.death_date FROM death x JOIN cohort y ON x.person_id = y.person_id)
 ) d ON c.person_id = d.person_id""", "cohort", "death")
     q["person_fact"] = with_views("SELECT * FROM fact", *FACT_VIEWS, local=FACT_STEPS)
+    q["person_fact_written"] = q["person_fact"]
     q["person_fact_sample"] = with_views(
         "SELECT * FROM fact", *FACT_VIEWS,
         local=[SAMPLED, _enriched("sampled"), WITH_DOB, CLEANED, STAYS, _first_stay("cleaned"), FACT])
     q["zip_area"] = with_views("SELECT * FROM zip_area", "zcta_pct", "zip_zcta", local=[ZIP_AREA])
     q["attach_area"] = with_views("SELECT * FROM sdoh", *AREA_VIEWS, local=FACT_STEPS + [ZIP_AREA, SDOH])
     q["unmatched_zips"] = with_views("""
-SELECT DISTINCT f.city, f.state, f.zip
+SELECT DISTINCT f.city, f.state, f.zip, a.ZCTA
 FROM fact f LEFT JOIN zip_area a ON f.zip_code = a.zipcode
 WHERE a.ZCTA IS NULL""", *AREA_VIEWS, local=FACT_STEPS + [ZIP_AREA])
     mds_views = AREA_VIEWS + ("summary_facts",)

@@ -7,23 +7,70 @@ the caller's action, and intermediate stages are written only when asked
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import as_date
 from ..operators.area import attach_area, attach_column, cast_columns, zip_area_table
+from ..operators.attach import attach_severity
 from ..operators.events import latest_event
-from ..operators.joins import COHORT_BROADCAST_ROWS, small_enough
+from ..operators.joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, fits, row_width
 from ..operators.person import clean_person, enrich_person, sample_cohort
 from ..operators.pivot import comorbidities
-from ..operators.visits import LAB, CohortProfile, profile_cohort, stay_near_index
+from ..operators.visits import LAB, CohortProfile, stay_near_index
 from ..sources import AnyInputs
 
 
 INDEX_COL = LAB  # the person fact matches stays to the first positive test
 
+PERSON_SIDES = ("person", "location", "manifest")
+AREA_SIDES = ("crosswalk", "area")
+
+
+@dataclass(frozen=True)
+class PlanFacts:
+    """What a plan must know of its inputs, from one aggregate: the cohort's
+    row count and index-date range, and which lookups may be broadcast."""
+
+    profile: CohortProfile
+    small: dict[str, bool]
+
+    @property
+    def cohort_small(self) -> bool:
+        return self.profile.small(COHORT_BROADCAST_ROWS)
+
+
+def plan_facts(inputs: AnyInputs, cohort: DataFrame, sides: Sequence[str] = PERSON_SIDES) -> PlanFacts:
+    """``PlanFacts`` of the cohort and the named lookup sides. One row per
+    input reaches the driver; parquet lookups are counted without reading
+    columns."""
+    build = {
+        "person": lambda: inputs.person_lds,
+        "location": lambda: inputs.location,
+        "manifest": lambda: inputs.manifest,
+        "crosswalk": lambda: inputs.zip_zcta,
+        "area": lambda: zip_area_table(inputs.zcta_pct, inputs.zip_zcta, broadcast=False),
+        "summary": lambda: inputs.summary_facts,
+        "severity": lambda: inputs.severity,
+    }
+    tables = {name: build[name]() for name in sides}
+    none = F.lit(None).cast("date").alias("day")
+    rows = [cohort.select(F.lit("cohort").alias("input"), as_date(F.col(INDEX_COL)).alias("day"))]
+    rows += [df.select(F.lit(name).alias("input"), none) for name, df in tables.items()]
+    found = {
+        r["input"]: r
+        for r in reduce(DataFrame.unionAll, rows)
+        .groupBy("input").agg(F.count(F.lit(1)).alias("rows"), F.min("day").alias("lo"), F.max("day").alias("hi")).collect()
+    }
+    count = {name: found[name]["rows"] if name in found else 0 for name in ("cohort", *tables)}
+    bounds = (found["cohort"]["lo"], found["cohort"]["hi"]) if "cohort" in found else (None, None)
+    profile = CohortProfile(count["cohort"], {INDEX_COL: bounds}, row_width(cohort.select("person_id", INDEX_COL)))
+    return PlanFacts(profile, {n: fits(df, count[n], DEFAULT_BROADCAST_ROWS) for n, df in tables.items()})
+
 
 @dataclass
 class PersonFactStages:
@@ -35,47 +82,47 @@ class PersonFactStages:
 
 
 def person_fact_stages(
-    inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111, cohort: DataFrame | None = None
+    inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111, cohort: DataFrame | None = None,
+    facts: PlanFacts | None = None, unique: str = "allow_fanout",
 ) -> PersonFactStages:
     """Every step of the person fact; ``cohort`` defaults to the inputs' cohort.
-
-    The cohort profile for the stay matching depends only on the sampled
-    cohort, so it runs concurrently with the lookup checks of the
-    enrichment."""
+    With ``unique="assert"`` a repeated person, location or site raises."""
     sample = sample_cohort(inputs.cohort if cohort is None else cohort, sample_fraction, seed)
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        profile = pool.submit(_index_profile, sample)
-        located = enrich_person(sample, inputs.person_lds, inputs.location, inputs.manifest)
-        return finish_person_fact(inputs, sample, located, profile.result())
+    facts = plan_facts(inputs, sample) if facts is None else facts
+    return finish_person_fact(inputs, sample, _located(inputs, sample, facts, unique), facts.profile)
 
 
-def located_persons(inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111) -> tuple[DataFrame, DataFrame]:
-    """(sampled cohort, cohort with person, location and site columns)."""
-    sample = sample_cohort(inputs.cohort, sample_fraction, seed)
-    return sample, enrich_person(sample, inputs.person_lds, inputs.location, inputs.manifest)
+def _located(inputs: AnyInputs, sample: DataFrame, facts: PlanFacts, unique: str = "allow_fanout") -> DataFrame:
+    return enrich_person(
+        sample, inputs.person_lds, inputs.location, inputs.manifest,
+        lookup_small=[facts.small[n] for n in PERSON_SIDES], cohort_small=facts.cohort_small, unique=unique,
+    )
 
 
-def _index_profile(sample: DataFrame) -> CohortProfile:
-    """Row count of the whole sample (a bound for every per-person result)
-    and the range of its index dates (min and max skip nulls)."""
-    return profile_cohort(sample, [INDEX_COL])
+def located_persons(inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111,
+                    unique: str = "allow_fanout") -> tuple[DataFrame, DataFrame, PlanFacts]:
+    """(sampled cohort, cohort with person, location and site columns, facts)."""
+    sample = sample_cohort(inputs.cohort, sample_fraction, seed)
+    facts = plan_facts(inputs, sample, (*PERSON_SIDES, *AREA_SIDES, "summary", "severity"))
+    return sample, _located(inputs, sample, facts, unique), facts
 
 
 def finish_person_fact(inputs: AnyInputs, sample: DataFrame, located: DataFrame,
                        profile: CohortProfile | None = None) -> PersonFactStages:
     """Clean the located persons, then attach the first stay and death."""
     clean = clean_person(located)
-    profile = _index_profile(sample) if profile is None else profile
+    profile = plan_facts(inputs, sample, ()).profile if profile is None else profile
     first_stay = stay_near_index(clean, inputs.visits, index_col=INDEX_COL, index_source=sample, profile=profile)
     fact = latest_event(first_stay, inputs.death, restrict_to=sample,
                         restrict_to_small=profile.small(COHORT_BROADCAST_ROWS))
     return PersonFactStages(sample, located, clean, first_stay, fact)
 
 
-def person_fact(inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111) -> DataFrame:
+def person_fact(inputs: AnyInputs, sample_fraction: float = 1.0, seed: int = 111, facts: PlanFacts | None = None,
+                unique: str = "allow_fanout") -> DataFrame:
     """One row per cohort person: attributes, cleaned fields, first stay near
     the index date and death."""
-    return person_fact_stages(inputs, sample_fraction, seed).fact
+    return person_fact_stages(inputs, sample_fraction, seed, facts=facts, unique=unique).fact
 
 
 def comorbidity_table(inputs: AnyInputs, persons: DataFrame | None = None) -> DataFrame:
@@ -84,31 +131,40 @@ def comorbidity_table(inputs: AnyInputs, persons: DataFrame | None = None) -> Da
     return comorbidities(persons, inputs.our_concept_sets, inputs.concept_set_members, inputs.condition_occurrence)
 
 
-def area_table(inputs: AnyInputs, fact: DataFrame | None = None) -> DataFrame:
-    """Area measures (as numbers) and the summary MDs column per person."""
-    fact, by_zip, small = fact_and_area(inputs, fact)
-    with_area = attach_area(fact, by_zip, broadcast=small)
-    with_mds = attach_column(with_area, inputs.summary_facts, ["MDs"], restrict_to=small_cohort(inputs))
-    return cast_columns(with_mds)
+def area_by_zip(inputs: AnyInputs, facts: PlanFacts) -> DataFrame:
+    return zip_area_table(inputs.zcta_pct, inputs.zip_zcta, broadcast=facts.small["crosswalk"])
+
 
+def area_facts(inputs: AnyInputs, cohort: DataFrame | None = None) -> PlanFacts:
+    """Facts for the person fact and everything attached to it by area or person."""
+    return plan_facts(inputs, inputs.cohort if cohort is None else cohort, (*PERSON_SIDES, *AREA_SIDES, "summary"))
 
-def small_cohort(inputs: AnyInputs) -> DataFrame | None:
-    """The cohort's person ids when a bounded scan proves the cohort within
-    the broadcast bound (every person-level result then is too), else None."""
-    keys = inputs.cohort.select("person_id")
-    return keys if small_enough([keys], COHORT_BROADCAST_ROWS)[0] else None
+
+def persons_with_area(inputs: AnyInputs, fact: DataFrame, facts: PlanFacts) -> DataFrame:
+    return attach_area(fact, area_by_zip(inputs, facts), broadcast=facts.small["area"])
+
+
+def persons_with_mds(inputs: AnyInputs, with_area: DataFrame, facts: PlanFacts, cohort: DataFrame | None = None) -> DataFrame:
+    """``cohort`` bounds the persons of ``with_area`` (default: the inputs' cohort)."""
+    return attach_column(with_area, inputs.summary_facts, ["MDs"], restrict_to=small_cohort(inputs, facts, cohort),
+                         broadcast=facts.small["summary"])
+
+
+def area_table(inputs: AnyInputs, fact: DataFrame | None = None, facts: PlanFacts | None = None,
+               cohort: DataFrame | None = None) -> DataFrame:
+    """Area measures (as numbers) and the summary MDs column per person."""
+    facts = area_facts(inputs, cohort) if facts is None else facts
+    fact = person_fact(inputs, facts=facts) if fact is None else fact
+    return cast_columns(persons_with_mds(inputs, persons_with_area(inputs, fact, facts), facts, cohort))
 
 
-def fact_and_area(inputs: AnyInputs, fact: DataFrame | None = None) -> tuple[DataFrame, DataFrame, bool]:
-    """The person fact, the area-by-ZIP table and whether that table may be
-    broadcast, planned concurrently (their plan-time jobs are independent)."""
+def severity_table(inputs: AnyInputs, fact: DataFrame, facts: PlanFacts, cohort: DataFrame | None = None) -> DataFrame:
+    """Severity scores per person of the fact table."""
+    return attach_severity(fact, inputs.severity, restrict_to=small_cohort(inputs, facts, cohort),
+                           broadcast=facts.small["severity"])
 
-    def area() -> tuple[DataFrame, bool]:
-        by_zip = zip_area_table(inputs.zcta_pct, inputs.zip_zcta)
-        return by_zip, small_enough([by_zip])[0]
 
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        pending = pool.submit(area)
-        fact = person_fact(inputs) if fact is None else fact
-        by_zip, small = pending.result()
-        return fact, by_zip, small
+def small_cohort(inputs: AnyInputs, facts: PlanFacts, cohort: DataFrame | None = None) -> DataFrame | None:
+    """The cohort's person ids when it is within the broadcast bound (every
+    person-level result then is too), else None."""
+    return (inputs.cohort if cohort is None else cohort).select("person_id") if facts.cohort_small else None

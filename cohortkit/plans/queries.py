@@ -6,28 +6,43 @@ tables of that directory (shaped by ``cohortkit.sources.fixtures``).
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import area as A
 from ..operators import explore as X
-from ..operators.attach import attach_severity
 from ..operators.concepts import er_concept_ids, resolve_concepts
 from ..operators.events import latest_event
-from ..operators.joins import COHORT_BROADCAST_ROWS, has_at_most
 from ..operators.person import add_age, add_gender, add_race_ethnicity, add_zip_code, clean_person, enrich_person, sample_cohort
 from ..operators.pivot import earliest_comorbidities
 from ..operators.visits import (
+    INDEX_DATES,
     er_visits_near_index,
     first_visits,
+    profile_cohort,
     stay_near_index,
     stays_after_index,
     stays_near_index,
 )
+from ..session import checkpoint_dir
 from ..sources.fixtures import Inputs
-from .person_fact import area_table, comorbidity_table, fact_and_area, person_fact, small_cohort
+from ..sources.sinks import materialize, stage_root
+from .person_fact import (
+    PERSON_SIDES,
+    area_by_zip,
+    area_facts,
+    area_table,
+    comorbidity_table,
+    person_fact,
+    persons_with_area,
+    persons_with_mds,
+    plan_facts,
+    severity_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,7 +161,49 @@ def q_stays_after_index(spark, d):
     """Stays after each person's first stay (or index date). Only the stay
     columns of the first visits are read, so the ER part is not built."""
     i = Inputs.of(spark, d)
-    return stays_after_index(first_visits(i.cohort, i.visits, include_er=False), i.visits)
+    profile = profile_cohort(i.cohort, INDEX_DATES)
+    return stays_after_index(first_visits(i.cohort, i.visits, include_er=False, profile=profile), i.visits, profile=profile)
+
+
+def q_first_visits_outer(spark, d):
+    """The first visits with ER ids that are taken as too many to broadcast:
+    stays and ER visits are found apart and joined by a full outer join."""
+    i = Inputs.of(spark, d)
+    return first_visits(i.cohort, i.visits, _er_ids(i), max_broadcast_rows=0)
+
+
+def q_first_visits_at_times(spark, d):
+    """The first visits when the visit dates are timestamps within the day."""
+    i = Inputs.of(spark, d)
+    return first_visits(i.cohort, i.visits_at_times, _er_ids(i))
+
+
+def q_stays_after_index_union(spark, d):
+    """Stays after the first stay and stays after the index date, found apart and united."""
+    i = Inputs.of(spark, d)
+    profile = profile_cohort(i.cohort, INDEX_DATES)
+    first = first_visits(i.cohort, i.visits, include_er=False, profile=profile)
+    return stays_after_index(first, i.visits, profile=profile, branches="union")
+
+
+def q_stays_after_index_counts(spark, d):
+    """The row counts observed while the stays after the index are written."""
+    i = Inputs.of(spark, d)
+    profile = profile_cohort(i.cohort, INDEX_DATES)
+    seen = Observation()
+    first = first_visits(i.cohort, i.visits, include_er=False, profile=profile)
+    stays_after_index(first, i.visits, observation=seen, profile=profile).write.format("noop").mode("overwrite").save()
+    names = ("after_stay_rows", "after_index_rows", "rows")
+    return spark.range(1).select(*[F.lit(seen.get[n]).cast("long").alias(n) for n in names])
+
+
+def q_person_fact_written(spark, d):
+    """The person fact written as a stage table under the shared folder and read back."""
+    base = None
+    if not checkpoint_dir(spark) and spark.sparkContext.master.startswith("local["):
+        base = tempfile.mkdtemp()  # one machine, no shared folder named
+    name = f"person_fact_{uuid.uuid4().hex}"
+    return materialize(spark, person_fact(Inputs.of(spark, d)), name, stage_root(spark, base))
 
 
 def q_latest_event(spark, d):
@@ -173,20 +230,21 @@ def q_zip_area(spark, d):
 
 
 def q_attach_area(spark, d):
-    fact, by_zip, small = fact_and_area(Inputs.of(spark, d))
-    return A.attach_area(fact, by_zip, broadcast=small)
+    i = Inputs.of(spark, d)
+    facts = area_facts(i)
+    return persons_with_area(i, person_fact(i, facts=facts), facts)
 
 
 def q_unmatched_zips(spark, d):
-    fact, by_zip, small = fact_and_area(Inputs.of(spark, d))
-    return A.unmatched_keys(fact, by_zip, broadcast=small)
+    i = Inputs.of(spark, d)
+    facts = area_facts(i)
+    return A.unmatched_keys(person_fact(i, facts=facts), area_by_zip(i, facts), broadcast=facts.small["area"])
 
 
 def q_attach_mds(spark, d):
     i = Inputs.of(spark, d)
-    fact, by_zip, small = fact_and_area(i)
-    return A.attach_column(A.attach_area(fact, by_zip, broadcast=small), i.summary_facts, ["MDs"],
-                           restrict_to=small_cohort(i))
+    facts = area_facts(i)
+    return persons_with_mds(i, persons_with_area(i, person_fact(i, facts=facts), facts), facts)
 
 
 def q_cast_sdoh(spark, d):
@@ -195,7 +253,8 @@ def q_cast_sdoh(spark, d):
 
 def q_attach_severity(spark, d):
     i = Inputs.of(spark, d)
-    return attach_severity(person_fact(i), i.severity, restrict_to=small_cohort(i))
+    facts = plan_facts(i, i.cohort, (*PERSON_SIDES, "severity"))
+    return severity_table(i, person_fact(i, facts=facts), facts)
 
 
 def q_codes_per_stay(spark, d):
@@ -214,8 +273,9 @@ def q_person_stays(spark, d):
     Those persons are at most the cohort, so a cohort within the broadcast
     bound proves the key set small."""
     i = Inputs.of(spark, d)
-    hospitalised = stay_near_index(i.cohort, i.visits).where(F.col("covid_associated_hosp") == 1)
-    return X.person_stays(i.visits, hospitalised, keys_small=has_at_most(i.cohort, COHORT_BROADCAST_ROWS))
+    facts = plan_facts(i, i.cohort, ())
+    hospitalised = stay_near_index(i.cohort, i.visits, profile=facts.profile).where(F.col("covid_associated_hosp") == 1)
+    return X.person_stays(i.visits, hospitalised, keys_small=facts.cohort_small)
 
 
 def q_zip_counts(spark, d):
@@ -250,6 +310,11 @@ QUERIES: dict[str, Query] = {
     "first_visits_both": q_first_visits_both,
     "first_visits_hosp_only": q_first_visits_hosp_only,
     "stays_after_index": q_stays_after_index,
+    "stays_after_index_union": q_stays_after_index_union,
+    "stays_after_index_counts": q_stays_after_index_counts,
+    "first_visits_outer": q_first_visits_outer,
+    "first_visits_at_times": q_first_visits_at_times,
+    "person_fact_written": q_person_fact_written,
     "latest_event": q_latest_event,
     "latest_event_fanout": q_latest_event_fanout,
     "person_fact": q_person_fact,

@@ -24,7 +24,7 @@ RUNTIME_CONF = {
 
 
 def cluster_conf(
-    largest_input_bytes: int, partition_bytes: int = 256 * 1024**2, max_shuffle_partitions: int = 32768
+    largest_input_bytes: int, partition_bytes: int = 256 * 1024**2, max_shuffle_partitions: int | None = None
 ) -> dict[str, str]:
     """Partition sizing for a cluster run, from the size of the largest input.
 
@@ -34,12 +34,15 @@ def cluster_conf(
     coalesces the small ones. A shuffle partition over twice the target (and
     5x the median) counts as skewed and is split at joins.
 
-    Shuffled data is much smaller than the input (columns are pruned, rows
-    filtered and partially aggregated before the exchange), and the number
-    of shuffle blocks grows with map tasks x reduce partitions, so the
-    shuffle partition count is capped at ``max_shuffle_partitions``.
+    The shuffle partition count follows the input size. Shuffled data is often
+    smaller (columns are pruned, rows filtered and partially aggregated before
+    the exchange) and the number of shuffle blocks grows with map tasks x
+    reduce partitions; ``max_shuffle_partitions`` lowers the count where the
+    shuffled size is known to be smaller.
     """
-    partitions = min(max_shuffle_partitions, max(200, -(-largest_input_bytes // partition_bytes)))
+    partitions = max(200, -(-largest_input_bytes // partition_bytes))
+    if max_shuffle_partitions is not None:
+        partitions = min(partitions, max_shuffle_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),

@@ -76,6 +76,12 @@ def _days_after(epoch: _dt.date, n: Column) -> Column:
     return F.date_add(F.lit(epoch), n.cast("int"))
 
 
+def _key_or_other(known: Column, letter: str, key: Column) -> Column:
+    """The key as text where ``known``; elsewhere with a letter before it, so that it matches nothing."""
+    text = key.cast("string")
+    return F.when(known, text).otherwise(F.concat(F.lit(letter), text))
+
+
 def _cohort_base(custkey: Column) -> Column:
     return (custkey * 37) % 120
 
@@ -130,9 +136,8 @@ class Inputs:
         )
         return (
             self.table("customer")
-            .where(key % 23 != 0)
             .select(
-                key.cast("string").alias("person_id"),
+                _key_or_other(key % 23 != 0, "u", key).alias("person_id"),
                 F.when(key % 17 == 0, F.lit(None)).otherwise(1925 + (key * 11) % 97).cast("int").alias("year_of_birth"),
                 F.when(key % 13 == 0, F.lit(None)).otherwise(1 + key % 12).cast("int").alias("month_of_birth"),
                 F.when(key % 11 == 0, F.lit(None)).otherwise(1 + (key * 5) % 31).cast("int").alias("day_of_birth"),
@@ -171,7 +176,6 @@ class Inputs:
         key = F.col("s_suppkey")
         return (
             self.table("supplier")
-            .where(key < 6)
             .select(
                 key.cast("string").alias("data_partner_id"),
                 _days_after(MANIFEST_EPOCH, key % 100).alias("run_date"),
@@ -208,6 +212,15 @@ class Inputs:
             F.when(in_stay, stay_end).alias("macrovisit_end_date"),
         )
 
+    @cached_property
+    def visits_at_times(self) -> DataFrame:
+        """The visits with timestamp_ntz start columns at 10:00 and end columns at 23:59."""
+        def at(c: str, clock: str) -> Column:
+            return F.concat(F.col(c).cast("string"), F.lit(clock)).cast("timestamp_ntz").alias(c)
+
+        times = {"visit_start_date": " 10:00:00", "macrovisit_start_date": " 10:00:00", "macrovisit_end_date": " 23:59:00"}
+        return self.visits.select(*[at(c, times[c]) if c in times else F.col(c) for c in self.visits.columns])
+
     @cached_property
     def our_concept_sets(self) -> DataFrame:
         schema = T.StructType([
@@ -253,9 +266,8 @@ class Inputs:
         cust = F.col("o_custkey")
         return (
             self.table("orders")
-            .where((F.col("o_orderpriority") == "1-URGENT") & (cust % 5 == 0))
             .select(
-                cust.cast("string").alias("person_id"),
+                _key_or_other((F.col("o_orderpriority") == "1-URGENT") & (cust % 5 == 0), "d", cust).alias("person_id"),
                 F.when(order % 11 == 0, F.lit(None)).otherwise(_days_after(DEATH_EPOCH, order % 90)).alias("death_date"),
             )
         )
@@ -284,11 +296,11 @@ class Inputs:
 
     @cached_property
     def zip_zcta(self) -> DataFrame:
-        """ZIP to ZCTA crosswalk, one ZIP per supplier (key % 5 <> 4), plus a
-        second ZCTA for ZIP 10000."""
+        """ZIP to ZCTA crosswalk, one ZIP per supplier (of no person if key % 5 = 4),
+        plus a second ZCTA for ZIP 10000."""
         key = F.col("s_suppkey")
-        from_suppliers = self.table("supplier").where(key % 5 != 4).select(
-            (10000 + key * 37).cast("string").alias("ZIP_CODE"),
+        from_suppliers = self.table("supplier").select(
+            _key_or_other(key % 5 != 4, "z", 10000 + key * 37).alias("ZIP_CODE"),
             (20000 + key % 15).cast("string").alias("ZCTA"),
         )
         extra = self.spark.createDataFrame([("10000", EXTRA_ZCTA)], "ZIP_CODE string, ZCTA string")
@@ -297,15 +309,15 @@ class Inputs:
     @cached_property
     def summary_facts(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self.table("customer").where(key % 4 != 0).select(
-            key.cast("string").alias("person_id"), (key % 50).cast("int").alias("MDs")
+        return self.table("customer").select(
+            _key_or_other(key % 4 != 0, "s", key).alias("person_id"), (key % 50).cast("int").alias("MDs")
         )
 
     @cached_property
     def severity(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self.table("customer").where(key % 3 == 0).select(
-            key.cast("string").alias("person_id"),
+        return self.table("customer").select(
+            _key_or_other(key % 3 == 0, "v", key).alias("person_id"),
             _pick(SEVERITY_BY_KEY_MOD_4, key % 4).alias("Severity_Type"),
             (key % 7).cast("string").alias("data_partner_id"),
             _days_after(COHORT_EPOCH, key % 200).alias("visit_start_date"),

@@ -83,8 +83,9 @@ def test_zip_area_and_attach(spark):
             ("p1", "Z1", "10000"), ("p1", "Z2", "10000"), ("p2", None, None), ("p3", None, None),
         ]
         # D16: unmatched places, null ZIP included
-        assert rows(unmatched_keys(persons, by_zip, max_broadcast_rows=bound)) == [("c", "s", "junk"),
-                                                                                   ("c2", "s2", "20000")]
+        # (with the area key, null as nothing matched)
+        assert rows(unmatched_keys(persons, by_zip, max_broadcast_rows=bound)) == [("c", "s", "junk", None),
+                                                                                   ("c2", "s2", "20000", None)]
 
 
 def test_cast_columns(spark):

@@ -18,7 +18,9 @@ def test_cluster_conf_sizes_and_caps():
     mid = cluster_conf(2 * 1024**4)
     assert mid["spark.sql.shuffle.partitions"] == str(2 * 1024**4 // (256 * 1024**2))
     huge = cluster_conf(100 * 1024**4)
-    assert huge["spark.sql.shuffle.partitions"] == "32768"
+    assert huge["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (256 * 1024**2))
+    capped = cluster_conf(100 * 1024**4, max_shuffle_partitions=32768)
+    assert capped["spark.sql.shuffle.partitions"] == "32768"
     assert huge["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
 
 
