@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+#: Bytes of an Arrow batch on its way to a Python worker.
+BATCH_BYTES = "8m"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,8 +31,11 @@ def _position(df: DataFrame, name: str) -> int:
     return found[0]
 
 
-def share_path(spark: SparkSession) -> None:
-    """Let Python workers of this session import the library from where the driver did."""
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers of this session import the library from where the driver did, and
+    bound what they hold at once (unless the session sets its own bound)."""
+    if spark.conf.get(_BATCH_CONF) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
@@ -35,7 +43,7 @@ def share_path(spark: SparkSession) -> None:
 
 def by_position(df: DataFrame) -> DataFrame:
     """The frame with columns ``_0, _1, ...``, so that clashing names stay apart."""
-    share_path(df.sparkSession)
+    prepare_workers(df.sparkSession)
     return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
 
 
