@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from cohortkit.llm.common import pick, staged
 
 #: Bounds of the fit: labelled documents (expected number) and words of the model.
-SAMPLE_ROWS, MODEL_WORDS, LEAST_ROWS = 16_000, 1_024, 5
+SAMPLE_ROWS, MODEL_WORDS, LEAST_ROWS = 16_000, 2_048, 5
 #: Weights of the ridge penalty and of the counterfactual penalty.
-RIDGE, FAIRNESS = 2e-4, 4.0
-ROUNDS, STEP = 250, 0.1
+RIDGE, FAIRNESS = 1e-5, 4.0
+ROUNDS, STEP = 400, 0.1
 #: Score from which a document is predicted toxic.
 LEAST_SCORE = 0.3
 
@@ -34,15 +34,20 @@ IDENTITY_TERMS = (
     ("mujeres", "hombres", "niñas", "niños"),
     ("cristianos", "musulmanes", "judíos", "hindúes"),
 )
+_TERMS = frozenset(t for line in IDENTITY_TERMS for t in line)
+#: Lengths of word beginnings that are features too, for inflected and compound words.
+BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+    """A text's features: its distinct words, and beginnings of words (marked ``*``) other than identity terms."""
+    words = set(_WORD.findall(text.lower())) if text else set()
+    return words | {w[:n] + "*" for w in words - _TERMS for n in BEGINNINGS if len(w) > n}
 
 
 class Model:
-    """Weights by word; the score is the logistic function of their sum over a text's distinct words."""
+    """Weights by feature; the score is the logistic function of their sum over a text's distinct features."""
 
     def __init__(self, bias: float, weights: dict[str, float]) -> None:
         self.bias, self.weights = bias, weights
@@ -109,9 +114,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Labels are 0 or 1 (others are ignored; a document with several labels
     counts as 1 if one is). Ids are taken by hash, so the sample's expected
     size is bounded at every corpus size; with ``held_out`` ids whose
-    crc32(id as text) mod 4 is 2 are never used. The model's words are the 1,024
-    that differ most between the classes among those in 5 sampled texts or more,
-    and all identity terms. Only word counts of those, feature indexes of the
+    crc32(id as text) mod 4 is 2 are never used. The model's features
+    (words and their beginnings) are the 2,048 that differ most between the
+    classes among those in 5 sampled texts or more, and all identity terms. Only word counts of those, feature indexes of the
     sample and its swap counts reach the driver.
     """
     lab = pick(labels, "doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
