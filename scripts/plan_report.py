@@ -57,7 +57,7 @@ def main() -> None:
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.1")
     args = ap.parse_args()
 
-    import __spark_entry__ as entry
+    from cohortkit.plans.queries import QUERIES
     from cohortkit.session import build_session
 
     spark = build_session()
@@ -71,7 +71,7 @@ def main() -> None:
     print("|---|---|---|---|---|---|---|---|")
     details = []
     tracker = spark.sparkContext.statusTracker()
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         fn(spark, args.sf_dir)  # first build defines the session's inputs
         # no job groups: checks run in worker threads, which do not inherit one
         before = len(tracker.getJobIdsForGroup(None))
