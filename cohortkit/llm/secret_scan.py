@@ -20,9 +20,10 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: Candidates of the battery: whole runs of this many characters of an encoding's alphabet.
+#: Candidates of the battery: whole runs of this many characters of an encoding's alphabet; '=' ends a run
+#: (as padding) or stands before one (name=run), so it is no part of the run's beginning.
 LEAST_RUN = 20
-_RUN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{{{LEAST_RUN},}}={{0,2}}")
+_RUN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST_RUN},}}(?:={{1,2}}+(?![A-Za-z0-9+/_-]))?")
 
 # Symbols of each encoding in order, and the chance that two symbols of ordinary
 # text in that alphabet agree (written words: 0.0667 as in English letters; numbers: 0.125).

@@ -101,3 +101,18 @@ def test_battery():
     for plain in ("internationalisationalisedcounterrevolutionaries", "abcabcabcabcabcabcabcabcabcabc", "AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA", "0000000000111111111122222222223333333333", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
         assert battery(plain) > 1e-3
     assert infer_encoding("00ff") == "hex" and infer_encoding("a+/") == "base64" and infer_encoding("é") is None
+
+
+def test_runs_after_an_equals_sign(spark):
+    r = random.Random(8)
+    forms = ["auth={}", "?sig={}&x=1", "CLIENT_KEY={}", "DB_PASS={}", "a=={}", "averyveryverylongassignedname={}", "={}=="]
+    texts = [(i, f"{words(20, i)} {forms[i % len(forms)].format(random_key(r, 64))} end") for i in range(70)]
+    keys = {i: re.search("[A-Za-z0-9]{64}", t) for i, t in texts}
+    found = 0
+    for row in scan_secrets(frame(spark, texts)).collect():
+        m, i = keys[row["doc_id"]], row["doc_id"]
+        assert row["spans"] in ("", f"random:{m.start()}:{m.end() + 2 * (i % len(forms) == 6)}")
+        found += row["n_random"]
+    assert found >= 66
+    kept = {r["doc_id"]: r["text"] for r in redact_secrets(frame(spark, texts)).collect()}
+    assert sum(m.group() not in kept[i] for i, m in keys.items()) == found
