@@ -7,9 +7,10 @@ import random
 import re
 import string
 
+import pytest
 from llm_cases import SCHEMA, frame, odd_texts, words
 
-from cohortkit.llm.secret_scan import MASK, battery, infer_encoding, masked, redact_secrets, scan_secrets
+from cohortkit.llm.secret_scan import ENCODINGS, MASK, battery, infer_encoding, masked, redact_secrets, scan_secrets
 
 ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
@@ -116,3 +117,37 @@ def test_runs_after_an_equals_sign(spark):
     assert found >= 66
     kept = {r["doc_id"]: r["text"] for r in redact_secrets(frame(spark, texts)).collect()}
     assert sum(m.group() not in kept[i] for i, m in keys.items()) == found
+
+
+ALPHABETS = {
+    "hex": "0123456789abcdef", "upper hex": "0123456789ABCDEF", "mixed hex": "0123456789ABCDEFabcdef", "a-z": string.ascii_lowercase, "A-Z": string.ascii_uppercase,
+    "base32": string.ascii_uppercase + "234567", "lower base32": string.ascii_lowercase + "234567", "upper alnum": string.ascii_uppercase + string.digits,
+    "lower alnum": string.ascii_lowercase + string.digits, "letters": string.ascii_letters, "alnum": string.ascii_letters + string.digits,
+    "base64": string.ascii_letters + string.digits + "+/", "base64url": string.ascii_letters + string.digits + "-_",
+}
+
+
+@pytest.mark.parametrize("name", [*ALPHABETS, "hex of either case"])
+def test_detection_rises_with_length(name):
+    r = random.Random(name)
+
+    def key(n):
+        if name in ALPHABETS:
+            return random_key(r, n, ALPHABETS[name])
+        return "".join(r.choice((c.lower(), c.upper())) for c in random_key(r, n, "0123456789abcdef"))
+
+    rates = [sum(battery(key(n)) < 1e-3 for _ in range(200)) / 200 for n in (20, 32, 64, 128, 256)]
+    assert all(b >= a - 0.03 for a, b in zip(rates, rates[1:], strict=False)) and rates[0] < 0.9 <= rates[3] and rates[4] > 0.97, rates
+
+
+def test_encodings_are_in_order_of_size():
+    sizes = [len(symbols) for symbols, _ in ENCODINGS.values()]
+    assert sizes == sorted(sizes) and all(len(set(symbols)) == len(symbols) for symbols, _ in ENCODINGS.values())
+
+
+def test_keys_of_every_alphabet_are_found_and_words_are_not(spark):
+    r = random.Random(12)
+    texts = [(i, f"{words(20, i)} {random_key(r, 128, alphabet)} end") for i, alphabet in enumerate([a for n, a in ALPHABETS.items() if n != "hex"] * 10)]
+    plain = [(1000 + i, f"{words(9, i)} {'Internationalisation' * 2}of2{'counterrevolutionaries' * 2} {'DEADBEEF00' * 4} 20240101000000202401020000 end") for i in range(100)]
+    got = {row["doc_id"]: row["n_random"] for row in scan_secrets(frame(spark, texts + plain)).collect()}
+    assert sum(got[i] for i, _ in texts) >= 0.95 * len(texts) and not any(got[i] for i, _ in plain)
