@@ -239,11 +239,18 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
 
 
 def drop_unidentified(docs: DataFrame, model: Model | None = None, text_col: str = "text") -> DataFrame:
-    """The documents with a language, all columns kept; those predicted ``und`` go."""
+    """The documents with a language, all columns kept; those predicted ``und`` go.
+
+    With a language learned, that is every text with a letter, whatever the
+    parse says; without any (no labelled rows), texts with a letter stay too.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, text_col=text_col) if model is None else model)
 
     def each(batch: pa.RecordBatch, at: int) -> pa.RecordBatch:
-        names, _ = shared.value.predict(batch.column(at).to_pylist())
+        texts = batch.column(at).to_pylist()
+        if not shared.value.samples:
+            return batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in texts], pa.bool_()))
+        names, _ = shared.value.predict(texts)
         return batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
 
     return map_rows(docs, text_col, each)

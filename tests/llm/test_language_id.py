@@ -57,6 +57,11 @@ def test_empty_and_unlabelled_tables(spark):
     assert all(r["lang_pred"] == "und" for r in lid.identify(frame(spark, odd_texts(), lang=None)).collect())
 
 
+def test_texts_with_letters_stay_without_labels(spark):
+    with_letters = sorted(str(i) for i, t in odd_texts() if any(c.isalpha() for c in t or ""))
+    assert sorted(str(r["doc_id"]) for r in lid.drop_unidentified(frame(spark, odd_texts(), lang=None)).collect()) == with_letters
+
+
 def test_phrases_against_direct_parsing(monkeypatch):
     monkeypatch.setattr(lid, "SEGMENT", 1 << 20)
     model = lid.Model({k: text(k, 150, 3) for k in SYLLABLES}).ready()
