@@ -15,8 +15,6 @@ from cohortkit.llm.common import map_rows, pick
 
 #: Bounds of the labelled sample: characters a language, rows a language, characters of a row.
 SAMPLE_CHARS, SAMPLE_ROWS, ROW_CHARS = 24_000, 64, 1_500
-#: Characters of all languages' samples together; many languages share it.
-ALL_CHARS = 400_000
 #: Texts are parsed in segments of so many characters, all segments of a batch side by side.
 SEGMENT = 256
 #: Characters that one round of side-by-side parsing takes.
@@ -26,7 +24,11 @@ _POINTS = 0x110000
 
 
 class Automaton:
-    """Suffix automaton of a string as a dense table: state and symbol to the next state, -1 where no substring goes on."""
+    """Suffix automaton of a string as a dense table: state and column to the next state, -1 where no substring goes on.
+
+    ``column`` maps a symbol to its column: only the string's own symbols have
+    one, all others share column 0.
+    """
 
     def __init__(self, symbols: list[int], size: int) -> None:
         link, length, step, last = [-1], [0], [{}], 0
@@ -53,10 +55,13 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        self.table = np.full((len(link), size), -1, np.int32)
+        own = {c: i for i, c in enumerate(sorted(set(symbols)), 1)}
+        self.column = np.zeros(size, np.int16)
+        self.column[list(own)] = list(own.values())
+        self.table = np.full((len(link), len(own) + 1), -1, np.int32)
         for s, out in enumerate(step):
             for c, t in out.items():
-                self.table[s, c] = t
+                self.table[s, own[c]] = t
         self.symbols = len(symbols)
 
 
@@ -125,12 +130,12 @@ class Model:
         size = stops - starts
         live = np.searchsorted(-size, -np.arange(SEGMENT), side="left")
         for k, automaton in enumerate(self.automata):
-            flat, root = automaton.table.ravel(), np.maximum(automaton.table[0], 0)
+            flat, root, columns = automaton.table.ravel(), np.maximum(automaton.table[0], 0), automaton.column[symbols]
             state, count = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int32)
             for i in range(int(size[0])):
                 m = live[i]
-                c = symbols[starts[:m] + i]
-                to = flat[state[:m] * self.size + c]
+                c = columns[starts[:m] + i]
+                to = flat[state[:m] * len(root) + c]
                 stop = to < 0
                 count[:m] += stop & (state[:m] > 0)
                 fresh = root[c]
@@ -177,9 +182,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """A model from a bounded sample of labelled rows.
 
     Of every language with text, rows are taken by a hash of id and text so
-    that about 4 * 64 are expected, at most 64 of them are used, each with its
-    first 1,500 characters, up to 24,000 characters a language and 400,000 in
-    all. With ``held_out`` rows whose crc32(id as text) mod 4 is 2, or whose id
+    that about 4 * 64 are expected, at most 64 of them are used, each with 1,500
+    characters from a place chosen by hash (from its first letter on if that
+    piece has none), up to 24,000 characters a language however many there
+    are. With ``held_out`` rows whose crc32(id as text) mod 4 is 2, or whose id
     is null, are never used.
     """
     rows = pick(docs, id_col, text_col, lang_col).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
@@ -191,14 +197,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         return Model({})
     place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.from_json(F.lit(_json({k: min(1.0, 4 * SAMPLE_ROWS / n) for k, n in counts.items()})), "map<string,double>")
-    head = rows.where(place < share[F.col("lang")]).select("lang", F.xxhash64("id", "text").alias("h"), F.substring("text", 1, ROW_CHARS).alias("text")).distinct()
-    room = min(SAMPLE_CHARS, ALL_CHARS // len(counts))
+    begin = (F.pmod(F.xxhash64(F.lit("piece"), "id", "text"), F.greatest(F.char_length("text") - ROW_CHARS, F.lit(0)) + 1) + 1).cast("int")
+    piece = F.substr("text", begin, F.lit(ROW_CHARS))
+    piece = F.when(piece.rlike(r"\p{L}"), piece).otherwise(F.substr("text", F.regexp_instr("text", F.lit(r"\p{L}")), F.lit(ROW_CHARS)))
+    pieces = rows.where(place < share[F.col("lang")]).select("lang", F.xxhash64("id", "text").alias("h"), piece.alias("text")).distinct()
     samples: dict[str, list[str]] = {}
     used: dict[str, list[int]] = {}
-    for r in sorted(head.toLocalIterator(), key=lambda r: (r["lang"], r["h"], r["text"])):
+    for r in sorted(pieces.toLocalIterator(), key=lambda r: (r["lang"], r["h"], r["text"])):
         rows_used, chars = used.setdefault(r["lang"], [0, 0])
-        if rows_used < SAMPLE_ROWS and chars < room:
-            text = unicodedata.normalize("NFC", r["text"])[: room - chars]
+        if rows_used < SAMPLE_ROWS and chars < SAMPLE_CHARS:
+            text = unicodedata.normalize("NFC", r["text"])[: SAMPLE_CHARS - chars]
             samples.setdefault(r["lang"], []).append(text)
             used[r["lang"]] = [rows_used + 1, chars + len(text)]
     return Model({lang: "\n".join(t) for lang, t in samples.items()})

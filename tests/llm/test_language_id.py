@@ -62,6 +62,23 @@ def test_texts_with_letters_stay_without_labels(spark):
     assert sorted(str(r["doc_id"]) for r in lid.drop_unidentified(frame(spark, odd_texts(), lang=None)).collect()) == with_letters
 
 
+def test_shared_openings_are_not_all_that_is_learned(spark):
+    opening = text("bb", 400, 7)[:1_500]
+    rows = [(i, f"{opening} {text('aa', 1_500, i)}", "aa") for i in range(60)] + [(100 + i, text("bb", 300, i), "bb") for i in range(60)]
+    rows += [(200, "a" + " " * 100_000, "dd")]
+    model = lid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), held_out=False)
+    assert len(model.samples["aa"]) > 20_000 and model.samples["aa"].count("ka") > 500
+    assert "a" in model.samples["dd"]
+    assert model.predict([text("aa", 30, 900 + s) for s in range(20)])[0] == ["aa"] * 20
+
+
+def test_further_labels_do_not_shrink_a_language(spark):
+    rows = [(i, text(lang, 200, i), lang) for i, lang in enumerate(list(SYLLABLES) * 60)]
+    more = rows + [(10_000 + i, text("cc", 3, i), f"junk{i}") for i in range(60)]
+    few, many = (lid.train(spark.createDataFrame(x, "doc_id long, text string, lang string")).samples for x in (rows, more))
+    assert all(many[lang] == few[lang] and len(few[lang]) > 20_000 for lang in SYLLABLES) and len(many) > 40
+
+
 def test_phrases_against_direct_parsing(monkeypatch):
     monkeypatch.setattr(lid, "SEGMENT", 1 << 20)
     model = lid.Model({k: text(k, 150, 3) for k in SYLLABLES}).ready()
