@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.llm import bpe, decontaminate, embedding_dedup, jaccard_join, language_id, secret_scan, sharding, suffix_dedup, token_counts, toxicity
+from cohortkit.llm import bpe, decontaminate, embedding_dedup, importance, jaccard_join, language_id, packing, secret_scan, sharding, spelling, suffix_dedup, token_counts, toxicity
 from cohortkit.llm.common import read_table
 
 
@@ -50,4 +50,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_jaccard_join, op4_suffix_dedup, op5_toxicity, op6_embedding_dedup, op7_bpe, op8_language_id, op9_secret_scan, op10_token_counts)}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), carry=("doc_id",))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_sharding, op3_jaccard_join, op4_suffix_dedup, op5_toxicity, op6_embedding_dedup, op7_bpe, op8_language_id, op9_secret_scan, op10_token_counts, op11_importance_resampling, op12_spelling_variants, op13_packing)}
