@@ -152,13 +152,26 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(*texts: DataFrame, most: int = DICTIONARY_WORDS) -> list[bytes]:
-    """At most ``most`` frequent words over frames of one binary column. Only speed depends on which they are."""
+    """At most ``most`` frequent words over frames of one binary column. Only speed depends on which they are.
+
+    How many words each quarter of a binary order of counts holds (a few hundred
+    numbers) tells which counts are high enough, so that no task sends more than
+    it has of the chosen words.
+    """
     counted = None
     for t in texts:
         one = t.mapInArrow(_frequent, "word binary, n long")
         counted = one if counted is None else counted.unionByName(one)
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [bytes(r["word"]) for r in top.collect()]
+    order = F.floor(4 * F.log2("n")).cast("int")
+    counted = staged(counted.groupBy("word").agg(F.sum("n").alias("n")).select("word", order.alias("order")), "word-counts")
+    sizes, room, least = sorted(counted.groupBy("order").count().collect(), reverse=True), most, None
+    while sizes and sizes[0]["count"] <= room:
+        least, n = sizes.pop(0)
+        room -= n
+    chosen = counted.where(F.col("order") >= least).collect() if least is not None else []
+    if sizes and room:
+        chosen += counted.where(F.col("order") == sizes[0]["order"]).limit(room).collect()
+    return [bytes(r["word"]) for r in chosen]
 
 
 def bucket_counts(texts: DataFrame, shared, run_words: int, buckets: int) -> np.ndarray:
