@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .visits import cluster_salts
+from .skew import HOT_ROWS, find_hot_keys, join_spread
 
 VISIT_DETAIL_COLUMNS = [
     "person_id", "macrovisit_id", "visit_occurrence_id", "visit_concept_id",
@@ -38,46 +38,44 @@ def distinct_starts_per_stay(visits: DataFrame) -> DataFrame:
 
 
 def _restrict(df: DataFrame, keys: DataFrame | Sequence[str], column: str, keys_small: bool = False,
-              salts: int | None = None) -> DataFrame:
+              hot_rows: int = HOT_ROWS) -> DataFrame:
     """Semi join to a key set. A key DataFrame is usually an aggregate, so no
     count is run on it (that would compute it twice). ``keys_small`` states
     a bound the caller has proven (e.g. the keys are persons of a cohort
     within the broadcast bound): the keys are then broadcast. Otherwise the
-    join runs on (key, salt): a row's salt is a hash of its visit id and each
-    key is repeated once per salt (default: the cluster's task slots), so one
-    stay or person with a third of the rows spreads over as many tasks."""
+    join runs on the key, and a sketch of ``df``'s key column names the keys
+    with ``hot_rows`` rows and more than their share: their rows alone are
+    spread, by visit id, and only those keys are repeated."""
     if not isinstance(keys, DataFrame):
         return df.where(F.col(column).isin(list(keys)))
     side = keys.select(column)
     if keys_small:
         return df.join(F.broadcast(side), column, "left_semi").select(*df.columns)
-    n = max(1, cluster_salts(df) if salts is None else salts)
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64("visit_occurrence_id"), F.lit(n)).cast("int"))
-    side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return salted.join(side, [column, "__salt"], "left_semi").select(*df.columns)
+    hot = find_hot_keys(df, [column], hot_rows)
+    return join_spread(df, side, [column], hot, "left_semi", ["visit_occurrence_id"], distinct_hot=False).select(*df.columns)
 
 
 def stay_drilldown(visits: DataFrame, stays: DataFrame | Sequence[str], keys_small: bool = False,
-                   sort: bool = True, salts: int | None = None) -> DataFrame:
+                   sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every visit row of the chosen stays (a list of ids, or a DataFrame with
     a macrovisit_id column), detail columns, with ``sort`` ordered by stay then
     concept.
 
     The visit id closes the sort key: the order is total, and the range
     partitioner can split one very large stay over several tasks."""
-    rows = _restrict(visits.select(*VISIT_DETAIL_COLUMNS), stays, "macrovisit_id", keys_small, salts)
+    rows = _restrict(visits.select(*VISIT_DETAIL_COLUMNS), stays, "macrovisit_id", keys_small, hot_rows)
     return rows.orderBy("macrovisit_id", "visit_concept_id", "visit_occurrence_id") if sort else rows
 
 
 def person_stays(visits: DataFrame, persons: DataFrame | Sequence[str], keys_small: bool = False,
-                 sort: bool = True, salts: int | None = None) -> DataFrame:
+                 sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every visit row inside a stay for the chosen persons (a list of ids,
     or a DataFrame with person_id), with ``sort`` ordered by person then stay
     start (then stay and visit id, so a person with very many rows spans
     several range partitions)."""
     rows = _restrict(
         visits.where(F.col("macrovisit_id").isNotNull()).select(*VISIT_DETAIL_COLUMNS),
-        persons, "person_id", keys_small, salts,
+        persons, "person_id", keys_small, hot_rows,
     )
     return rows.orderBy("person_id", "macrovisit_start_date", "macrovisit_id", "visit_occurrence_id") if sort else rows
 

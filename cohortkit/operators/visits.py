@@ -10,12 +10,12 @@ index dates) with the day window as a join condition, then reduce to one
 row per person with a partial aggregate. One aggregate over the cohort
 (``profile_cohort``) gives its row count and index-date range: the cohort
 side is broadcast when the count is within the bound, so the visit table is
-never shuffled for the join (otherwise the join is salted on (person_id,
-salt), so a hot person spreads over several tasks; see ``_join_cohort``);
-and the visit scan is filtered to the
-overall date range every match must fall in, a literal range that reaches
-parquet row-group and partition pruning. ``stays_after_index`` keeps every
-later stay, so it joins on (person_id, salt) instead; see there.
+never shuffled for the join (otherwise the join runs on person and day bin, so
+a person with many visits splits by date; see ``_join_cohort``); and the visit
+scan is filtered to the overall date range every match must fall in, a literal
+range that reaches parquet row-group and partition pruning.
+``stays_after_index`` keeps every later stay, so it joins on person_id and
+spreads hot persons alone; see there.
 """
 
 from __future__ import annotations
@@ -30,9 +30,7 @@ from ..functions.dates import as_date, days_between, event_within, index_minus_e
 from ..sources.tables import require_columns
 from .checks import require_unique
 from .joins import BROADCAST_BYTES, COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, row_width, small_enough
-
-# Least number of salts for joining events to a cohort too large to broadcast.
-COHORT_SALTS = 16
+from .skew import HOT_ROWS, find_hot_keys, join_spread
 
 MODES = ("either", "both")
 
@@ -84,34 +82,36 @@ def _in_index_range(event: Column, bounds: tuple, days_before: int, days_after:
     return (event >= F.lit(first)) & (event < F.lit(end))
 
 
-def cluster_salts(df: DataFrame) -> int:
-    """Salts for a hot person: the cluster's task slots (16 at least)."""
-    return max(COHORT_SALTS, df.sparkSession.sparkContext.defaultParallelism)
+def _day_bin(date: Column, width: int) -> Column:
+    return F.floor(F.unix_date(date) / F.lit(width)).cast("int")
 
 
-def _join_cohort(events: DataFrame, persons: DataFrame, columns: list[str], broadcast: bool,
-                 salts: int | None = None) -> DataFrame:
+def _join_cohort(events: DataFrame, persons: DataFrame, columns: list[str], broadcast: bool, event_date: Column,
+                 index_col: str, days_before: int, days_after: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join event rows to the cohort's (person_id, index dates).
 
     A cohort proven small is broadcast: the events stay where they are. A
-    large one is joined on (person_id, salt): equal event rows (the
-    microvisits of one stay, the visits of one day) are first reduced to one
-    by a partial aggregate, each remaining row gets a salt from its hash, and
-    the one cohort row per person is repeated once per salt. A person owning
-    a large share of the events then spreads over ``salts`` tasks (default:
-    the cluster's task slots), and the per-person aggregate that follows
-    combines partial results in those tasks before its own (small) shuffle.
-    This does not depend on adaptive execution settings.
+    large one is an interval join by day bins as wide as the window: an event
+    carries (person_id, bin of its date), and a cohort row goes to the one or
+    two bins that [index - days_before, index + days_after] touches, so only
+    events of those bins meet it. The visits are shuffled once, a person with
+    very many visits splits by date, and nothing in the plan depends on the
+    size of the cluster. The window test itself follows the join; the
+    per-person aggregate combines partial results in the joining tasks before
+    its own (small) shuffle. A (person, bin) that still owns ``hot_rows`` rows
+    and more than its share is spread further (``join_spread``).
     """
     dates = [c for c in columns if c != "person_id"]
     side = _dated(persons.select(*columns), dates)
     if broadcast:
         return events.join(F.broadcast(side), "person_id")
-    n = max(1, cluster_salts(events) if salts is None else salts)
-    events = events.distinct()
-    salted_events = events.withColumn("__salt", F.pmod(F.xxhash64(*events.columns), F.lit(n)).cast("int"))
-    salted_side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return salted_events.join(salted_side, ["person_id", "__salt"]).drop("__salt")
+    width = max(1, days_before + days_after + 1)
+    index = F.col(index_col)
+    bins = F.sequence(_day_bin(F.date_sub(index, days_before), width), _day_bin(F.date_add(index, days_after), width))
+    side = side.where(F.lit(days_before + days_after >= 0)).withColumn("__bin", F.explode(bins))
+    events = events.withColumn("__bin", _day_bin(event_date, width))
+    keys = ["person_id", "__bin"]
+    return join_spread(events, side, keys, find_hot_keys(events, keys, hot_rows)).drop("__bin", "__piece")
 
 
 def _attach_per_person(persons: DataFrame, per_person: DataFrame, small: bool) -> DataFrame:
@@ -154,7 +154,7 @@ def stay_near_index(
     index_source: DataFrame | None = None,
     prune_to_index_range: bool = True,
     profile: CohortProfile | None = None,
-    salts: int | None = None,
+    hot_rows: int = HOT_ROWS,
     unique: str = "allow_fanout",
 ) -> DataFrame:
     """First stay starting from ``days_before_index`` days before to
@@ -173,8 +173,9 @@ def stay_near_index(
     outside the cohort's overall index range are filtered at the scan.
     ``profile`` passes ``profile_cohort(source with a non-null index,
     [index_col])`` when the caller computed it already (e.g. concurrently
-    with other plan-time work). ``salts`` spreads a hot person when the cohort
-    is too large to broadcast (see ``_join_cohort``). Dates may be timestamps;
+    with other plan-time work). ``hot_rows`` bounds the rows that a person may
+    have in a day bin when the cohort is too large to broadcast (see
+    ``_join_cohort``). Dates may be timestamps;
     they are read as DATE. A person who occurs several times gets the first
     stay near any of the index dates in each row, or raises with
     ``unique="assert"``.
@@ -195,7 +196,8 @@ def stay_near_index(
     if require_overlap:
         cond = cond & (idx <= F.col("macrovisit_end_date"))
     first = (
-        _join_cohort(stays, source, ["person_id", index_col], profile.small(cohort_broadcast_rows), salts)
+        _join_cohort(stays, source, ["person_id", index_col], profile.small(cohort_broadcast_rows), start,
+                     index_col, days_before_index, days_after_index, hot_rows)
         .where(cond)
         .groupBy("person_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_id", "macrovisit_end_date")).alias("s"))
@@ -223,7 +225,7 @@ def er_visits_near_index(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     prune_to_index_range: bool = True,
     profile: CohortProfile | None = None,
-    salts: int | None = None,
+    hot_rows: int = HOT_ROWS,
     unique: str = "allow_fanout",
 ) -> DataFrame:
     """Earliest emergency-room visit near the index date, per person:
@@ -246,7 +248,8 @@ def er_visits_near_index(
     er = er.join(er_ids, F.col("visit_concept_id") == er_ids["concept_id"], "left_semi")
     return (
         _join_cohort(_dated(er.select("person_id", "visit_start_date"), ["visit_start_date"]), persons,
-                     ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows), salts)
+                     ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows), F.col("visit_start_date"),
+                     _mode_index(mode), days_before_index, days_after_index, hot_rows)
         .where(_window_test(mode, F.col("visit_start_date"), days_before_index, days_after_index))
         .groupBy("person_id")
         .agg(F.min("visit_start_date").alias("first_covid_er_only_start_date"))
@@ -262,7 +265,7 @@ def stays_near_index(
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     prune_to_index_range: bool = True,
     profile: CohortProfile | None = None,
-    salts: int | None = None,
+    hot_rows: int = HOT_ROWS,
     unique: str = "allow_fanout",
 ) -> DataFrame:
     """Earliest stay starting near the index date, per person:
@@ -279,7 +282,8 @@ def stays_near_index(
                                             days_before_index, days_after_index))
     stays = _dated(stays.select(*STAY_COLUMNS), STAY_COLUMNS[2:])
     return (
-        _join_cohort(stays, persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows), salts)
+        _join_cohort(stays, persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows),
+                     F.col("macrovisit_start_date"), _mode_index(mode), days_before_index, days_after_index, hot_rows)
         .where(_window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index))
         .groupBy("person_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_id", "macrovisit_end_date")).alias("s"))
@@ -304,7 +308,7 @@ def first_visits(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     prune_to_index_range: bool = True,
     profile: CohortProfile | None = None,
-    salts: int | None = None,
+    hot_rows: int = HOT_ROWS,
     unique: str = "allow_fanout",
 ) -> DataFrame:
     """Persons with their first stay near the index date and, with
@@ -328,15 +332,15 @@ def first_visits(
     profile = profile_cohort(persons, INDEX_DATES) if profile is None else profile
     if not include_er:
         first = stays_near_index(persons, visits, mode, days_before_index, days_after_index,
-                                 cohort_broadcast_rows, prune_to_index_range, profile, salts)
+                                 cohort_broadcast_rows, prune_to_index_range, profile, hot_rows)
         return _attach_per_person(persons, first, profile.small(cohort_broadcast_rows))
     er_ids = er_concepts.select("concept_id")
     if not small_enough([er_ids], max_broadcast_rows)[0]:
         hosp = stays_near_index(persons, visits, mode, days_before_index, days_after_index,
-                                cohort_broadcast_rows, prune_to_index_range, profile, salts)
+                                cohort_broadcast_rows, prune_to_index_range, profile, hot_rows)
         # a bound of 0: the ids were just counted and are too many
         er = er_visits_near_index(persons, visits, er_concepts, mode, days_before_index, days_after_index,
-                                  cohort_broadcast_rows, 0, prune_to_index_range, profile, salts)
+                                  cohort_broadcast_rows, 0, prune_to_index_range, profile, hot_rows)
         return _attach_per_person(persons, hosp.join(er, "person_id", "full_outer"),
                                   profile.small(cohort_broadcast_rows))
 
@@ -362,7 +366,9 @@ def first_visits(
     near_stay = stay_row & _window_test(mode, F.col("macrovisit_start_date"), days_before_index, days_after_index)
     near_er = er_row & _window_test(mode, F.col("visit_start_date"), days_before_index, days_after_index)
     first = (
-        _join_cohort(rows, persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows), salts)
+        _join_cohort(rows, persons, ["person_id", *INDEX_DATES], profile.small(cohort_broadcast_rows),
+                     F.coalesce("macrovisit_start_date", "visit_start_date"), _mode_index(mode), days_before_index,
+                     days_after_index, hot_rows)
         .where(near_stay | near_er)
         .groupBy("person_id")
         .agg(
@@ -387,7 +393,7 @@ def stays_after_index(
     stay_start_col: str = "first_COVID_hospitalization_start_date",
     stay_end_col: str = "first_COVID_hospitalization_end_date",
     observation=None,
-    salts: int | None = None,
+    hot_rows: int = HOT_ROWS,
     profile: CohortProfile | None = None,
     cohort_broadcast_rows: int = COHORT_BROADCAST_ROWS,
     days_before_index: int = 1,
@@ -411,12 +417,14 @@ def stays_after_index(
     ``days_before_index`` (the window of the first stays), so earlier stays are
     left out at the scan.
 
-    Otherwise one person may own a large share of all stays, and one stay of
-    its person's microvisits. Equal (person, stay, start, end) rows are first
-    reduced to one by a partial aggregate; then the join and the per-stay
-    aggregate run on (person_id, salt), the salt a hash of the stay id and the
-    one anchor row per person repeated once per salt (default: the cluster's
-    task slots). All rows of one stay share a salt, so results are exact.
+    Otherwise visits are shuffled once, by person_id: the join's partitioning
+    serves the per-stay aggregate too. One person may own a large share of all
+    stays, and one stay of its person's microvisits: a sketch over person_id
+    names persons with ``hot_rows`` rows and more than their share. Only their
+    equal (person, stay, start, end) rows are first reduced to one by a partial
+    aggregate, and only they are spread, by stay id, with their one anchor row
+    repeated once per piece. All rows of one stay share a piece, so results
+    are exact.
 
     ``branches="union"`` finds the stays after a first stay and those after an
     index date apart and unites them by name; the rows are the same, from two
@@ -426,7 +434,7 @@ def stays_after_index(
         raise ValueError("branches must be 'joined' or 'union'")
     if branches == "union":
         parts = [
-            stays_after_index(first_visits_df.where(part), visits, index_col, stay_start_col, stay_end_col, None, salts,
+            stays_after_index(first_visits_df.where(part), visits, index_col, stay_start_col, stay_end_col, None, hot_rows,
                               profile, cohort_broadcast_rows, days_before_index)
             for part in (F.col(stay_start_col).isNotNull(), F.col(stay_start_col).isNull())
         ]
@@ -446,14 +454,13 @@ def stays_after_index(
     stays = _dated(stays.select(*STAY_COLUMNS), STAY_COLUMNS[2:])
     keys = ["person_id"]
     if profile is not None and profile.small(cohort_broadcast_rows):
-        anchors = F.broadcast(anchors)
+        joined = stays.join(F.broadcast(anchors), keys)
     else:
-        keys = ["person_id", "__salt"]
-        n = max(1, cluster_salts(visits) if salts is None else salts)
-        anchors = anchors.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        stays = stays.distinct().withColumn("__salt", F.pmod(F.xxhash64("macrovisit_id"), F.lit(n)).cast("int"))
+        hot = find_hot_keys(stays, keys, hot_rows)
+        joined = join_spread(stays, anchors, keys, hot, spread_by=["macrovisit_id"])
+        keys += ["__piece"] if hot.hashes else []
     out = (
-        stays.join(anchors, keys)
+        joined
         .where(F.col("__anchor") < F.col("macrovisit_start_date"))
         .groupBy(*keys, *anchor_cols[1:], "macrovisit_id")
         .agg(F.min(F.struct("macrovisit_start_date", "macrovisit_end_date")).alias("s"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.area import cast_columns, unmatched_keys
 from ..operators.concepts import er_concept_ids
 from ..operators.explore import codes_per_stay, distinct_starts_per_stay, person_stays, stay_drilldown, value_counts
-from ..operators.visits import first_visits, stays_after_index
+from ..operators.visits import INDEX_DATES, first_visits, profile_cohort, stays_after_index
 from ..sources import AnyInputs
 from ..sources.fixtures import Inputs
 from ..sources.named import TableInputs
@@ -51,8 +51,9 @@ def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction:
     stages = finish_person_fact(inputs, cohort, clean.select(*located.columns), facts.profile)
     first_stay = keep(stages.first_stay, "first_stay")
     fact = keep(stages.fact, "person_fact")
-    visits = keep(first_visits(cohort, inputs.visits, er_concept_ids(inputs.our_concept_sets, inputs.concept_set_members)),
-                  "first_visits")
+    profile = profile_cohort(cohort, INDEX_DATES)
+    visits = keep(first_visits(cohort, inputs.visits, er_concept_ids(inputs.our_concept_sets, inputs.concept_set_members),
+                               profile=profile), "first_visits")
     with_area = keep(persons_with_area(inputs, fact, facts), "persons_with_area")
     with_mds = keep(persons_with_mds(inputs, with_area, facts, cohort), "persons_with_mds")
     multi = codes_per_stay(inputs.visits).where(F.col("multi_inpatient_codes") >= MIN_INPATIENT_CODES)
@@ -62,7 +63,7 @@ def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction:
         "comorbidities": comorbidity_table(inputs, cohort),
         "sdoh": cast_columns(with_mds),
         "severity": severity_table(inputs, fact, facts, cohort),
-        "stays_after_index": stays_after_index(visits, inputs.visits),
+        "stays_after_index": stays_after_index(visits, inputs.visits, profile=profile),
         "zip_area": area_by_zip(inputs, facts),
         "unmatched_zips": unmatched_keys(fact, area_by_zip(inputs, facts), broadcast=facts.small["area"]),
         "distinct_starts": distinct_starts_per_stay(inputs.visits),

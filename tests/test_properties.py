@@ -194,7 +194,7 @@ def test_stays_after_index_matches_rules(spark, anchor_pairs, visits):
     vdf = spark.createDataFrame(visits, "person_id string, visit_concept_id int, visit_start_date date, "
                                 "macrovisit_id string, macrovisit_start_date date, macrovisit_end_date date")
     got = {(r["person_id"], r["macrovisit_id"]): (r["macrovisit_start_date"], r["macrovisit_end_date"])
-           for r in stays_after_index(adf, vdf, salts=3).collect()}
+           for r in stays_after_index(adf, vdf, hot_rows=2).collect()}
     assert got == py_stays_after(anchors, visits)
 
 

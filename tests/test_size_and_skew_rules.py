@@ -15,6 +15,7 @@ from cohortkit.operators.person import enrich_person, sample_cohort
 from cohortkit.operators.pivot import earliest_comorbidities
 from cohortkit.operators.visits import (
     INDEX_DATES,
+    LAB,
     _join_cohort,
     er_visits_near_index,
     first_visits,
@@ -124,28 +125,22 @@ def hot_visits(spark, n=100_000):
 
 
 @pytest.mark.parametrize("columns", [["person_id", "macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"], ["person_id", "visit_start_date"]])
-def test_rows_of_a_hot_stay_and_day_are_reduced_before_the_salted_join(spark, columns):
+def test_rows_of_a_hot_stay_and_day_are_reduced_before_the_join(spark, columns):
     visits = hot_visits(spark).select(*columns)
-    joined = _join_cohort(visits, cohort_of(spark, "hot", *[f"p{i}" for i in range(97)]), ["person_id", *INDEX_DATES], False, salts=16)
-    assert joined.count() == visits.distinct().count()
+    cohort = cohort_of(spark, "hot", *[f"p{i}" for i in range(97)])
+    bounds = (LAB, 1, 16, 5000)
+    joined = _join_cohort(visits, cohort, ["person_id", *INDEX_DATES], False, F.col(columns[-1 if len(columns) == 2 else 2]), *bounds)
     hot = "person_id = 'hot'"
-    assert joined.where(hot).count() <= 10 and visits.where(hot).count() > 60_000
-
-
-def test_hot_person_spreads_over_salts(spark):
-    stays = spark.range(8000).selectExpr("'hot' as person_id", "concat('s', id) as macrovisit_id")
-    spread = stays.withColumn("salt", F.pmod(F.xxhash64(*stays.columns), F.lit(16))).groupBy("salt").count()
-    counts = [r["count"] for r in spread.collect()]
-    assert len(counts) == 16 and max(counts) < 2 * 8000 / 16
+    assert joined.where(hot).count() <= 100 and visits.where(hot).count() > 60_000
 
 
 def test_hot_rows_give_equal_results_on_every_path(spark):
     cohort, visits, er = cohort_of(spark, "hot", *[f"p{i}" for i in range(97)]), hot_visits(spark, 30_000), spark.createDataFrame([(9203,)], "concept_id int")
     for f in (lambda **k: stay_near_index(cohort, visits, **k), lambda **k: first_visits(cohort, visits, er, **k), lambda **k: stays_near_index(cohort, visits, **k), lambda **k: er_visits_near_index(cohort, visits, er, **k)):
-        assert rows(f()) == rows(f(cohort_broadcast_rows=0)) == rows(f(cohort_broadcast_rows=0, salts=3))
+        assert rows(f()) == rows(f(cohort_broadcast_rows=0)) == rows(f(cohort_broadcast_rows=0, hot_rows=100))
     first, profile = first_visits(cohort, visits, er), profile_cohort(cohort, INDEX_DATES)
     expected = rows(stays_after_index(first, visits))
-    assert expected and expected == rows(stays_after_index(first, visits, profile=profile)) == rows(stays_after_index(first, visits, profile=profile, cohort_broadcast_rows=0, salts=5))
+    assert expected and expected == rows(stays_after_index(first, visits, profile=profile)) == rows(stays_after_index(first, visits, profile=profile, cohort_broadcast_rows=0, hot_rows=100))
     assert expected == rows(stays_after_index(first, visits, branches="union")) == rows(stays_after_index(first, visits, profile=profile, branches="union"))
 
 
@@ -153,13 +148,13 @@ def test_drilldowns_spread_a_hot_stay(spark):
     visits = hot_visits(spark, 20_000)
     keys = spark.createDataFrame([("hot_stay",), ("s5",), ("none",)], "macrovisit_id string")
     expected = rows(stay_drilldown(visits, ["hot_stay", "s5", "none"]))
-    assert len(expected) > 6000 and expected == rows(stay_drilldown(visits, keys)) == rows(stay_drilldown(visits, keys, keys_small=True, sort=False)) == rows(stay_drilldown(visits, keys, salts=7, sort=False))
+    assert len(expected) > 6000 and expected == rows(stay_drilldown(visits, keys)) == rows(stay_drilldown(visits, keys, keys_small=True, sort=False)) == rows(stay_drilldown(visits, keys, hot_rows=100, sort=False))
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
     before = {k: spark.conf.get(k) for k in conf if spark.conf.get(k, None) is not None}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        per_task = stay_drilldown(visits, keys, salts=64, sort=False).where("macrovisit_id = 'hot_stay'").groupBy(F.spark_partition_id()).count()
+        per_task = stay_drilldown(visits, keys, hot_rows=100, sort=False).where("macrovisit_id = 'hot_stay'").groupBy(F.spark_partition_id()).count()
         counts = [r["count"] for r in per_task.collect()]
     finally:
         for k in conf:
