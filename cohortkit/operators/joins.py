@@ -1,8 +1,8 @@
 """Joins against lookup tables, safe at scale.
 
 * ``checked_broadcast`` broadcasts a side only after a count proves it has at
-  most ``max_rows`` rows and, at its schema's row width, at most
-  ``BROADCAST_BYTES``; otherwise the plan keeps a shuffle join (and adaptive
+  most ``max_rows`` rows and, with its text and nested values measured, at
+  most ``BROADCAST_BYTES``; otherwise the plan keeps a shuffle join (and adaptive
   execution may still convert it from measured sizes).
 * ``join_lookup`` is the left / anti / semi join of a large table against a
   lookup. When the lookup is not broadcast, rows whose key is null (which can
@@ -29,8 +29,10 @@ DEFAULT_BROADCAST_ROWS = 200_000
 # of the event tables; above it, the event side is shuffled by person_id.
 COHORT_BROADCAST_ROWS = 1_000_000
 NULL_KEY_SALT_BUCKETS = 256
-# A broadcast side's estimated size: rows times the width of its schema.
+# Bytes of a broadcast side: rows times the width of fixed columns, and the measured bytes of the others.
 BROADCAST_BYTES = 256 << 20
+# Where even values of this size in every text or nested column would fit, none is measured.
+ROOMY_VALUE = 16 << 10
 VARIABLE_WIDTH = 32
 
 
@@ -53,14 +55,57 @@ def count_rows(dfs: Sequence[DataFrame]) -> list[int]:
     return [counts.get(i, 0) for i in range(len(dfs))]
 
 
+def _fixed_width(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
+def stored_bytes(dfs: Sequence[DataFrame]) -> list[int]:
+    """Bytes of the text and nested values of several inputs, by one aggregate
+    over those columns (nested values as JSON); one number each reaches the driver."""
+    parts = []
+    for i, df in enumerate(dfs):
+        sizes = [
+            F.coalesce(F.octet_length(c if isinstance(k, (T.StringType, T.BinaryType)) else F.to_json(F.struct(c))), F.lit(0))
+            for c, k in ((F.col(f.name), f.dataType) for f in df.schema if not _fixed_width(f.dataType))
+        ]
+        total = reduce(lambda a, b: a + b, [s.cast("long") for s in sizes], F.lit(0).cast("long"))
+        parts.append(df.select(F.lit(i).alias("__input"), total.alias("__bytes")))
+    found = reduce(DataFrame.unionAll, parts).groupBy("__input").agg(F.sum("__bytes").alias("b")).collect() if parts else []
+    got = {r["__input"]: r["b"] for r in found}
+    return [got.get(i, 0) for i in range(len(dfs))]
+
+
+def within_bounds(dfs: Sequence[DataFrame], rows: Sequence[int], max_rows: Sequence[int],
+                  max_bytes: int = BROADCAST_BYTES) -> list[bool]:
+    """Whether inputs with these row counts are within both broadcast bounds.
+
+    Only inputs within the row bound are measured, and of them only those that
+    large values could push over the byte bound: so at most ``max_rows`` rows of
+    an input are read for it.
+    """
+    out, ask = [False] * len(dfs), []
+    for i, df in enumerate(dfs):
+        variable = sum(not _fixed_width(f.dataType) for f in df.schema)
+        fixed = row_width(df) - variable * VARIABLE_WIDTH
+        if not 0 < max_rows[i] or rows[i] > max_rows[i] or rows[i] * fixed > max_bytes:
+            continue
+        if rows[i] * (fixed + variable * ROOMY_VALUE) <= max_bytes:
+            out[i] = True
+        else:
+            ask.append((i, max_bytes - rows[i] * fixed))
+    for (i, room), size in zip(ask, stored_bytes([dfs[i] for i, _ in ask]), strict=True):
+        out[i] = size <= room
+    return out
+
+
 def fits(df: DataFrame, rows: int, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether an input with ``rows`` rows is within both broadcast bounds."""
-    return 0 < max_rows and rows <= max_rows and rows * row_width(df) <= max_bytes
+    """``within_bounds`` of one input."""
+    return within_bounds([df], [rows], [max_rows], max_bytes)[0]
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows of its width within the
-    byte bound. One count; a plain parquet scan counts without reading columns."""
+    """True when ``df`` has at most ``max_rows`` rows, and their bytes are within
+    the byte bound. A plain parquet scan is counted without reading columns."""
     return small_enough([df], max_rows)[0]
 
 
@@ -84,7 +129,7 @@ def small_enough(dfs: Sequence[DataFrame], max_rows: int | Sequence[int] = DEFAU
     bounds = [max_rows] * len(dfs) if isinstance(max_rows, int) else list(max_rows)
     asked = [i for i, bound in enumerate(bounds) if bound > 0]
     counts = dict(zip(asked, count_rows([dfs[i] for i in asked])))
-    return [i in counts and fits(dfs[i], counts[i], bounds[i]) for i in range(len(dfs))]
+    return within_bounds(dfs, [counts.get(i, 0) for i in range(len(dfs))], [b if i in counts else 0 for i, b in enumerate(bounds)])
 
 
 def _hashable(kind: T.DataType) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,10 @@ from .events import first_event_per
 from .joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, small_enough
 
 
+# More groups than this are pivoted in long form.
+FUSED_GROUPS = 32
+
+
 def pivot_first_events(
     events: DataFrame,
     key: str,
@@ -20,6 +25,7 @@ def pivot_first_events(
     order_by: str,
     outputs: dict[str, str],
     tie_break: Sequence[str] = (),
+    fused_groups: int = FUSED_GROUPS,
 ) -> DataFrame:
     """One row per ``key`` that has a dated event in one of ``values``.
 
@@ -28,9 +34,12 @@ def pivot_first_events(
     (ties broken by ``tie_break`` then the other output columns). Groups
     without an event are null.
 
-    The earliest-per-(key, group) step and the pivot are one aggregation
-    over ``key``: one shuffle of partial aggregates instead of two shuffles,
-    and no plan-time job to discover pivot values.
+    Up to ``fused_groups`` groups, the earliest-per-(key, group) step and the
+    pivot are one aggregation over ``key`` (one shuffle of partial aggregates),
+    with a test per group and row. More groups go in long form: one aggregate
+    per (key, group), then one map of the groups that a key has, from which the
+    columns are taken, so that the work grows with the rows and not with rows
+    times groups. No plan-time job discovers pivot values.
     """
     values = list(values)
     if not values:  # no groups: nobody has an event in one
@@ -38,17 +47,26 @@ def pivot_first_events(
     fields = [order_by, *[c for c in tie_break if c != order_by]]
     fields += [c for c in outputs.values() if c not in fields]
     row = F.struct(*[F.col(c) for c in fields])
-    aggs = [F.min(F.when(F.col(group_col) == v, row)).alias(f"__g{i}") for i, v in enumerate(values)]
-    picked = (
-        events.where(F.col(order_by).isNotNull() & F.col(group_col).isin(values))
-        .groupBy(key)
-        .agg(*aggs)
-    )
-    cols = [F.col(key)]
-    for i, v in enumerate(values):
-        for suffix, column in outputs.items():
-            cols.append(F.col(f"__g{i}.{column}").alias(f"{v}_{suffix}"))
-    return picked.select(*cols)
+    dated = events.where(F.col(order_by).isNotNull() & F.col(group_col).isin(values))
+    if len(values) <= fused_groups:
+        aggs = [F.min(F.when(F.col(group_col) == v, row)).alias(f"__g{i}") for i, v in enumerate(values)]
+        picked = dated.groupBy(key).agg(*aggs)
+        found = [f"__g{i}" for i in range(len(values))]
+    else:
+        first = dated.groupBy(key, group_col).agg(F.min(row).alias("__row"))
+        picked = first.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(group_col, "__row"))).alias("__rows"))
+        found = [f"try_element_at(__rows, {_text(v)})" for v in values]
+    # as texts, which are parsed at once: building thousands of columns one call at a time takes minutes
+    cols = [f"{g}.{_name(column)} AS {_name(f'{v}_{suffix}')}" for v, g in zip(values, found, strict=True) for suffix, column in outputs.items()]
+    return picked.selectExpr(_name(key), *cols)
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
 def comorbidity_events(

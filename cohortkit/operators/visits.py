@@ -49,18 +49,23 @@ class CohortProfile:
 
     rows: int
     bounds: dict[str, tuple[dt.date | None, dt.date | None]]
-    width: int = 64  # estimated bytes of a cohort row
+    width: int = 64  # bytes of a cohort row
 
     def small(self, max_rows: int) -> bool:
         return 0 < max_rows and self.rows <= max_rows and self.rows * self.width <= BROADCAST_BYTES
 
 
+def cohort_width(side: DataFrame, rows: int, id_bytes: int | None) -> int:
+    """Bytes of a cohort row: its columns' widths, and the measured length of its ids."""
+    return row_width(side) + -(-(id_bytes or 0) // max(1, rows))
+
+
 def profile_cohort(persons: DataFrame, index_cols: list[str]) -> CohortProfile:
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs = [F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.col("person_id").cast("string"))).alias("id_bytes")]
     for i, c in enumerate(index_cols):
         aggs += [F.min(as_date(F.col(c))).alias(f"lo{i}"), F.max(as_date(F.col(c))).alias(f"hi{i}")]
     r = persons.agg(*aggs).first()
-    width = row_width(persons.select("person_id", *index_cols))
+    width = cohort_width(persons.select("person_id", *index_cols), r["rows"], r["id_bytes"])
     return CohortProfile(r["rows"], {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(index_cols)}, width)
 
 

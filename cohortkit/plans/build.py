@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from ..operators.area import cast_columns, unmatched_keys
 from ..operators.concepts import er_concept_ids
 from ..operators.explore import codes_per_stay, distinct_starts_per_stay, person_stays, stay_drilldown, value_counts
+from ..operators.person import clean_person
 from ..operators.visits import INDEX_DATES, first_visits, profile_cohort, stays_after_index
 from ..sources import AnyInputs
 from ..sources.fixtures import Inputs
 from ..sources.named import TableInputs
-from ..sources.sinks import materialize, stage_root, write_stage
+from ..sources.sinks import stage_root
+from ..sources.stages import start_run
 from .person_fact import (
     area_by_zip,
     comorbidity_table,
@@ -32,50 +34,55 @@ MIN_INPATIENT_CODES = 2
 
 
 def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction: float = 1.0,
-                 seed: int = 111, unique: str = "allow_fanout") -> dict[str, str]:
+                 seed: int = 111, unique: str = "allow_fanout", resume: bool = True) -> dict[str, str]:
     """Write every node's table under ``out_dir`` (default: the stage root
-    under ``spark.checkpoint.dir``). Returns table -> path."""
+    under ``spark.checkpoint.dir``) and publish them together. Returns table -> path.
+
+    Tables go to a folder of this run: those published before stay readable
+    until the new ones are complete. A run that died is taken up at its first
+    unfinished table when it has the same inputs and parameters (``resume``);
+    see ``sources.stages``.
+    """
     spark = inputs.spark
     root = stage_root(spark, out_dir)
-    paths: dict[str, str] = {}
-
-    def keep(df, name):
-        paths[name] = f"{root}/{name}"
-        return materialize(spark, df, name, root)
+    key = f"{inputs.identity} sample={sample_fraction} seed={seed} unique={unique}"
+    run = start_run(spark, root, key, resume)
 
     cohort, located, facts = located_persons(inputs, sample_fraction, seed, unique)
-    cohort = keep(cohort, "cohort_sample")
-    located = keep(located, "person_locations")
-    stages = finish_person_fact(inputs, cohort, located, facts.profile)
-    clean = keep(stages.clean, "persons_clean")
+    cohort = run.table("cohort_sample", lambda c=cohort: c)
+    located = run.table("person_locations", lambda t=located: t)
+    clean = run.table("persons_clean", lambda: clean_person(located))
     stages = finish_person_fact(inputs, cohort, clean.select(*located.columns), facts.profile)
-    first_stay = keep(stages.first_stay, "first_stay")
-    fact = keep(stages.fact, "person_fact")
+    first_stay = run.table("first_stay", lambda: stages.first_stay)
+    fact = run.table("person_fact", lambda: stages.fact)
     profile = profile_cohort(cohort, INDEX_DATES)
-    visits = keep(first_visits(cohort, inputs.visits, er_concept_ids(inputs.our_concept_sets, inputs.concept_set_members),
-                               profile=profile), "first_visits")
-    with_area = keep(persons_with_area(inputs, fact, facts), "persons_with_area")
-    with_mds = keep(persons_with_mds(inputs, with_area, facts, cohort), "persons_with_mds")
-    multi = codes_per_stay(inputs.visits).where(F.col("multi_inpatient_codes") >= MIN_INPATIENT_CODES)
-    hospitalised = first_stay.where(F.col("covid_associated_hosp") == 1)
+    visits = run.table("first_visits", lambda: first_visits(
+        cohort, inputs.visits, er_concept_ids(inputs.our_concept_sets, inputs.concept_set_members), profile=profile))
+    with_area = run.table("persons_with_area", lambda: persons_with_area(inputs, fact, facts))
+    with_mds = run.table("persons_with_mds", lambda: persons_with_mds(inputs, with_area, facts, cohort))
 
+    def multi_stays():
+        multi = codes_per_stay(inputs.visits).where(F.col("multi_inpatient_codes") >= MIN_INPATIENT_CODES)
+        return stay_drilldown(inputs.visits, multi)
+
+    hospitalised = first_stay.where(F.col("covid_associated_hosp") == 1)
     outputs = {
-        "comorbidities": comorbidity_table(inputs, cohort),
-        "sdoh": cast_columns(with_mds),
-        "severity": severity_table(inputs, fact, facts, cohort),
-        "stays_after_index": stays_after_index(visits, inputs.visits, profile=profile),
-        "zip_area": area_by_zip(inputs, facts),
-        "unmatched_zips": unmatched_keys(fact, area_by_zip(inputs, facts), broadcast=facts.small["area"]),
-        "distinct_starts": distinct_starts_per_stay(inputs.visits),
-        "codes_per_stay": codes_per_stay(inputs.visits),
-        "multi_inpatient_stays": stay_drilldown(inputs.visits, multi),
-        "person_stays": person_stays(inputs.visits, hospitalised, keys_small=facts.cohort_small),
-        "zip_counts": value_counts(fact, "zip_code"),
-        "zip_counts_raw": value_counts(located, "zip"),
+        "comorbidities": lambda: comorbidity_table(inputs, cohort),
+        "sdoh": lambda: cast_columns(with_mds),
+        "severity": lambda: severity_table(inputs, fact, facts, cohort),
+        "stays_after_index": lambda: stays_after_index(visits, inputs.visits, profile=profile),
+        "zip_area": lambda: area_by_zip(inputs, facts),
+        "unmatched_zips": lambda: unmatched_keys(fact, area_by_zip(inputs, facts), broadcast=facts.small["area"]),
+        "distinct_starts": lambda: distinct_starts_per_stay(inputs.visits),
+        "codes_per_stay": lambda: codes_per_stay(inputs.visits),
+        "multi_inpatient_stays": multi_stays,
+        "person_stays": lambda: person_stays(inputs.visits, hospitalised, keys_small=facts.cohort_small),
+        "zip_counts": lambda: value_counts(fact, "zip_code"),
+        "zip_counts_raw": lambda: value_counts(located, "zip"),
     }
-    for name, df in outputs.items():
-        paths[name] = write_stage(df, f"{root}/{name}")
-    return paths
+    for name, make in outputs.items():
+        run.table(name, make)
+    return run.publish()
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -18,10 +18,10 @@ from ..functions.dates import as_date
 from ..operators.area import attach_area, attach_column, cast_columns, zip_area_table
 from ..operators.attach import attach_severity
 from ..operators.events import latest_event
-from ..operators.joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, fits, row_width
+from ..operators.joins import COHORT_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, within_bounds
 from ..operators.person import clean_person, enrich_person, sample_cohort
 from ..operators.pivot import comorbidities
-from ..operators.visits import LAB, CohortProfile, stay_near_index
+from ..operators.visits import LAB, CohortProfile, cohort_width, stay_near_index
 from ..sources import AnyInputs
 
 
@@ -58,18 +58,23 @@ def plan_facts(inputs: AnyInputs, cohort: DataFrame, sides: Sequence[str] = PERS
         "severity": lambda: inputs.severity,
     }
     tables = {name: build[name]() for name in sides}
-    none = F.lit(None).cast("date").alias("day")
-    rows = [cohort.select(F.lit("cohort").alias("input"), as_date(F.col(INDEX_COL)).alias("day"))]
-    rows += [df.select(F.lit(name).alias("input"), none) for name, df in tables.items()]
+    none = [F.lit(None).cast("date").alias("day"), F.lit(None).cast("int").alias("id_bytes")]
+    id_bytes = F.octet_length(F.col("person_id").cast("string")).alias("id_bytes")
+    rows = [cohort.select(F.lit("cohort").alias("input"), as_date(F.col(INDEX_COL)).alias("day"), id_bytes)]
+    rows += [df.select(F.lit(name).alias("input"), *none) for name, df in tables.items()]
     found = {
         r["input"]: r
         for r in reduce(DataFrame.unionAll, rows)
-        .groupBy("input").agg(F.count(F.lit(1)).alias("rows"), F.min("day").alias("lo"), F.max("day").alias("hi")).collect()
+        .groupBy("input")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("day").alias("lo"), F.max("day").alias("hi"), F.sum("id_bytes").alias("id_bytes"))
+        .collect()
     }
     count = {name: found[name]["rows"] if name in found else 0 for name in ("cohort", *tables)}
     bounds = (found["cohort"]["lo"], found["cohort"]["hi"]) if "cohort" in found else (None, None)
-    profile = CohortProfile(count["cohort"], {INDEX_COL: bounds}, row_width(cohort.select("person_id", INDEX_COL)))
-    return PlanFacts(profile, {n: fits(df, count[n], DEFAULT_BROADCAST_ROWS) for n, df in tables.items()})
+    width = cohort_width(cohort.select("person_id", INDEX_COL), count["cohort"], found["cohort"]["id_bytes"] if "cohort" in found else 0)
+    profile = CohortProfile(count["cohort"], {INDEX_COL: bounds}, width)
+    small = within_bounds(list(tables.values()), [count[n] for n in tables], [DEFAULT_BROADCAST_ROWS] * len(tables))
+    return PlanFacts(profile, dict(zip(tables, small, strict=True)))
 
 
 @dataclass

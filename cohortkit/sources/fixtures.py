@@ -94,6 +94,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, base_dir: str):
         self.spark = spark
         self.base_dir = base_dir
+        self.identity = f"fixtures of {base_dir}"
 
     @classmethod
     def of(cls, spark: SparkSession, base_dir: str) -> Inputs:

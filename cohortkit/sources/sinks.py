@@ -4,7 +4,8 @@ Stage tables go to shared storage: the folder the cluster names in
 ``spark.checkpoint.dir`` unless the caller gives one. Reading a written table
 back cuts the lineage, so a lost executor recomputes from that table rather
 than from the raw inputs, and several downstream tables reuse one
-computation.
+computation. ``sources.stages`` writes the tables of a whole run so that those
+published before stay readable and a run that died is resumed.
 """
 
 from __future__ import annotations

@@ -146,3 +146,29 @@ def test_empty_inputs(spark):
                             i.condition_occurrence)
     assert no_sets.columns == ["person_id"] and no_sets.count() == 0
     assert stay_near_index(i.cohort.where("false"), i.visits).count() == 0
+
+
+def _pivot(events, names, **kwargs):
+    return pivot_first_events(events, "person_id", "g", names, "day", {"start": "day", "id": "occ"}, tie_break=["occ"], **kwargs)
+
+
+def test_long_form_pivot_equals_the_fused_one(spark):
+    events = spark.range(4000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 11 = 0 then null else concat('p', id % 50) end as person_id", "concat('g', id % 23) as g",
+        "case when id % 7 > 0 then date_add(date'2020-01-01', cast(id * 31 % 90 as int)) end as day", "id % 13 as occ")
+    names = [f"g{i}" for i in range(0, 26)]  # some have no event, one event group is not asked for
+    fused = _pivot(events, names[2:])
+    assert fused.columns[:3] == ["person_id", "g2_start", "g2_id"]
+    assert rows(_pivot(events, names[2:], fused_groups=0)) == rows(fused)
+    assert _pivot(events, [], fused_groups=0).count() == 0
+    odd = ["it's", "a`b", "c\\d", "e.f", '"g"']
+    strange = events.withColumn("g", F.element_at(F.array(*[F.lit(x) for x in odd]), (F.col("occ") % 5 + 1).cast("int")))
+    assert rows(_pivot(strange, odd, fused_groups=0)) == rows(_pivot(strange, odd)) and "it's_start" in _pivot(strange, odd).columns
+
+
+def test_pivot_of_five_thousand_names(spark):
+    events = spark.range(20_000).selectExpr("concat('p', id % 40) as person_id", "concat('g', id % 5000) as g", "date_add(date'2020-01-01', cast(id % 90 as int)) as day", "id as occ")
+    out = _pivot(events, [f"g{i}" for i in range(5000)])
+    assert len(out.columns) == 10_001
+    got = out.where("person_id = 'p7'").select("g7_start", "g7_id", "g47_id", "g8_id").collect()
+    assert [tuple(r) for r in got] == [(d("2020-01-08"), 7, 5047, None)]

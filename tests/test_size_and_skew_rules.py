@@ -10,7 +10,7 @@ from cohortkit.operators.checks import DuplicateKeyError
 from cohortkit.operators.concepts import curated_columns
 from cohortkit.operators.events import first_event_per
 from cohortkit.operators.explore import person_stays, stay_drilldown
-from cohortkit.operators.joins import count_rows, fits, join_lookup, row_width
+from cohortkit.operators.joins import checked_broadcast, count_rows, fits, join_lookup, row_width, small_enough, stored_bytes, within_bounds
 from cohortkit.operators.person import enrich_person, sample_cohort
 from cohortkit.operators.pivot import earliest_comorbidities
 from cohortkit.operators.visits import (
@@ -111,6 +111,19 @@ def test_size_checks(spark):
     assert fits(a, 70, 70) and not fits(a, 71, 70) and not fits(a, 70, 100, max_bytes=100) and not fits(a, 0, 0)
 
 
+def test_large_texts_are_measured_before_a_broadcast(spark):
+    wide = spark.range(30_000).selectExpr("id", "repeat('x', 10000) as t")  # 300 MB in few rows
+    nested = spark.range(30_000).selectExpr("id", "array(struct(repeat('x', 10000) as t)) as t")
+    narrow = spark.range(30_000).selectExpr("id", "'x' as t", "array(1) as a")
+    assert row_width(wide) * 30_000 < 2 << 20
+    assert within_bounds([wide, nested, narrow, wide, narrow], [30_000] * 5, [200_000] * 4 + [100]) == [False, False, True, False, False]
+    assert small_enough([wide, narrow]) == [False, True]
+    assert stored_bytes([wide.limit(0), spark.createDataFrame([(None, "é"), ("ab", None)], "a string, b string")]) == [0, 4]
+    assert not checked_broadcast(wide)[1] and checked_broadcast(narrow)[1]
+    ids = spark.range(20_000).selectExpr("repeat('y', 20000) as person_id", "date'2020-01-01' as d")
+    assert not profile_cohort(ids, ["d"]).small(1_000_000)
+
+
 def hot_visits(spark, n=100_000):
     """One stay with a third of the rows as microvisits, other stays of the same person, one busy ER day, other persons."""
     return spark.range(n).selectExpr(

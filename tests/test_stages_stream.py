@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
+import pytest
 from conftest import SMALL_DIR, rows
 
+from cohortkit.plans import build
 from cohortkit.plans.build import build_tables
 from cohortkit.plans.person_fact import person_fact
 from cohortkit.sources.fixtures import Inputs
 from cohortkit.sources.sinks import materialize, stage_root
+from cohortkit.sources.stages import published, remove_stale_runs, start_run
 from cohortkit.streaming.incremental import person_fact_stream
 
 
@@ -29,6 +34,53 @@ def test_build_tables(spark, tmp_path):
     assert sum(r["count"] for r in counts.collect()) == written.count()
 
 
+def test_killed_build_leaves_old_tables_and_resumes(spark, tmp_path, monkeypatch):
+    inputs, root = Inputs(spark, SMALL_DIR), str(tmp_path / "tables")
+    first = build_tables(inputs, root)
+    fact = rows(spark.read.parquet(first["person_fact"]))
+    assert published(spark, root) == first
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(build, "severity_table", dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            build_tables(inputs, root)
+    assert published(spark, root) == first and rows(spark.read.parquet(first["person_fact"])) == fact
+    (half,) = set(os.listdir(f"{root}/_runs")) - {first["person_fact"].split("/")[-2]}
+    done = {t: os.stat(f"{root}/_runs/{half}/{t}/_SUCCESS").st_mtime_ns for t in os.listdir(f"{root}/_runs/{half}")}
+    assert "person_fact" in done and "severity" not in done
+    partial = tmp_path / "tables" / "_runs" / half / "severity"
+    partial.mkdir()
+    (partial / "part-0.parquet").write_text("torn")  # what a dead attempt left
+    second = build_tables(inputs, root)
+    assert all(p.split("/")[-2] == half for p in second.values()) and published(spark, root) == second
+    assert all(os.stat(f"{root}/_runs/{half}/{t}/_SUCCESS").st_mtime_ns == at for t, at in done.items())
+    assert {t: spark.read.parquet(p).count() for t, p in second.items()} == {t: spark.read.parquet(p).count() for t, p in first.items()}
+
+
+def test_runs_are_kept_apart_and_old_ones_removed(spark, tmp_path):
+    root, df = str(tmp_path / "r"), spark.range(3)
+    made = []
+    for n in range(4):
+        run = start_run(spark, root, f"key {n}")
+        run.table("t", lambda n=n: df.withColumn("n", df["id"] + n))
+        assert run.written == ["t"]
+        made.append(run.publish()["t"])
+    assert [os.path.exists(p) for p in made] == [False, False, True, True]
+    assert published(spark, root) == {"t": made[-1]}
+    open_ = start_run(spark, root, "next")
+    open_.table("t", lambda: df)
+    assert start_run(spark, root, "next").run_id == open_.run_id  # taken up
+    assert start_run(spark, root, "next").table("t", lambda: 1 / 0).count() == 3  # not computed again
+    other = start_run(spark, root, "other parameters")
+    assert other.run_id != open_.run_id
+    assert remove_stale_runs(spark, root) == [open_.run_id]
+    assert start_run(spark, root, "other parameters", resume=False).run_id != other.run_id
+    assert published(spark, str(tmp_path / "nothing")) == {}
+
+
 def test_person_fact_stream_matches_batch(spark, tmp_path):
     inputs = Inputs(spark, SMALL_DIR)
     cohort = inputs.cohort
@@ -58,8 +110,6 @@ def test_table_inputs_run_the_same_plans(spark, tmp_path):
 
 
 def test_table_inputs_check_columns(spark, tmp_path):
-    import pytest
-
     from cohortkit.sources.named import TableInputs
 
     spark.createDataFrame([("1",)], "person_id string").write.parquet(str(tmp_path / "death"))
@@ -95,3 +145,14 @@ def test_table_inputs_from_catalog(spark):
         getattr(fixtures, key).createOrReplaceTempView(f"cat_{key}")
     named = TableInputs.from_catalog(spark, names={k: f"cat_{k}" for k in REQUIRED_COLUMNS})
     assert rows(person_fact(named)) == rows(person_fact(fixtures))
+
+
+def test_table_inputs_check_date_types(spark, tmp_path):
+    from cohortkit.sources.named import TableInputs
+
+    spark.createDataFrame([("1", "2020-01-01")], "person_id string, death_date string").write.parquet(str(tmp_path / "death"))
+    with pytest.raises(ValueError, match="death_date"):
+        TableInputs.from_folder(spark, str(tmp_path)).death
+    spark.createDataFrame([("1",)], "person_id string").selectExpr("*", "date'2020-01-01' as first_pos_pcr_antigen_date").write.parquet(str(tmp_path / "cohort"))
+    with pytest.raises(ValueError, match="first_pos_diagnosis_date"):
+        TableInputs.from_folder(spark, str(tmp_path)).cohort
