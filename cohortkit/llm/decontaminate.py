@@ -155,7 +155,12 @@ def _final(table):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, text_col: str = "text") -> DataFrame:
-    """The documents without any benchmark window, all columns kept. Null and empty texts stay."""
+    """The documents without any benchmark window, all columns kept.
+
+    Null and empty texts stay; repeated rows are judged one by one, so all stay
+    or all go; an empty benchmark, or one without words, keeps every document;
+    an empty table gives no rows.
+    """
     for table in benchmark_blocks(benchmark, window):
         docs = map_rows(docs, text_col, _keep_clean(table))
     return docs

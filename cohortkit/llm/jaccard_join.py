@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import by_position, connected_components, pick, staged
+from cohortkit.llm.common import _position, by_position, connected_components, pick, staged
 
 #: Words of a segment; a longer text is hashed segment by segment.
 SEGMENT_WORDS = 100_000
@@ -516,9 +516,17 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, that of the smallest id, all columns kept; documents without words stay."""
+    """One document of each component, that of the smallest id, all columns kept; documents without words stay.
+
+    Of rows that share the smallest id the one whose hash of id and text is
+    smallest stays, of rows equal in both any one. A null id comes last: it
+    stays only where no row of the component has an id. Null, empty and blank
+    texts are near nothing, so all their rows stay, repeated ones too. An empty
+    table gives no rows. Column names match as in Spark, in any case, an exact
+    one first; extra columns pass through, also of clashing names.
+    """
     names, flat = docs.columns, by_position(docs)
-    row_id, row_text = (f"_{next(i for i, c in enumerate(names) if c == n)}" for n in (id_col, text_col))
+    row_id, row_text = (f"_{_position(docs, n)}" for n in (id_col, text_col))
     join = Join(docs, words, num, den, id_col, text_col)
     found = join.components().where("n > 0")
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_a", "row_b")).alias("best")).select(F.col("best.row_a").alias("best_a"), F.col("best.row_b").alias("best_b"))

@@ -251,6 +251,8 @@ def drop_unidentified(docs: DataFrame, model: Model | None = None, text_col: str
 
     With a language learned, that is every text with a letter, whatever the
     parse says; without any (no labelled rows), texts with a letter stay too.
+    Null and empty texts go; repeated rows are judged one by one, so all stay or
+    all go; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, text_col=text_col) if model is None else model)
 
