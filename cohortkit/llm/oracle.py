@@ -83,5 +83,72 @@ SELECT low.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, low.vec_id
 FROM low LEFT JOIN n ON n.x = low.vec_id
 """
 
+#: The CRC-32 of a text: its UTF-8 bytes from ``hex``, through the table of one byte's steps.
+_CRC = r"""
+crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS steps
+  FROM (SELECT unnest(range(256)) AS b)),
+crc AS (
+  SELECT t, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1])), 4294967295) AS crc
+  FROM (SELECT t, steps, list_transform(range(1, len(h) + 1, 2), lambda i: (strpos('0123456789ABCDEF', substr(h, i, 1)) - 1) * 16 + strpos('0123456789ABCDEF', substr(h, i + 1, 1)) - 1) AS bytes
+        FROM (SELECT t, hex(encode(t)) AS h FROM texts), crc_table))
+"""
+
+_OP11 = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+aim AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+doc_words AS (SELECT doc_id, t, count(*) AS n FROM (SELECT doc_id, unnest(w) AS t FROM doc) GROUP BY doc_id, t),
+aim_words AS (SELECT t, count(*) AS n FROM (SELECT unnest(w) AS t FROM aim) GROUP BY t),
+texts AS (SELECT t FROM doc_words UNION SELECT t FROM aim_words),""" + _CRC + r""",
+s AS (SELECT crc % 10000 AS b, sum(n) AS s FROM doc_words JOIN crc USING (t) GROUP BY b),
+t AS (SELECT crc % 10000 AS b, sum(n) AS t FROM aim_words JOIN crc USING (t) GROUP BY b),
+gain AS (
+  SELECT b, floor(1000 * ln(((coalesce(t, 0) + 1) * (big_s + 10000))::DOUBLE / ((coalesce(s, 0) + 1) * (big_t + 10000))::DOUBLE))::BIGINT AS gain
+  FROM (SELECT unnest(range(10000)) AS b) LEFT JOIN s USING (b) LEFT JOIN t USING (b),
+       (SELECT coalesce(sum(s), 0) AS big_s FROM s), (SELECT coalesce(sum(t), 0) AS big_t FROM t)),
+weight AS (SELECT doc_id, sum(n * gain)::BIGINT AS weight FROM doc_words JOIN crc USING (t) JOIN gain ON gain.b = crc.crc % 10000 GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((list_reduce(list_prepend(0, list_transform(string_split(substr(sha256('2024:' || doc_id), 1, 8), ''), lambda c: strpos('0123456789abcdef', c) - 1)), lambda a, x: a * 16 + x) + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM doc LEFT JOIN weight USING (doc_id)),
+able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT scored.doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN able USING (doc_id)
+"""
+
+_OP12 = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY doc_id, run),
+texts AS (SELECT DISTINCT doc_id || ':' || run AS t FROM runs),""" + _CRC + r""",
+word AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN crc % 97 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word
+        FROM runs JOIN crc ON crc.t = doc_id || ':' || run)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+near AS (
+  SELECT a.word AS x, b.word AS y, b.n AS y_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN word b ON a.rest = b.word),
+best AS (
+  SELECT x, n_near, y, y_n
+  FROM (SELECT x, y, y_n, count(*) OVER (PARTITION BY x) AS n_near, row_number() OVER (PARTITION BY x ORDER BY y_n DESC, encode(y)) AS k FROM near) WHERE k = 1),
+found AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN y_n >= 2 * n THEN y END AS form, CASE WHEN y_n >= 2 * n THEN y_n END AS form_n
+  FROM word LEFT JOIN best ON best.x = word.word),
+walk AS (
+  SELECT word, coalesce(form, word) AS stop FROM found
+  UNION
+  SELECT walk.word, form FROM walk JOIN found ON found.word = walk.stop WHERE form IS NOT NULL)
+SELECT found.word, form, stop AS root, n, n_near, form_n::BIGINT AS form_n
+FROM found JOIN walk ON walk.word = found.word JOIN (SELECT word AS last FROM found WHERE form IS NULL) ON last = stop
+"""
+
 #: The other queries hash, learn or tokenize in ways that SQL can't express; tests/llm compares them with direct versions.
-ORACLE_SQL = {"op1_decontamination": _OP1, "op3_jaccard_join": _OP3, "op4_suffix_dedup": _OP4, "op6_embedding_dedup": _OP6}
+ORACLE_SQL = {"op1_decontamination": _OP1, "op3_jaccard_join": _OP3, "op4_suffix_dedup": _OP4, "op6_embedding_dedup": _OP6, "op11_importance_resampling": _OP11, "op12_spelling_variants": _OP12}
