@@ -15,6 +15,10 @@ RING_SLOTS = 1 << 14
 ROWS_PER_BUCKET, LEAST_BUCKETS = 20_000, 16
 
 
+#: Copies of a row that are expanded together.
+PIECE_ROWS = 100_000
+
+
 def ring_nodes(shards: int, replicas: int, slots: int = RING_SLOTS) -> list[tuple[int, int]]:
     """(slot, shard) of the virtual nodes in clockwise order, one node a slot."""
     taken: dict[int, int] = {}
@@ -62,8 +66,9 @@ def shard_rows(docs: DataFrame, shards: int = 8, replicas: int = 64, id_col: str
     Null ids share one place on the ring, null and empty texts have sizes 1
     (null: no bytes, plus 1) and 1, an empty table gives no rows. Rows equal in
     id, size and checksum are counted together before any window and expanded
-    afterwards, so repeated rows do not meet in one task; which of them gets
-    which slot makes no difference. Other columns are ignored.
+    afterwards, at most 100,000 of them from one row of the plan, so no task
+    expands all copies of a row; which of them gets which slot makes no
+    difference. Other columns are ignored.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
@@ -73,7 +78,7 @@ def shard_rows(docs: DataFrame, shards: int = 8, replicas: int = 64, id_col: str
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
     )
     same = staged(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies")), "shard-rows")
-    total = same.agg(F.sum("copies")).first()[0] or 0
+    total, most = same.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.max("copies"), F.lit(0))).first()
     nodes = ring_nodes(shards, replicas)
     ahead, arc_of = 0, []
     for slot in range(RING_SLOTS):
@@ -97,7 +102,11 @@ def shard_rows(docs: DataFrame, shards: int = 8, replicas: int = 64, id_col: str
     before = parts.select("arc", "bucket", (F.sum("n").over(Window.partitionBy("arc").orderBy("bucket")) - F.col("n")).alias("before"))
     inside = Window.partitionBy("arc", "bucket").orderBy("key", "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, 0)
     ranked = placed.withColumn("upto", F.sum("copies").over(inside)).join(before, ["arc", "bucket"])
-    ranked = ranked.withColumn("rank", F.explode(F.sequence(F.col("before") + F.col("upto") - F.col("copies"), F.col("before") + F.col("upto") - 1)))
+    first, last = F.col("before") + F.col("upto") - F.col("copies"), F.col("before") + F.col("upto") - 1
+    if most > PIECE_ROWS:  # a much repeated row is cut into ranges of ranks, dealt over tasks before they are expanded
+        ranked = ranked.withColumn("last", last).withColumn("first", F.explode(F.sequence(first, last, F.lit(PIECE_ROWS).cast("long")))).repartition(1 + total // (10 * PIECE_ROWS), "arc", "first")
+        first, last = F.col("first"), F.least("last", F.col("first") + PIECE_ROWS - 1)
+    ranked = ranked.withColumn("rank", F.explode(F.sequence(first, last)))
     piece = F.filter("pieces", lambda p: (p["lo"] <= F.col("rank")) & (F.col("rank") < p["hi"]))[0]
     return (
         ranked.join(F.broadcast(dealt), "arc")  # at most shards * replicas rows

@@ -8,7 +8,10 @@ from collections import Counter, defaultdict
 
 import pytest
 from llm_cases import SCHEMA, frame, odd_texts
+from pyspark.sql import functions as F
+from pyspark.sql.functions import spark_partition_id
 
+from cohortkit.llm import sharding
 from cohortkit.llm.sharding import fill_ring, ring_nodes, shard_rows
 
 
@@ -67,3 +70,21 @@ def test_limited_movement():
     moved = [(home(before, x), home(after, x)) for x in range(0, 1 << 14, 16)]
     changed = [b for a, b in moved if a != b]
     assert set(changed) <= {8, *range(8)} and sum(b == 8 for b in changed) >= 0.9 * len(changed) and len(changed) < 0.25 * len(moved)
+
+
+def test_copies_are_expanded_in_pieces(spark, monkeypatch):
+    """A row repeated very often spreads over tasks, and slots stay gapless."""
+    monkeypatch.setattr(sharding, "PIECE_ROWS", 1000)
+    docs = spark.range(60_000).selectExpr("CASE WHEN id < 40000 THEN 5 ELSE id END AS doc_id", "CASE WHEN id < 40000 THEN 'same' ELSE concat('t', id) END AS text")
+    got = shard_rows(docs, shards=3)
+    per_task = [r["count"] for r in got.where("doc_id = 5").groupBy(spark_partition_id()).count().collect()]
+    assert len(per_task) > 1 and max(per_task) < 0.6 * 40_000
+    slots = got.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert sorted(r["n"] for r in slots) == [20_000] * 3 and all(r["n"] == r["d"] == r["m"] + 1 for r in slots)
+    assert got.where("doc_id = 5").count() == 40_000
+
+
+def test_a_million_equal_rows(spark):
+    docs = spark.range(1_000_000).selectExpr("cast(1 as bigint) AS doc_id", "'x' AS text")
+    slots = shard_rows(docs).groupBy("shard").agg(F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert len(slots) == 8 and all(r["d"] == r["m"] + 1 == 125_000 for r in slots)
