@@ -94,3 +94,14 @@ def test_same_result_for_any_partition_count(spark, name):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert results[0] == results[1] == results[2]
+
+
+def test_entry_keeps_its_queries_without_an_optional_library():
+    """A library that only the optional operators need may be absent."""
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = "import sys; sys.modules['regex'] = None; import __spark_entry__ as e; from cohortkit.plans.queries import QUERIES; assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) <= set(QUERIES)"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
