@@ -324,7 +324,7 @@ FROM cohort c LEFT JOIN (
   FROM (SELECT DISTINCT x.person_id, x.death_date FROM death x JOIN cohort y ON x.person_id = y.person_id)
 ) d ON c.person_id = d.person_id""", "cohort", "death")
     q["person_fact"] = with_views("SELECT * FROM fact", *FACT_VIEWS, local=FACT_STEPS)
-    q["person_fact_written"] = q["person_fact"]
+    q["person_fact_written"] = q["person_fact_colocated"] = q["person_fact"]
     q["person_fact_sample"] = with_views(
         "SELECT * FROM fact", *FACT_VIEWS,
         local=[SAMPLED, _enriched("sampled"), WITH_DOB, CLEANED, STAYS, _first_stay("cleaned"), FACT])

@@ -29,6 +29,7 @@ from ..operators.visits import (
     stays_near_index,
 )
 from ..session import checkpoint_dir
+from ..sources.colocated import colocate
 from ..sources.fixtures import Inputs
 from ..sources.sinks import materialize, stage_root
 from .person_fact import (
@@ -206,6 +207,15 @@ def q_person_fact_written(spark, d):
     return materialize(spark, person_fact(Inputs.of(spark, d)), name, stage_root(spark, base))
 
 
+def q_person_fact_colocated(spark, d):
+    """The person fact over event tables written once in buckets of person_id."""
+    base = None
+    if not checkpoint_dir(spark) and spark.sparkContext.master.startswith("local["):
+        base = tempfile.mkdtemp()  # one machine, no shared folder named
+    i = Inputs.of(spark, d)
+    return person_fact(colocate(i, int(spark.conf.get("spark.sql.shuffle.partitions")), base, names=["visits"]))
+
+
 def q_latest_event(spark, d):
     i = Inputs.of(spark, d)
     return latest_event(i.cohort, i.death)
@@ -315,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "first_visits_outer": q_first_visits_outer,
     "first_visits_at_times": q_first_visits_at_times,
     "person_fact_written": q_person_fact_written,
+    "person_fact_colocated": q_person_fact_colocated,
     "latest_event": q_latest_event,
     "latest_event_fanout": q_latest_event_fanout,
     "person_fact": q_person_fact,
