@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,29 +55,43 @@ def _restrict(df: DataFrame, keys: DataFrame | Sequence[str], column: str, keys_
     return join_spread(df, side, [column], hot, "left_semi", ["visit_occurrence_id"], distinct_hot=False).select(*df.columns)
 
 
+#: Total orders of the two drill-downs: the visit id closes the key.
+STAY_ORDER = ["macrovisit_id", "visit_concept_id", "visit_occurrence_id"]
+PERSON_ORDER = ["person_id", "macrovisit_start_date", "macrovisit_id", "visit_occurrence_id"]
+Stage = Callable[[DataFrame], DataFrame]
+
+
+def _ordered(rows: DataFrame, order: list[str], stage: Stage | None) -> DataFrame:
+    """``rows`` in ``order``. The range partitioner samples its input before it
+    sorts it, which runs the semi-join twice; ``stage`` (write and read back)
+    lets it sample and sort the found rows instead."""
+    return (stage(rows) if stage else rows).orderBy(*order)
+
+
 def stay_drilldown(visits: DataFrame, stays: DataFrame | Sequence[str], keys_small: bool = False,
-                   sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   sort: bool = True, hot_rows: int = HOT_ROWS, stage: Stage | None = None) -> DataFrame:
     """Every visit row of the chosen stays (a list of ids, or a DataFrame with
     a macrovisit_id column), detail columns, with ``sort`` ordered by stay then
     concept.
 
     The visit id closes the sort key: the order is total, and the range
-    partitioner can split one very large stay over several tasks."""
+    partitioner can split one very large stay over several tasks. ``stage``
+    writes the rows before they are sorted (see ``_ordered``)."""
     rows = _restrict(visits.select(*VISIT_DETAIL_COLUMNS), stays, "macrovisit_id", keys_small, hot_rows)
-    return rows.orderBy("macrovisit_id", "visit_concept_id", "visit_occurrence_id") if sort else rows
+    return _ordered(rows, STAY_ORDER, stage) if sort else rows
 
 
 def person_stays(visits: DataFrame, persons: DataFrame | Sequence[str], keys_small: bool = False,
-                 sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 sort: bool = True, hot_rows: int = HOT_ROWS, stage: Stage | None = None) -> DataFrame:
     """Every visit row inside a stay for the chosen persons (a list of ids,
     or a DataFrame with person_id), with ``sort`` ordered by person then stay
     start (then stay and visit id, so a person with very many rows spans
-    several range partitions)."""
+    several range partitions). ``stage`` writes the rows before they are sorted."""
     rows = _restrict(
         visits.where(F.col("macrovisit_id").isNotNull()).select(*VISIT_DETAIL_COLUMNS),
         persons, "person_id", keys_small, hot_rows,
     )
-    return rows.orderBy("person_id", "macrovisit_start_date", "macrovisit_id", "visit_occurrence_id") if sort else rows
+    return _ordered(rows, PERSON_ORDER, stage) if sort else rows
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -63,7 +63,7 @@ def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction:
 
     def multi_stays():
         multi = codes_per_stay(inputs.visits).where(F.col("multi_inpatient_codes") >= MIN_INPATIENT_CODES)
-        return stay_drilldown(inputs.visits, multi)
+        return stay_drilldown(inputs.visits, multi, stage=lambda rows: run.table("multi_inpatient_rows", lambda: rows))
 
     hospitalised = first_stay.where(F.col("covid_associated_hosp") == 1)
     outputs = {
@@ -76,7 +76,8 @@ def build_tables(inputs: AnyInputs, out_dir: str | None = None, sample_fraction:
         "distinct_starts": lambda: distinct_starts_per_stay(inputs.visits),
         "codes_per_stay": lambda: codes_per_stay(inputs.visits),
         "multi_inpatient_stays": multi_stays,
-        "person_stays": lambda: person_stays(inputs.visits, hospitalised, keys_small=facts.cohort_small),
+        "person_stays": lambda: person_stays(inputs.visits, hospitalised, keys_small=facts.cohort_small,
+                                             stage=lambda rows: run.table("person_stay_rows", lambda: rows)),
         "zip_counts": lambda: value_counts(fact, "zip_code"),
         "zip_counts_raw": lambda: value_counts(located, "zip"),
     }

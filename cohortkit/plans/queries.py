@@ -198,22 +198,27 @@ def q_stays_after_index_counts(spark, d):
     return spark.range(1).select(*[F.lit(seen.get[n]).cast("long").alias(n) for n in names])
 
 
-def q_person_fact_written(spark, d):
-    """The person fact written as a stage table under the shared folder and read back."""
+def _shared_folder(spark: SparkSession) -> str:
+    """The stage root; a folder of this machine only where none is named and the session is local."""
     base = None
     if not checkpoint_dir(spark) and spark.sparkContext.master.startswith("local["):
         base = tempfile.mkdtemp()  # one machine, no shared folder named
-    name = f"person_fact_{uuid.uuid4().hex}"
-    return materialize(spark, person_fact(Inputs.of(spark, d)), name, stage_root(spark, base))
+    return stage_root(spark, base)
+
+
+def _staged(spark: SparkSession, name: str):
+    return lambda df: materialize(spark, df, f"{name}_{uuid.uuid4().hex}", _shared_folder(spark))
+
+
+def q_person_fact_written(spark, d):
+    """The person fact written as a stage table under the shared folder and read back."""
+    return _staged(spark, "person_fact")(person_fact(Inputs.of(spark, d)))
 
 
 def q_person_fact_colocated(spark, d):
-    """The person fact over event tables written once in buckets of person_id."""
-    base = None
-    if not checkpoint_dir(spark) and spark.sparkContext.master.startswith("local["):
-        base = tempfile.mkdtemp()  # one machine, no shared folder named
-    i = Inputs.of(spark, d)
-    return person_fact(colocate(i, int(spark.conf.get("spark.sql.shuffle.partitions")), base, names=["visits"]))
+    """The person fact over visits written once in buckets of person_id."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return person_fact(colocate(Inputs.of(spark, d), buckets, _shared_folder(spark), names=["visits"]))
 
 
 def q_latest_event(spark, d):
@@ -275,7 +280,7 @@ def q_stay_drilldown(spark, d):
     """Visit rows of every stay that has two or more inpatient codes."""
     i = Inputs.of(spark, d)
     multi = X.codes_per_stay(i.visits).where(F.col("multi_inpatient_codes") >= MIN_INPATIENT_CODES)
-    return X.stay_drilldown(i.visits, multi)
+    return X.stay_drilldown(i.visits, multi, stage=_staged(spark, "multi_stay_rows"))
 
 
 def q_person_stays(spark, d):
@@ -285,7 +290,7 @@ def q_person_stays(spark, d):
     i = Inputs.of(spark, d)
     facts = plan_facts(i, i.cohort, ())
     hospitalised = stay_near_index(i.cohort, i.visits, profile=facts.profile).where(F.col("covid_associated_hosp") == 1)
-    return X.person_stays(i.visits, hospitalised, keys_small=facts.cohort_small)
+    return X.person_stays(i.visits, hospitalised, keys_small=facts.cohort_small, stage=_staged(spark, "person_stay_rows"))
 
 
 def q_zip_counts(spark, d):

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SMALL_DIR, rows
+from conftest import SMALL_DIR, plan_text, rows
 from pyspark.sql import functions as F
 
 from cohortkit.operators.checks import DuplicateKeyError
 from cohortkit.operators.concepts import curated_columns
 from cohortkit.operators.events import first_event_per
-from cohortkit.operators.explore import person_stays, stay_drilldown
+from cohortkit.operators.explore import PERSON_ORDER, STAY_ORDER, person_stays, stay_drilldown
 from cohortkit.operators.joins import checked_broadcast, count_rows, fits, join_lookup, row_width, small_enough, stored_bytes, within_bounds
 from cohortkit.operators.person import enrich_person, sample_cohort
 from cohortkit.operators.pivot import earliest_comorbidities
@@ -26,6 +26,7 @@ from cohortkit.operators.visits import (
 )
 from cohortkit.plans.person_fact import person_fact
 from cohortkit.sources.fixtures import Inputs
+from cohortkit.sources.sinks import materialize
 
 VISITS = "person_id string, visit_occurrence_id long, visit_concept_id int, visit_start_date {0}, macrovisit_id string, macrovisit_start_date {0}, macrovisit_end_date {0}"
 
@@ -157,6 +158,19 @@ def test_hot_rows_give_equal_results_on_every_path(spark):
     assert expected == rows(stays_after_index(first, visits, branches="union")) == rows(stays_after_index(first, visits, profile=profile, branches="union"))
 
 
+def test_staged_drilldowns_sort_the_found_rows_alone(spark, tmp_path):
+    inputs = Inputs(spark, SMALL_DIR)
+    visits = inputs.visits
+    for make, keys, order in ((stay_drilldown, visits.select("macrovisit_id").limit(50), STAY_ORDER),
+                              (person_stays, visits.select("person_id").limit(50), PERSON_ORDER)):
+        keys = spark.createDataFrame(keys.collect(), keys.schema)
+        got = make(visits, keys, stage=lambda df, n=make.__name__: materialize(spark, df, n, str(tmp_path)))
+        found = got.collect()
+        assert found == make(visits, keys).collect() and found == sorted(found, key=lambda r, o=order: tuple(r[c] for c in o))
+        plan = plan_text(got)
+        assert "Join" not in plan and all(f"/{make.__name__}/" in f for f in got.inputFiles())
+
+
 def test_drilldowns_spread_a_hot_stay(spark):
     visits = hot_visits(spark, 20_000)
     keys = spark.createDataFrame([("hot_stay",), ("s5",), ("none",)], "macrovisit_id string")
