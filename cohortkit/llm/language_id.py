@@ -15,6 +15,8 @@ from cohortkit.llm.common import map_rows, pick
 
 #: Bounds of the labelled sample: characters a language, rows a language, characters of a row.
 SAMPLE_CHARS, SAMPLE_ROWS, ROW_CHARS = 24_000, 64, 1_500
+#: Languages learned: the label values with most rows. An automaton takes at most about 2 MB, whatever its alphabet.
+MOST_LABELS = 128
 #: Texts are parsed in segments of so many characters, all segments of a batch side by side.
 SEGMENT = 256
 #: Characters that one round of side-by-side parsing takes.
@@ -24,10 +26,10 @@ _POINTS = 0x110000
 
 
 class Automaton:
-    """Suffix automaton of a string as a dense table: state and column to the next state, -1 where no substring goes on.
+    """Suffix automaton of a string; its transitions are kept in a hash table of (state, symbol), so that
+    memory follows the string's length and not its alphabet.
 
-    ``column`` maps a symbol to its column: only the string's own symbols have
-    one, all others share column 0.
+    ``root`` holds the first state for each symbol, 0 where the string has none.
     """
 
     def __init__(self, symbols: list[int], size: int) -> None:
@@ -55,16 +57,47 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        own = {c: i for i, c in enumerate(sorted(set(symbols)), 1)}
-        self.column = np.zeros(size, np.int16)
-        self.column[list(own)] = list(own.values())
-        self.table = np.full((len(link), len(own) + 1), -1, np.int32)
-        for s, out in enumerate(step):
-            for c, t in out.items():
-                self.table[s, own[c]] = t
-        self.symbols = len(symbols)
+        self.size, self.symbols = size, len(symbols)
+        self.root = np.zeros(size, np.int32)
+        for c, t in step[0].items():
+            self.root[c] = t
+        n = sum(map(len, step))
+        keys = np.fromiter((s * size + c for s, out in enumerate(step) for c in out), np.int64, n)
+        to = np.fromiter((t for out in step for t in out.values()), np.int32, n)
+        bits = max(4, (2 * n).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        wait, place = np.arange(n), self._place(keys)
+        while len(wait):  # of the edges that meet in an empty place one stays there, the others try the next place
+            free = self.keys[place] < 0
+            self.keys[place[free]] = keys[wait[free]]
+            done = self.keys[place] == keys[wait]
+            self.to[place[done]] = to[wait[done]]
+            wait, place = wait[~done], (place[~done] + 1) & self.mask
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _SPREAD) >> self.shift).astype(np.int64)
+
+    def next(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The state after each symbol, -1 where no substring goes on."""
+        keys = states * self.size + symbols
+        place = self._place(keys)
+        found = self.keys[place]
+        out = np.where(found == keys, self.to[place], np.int32(-1))
+        wait = np.flatnonzero((found != keys) & (found >= 0))
+        place = place[wait]
+        while len(wait):
+            place = (place + 1) & self.mask
+            found = self.keys[place]
+            hit = found == keys[wait]
+            out[wait[hit]] = self.to[place[hit]]
+            on = ~hit & (found >= 0)
+            wait, place = wait[on], place[on]
+        return out
 
 
+#: Multiplier that spreads keys over a hash table (2^64 over the golden ratio).
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS: np.ndarray | None = None
 
 
@@ -96,7 +129,7 @@ class Model:
             return self
         known = sorted({c for t in self.samples.values() for c in t.lower() if c.isalpha()})
         self.size = len(known) + 2
-        self.symbol = np.where(letters(), self.size - 1, 0).astype(np.int16)
+        self.symbol = np.where(letters(), self.size - 1, 0).astype(np.int32)
         for i, c in enumerate(known, 1):
             self.symbol[ord(c)] = i
             if len(c.upper()) == 1:
@@ -130,12 +163,12 @@ class Model:
         size = stops - starts
         live = np.searchsorted(-size, -np.arange(SEGMENT), side="left")
         for k, automaton in enumerate(self.automata):
-            flat, root, columns = automaton.table.ravel(), np.maximum(automaton.table[0], 0), automaton.column[symbols]
+            root = automaton.root
             state, count = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int32)
             for i in range(int(size[0])):
                 m = live[i]
-                c = columns[starts[:m] + i]
-                to = flat[state[:m] * len(root) + c]
+                c = symbols[starts[:m] + i]
+                to = automaton.next(state[:m], c)
                 stop = to < 0
                 count[:m] += stop & (state[:m] > 0)
                 fresh = root[c]
@@ -178,21 +211,23 @@ def _rounds(texts: list[str | None]) -> Iterator[list[str]]:
         yield part
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: bool = True) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: bool = True, most_labels: int = MOST_LABELS) -> Model:
     """A model from a bounded sample of labelled rows.
 
     Of every language with text, rows are taken by a hash of id and text so
     that about 4 * 64 are expected, at most 64 of them are used, each with 1,500
     characters from a place chosen by hash (from its first letter on if that
     piece has none), up to 24,000 characters a language however many there
-    are. With ``held_out`` rows whose crc32(id as text) mod 4 is 2, or whose id
+    are. The ``most_labels`` label values with most rows are learned (ties: the
+    first in alphabetical order), so that neither the driver nor a broadcast
+    grows with stray label values; rows of others teach nothing. With ``held_out`` rows whose crc32(id as text) mod 4 is 2, or whose id
     is null, are never used.
     """
     rows = pick(docs, id_col, text_col, lang_col).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     if held_out:
         rows = rows.where(F.crc32(F.col("id").cast("binary")) % 4 != 2)
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_labels).collect()}
     if not counts:
         return Model({})
     place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -98,3 +98,37 @@ def test_phrases_against_direct_parsing(monkeypatch):
                 at += max(1, n - 1)
                 phrases += 1
             assert got[i, k] == phrases
+
+
+def test_many_symbols_take_little_memory():
+    r = random.Random(8)
+    common = ["".join(chr(0x4E00 + r.randrange(20_000)) for _ in range(3)) for _ in range(1_000)]
+    sample = lambda n, seed: "".join(random.Random(seed).choices(common, k=n // 3))
+    model = lid.Model({"zh": sample(24_000, 1), "ru": "".join(random.Random(2).choices("абвгдежзиклмн ", k=24_000)), "aa": text("aa", 3_000, 3)}).ready()
+    for a in model.automata:
+        assert a.keys.nbytes + a.to.nbytes < 3 << 20 and a.root.nbytes < 1 << 20
+    assert model.predict([sample(200, 9), "где жила белка", text("aa", 30, 4)])[0] == ["zh", "ru", "aa"]
+
+
+def test_transitions_against_a_plain_table():
+    r = random.Random(11)
+    for size, n in ((3, 400), (50, 3_000), (4_000, 3_000)):
+        symbols = [r.randrange(1, size) for _ in range(n)]
+        a = lid.Automaton(symbols, size + 1)
+        whole = set(zip(symbols, symbols[1:], strict=False))
+        first = np.array(symbols[:-1])
+        for second in (np.array(symbols[1:]), np.array([r.randrange(0, size + 1) for _ in first])):
+            got = a.next(a.next(np.zeros(n - 1, np.int64), first).astype(np.int64), second)
+            assert [g >= 0 for g in got] == [p in whole for p in zip(first.tolist(), second.tolist(), strict=True)]
+        assert (a.root > 0).sum() == len(set(symbols)) and lid.Automaton([], 5).next(np.zeros(2, np.int64), np.array([0, 4])).tolist() == [-1, -1]
+
+
+def test_stray_labels_are_bounded(spark):
+    rows = [(i, text(lang, 200, i), lang) for i, lang in enumerate(list(SYLLABLES) * 60)]
+    stray = spark.range(10_000).selectExpr("id + 10000 AS doc_id", "concat('stray ', id) AS text", "concat('junk', id) AS lang")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").unionByName(stray)
+    model = lid.train(docs)
+    assert len(model.samples) == lid.MOST_LABELS and set(SYLLABLES) <= set(model.samples)
+    assert [model.samples[k] for k in SYLLABLES] == [lid.train(docs.where("doc_id < 10000")).samples[k] for k in SYLLABLES]
+    assert set(lid.train(docs, most_labels=3).samples) == set(SYLLABLES)
+    assert model.predict([text(k, 30, 77) for k in SYLLABLES])[0] == list(SYLLABLES)
