@@ -26,10 +26,12 @@ _POINTS = 0x110000
 
 
 class Automaton:
-    """Suffix automaton of a string; its transitions are kept in a hash table of (state, symbol), so that
+    """Suffix automaton of a string; the transitions of all states lie in one shared array, so that
     memory follows the string's length and not its alphabet.
 
-    ``root`` holds the first state for each symbol, 0 where the string has none.
+    A state is the place of its row in that array; the cell at place + symbol
+    holds its owner's place and the next state. ``root`` holds the first state
+    for each symbol, 0 where the string has none.
     """
 
     def __init__(self, symbols: list[int], size: int) -> None:
@@ -57,47 +59,56 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        self.size, self.symbols = size, len(symbols)
+        self.symbols = len(symbols)
+        places = _places(step, size)
         self.root = np.zeros(size, np.int32)
         for c, t in step[0].items():
-            self.root[c] = t
-        n = sum(map(len, step))
-        keys = np.fromiter((s * size + c for s, out in enumerate(step) for c in out), np.int64, n)
-        to = np.fromiter((t for out in step for t in out.values()), np.int32, n)
-        bits = max(4, (2 * n).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
-        wait, place = np.arange(n), self._place(keys)
-        while len(wait):  # of the edges that meet in an empty place one stays there, the others try the next place
-            free = self.keys[place] < 0
-            self.keys[place[free]] = keys[wait[free]]
-            done = self.keys[place] == keys[wait]
-            self.to[place[done]] = to[wait[done]]
-            wait, place = wait[~done], (place[~done] + 1) & self.mask
-
-    def _place(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * _SPREAD) >> self.shift).astype(np.int64)
+            self.root[c] = places[t]
+        self.table = np.full(max(places) + size, -1, np.int64)
+        for at, out in zip(places, step, strict=True):
+            for c, t in out.items():
+                self.table[at + c] = at << 32 | places[t]
 
     def next(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The state after each symbol, -1 where no substring goes on."""
-        keys = states * self.size + symbols
-        place = self._place(keys)
-        found = self.keys[place]
-        out = np.where(found == keys, self.to[place], np.int32(-1))
-        wait = np.flatnonzero((found != keys) & (found >= 0))
-        place = place[wait]
-        while len(wait):
-            place = (place + 1) & self.mask
-            found = self.keys[place]
-            hit = found == keys[wait]
-            out[wait[hit]] = self.to[place[hit]]
-            on = ~hit & (found >= 0)
-            wait, place = wait[on], place[on]
-        return out
+        found = self.table[states + symbols]
+        return np.where(found >> 32 == states, found & 0xFFFFFFFF, -1)
+
+
+#: Places tried for a state's row before the search for rows of its kind moves on.
+_TRIES = 32
+
+
+def _places(step: list[dict[int, int]], size: int) -> list[int]:
+    """A place for each state's row in one shared array, such that no two rows use the same
+    cell (place + symbol) and no two states have the same place; state 0 is at 0."""
+    taken, used, places = bytearray(size), {0}, [0] * len(step)
+    for c in step[0]:
+        taken[c] = 1
+    low = {}
+    for s in sorted(range(1, len(step)), key=lambda s: -len(step[s])):
+        cells = sorted(step[s])
+        kind = min(len(cells), 2)
+        at, tries, first = low.get(kind, 0), 0, cells[0] if cells else 0
+        while True:
+            free = taken.find(0, at)
+            if free < 0:
+                free = len(taken)
+            place = free - first
+            if len(taken) < place + size:
+                taken.extend(bytes(place + size - len(taken)))
+            if place > 0 and place not in used and not any(taken[place + c] for c in cells):
+                break
+            at, tries = free + 1, tries + (place > 0)
+        if tries > _TRIES:
+            low[kind] = free
+        used.add(place)
+        places[s] = place
+        for c in cells:
+            taken[place + c] = 1
+    return places
 
 
-#: Multiplier that spreads keys over a hash table (2^64 over the golden ratio).
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS: np.ndarray | None = None
 
 
