@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import map_rows, pick
+from cohortkit.llm.common import _position, by_position, hash_pair, map_rows, pick, staged
 
 WINDOW_WORDS = 10
 #: Benchmark text in one search table; a larger benchmark is searched block after block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -85,16 +85,40 @@ def _covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW_WORDS, item_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> list:
-    """Broadcast search tables. Items are dealt by hash to as many blocks as the total size needs, so no block grows with the benchmark."""
+class Block:
+    """Items of one benchmark block; the search tables are built in the tasks that use them, once a worker process."""
+
+    def __init__(self, items: list[tuple[str, bytes]], window: int) -> None:
+        self.items, self.window, self._patterns = items, window, None
+
+    def __getstate__(self) -> dict:
+        return {"items": self.items, "window": self.window, "_patterns": None}
+
+    @property
+    def patterns(self) -> Patterns:
+        if self._patterns is None:
+            self._patterns = Patterns(self.items, self.window)
+        return self._patterns
+
+
+def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW_WORDS, item_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[int, Iterator]:
+    """How many blocks the benchmark's size asks for, and their broadcasts one after another.
+
+    Distinct items with text are dealt to blocks by hash. The driver fetches and
+    broadcasts a block only when it is asked for, so that it holds about
+    ``block_bytes`` of text (or one longer item), however large the benchmark.
+    """
     sc = benchmark.sparkSession.sparkContext
-    items = pick(benchmark, item_col, text_col).select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("binary").alias("t"))
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = 1 + total // block_bytes
-    return [sc.broadcast(Patterns([(r["i"] if r["i"] is not None else "null", r["t"]) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).toLocalIterator()], window)) for k in range(n)]
+    items = pick(benchmark, item_col, text_col).select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("i"), F.col(text_col).cast("binary").alias("t"))
+    items = items.where(F.octet_length("t") > 0)
+    n = 1 + (items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // block_bytes
+    if n > 1:  # equal items would fall to one block
+        items = staged(items.distinct(), "benchmark")
+    of = F.pmod(F.xxhash64("i", "t"), F.lit(n))
+    return n, (sc.broadcast(Block([(r["i"], bytes(r["t"])) for r in items.where(of == k).toLocalIterator()], window)) for k in range(n))
 
 
-_STATE = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+_OUT = "doc_id long, n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean"
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -102,73 +126,112 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     A window is ``window`` consecutive words of an item (all words of a shorter
     item); a document word inside an occurrence of any window is hit. Documents
-    are scanned where they are read, without a shuffle; a benchmark larger than
-    ``block_bytes`` is searched by chained scans in the same stage, one block of
-    items each. Null and empty texts have no words; items without words match
-    nothing; items of equal text are all reported; a null item_id is reported
-    as ``null``; repeated documents get a row each; an empty table gives no
-    rows. Other columns are ignored.
+    are scanned where they are read, without a shuffle. A benchmark larger than
+    ``block_bytes`` is searched block after block: each scan writes the hits of
+    the texts that have any and gives its block free before the next; then the
+    hits of equal texts are put together and joined to the documents. Null and
+    empty texts have no words; items without words match nothing; items of equal
+    text are all reported; a null item_id is reported as ``null``; repeated
+    documents get a row each; an empty table gives no rows. Other columns are
+    ignored.
     """
     rows = pick(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    blocks = benchmark_blocks(benchmark, window, block_bytes=block_bytes)
-    for table in blocks[:-1]:
-        rows = rows.mapInArrow(_partial(table), "doc_id long, text binary, spans array<long>, items array<string>")
-    out = "doc_id long, n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean"
-    return rows.mapInArrow(_final(blocks[-1]), out)
-
+    n, blocks = benchmark_blocks(benchmark, window, block_bytes=block_bytes)
+    if n == 1:
+        return rows.mapInArrow(_judge(next(blocks)), _OUT)
+    h, g = hash_pair(F.col("text"))
+    keyed = rows.withColumns({"h": h, "g": g})
+    hits = _hits(keyed, blocks)
+    merged = hits.groupBy("h", "g").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = merged.mapInArrow(_merge, "h long, g long, n_hit long, items array<string>")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    found = keyed.mapInArrow(_word_counts, "doc_id long, h long, g long, n_words long").join(merged, ["h", "g"], "left")
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"), F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def _hits(keyed: DataFrame, blocks: Iterator) -> DataFrame:
+    """(h, g, spans, items) of texts with hits, once a text and block; ``keyed`` has text, h and g."""
+    found = None
+    for block in blocks:
+        hit = keyed.select("h", "g", "text").mapInArrow(_block_hits(block), "h long, g long, spans array<long>, items array<string>")
+        # copies of a text have equal hits: one of them stays, reduced before the shuffle
+        now = staged(hit.groupBy("h", "g").agg(F.first("spans").alias("spans"), F.first("items").alias("items")), "benchmark-hits")
+        found = now if found is None else found.unionByName(now)
+        block.destroy()
+    return found
+
+
+def _block_hits(block):
+    schema = pa.schema([("h", pa.int64()), ("g", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
 
-def _carried(batch: pa.RecordBatch) -> Iterator[tuple]:
-    names = batch.schema.names
-    none = [None] * batch.num_rows
-    cols = [batch.column(names.index(c)).to_pylist() if c in names else none for c in ("doc_id", "text", "spans", "items")]
-    yield from zip(*cols, strict=True)
-
-
-def _partial(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = block.value.patterns
         for batch in batches:
             out = []
-            for doc_id, text, spans, items in _carried(batch):
-                more, found = table.value.scan(words_of(text))
-                out.append({"doc_id": doc_id, "text": text, "spans": (spans or []) + [x for s in more for x in s], "items": sorted(found | set(items or ()))})
-            yield pa.RecordBatch.from_pylist(out, schema=_STATE)
+            for h, g, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                spans, items = patterns.scan(words_of(text))
+                if spans:
+                    out.append({"h": h, "g": g, "spans": [x for s in spans for x in s], "items": sorted(items)})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
 
-def _final(table):
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hit = [_covered(list(zip(flat[::2], flat[1::2], strict=True))) for flat in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hit, pa.int64()), batch.column(3)], ["h", "g", "n_hit", "items"])
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = [len(words_of(t)) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(n, pa.int64())], ["doc_id", "h", "g", "n_words"])
+
+
+def _judge(block):
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items", pa.list_(pa.string())), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = block.value.patterns
         for batch in batches:
             out = []
-            for doc_id, text, spans, items in _carried(batch):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = words_of(text)
-                more, found = table.value.scan(words)
-                flat = spans or []
-                items = sorted(found | set(items or ()))
-                hit = _covered(more + list(zip(flat[::2], flat[1::2], strict=True)))
+                spans, found = patterns.scan(words)
+                items, hit = sorted(found), _covered(spans)
                 out.append((doc_id, len(words), hit, len(items), items, hashlib.sha256(",".join(items).encode()).hexdigest(), hit > 0))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)] if out else [pa.array([], t) for t in schema.types], schema=schema)
 
     return run
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, text_col: str = "text") -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents without any benchmark window, all columns kept.
 
-    Null and empty texts stay; repeated rows are judged one by one, so all stay
-    or all go; an empty benchmark, or one without words, keeps every document;
-    an empty table gives no rows.
+    A benchmark within ``block_bytes`` is searched where the documents are read;
+    a larger one block after block, and texts with a hit in any block are
+    taken out by one anti join on 128 bits of hash. Null and empty texts stay;
+    repeated rows are judged one by one, so all stay or all go; an empty
+    benchmark, or one without words, keeps every document; an empty table gives
+    no rows.
     """
-    for table in benchmark_blocks(benchmark, window):
-        docs = map_rows(docs, text_col, _keep_clean(table))
-    return docs
-
-
-def _keep_clean(table):
+    n, blocks = benchmark_blocks(benchmark, window, block_bytes=block_bytes)
+    if n == 1:
+        return map_rows(docs, text_col, _keep_clean(next(blocks)))
+    flat, names = by_position(docs), docs.columns
+    text = F.col(f"_{_position(docs, text_col)}").cast("binary")
+    h, g = hash_pair(text)
+    hits = _hits(flat.select(text.alias("text"), h.alias("h"), g.alias("g")), blocks).select("h", "g").distinct()
+    kept = flat.withColumns({"h": h, "g": g}).join(hits, ["h", "g"], "left_anti")
+    return kept.select(*flat.columns).toDF(*names)
+
+
+def _keep_clean(block):
     def each(batch: pa.RecordBatch, at: int) -> pa.RecordBatch:
-        clean = [t is None or not table.value.scan(words_of(t.encode()))[0] for t in batch.column(at).to_pylist()]
+        patterns = block.value.patterns
+        clean = [t is None or not patterns.scan(words_of(t.encode()))[0] for t in batch.column(at).to_pylist()]
         return batch.filter(pa.array(clean, pa.bool_()))
 
     return each

@@ -8,7 +8,7 @@ import re
 import pytest
 from llm_cases import EXTRA, SCHEMA, frame, odd_texts, words
 
-from cohortkit.llm.decontaminate import Patterns, drop_contaminated, find_contamination, words_of
+from cohortkit.llm.decontaminate import Patterns, benchmark_blocks, drop_contaminated, find_contamination, words_of
 
 
 def direct(text, items, window=10):
@@ -48,6 +48,30 @@ def test_filter_keeps_columns_and_clean_rows(spark):
     assert all(r[-len(EXTRA):] == EXTRA for r in rows)
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 2_000])
+def test_filter_by_blocks(spark, block_bytes):
+    many = [(i, words(30, 100 + i)) for i in range(40)] + [(None, words(11, 52))] * 30 + [(50, None), (51, "")]
+    texts = DOCS + [(100 + i, f"x {words(30, 100 + i)[20:]} y") for i in range(0, 40, 3)] + [(200, words(11, 52))] * 20
+    bench, docs = spark.createDataFrame(many, "item_id long, text string"), frame(spark, texts)
+    kept = drop_contaminated(docs, bench, block_bytes=block_bytes)
+    assert kept.columns == docs.columns
+    assert sorted((str(r[0]), str(r[1])) for r in kept.collect()) == sorted((str(i), str(t)) for i, t in texts if not direct(t, many)[4])
+    key = lambda t: (str(t[0]), t[1:])
+    got = find_contamination(docs, bench, block_bytes=block_bytes).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got), key=key) == sorted(((i, *direct(t, many)) for i, t in texts), key=key)
+    none = docs.where("false")
+    assert drop_contaminated(none, bench, block_bytes=block_bytes).count() == find_contamination(none, bench, block_bytes=block_bytes).count() == 0
+
+
+def test_the_driver_holds_one_block_at_a_time(spark):
+    bench = spark.createDataFrame([(i, words(40, 300 + i)) for i in range(300)], "item_id long, text string")
+    total = sum(len(words(40, 300 + i)) for i in range(300))
+    n, blocks = benchmark_blocks(bench, block_bytes=10_000)
+    assert n == 1 + total // 10_000
+    sizes = [sum(len(t) for _, t in b.value.items) for b in blocks]
+    assert len(sizes) == n and sum(sizes) == total and max(sizes) < 2 * 10_000
+
+
 def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id long, text string")
     assert find_contamination(docs, bench).count() == 0
