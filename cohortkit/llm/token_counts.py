@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.bpe import Tokenizer
-from cohortkit.llm.common import pick
-
-#: Characters of a chunk; a longer text is counted chunk by chunk and its chunk maps are composed.
-CHUNK_CHARS = 1 << 16
+from cohortkit.llm.bpe import BYTE_LEVEL, Tokenizer
+from cohortkit.llm.common import pick, staged
+
+#: Characters of a chunk; a longer text is cut into chunks, whose state maps are composed.
+CHUNK_CHARS = 1 << 15
+#: Characters before a chunk from which its entry state is inferred, where no break is nearer.
+LOOK_BACK = 1 << 10
+#: Maps that one step of the scan composes; a text has less than 2^31 characters.
+FAN = 64
+MOST_CHARS = 1 << 31
+#: Characters of chunks in an Arrow batch, and copies of a row expanded at a time.
+BATCH_CHARS, PIECE = 2_000_000, 10_000
 #: Transitions and words a worker keeps; beyond them it forgets all and compiles anew.
 MOST_TRANSITIONS, MEMO_WORDS = 600_000, 300_000
 LIMIT = 512
 #: No text before the current word.
 _START = -1
+# A break is white space after another character: the tokenizer starts anew there in any state.
 _FIRST_BREAK = regex.compile(r"(?<=\S)\s")
 _LAST_BREAK = regex.compile(r"\s(?=\S)")
-_BREAK = regex.compile(r"\S\s")
 
 
 class Transducer:
@@ -95,12 +105,31 @@ class Transducer:
             if node in self.open:
                 grown.append((node, before, count))
         state = tuple((node, before, count - emitted) for node, before, count in grown) + ((0, last, 0),)
-        to = self.number.setdefault(state, len(self.states))
-        if to == len(self.states):
-            self.states.append(state)
-        self.step[key] = (to, emitted)
+        self.step[key] = (self.enter(state), emitted)
         return self.step[key]
 
+    def enter(self, state: tuple) -> int:
+        """The number of a state, which may come from another process."""
+        at = self.number.setdefault(state, len(self.states))
+        if at == len(self.states):
+            self.states.append(state)
+        return at
+
+    def feed(self, at: int, char: str) -> tuple[int, int]:
+        """The state after one more character, and the change of the count."""
+        total = 0
+        for b in char.encode():
+            got = self.step.get(at << 8 | b)
+            if got is None:
+                if len(self.step) > MOST_TRANSITIONS:
+                    state = self.states[at]
+                    self.reset()
+                    at = self.enter(state)
+                got = self.compile(at << 8 | b)
+            at, emitted = got
+            total += emitted
+        return at, total
+
     def count(self, word: bytes) -> int:
         if len(self.step) > MOST_TRANSITIONS:
             self.reset()
@@ -123,26 +152,49 @@ def _cuts(tokenizer: Tokenizer, word: bytes) -> list[int]:
     return ids
 
 
-class ChunkMap(NamedTuple):
-    """What a chunk does to the count, whatever stands before and after it.
+class State(NamedTuple):
+    """Where the tokenizer stands between two characters of a text.
 
-    ``count`` is None if the chunk has no break (white space after another
-    character), at which the tokenizer starts anew in any state: then the
-    map passes all of ``head`` on. Else ``head`` and ``tail`` lie outside the
-    first and last break, and ``count`` holds the tokens between them.
+    ``mode`` is the kind of the word being read (L letters, N numbers, S white
+    space, O others), an apostrophe with the letter after it while these may
+    still become a contraction, or empty where a word begins. ``held`` is the
+    transducer's state in this word. The last character of white space belongs
+    to what follows: ``delta`` tokens are taken back for ``last`` if a word does.
     """
 
-    head: str
-    count: int | None
-    tail: str
+    mode: str = ""
+    held: tuple = ((0, _START, 0),)
+    delta: int = 0
+    last: str = ""
+
+    def key(self) -> str:
+        return json.dumps(self)
+
+
+BEGIN = State()
+
+
+class Kinds(dict):
+    """Kind of each character, as the tokenizers library tells it; looked up once a process."""
+
+    def __init__(self, path: str) -> None:
+        self.cut = tokenizers.Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+
+    def __missing__(self, char: str) -> str:
+        alike = [kind for kind, lead in (("L", "a"), ("N", "1"), ("O", "!")) if len(self.cut(lead + char)) == 1]
+        self[char] = alike[0] if alike else "S"
+        return self[char]
 
 
 class Counter:
-    """Token counts of whole texts."""
+    """Token counts of whole texts, and state maps of their chunks."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer(path)
+        if self.tokenizer.steps or self.tokenizer.find.__self__.pattern != BYTE_LEVEL:
+            raise ValueError("only byte-level tokenizers without a normalizer and a pattern of their own are compiled")
         self.transducer = Transducer(self.tokenizer)
+        self.kinds = Kinds(path)
         self.memo: dict[str, int] = {}
 
     def words(self, text: str) -> int:
@@ -159,43 +211,123 @@ class Counter:
                 total += n
             return total
 
-    def chunk(self, text: str) -> ChunkMap:
+    def parts(self, text: str) -> list[str]:
+        """Plain texts (even places) and the special strings between them."""
+        if not any(s in text for s in self.tokenizer.special):
+            return [text]
+        return self.tokenizer.split.split(text)
+
+    def count(self, text: str) -> int:
+        parts = self.parts(text)
+        return sum(map(self.words, parts[::2])) + len(parts) // 2
+
+    def run(self, state: State, text: str) -> tuple[State, int]:
+        """Reads a text without special strings from a state: the state after it, the change of the count."""
+        feed, kinds, total = self.transducer.feed, self.kinds, 0
+        mode, _, delta, last = state
+        at = self.transducer.enter(state.held)
+        for c in text:
+            kind = kinds[c]
+            if mode == "S":
+                if kind == "S":
+                    at, delta = feed(at, c)
+                    total += delta
+                    last = c
+                    continue
+                total -= delta
+                at, n = feed(0, last)
+                total += n
+                if last == " ":  # one space joins the word after it
+                    at, n = feed(at, c)
+                    total += n
+                    mode = kind
+                    continue
+            elif mode == kind:
+                at, n = feed(at, c)
+                total += n
+                continue
+            elif mode == "'":
+                if c in "stmd":
+                    total += feed(at, c)[1]
+                    mode, at = "", 0
+                    continue
+                if c in "rvl":
+                    mode += c
+                    continue
+                if kind == "O":
+                    at, n = feed(at, c)
+                    total += n
+                    mode = "O"
+                    continue
+            elif mode[:1] == "'":
+                first = mode[1]
+                if c == ("l" if first == "l" else "e"):
+                    at, n = feed(at, first)
+                    total += n + feed(at, c)[1]
+                    mode, at = "", 0
+                    continue
+                at, n = feed(0, first)
+                total += n
+                mode = "L"
+                if kind == "L":
+                    at, n = feed(at, c)
+                    total += n
+                    continue
+            at, n = feed(0, c)  # a word begins
+            total += n
+            mode = "'" if c == "'" else kind
+            delta, last = n, c
+        if mode == "S":
+            return State(mode, self.transducer.states[at], delta, last), total
+        return (State(mode, self.transducer.states[at]) if mode else BEGIN), total
+
+    def finish(self, state: State) -> int:
+        """Tokens still to come where the text, or its part before a special string, ends."""
+        return self.transducer.count(state.mode[1:].encode()) if state.mode[:1] == "'" else 0
+
+    def step(self, state: State, text: str) -> tuple[State, int]:
+        """As ``run``; between its first and last break a text is counted by words."""
         first = _FIRST_BREAK.search(text)
         if first is None:
-            return ChunkMap(text, None, "")
+            return self.run(state, text)
         a = first.start()
         b = len(text) - _LAST_BREAK.search(text[::-1]).end()
-        return ChunkMap(text[:a], self.words(text[a:b]), text[b:])
-
-    def compose(self, x: ChunkMap, y: ChunkMap) -> ChunkMap:
-        """The map of two neighbouring texts (associative); a break may arise where they meet."""
-        before, after = (x.head if x.count is None else x.tail), y.head
-        broken = before and after and _BREAK.match(before[-1] + after[0])
-        if broken:
-            left = ChunkMap(before, 0, "") if x.count is None else ChunkMap(x.head, x.count + self.words(before), "")
-            right = ChunkMap("", 0, after) if y.count is None else ChunkMap("", self.words(after) + y.count, y.tail)
-            return ChunkMap(left.head, left.count + right.count, right.tail)
-        if x.count is None:
-            return ChunkMap(before + after, y.count, y.tail)
-        if y.count is None:
-            return ChunkMap(x.head, x.count, before + after)
-        return ChunkMap(x.head, x.count + self.words(before + after) + y.count, y.tail)
-
-    def plain(self, text: str) -> int:
-        """Tokens of a text without special strings."""
-        if len(text) <= CHUNK_CHARS:
-            return self.words(text)
-        maps = [self.chunk(text[i : i + CHUNK_CHARS]) for i in range(0, len(text), CHUNK_CHARS)]
-        while len(maps) > 1:  # a round of the scan composes neighbours
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        one = maps[0]
-        return self.words(one.head) + ((one.count + self.words(one.tail)) if one.count is not None else 0)
-
-    def count(self, text: str) -> int:
-        if not any(s in text for s in self.tokenizer.special):
-            return self.plain(text)
-        parts = self.tokenizer.split.split(text)
-        return sum(map(self.plain, parts[::2])) + len(parts) // 2
+        state, total = self.run(state, text[:a])
+        total += self.finish(state) + self.words(text[a:b])
+        state, n = self.run(BEGIN, text[b:])
+        return state, total + n
+
+    def apply(self, state: State, text: str, ends: bool) -> tuple[State, int]:
+        """The state map of a chunk (``ends``: the last of its text) at one state."""
+        total = 0
+        for i, part in enumerate(self.parts(text)):
+            if i % 2:
+                total += self.finish(state) + 1
+                state = BEGIN
+            else:
+                state, n = self.step(state, part)
+                total += n
+        return (BEGIN, total + self.finish(state)) if ends else (state, total)
+
+    def chunks(self, text: str, size: int, look_back: int) -> Iterator[tuple[str, str, bool]]:
+        """A text in chunks, none of which ends inside a special string: what stands before
+        (from the last break, if it is near), the chunk, and whether it is the last."""
+        spans = [(0, 0)]
+        if any(s in text for s in self.tokenizer.special):
+            spans += [m.span() for m in self.tokenizer.split.finditer(text)]
+        start, before, near = 0, "", 0
+        while True:
+            end = min(start + size, len(text))
+            while near + 1 < len(spans) and spans[near + 1][0] < end:
+                near += 1
+            end = max(end, spans[near][1])
+            yield before, text[start:end], end == len(text)
+            if end == len(text):
+                return
+            window = text[max(spans[near][1], end - look_back) : end]
+            cut = _LAST_BREAK.search(window[::-1])
+            before = window[len(window) - cut.start() - 1 :] if cut else window
+            start = end
 
 
 _COUNTERS: dict[str, Counter] = {}
@@ -208,24 +340,126 @@ def counter(path: str) -> Counter:
     return _COUNTERS[path]
 
 
-def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
+def count_tokens(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, chunk_chars: int = CHUNK_CHARS, look_back: int = LOOK_BACK
+) -> DataFrame:
     """Per document: n_bytes, n_tokens, over_limit.
 
-    Whole texts are counted where they are read, without a shuffle; the
-    tokenizer file must be at ``path`` on every executor. Null and empty texts
-    have 0 bytes and tokens; a special string inside a text counts one token;
-    repeated documents get a row each; an empty table gives no rows; other
-    columns are ignored.
+    One scan counts the texts of up to ``chunk_chars`` characters where they
+    are read and cuts longer ones into chunk rows, which are written with the
+    counts under the shared folder and dealt over all tasks. A chunk's map
+    leads from an entry state to an exit state and a count. The entry state
+    is read off the characters before the chunk, exactly if a break is among
+    them; else it is a guess that the composition checks. Maps compose over
+    neighbours, ``FAN`` at a time, level by level, so no task holds a text; a
+    text where a guess was wrong is read once more, in order and as a stream.
+
+    The tokenizer file must be at ``path`` on every executor. Null and empty
+    texts have 0 bytes and tokens; a special string inside a text counts one
+    token; repeated documents get a row each; an empty table gives no rows;
+    other columns are ignored.
     """
     rows = pick(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
+    cut = staged(rows.mapInArrow(_count_or_cut(path, chunk_chars, look_back), f"doc_id {kind}, n_bytes long, n_tokens long, text_key string, k int, before string, chunk string, ends boolean"), "chunks")
+    short = cut.where("text_key IS NULL").select("doc_id", "n_bytes", "n_tokens")
+    pieces = cut.where("text_key IS NOT NULL").drop("n_tokens")
+    maps = pieces.repartition("text_key", "doc_id", "k").mapInArrow(_state_maps(path), f"doc_id {kind}, text_key string, n_bytes long, k int, entry string, exit string, n long")
+    maps = maps.groupBy(*maps.columns).agg(F.count("*").alias("copies")).withColumn("ok", F.lit(True))
+    reach = chunk_chars
+    while reach < MOST_CHARS:
+        maps, reach = compose(maps), reach * FAN
+    texts = staged(maps.select("doc_id", "text_key", "n_bytes", F.col("n").alias("n_tokens"), "copies", "ok"), "texts")
+    long = texts.where("ok").select("doc_id", "n_bytes", "n_tokens", "copies")
+    wrong = texts.where("NOT ok").select("text_key").distinct()
+    if not wrong.isEmpty():
+        again = pieces.join(wrong, "text_key", "left_semi").repartition("text_key", "doc_id").sortWithinPartitions("text_key", "doc_id", "k")
+        long = long.unionByName(again.select("text_key", "doc_id", "n_bytes", "k", "chunk", "ends").mapInArrow(_in_order(path), f"doc_id {kind}, n_bytes long, n_tokens long, copies long"))
+    long = long.withColumn("piece", F.explode(F.expr(f"sequence(0L, (copies - 1) div {PIECE})")))
+    long = long.withColumn("copy", F.explode(F.expr(f"sequence(1L, least({PIECE}L, copies - piece * {PIECE}))")))
+    return short.unionByName(long.select(*short.columns)).withColumn("over_limit", F.col("n_tokens") > limit)
+
+
+def compose(maps: DataFrame) -> DataFrame:
+    """State maps of up to ``FAN`` neighbouring chunks of a text as one (associative).
+
+    ``ok`` tells whether each map was entered in the state that the one before it left.
+    """
+    key = ["doc_id", "text_key", "n_bytes", "copies"]
+    run = F.array_sort(F.collect_list(F.struct("k", "entry", "exit", "n", "ok"))).alias("m")
+    grown = maps.groupBy(*key, F.expr(f"k div {FAN}").cast("int").alias("k")).agg(run).selectExpr(*key, "k", "m", """
+        aggregate(m, named_struct('exit', m[0].entry, 'n', 0L, 'ok', true),
+                  (a, x) -> named_struct('exit', x.exit, 'n', a.n + x.n, 'ok', a.ok AND x.ok AND x.entry = a.exit)) AS r""")
+    return grown.selectExpr(*key, "k", "m[0].entry AS entry", "r.exit AS exit", "r.n AS n", "r.ok AS ok")
+
+
+def _count_or_cut(path: str, chunk_chars: int, look_back: int):
+    names = ["doc_id", "n_bytes", "n_tokens", "text_key", "k", "before", "chunk", "ends"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_()]
+
+    def made(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        at, *cols = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), *map(pa.array, cols, kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            n = [c.count(t) if t else 0 for t in texts]
-            size = [len(t.encode()) if t else 0 for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            rows, held = [], 0
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                text = text or ""
+                raw = text.encode()
+                if len(text) <= chunk_chars:
+                    rows.append((i, len(raw), c.count(text), None, None, None, None, None))
+                    continue
+                key = hashlib.sha256(raw).hexdigest()
+                for k, (before, chunk, ends) in enumerate(c.chunks(text, chunk_chars, look_back)):
+                    rows.append((i, len(raw), None, key, k, before, chunk, ends))
+                    held += len(chunk)
+                    if held > BATCH_CHARS:
+                        yield made(batch.column(0), rows)
+                        rows, held = [], 0
+            if rows:
+                yield made(batch.column(0), rows)
+
+    return run
+
+
+def _state_maps(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = counter(path)
+        for batch in batches:
+            entries, exits, counts = [], [], []
+            for before, chunk, ends in zip(*(batch.column(name).to_pylist() for name in ("before", "chunk", "ends")), strict=True):
+                entry = c.run(BEGIN, before)[0]
+                left, n = c.apply(entry, chunk, ends)
+                entries.append(entry.key())
+                exits.append(left.key())
+                counts.append(n)
+            kept = ["doc_id", "text_key", "n_bytes", "k"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(entries, pa.string()), pa.array(exits, pa.string()), pa.array(counts, pa.int64())], [*kept, "entry", "exit", "n"])
+
+    return run
+
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+def _in_order(path: str):
+    """Chunks of texts in order, equal rows side by side: counts from the states that really occur,
+    one row for each row of a text's last chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = counter(path)
+        text, state, total, done = None, BEGIN, 0, -1
+        for batch in batches:
+            found = []
+            for i, (key, doc, k, chunk, ends) in enumerate(zip(*(batch.column(name).to_pylist() for name in ("text_key", "doc_id", "k", "chunk", "ends")), strict=True)):
+                if (key, doc) != text:
+                    text, state, total, done = (key, doc), BEGIN, 0, -1
+                if k != done:
+                    state, n = c.apply(state, chunk, ends)
+                    total, done = total + n, k
+                if ends:
+                    found.append((i, total))
+            at, n = zip(*found, strict=True) if found else ((), ())
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("n_bytes").take(at), pa.array(n, pa.int64()), pa.array([1] * len(n), pa.int64())], ["doc_id", "n_bytes", "n_tokens", "copies"])
+
+    return run

@@ -59,25 +59,58 @@ def test_long_words_merge_like_wide_ones():
     assert [_WORD_OWN._merge_long(w) for w in some] == _WORD_OWN.merge(some)
 
 
-@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 50])
-def test_chunk_maps_compose(monkeypatch, chunk):
-    texts = [*HARD, words(200, 1), "x  y\n z" * 20]
-    expected = [_BYTE_LIB.encode(t, add_special_tokens=False) for t in texts]
-    monkeypatch.setattr(counts, "CHUNK_CHARS", chunk)
-    assert [_COUNTER.count(t) for t in texts] == [len(e.ids) for e in expected]
-
-
-def test_chunk_composition_is_associative():
-    parts = ["ab c", "  ", "d", "", " e f", "\n\n", "g'", "s h", " "]
-    maps = [_COUNTER.chunk(p) for p in parts]
-    total = lambda m: _COUNTER.words(m.head) + (0 if m.count is None else m.count + _COUNTER.words(m.tail))
-    left = maps[0]
-    for m in maps[1:]:
-        left = _COUNTER.compose(left, m)
-    right = maps[-1]
-    for m in maps[-2::-1]:
-        right = _COUNTER.compose(m, right)
-    assert total(left) == total(right) == _COUNTER.words("".join(parts))
+LONG = [*HARD, words(200, 1), "x  y\n z" * 20, "'re'll've'd'rx'lx'v 'r'l" * 9, "\u00a0 \u00a0x\t\t'y  'z " * 9, "<|endoftext|>" * 30]
+
+
+@pytest.mark.parametrize("size,look_back", [(1, 0), (2, 1), (3, 50), (7, 4), (50, 1 << 10)])
+def test_chunks_are_read_in_order(size, look_back):
+    for t in LONG:
+        state, total, parts = counts.BEGIN, 0, list(_COUNTER.chunks(t, size, look_back))
+        assert "".join(p[1] for p in parts) == t and [p[2] for p in parts] == [False] * (len(parts) - 1) + [True]
+        for _, chunk, ends in parts:
+            state, n = _COUNTER.apply(state, chunk, ends)
+            total += n
+        assert total == len(_BYTE_LIB.encode(t, add_special_tokens=False).ids) and state == counts.BEGIN
+
+
+def test_entry_states_after_a_break_are_exact():
+    text = " ".join([words(300, 2), "it's  we'll\n\n", words(300, 3)])
+    state = counts.BEGIN
+    for before, chunk, ends in _COUNTER.chunks(text, 37, 100):
+        assert _COUNTER.run(counts.BEGIN, before)[0] == state
+        state, _ = _COUNTER.apply(state, chunk, ends)
+
+
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("  aeinst'rl\n.1é")), max_size=60), st.integers(0, 60))
+def test_states_read_any_text(text, at):
+    state, n = _COUNTER.run(counts.BEGIN, text[:at])
+    state, m = _COUNTER.run(state, text[at:])
+    assert n + m + _COUNTER.finish(state) == len(_BYTE_LIB.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("size,look_back", [(5, 2), (40, 60)])
+def test_state_maps_compose(spark, monkeypatch, size, look_back):
+    monkeypatch.setattr(counts, "FAN", 3)
+    monkeypatch.setattr(counts, "MOST_CHARS", 1 << 12)
+    monkeypatch.setattr(counts, "PIECE", 2)
+    texts = [(i, t) for i, t in enumerate(LONG)] + [(7, LONG[7])] * 3 + [(None, LONG[-1])] * 2 + [(99, LONG[7]), (100, None), (100, "")]
+    got = counts.count_tokens(frame(spark, texts), BYTE, chunk_chars=size, look_back=look_back).collect()
+    expected = [(i, len((t or "").encode()), n := lib_row(_BYTE_LIB, t)[0], n > 512) for i, t in texts]
+    assert sorted((tuple(r) for r in got), key=str) == sorted(expected, key=str)
+
+
+def test_composition_is_associative(spark, monkeypatch):
+    rows = [(doc, "t", 9, 1, k, f"s{k}", f"s{k + 1 + (doc == 2 and k == 4)}", k, True) for doc in (1, 2) for k in range(8)]
+    maps = spark.createDataFrame(rows, "doc_id int, text_key string, n_bytes long, copies long, k int, entry string, exit string, n long, ok boolean")
+    seen = []
+    for fan in (2, 3, 8):
+        monkeypatch.setattr(counts, "FAN", fan)
+        now, reach = maps, 1
+        while reach < 8:
+            now, reach = counts.compose(now), reach * fan
+        seen.append(sorted((r["doc_id"], r["entry"], r["exit"], r["n"], r["ok"]) for r in now.collect()))
+    assert seen == [[(1, "s0", "s8", 28, True), (2, "s0", "s8", 28, False)]] * 3
 
 
 def test_transducer_survives_forgetting(monkeypatch):
