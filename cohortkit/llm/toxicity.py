@@ -20,30 +20,43 @@ ROUNDS, STEP = 400, 0.1
 #: Score from which a document is predicted toxic.
 LEAST_SCORE = 0.3
 
-# Neutral names of groups; the terms of a line are swapped with one another.
+# Neutral names of groups, a line for each inflected form; the terms of a line are swapped with one another.
 IDENTITY_TERMS = (
-    ("women", "men", "girls", "boys", "transgender"),
+    ("woman", "man", "girl", "boy"),
+    ("women", "men", "girls", "boys"),
+    ("transgender", "cisgender"),
     ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"),
+    ("christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
     ("black", "white", "asian", "latino", "arab"),
+    ("blacks", "whites", "asians", "latinos", "arabs"),
     ("gay", "lesbian", "straight", "bisexual"),
+    ("gays", "lesbians", "bisexuals"),
     ("immigrant", "refugee", "foreigner", "native"),
+    ("immigrants", "refugees", "foreigners", "natives"),
+    ("frau", "mann"),
     ("frauen", "männer", "mädchen", "jungen"),
     ("christen", "muslime", "juden", "hindus"),
+    ("femme", "homme", "fille", "garçon"),
     ("femmes", "hommes", "filles", "garçons"),
+    ("chrétien", "musulman", "juif", "hindou"),
     ("chrétiens", "musulmans", "juifs", "hindous"),
+    ("mujer", "hombre", "niña", "niño"),
     ("mujeres", "hombres", "niñas", "niños"),
+    ("cristiano", "musulmán", "judío", "hindú"),
     ("cristianos", "musulmanes", "judíos", "hindúes"),
 )
 _TERMS = frozenset(t for line in IDENTITY_TERMS for t in line)
 #: Lengths of word beginnings that are features too, for inflected and compound words.
 BEGINNINGS = (4, 5, 6)
+#: Beginnings of identity terms are no features: their weights would escape the penalty.
+_CLOSED = frozenset(t[:n] for t in _TERMS for n in BEGINNINGS)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> set[str]:
-    """A text's features: its distinct words, and beginnings of words (marked ``*``) other than identity terms."""
+    """A text's features: its distinct words, and those beginnings of words (marked ``*``) that begin no identity term."""
     words = set(_WORD.findall(text.lower())) if text else set()
-    return words | {w[:n] + "*" for w in words - _TERMS for n in BEGINNINGS if len(w) > n}
+    return words | {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n and w[:n] not in _CLOSED}
 
 
 class Model:
@@ -58,8 +71,26 @@ class Model:
 
 
 def swaps(words: set[str], terms=IDENTITY_TERMS) -> list[tuple[str, str]]:
-    """(term, other) for each identity term of a text and each term that may take its place."""
-    return [(t, o) for line in terms for t in line if t in words for o in line if o != t]
+    """(term, other) for each identity term of a text and each term that may take its place.
+
+    Where the other term is in the text already, the swap only takes the first
+    one out of the features: (term, "").
+    """
+    return [(t, "" if o in words else o) for line in terms for t in line if t in words for o in line if o != t]
+
+
+def penalty_gradient(w: np.ndarray, term: np.ndarray, other: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Gradient of the mean squared change of the logit over counterfactuals.
+
+    A swap on presence features changes the logit by w[other] - w[term], or
+    by -w[term] where ``other`` is -1; it stands for ``times`` texts.
+    """
+    g = np.zeros(len(w))
+    there = other >= 0
+    gap = 2 * times / max(times.sum(), 1) * (w[term] - np.where(there, w[other], 0))
+    np.add.at(g, term, gap)
+    np.add.at(g, other[there], -gap[there])
+    return g
 
 
 def fit(rows: list[tuple[int, np.ndarray]], vocabulary: list[str], pairs: list[tuple[str, str, int]], fairness: float = FAIRNESS) -> Model:
@@ -67,9 +98,8 @@ def fit(rows: list[tuple[int, np.ndarray]], vocabulary: list[str], pairs: list[t
 
     The loss is the mean log loss, a ridge penalty, and ``fairness`` times the
     mean squared change of the logit over the sample's counterfactuals: texts
-    with one identity term swapped for another of its line. On presence
-    features such a swap changes the logit by the difference of two weights,
-    so a pair (term, other, how often) stands for all its texts.
+    with one identity term swapped for another of its line (see ``swaps``).
+    A pair (term, other, how often) stands for all texts with the same swap.
     """
     if not rows:
         return Model(0.0, {})
@@ -77,8 +107,8 @@ def fit(rows: list[tuple[int, np.ndarray]], vocabulary: list[str], pairs: list[t
     at = np.concatenate([r[1] for r in rows]).astype(np.int64)
     row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
     place = {w: i for i, w in enumerate(vocabulary)}
-    kept = [(place[a], place[b], n) for a, b, n in pairs if a in place and b in place]
-    pa_, pb, pn = (np.array(x) for x in zip(*kept, strict=True)) if kept else (np.zeros(0, int),) * 3
+    kept = [(place[a], place.get(b, -1), n) for a, b, n in pairs if a in place and (not b or b in place)]
+    term, other, times = (np.array(x) for x in zip(*kept, strict=True)) if kept else (np.zeros(0, int),) * 3
     w, grad_mean, grad_sq = (np.zeros(len(vocabulary) + 1) for _ in range(3))
     prior = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     w[-1] = np.log(prior / (1 - prior))
@@ -88,10 +118,7 @@ def fit(rows: list[tuple[int, np.ndarray]], vocabulary: list[str], pairs: list[t
         g = np.bincount(at, weights=d[row], minlength=len(w))
         g[-1] = d.sum()
         g[:-1] += RIDGE * w[:-1]
-        if len(pn):
-            gap = 2 * fairness * pn / pn.sum() * (w[pa_] - w[pb])
-            np.add.at(g, pa_, gap)
-            np.add.at(g, pb, -gap)
+        g += fairness * penalty_gradient(w, term, other, times)
         grad_mean = 0.9 * grad_mean + 0.1 * g
         grad_sq = 0.999 * grad_sq + 0.001 * g * g
         w -= STEP * (grad_mean / (1 - 0.9**t)) / (np.sqrt(grad_sq / (1 - 0.999**t)) + 1e-9)
@@ -136,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = positive / n
     gap = F.abs(F.col("p") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
     top = counts.where(F.col("n") >= LEAST_ROWS).orderBy(gap.desc(), "word").limit(MODEL_WORDS).collect()
-    vocabulary = sorted({r["word"] for r in top} | {t for line in IDENTITY_TERMS for t in line})
+    vocabulary = sorted({r["word"] for r in top} | _TERMS)
     place = {w: i for i, w in enumerate(vocabulary)}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
