@@ -15,22 +15,20 @@ from cohortkit.llm.jaccard_join import _BYTE, _powers, flagged, mixed, row_filte
 
 #: Bytes of a repeat, and of the q-grams that make the initial buckets (a repeat is four of them).
 LENGTH = 200
-#: String starts handled at a time; a longer text is taken piece by piece.
-SEGMENT = 1 << 19
+#: String starts handled at a time: short texts together, a longer text piece by piece (few enough for a core's cache).
+SEGMENT = 1 << 15
 #: A representative's starts are refined in so many parts before they are told apart one by one.
 PARTS = 4
 #: Bits of the two short distances packed below a start.
 SHORT = 12
+#: Bits of a position below a value whose minimum is sought.
+POSITION = 20
 _U = np.uint64
 
 
 def grams(raw: np.ndarray, q: int) -> np.ndarray:
     """Initial bucket of each suffix: a 64-bit hash of its first q bytes."""
-    up, down = _powers(len(raw) + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(raw) + 1, _U)
-        np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=_U, out=total[1:])
-        return mixed((total[q:] - total[: len(raw) - q + 1]) * down[: len(raw) - q + 1], _U(q))
+    return Ranges(raw).grams(q)
 
 
 def refined(bucket: np.ndarray, offset: int) -> np.ndarray:
@@ -40,21 +38,14 @@ def refined(bucket: np.ndarray, offset: int) -> np.ndarray:
 
 
 def lowest(value: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost minimum of every window of ``width`` values."""
-    n = len(value)
-    pad = -n % width
-    v = np.r_[value, np.full(pad, np.iinfo(_U).max, _U)].reshape(-1, width)
-    at = np.arange(n + pad, dtype=np.int64).reshape(-1, width)
-    low = np.minimum.accumulate(v, axis=1)
-    fresh = np.ones(v.shape, np.bool_)
-    fresh[:, 1:] = v[:, 1:] < low[:, :-1]
-    ahead = np.maximum.accumulate(np.where(fresh, at, 0), axis=1).ravel()
-    back = v[:, ::-1]
-    low = np.minimum.accumulate(back, axis=1)
-    fresh[:, 1:] = back[:, 1:] <= low[:, :-1]
-    behind = np.minimum.accumulate(np.where(fresh, at[:, ::-1], n + pad), axis=1)[:, ::-1].ravel()
-    s, p = behind[: n - width + 1], ahead[width - 1 : n]
-    return np.where(value[s] <= value[p], s, p)
+    """Position of the leftmost minimum of every window of ``width`` values, at most 2^20 values below 2^44."""
+    low = value << _U(POSITION) | np.arange(len(value), dtype=_U)
+    span = 1
+    while span < width:  # minima of windows of ``span`` values, each time up to twice as wide
+        step = min(span, width - span)
+        low = np.minimum(low[:-step], low[step:])
+        span += step
+    return (low & _U((1 << POSITION) - 1)).view(np.int64)
 
 
 class Ranges:
@@ -66,6 +57,12 @@ class Ranges:
         with np.errstate(over="ignore"):
             np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=_U, out=self.total[1:])
 
+    def grams(self, q: int) -> np.ndarray:
+        """Buckets of all ranges of q bytes."""
+        n = max(len(self.total) - q, 0)
+        with np.errstate(over="ignore"):
+            return mixed((self.total[q:] - self.total[:n]) * self.down[:n], _U(q))
+
     def of(self, start: np.ndarray, end: np.ndarray, *more: np.ndarray) -> np.ndarray:
         """Bucket identifiers of the ranges; ``more`` numbers count as part of them."""
         with np.errstate(over="ignore"):
@@ -75,24 +72,78 @@ class Ranges:
             return x
 
 
-def anchors(raw: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray, ...]]:
-    """(bucket, context, lo, hi, at) of a text's sampled suffixes.
+def adjoined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(raw, ends) of a column of texts: their bytes side by side, text i from ends[i] to ends[i + 1]."""
+    texts = [t or b"" for t in column.to_pylist()]
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)], dtype=np.int64)
+
+
+def listed(column: pa.Array, *names: str) -> tuple[np.ndarray, ...]:
+    """Row of every listed struct, and the structs' named fields."""
+    structs = column.flatten()
+    row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+    return row, *(structs.field(n).to_numpy() for n in names)
+
+
+def pieces(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of the pieces of adjoining texts: short texts together, a longer one cut every ``SEGMENT`` bytes."""
+    cut, bounds = 0, ends.tolist()
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        if b - cut > SEGMENT:
+            if cut < a:
+                yield cut, a
+            cut = a
+            while b - cut > SEGMENT:
+                yield cut, cut + SEGMENT
+                cut += SEGMENT
+    if cut < bounds[-1]:
+        yield cut, bounds[-1]
+
+
+def sampled(raw: np.ndarray, length: int, ends: np.ndarray) -> Iterator[tuple]:
+    """(ranges, base, bucket, lo, hi, at) of the sampled suffixes, places counted from ``base``, piece by piece.
+
+    No string reaches beyond its text's end.
+    """
+    q = length // 4
+    for start, stop in pieces(ends):
+        part = raw[start : stop + length - 1]
+        if len(part) < length:
+            continue
+        ranges = Ranges(part)
+        bucket = ranges.grams(q)
+        at = lowest(bucket >> _U(POSITION), length - q + 1)
+        inside = np.ones(len(at), np.bool_)
+        for end in ends[np.searchsorted(ends, start, "right") : np.searchsorted(ends, start + len(part))].tolist():
+            inside[max(end - length + 1 - start, 0) : end - start] = False
+        first = np.flatnonzero(inside)
+        at = at[first]
+        new = np.flatnonzero(at[1:] != at[:-1])
+        if len(at):
+            some = np.r_[0, new + 1]
+            yield ranges, start, bucket[at[some]], first[some], first[np.r_[new, len(at) - 1]], at[some]
+
+
+def anchors(raw: np.ndarray, length: int = LENGTH, ends: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """(bucket, context, lo, hi, at) of the sampled suffixes of a text, or of texts side by side that end at ``ends``.
 
     The string that starts at i is represented by the q-gram of lowest bucket
-    inside it (the leftmost of equals), so equal strings have equal
+    inside it (the leftmost of those equal in the upper bits), so equal strings have equal
     representatives at equal offsets. A representative, the suffix at ``at``,
     stands for the starts lo..hi; its context is the bucket of all bytes of
     their strings.
     """
-    q = length // 4
-    for start in range(0, len(raw) - length + 1, SEGMENT):
-        part = raw[start : start + SEGMENT + length - 1]
-        bucket = grams(part, q)
-        at = lowest(bucket, length - q + 1)
-        lo = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        hi = np.r_[lo[1:], len(at)] - 1
-        at = at[lo]
-        yield bucket[at], Ranges(part).of(lo, hi + length, at - lo), lo + start, hi + start, at + start
+    for ranges, base, bucket, lo, hi, at in sampled(raw, length, np.array([0, len(raw)]) if ends is None else ends):
+        yield bucket, ranges.of(lo, hi + length, at - lo), lo + base, hi + base, at + base
+
+
+def by_piece(lo: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(base, indexes): the places in ``lo`` that lie within ``SEGMENT`` bytes from ``base``."""
+    order = np.argsort(lo, kind="stable")
+    piece = lo[order] // SEGMENT
+    for some in np.split(order, np.flatnonzero(piece[1:] != piece[:-1]) + 1):
+        if len(some):
+            yield int(lo[some[0]]) // SEGMENT * SEGMENT, some
 
 
 def parts(raw: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -102,9 +153,7 @@ def parts(raw: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, lengt
     common, the hull that of all their bytes.
     """
     step = -(-(length - length // 4 + 1) // PARTS)
-    for piece in np.unique(lo // SEGMENT):
-        some = np.flatnonzero(lo // SEGMENT == piece)
-        base = int(piece) * SEGMENT
+    for base, some in by_piece(lo):
         ranges = Ranges(raw[base : base + SEGMENT + 2 * length])
         for j in range(PARTS):
             last = at[some] - step * j  # of the part's starts
@@ -114,12 +163,27 @@ def parts(raw: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, lengt
             yield index, ranges.of(last, last - step + 1 + length, np.full(len(ok), j)), ranges.of(a, b + length, at[index] - base - a), a + base, b + base
 
 
+def strings(raw: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(index, string, start) of every start in the ranges lo..hi: its string's bucket, refined twice."""
+    q = length // 4
+    for base, some in by_piece(lo):
+        bucket = refined(refined(grams(raw[base : base + SEGMENT + 2 * length], q), q), 2 * q)
+        n = hi[some] - lo[some] + 1
+        start = np.repeat(lo[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        yield np.repeat(some, n), bucket[start - base], start
+
+
+def _table(names: str, columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64, copy=False)) for x in columns], names.split())
+
+
 def _count_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [part[0] for t in batch.column(2).to_pylist() if t for part in anchors(np.frombuffer(t, np.uint8), length)]
+            raw, ends = adjoined(batch.column(2))
+            found = [bucket for _, _, bucket, _, _, _ in sampled(raw, length, ends)]
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["bucket"])
+                yield _table("bucket", [np.concatenate(found).view(np.int64)])
 
     return run
 
@@ -127,14 +191,13 @@ def _count_rows(length: int):
 def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
-            for a, b, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for bucket, context, lo, hi, at in anchors(np.frombuffer(t or b"", np.uint8), length):
-                    place = lo << 2 * SHORT | hi - lo << SHORT | at - lo
-                    for k, x in enumerate((bucket.view(np.int64), context.view(np.int64), np.full(len(lo), a), np.full(len(lo), b), place)):
-                        out[k].append(x)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["bucket", "context", "text_a", "text_b", "place"])
+            raw, ends = adjoined(batch.column(2))
+            found = list(anchors(raw, length, ends))
+            if found:
+                bucket, context, lo, hi, at = (np.concatenate(x) for x in zip(*found, strict=True))
+                row = np.searchsorted(ends, lo, "right") - 1
+                place = lo - ends[row] << 2 * SHORT | hi - lo << SHORT | at - lo
+                yield _table("bucket context text_a text_b place", [bucket.view(np.int64), context.view(np.int64), batch.column(0).to_numpy()[row], batch.column(1).to_numpy()[row], place])
 
     return run
 
@@ -152,57 +215,52 @@ def unpacked(place):
 def _part_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for a, b, t, todo in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                lo, hi, at = unpacked(np.array([r["place"] for r in todo], np.int64))
-                weight = np.array([min(r["weight"], 2) for r in todo], np.int64)
-                for index, core, hull, first, last in parts(np.frombuffer(t, np.uint8), lo, hi, at, length):
-                    for k, x in enumerate((core.view(np.int64), hull.view(np.int64), np.full(len(index), a), np.full(len(index), b), first, last, weight[index])):
-                        out[k].append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in out], ["core", "hull", "text_a", "text_b", "lo", "hi", "weight"])
+            raw, ends = adjoined(batch.column(2))
+            row, place, weight = listed(batch.column(3), "place", "weight")
+            lo, hi, at = (x + ends[row] for x in unpacked(place))
+            found = list(parts(raw, lo, hi, at, length))
+            if found:
+                index, core, hull, lo, hi = (np.concatenate(x) for x in zip(*found, strict=True))
+                row, weight = row[index], np.minimum(weight, 2)[index]
+                yield _table("core hull text_a text_b lo hi weight", [core.view(np.int64), hull.view(np.int64), batch.column(0).to_numpy()[row], batch.column(1).to_numpy()[row], lo - ends[row], hi - ends[row], weight])
 
     return run
 
 
 def _string_rows(length: int):
-    q = length // 4
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
-            for a, b, t, todo in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                raw = np.frombuffer(t, np.uint8)
-                for r in todo:
-                    bucket = refined(refined(grams(raw[r["lo"] : r["hi"] + length], q), q), 2 * q)
-                    n = len(bucket)
-                    for k, x in enumerate((bucket.view(np.int64), np.full(n, a), np.full(n, b), np.arange(r["lo"], r["hi"] + 1), np.full(n, r["weight"]))):
-                        out[k].append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in out], ["string", "text_a", "text_b", "lo", "weight"])
+            raw, ends = adjoined(batch.column(2))
+            row, lo, hi, weight = listed(batch.column(3), "lo", "hi", "weight")
+            for index, string, start in strings(raw, lo + ends[row], hi + ends[row], length):
+                of = row[index]
+                yield _table("string text_a text_b lo weight", [string.view(np.int64), batch.column(0).to_numpy()[of], batch.column(1).to_numpy()[of], start - ends[of], weight[index]])
 
     return run
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def merged(row: np.ndarray, lo: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ranges lo..end of each row with those that overlap or touch made one, by row and start."""
+    order = np.lexsort((lo, row))
+    row, lo, end = row[order], lo[order], end[order]
+    shift = row * (end.max(initial=0) + 1)  # rows one after the other
+    reach = np.maximum.accumulate(end + shift)
+    new = np.flatnonzero(lo[1:] + shift[1:] > reach[:-1])
+    first, last = np.r_[0, new + 1][: len(lo)], np.r_[new, len(lo) - 1][: len(lo)]
+    return row[first], lo[first], reach[last] - shift[last]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[], [], [], []]
-        for t, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            runs = merged([(s["lo"], s["end"]) for s in spans])
-            kept, last = [], 0
-            for a, b in runs:
-                kept.append(t[last:a])
-                last = b
-            kept = b"".join([*kept, t[last:]])
-            for c, x in zip(out, (sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept).hexdigest(), kept), strict=True):
+        row, lo, end = merged(*listed(batch.column(3), "lo", "end"))
+        at = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
+        lo, end = lo.tolist(), end.tolist()
+        for i, t in enumerate(batch.column(2).to_pylist()):
+            runs = range(at[i], at[i + 1])
+            bounds = zip([0, *(end[j] for j in runs)], [*(lo[j] for j in runs), len(t)], strict=True)
+            kept = b"".join([t[a:b] for a, b in bounds])
+            for c, x in zip(out, (len(t) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept), strict=True):
                 c.append(x)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.binary())], ["text_a", "text_b", "n_removed", "n_spans", "kept_sha256", "kept"])
 
